@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from barlight.llm.contamination import contamination
+from barlight.llm.html import extract
 from barlight.llm.jaccard import jaccard_components
+from barlight.llm.kdtree import top_k
 from barlight.llm.language import fold_remainder, identify, train
+from barlight.llm.licenses import find_licenses
 from barlight.llm.mixing import mix_sources
 from barlight.llm.passages import remove_passages
 
@@ -28,6 +31,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(docs, _read(spark, sf_dir, "benchmark")).select("doc_id", "contaminated", "item_id", "coverage", "n_items")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_licenses(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_passages(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -40,17 +48,48 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_read(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
+    "op5_license_scan": op5_license_scan,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
+    "op8_html_extraction": op8_html_extraction,
     "op9_mixing": op9_mixing,
+    "op10_top_k": op10_top_k,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s)
+        SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 5""",
+    "op6_substring_dedup": """
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        p AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d),
+        g AS (SELECT doc_id, i, w[i + 1] AS word, CASE WHEN i + 35 <= len(w) THEN array_to_string(w[i + 1 : i + 35], ' ') END AS win FROM p),
+        n AS (SELECT win FROM g WHERE win IS NOT NULL GROUP BY win HAVING count(*) > 1),
+        f AS (SELECT g.doc_id, g.i, g.word, n.win IS NOT NULL AS hit FROM g LEFT JOIN n ON g.win = n.win),
+        c AS (SELECT doc_id, i, word, max(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM f),
+        k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+}
