@@ -16,6 +16,7 @@ from barlight.llm.language import fold_remainder, identify, train
 from barlight.llm.licenses import find_licenses
 from barlight.llm.mixing import mix_sources
 from barlight.llm.passages import remove_passages
+from barlight.llm.scoring import score_documents
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,6 +32,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(docs, _read(spark, sf_dir, "benchmark")).select("doc_id", "contaminated", "item_id", "coverage", "n_items")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_licenses(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -63,6 +68,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
+    "op3_lm_scoring": op3_lm_scoring,
     "op5_license_scan": op5_license_scan,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
