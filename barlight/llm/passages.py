@@ -225,7 +225,7 @@ def covered(places: bytes | None, window: int, size: int, all_of_it: bool) -> li
     out: list[tuple[int, int]] = []
     for a, b in np.frombuffer(places or b"", "<u4").reshape(-1, 2).tolist():
         if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], b + window - 1)
+            out[-1] = (out[-1][0], max(out[-1][1], b + window - 1))
         else:
             out.append((a, b + window - 1))
     return out

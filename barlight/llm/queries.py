@@ -17,6 +17,7 @@ from barlight.llm.licenses import find_licenses
 from barlight.llm.mixing import mix_sources
 from barlight.llm.passages import remove_passages
 from barlight.llm.scoring import score_documents
+from barlight.llm.suffixes import remove_strings
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,6 +37,11 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_read(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_strings(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_licenses(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
