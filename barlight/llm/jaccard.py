@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlight.llm.components import components
@@ -239,7 +239,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
             size = np.diff(first)
             sketches, blobs = [], []
             for a, b in zip(first[:-1], first[1:], strict=True):
-                wide = 1 << max(8, int(b - a).bit_length() + 1)
+                wide = 1 << max(8, int(b - a).bit_length())
                 bits = np.bincount((values[a:b] & np.uint64(wide - 1)).astype(np.int64), minlength=wide) & 1
                 sketches.append(np.packbits(bits.astype(np.uint8), bitorder="little").tobytes())
                 blobs.append(planes(values[a:b], 7))
@@ -275,24 +275,32 @@ def _narrow(sketch: np.ndarray, wide: int) -> np.ndarray:
     return sketch
 
 
-def close_pairs(groups: DataFrame, scheme: Scheme) -> DataFrame:
-    """Pairs (u, v) of one signature and different roots whose sketches allow a link.
+def close_pairs(groups: DataFrame, scheme: Scheme, nearest: bool) -> DataFrame:
+    """Pairs (u, v) of one signature and different roots whose sketches allow a link; nearest: for each u only the nearest v.
 
     groups: signature, set_id, root, size, sketch. A signature of more than BLOCK sets is compared
     block by block in several tasks; a pair never leaves the task that turns it down.
     """
 
-    def compare(a: dict, b: dict) -> tuple[np.ndarray, np.ndarray]:
-        wide = min(a["sketch"].shape[1], b["sketch"].shape[1])
-        x, y = _narrow(a["sketch"], wide), _narrow(b["sketch"], wide)
+    def compare(x: dict, y: dict, ahead: bool) -> tuple[np.ndarray, np.ndarray]:
+        """ahead: x is the first part of y, and each of y is held against those before it only."""
         us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in range(len(x)):
-            other = np.flatnonzero((b["root"] != a["root"][i]) & (b["set_id"] != a["set_id"][i]))
-            far = np.bitwise_count(y[other] ^ x[i]).sum(axis=1, dtype=np.int64)
-            hit = other[far <= scheme.differ(b["size"][other] + a["size"][i])]
-            us.append(np.minimum(b["set_id"][hit], a["set_id"][i]))
-            vs.append(np.maximum(b["set_id"][hit], a["set_id"][i]))
-        return np.concatenate(us), np.concatenate(vs)
+        step = max(1, (1 << 19) // max(1, y["sketch"].size))
+        for i in range(0, len(x["root"]), step):
+            part = slice(i, i + step)
+            far = np.bitwise_count(x["sketch"][part, None] ^ y["sketch"][None]).sum(axis=2, dtype=np.int64)
+            hit = (far <= scheme.differ(x["size"][part, None] + y["size"][None])) & (x["root"][part, None] != y["root"][None])
+            a, b = np.nonzero(hit)
+            if ahead:
+                a, b = a[b > a + i], b[b > a + i]
+            if nearest and len(a):
+                order = np.lexsort((far[a, b], a))
+                first = order[np.r_[True, a[order][1:] != a[order][:-1]]]
+                a, b = a[first], b[first]
+            us.append(x["set_id"][part][a])
+            vs.append(y["set_id"][b])
+        u, v = np.concatenate(us), np.concatenate(vs)
+        return np.minimum(u, v), np.maximum(u, v)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
@@ -309,9 +317,11 @@ def close_pairs(groups: DataFrame, scheme: Scheme) -> DataFrame:
             if lo == hi:
                 # only sets outside the most common root are held against all
                 roots, n = np.unique(cols["root"], return_counts=True)
-                u, v = compare(part(cols["root"] != roots[n.argmax()]), part(slice(None)))
+                outside = cols["root"] != roots[n.argmax()]
+                order = np.argsort(~outside, kind="stable")
+                u, v = compare(part(order[: outside.sum()]), part(order), True)
             else:
-                u, v = compare(part(cols["block"] == lo), part(cols["block"] == hi))
+                u, v = compare(part(cols["block"] == lo), part(cols["block"] == hi), False)
             both = np.unique(np.stack([u, v], 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
 
@@ -346,29 +356,22 @@ def jaccard_components(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     texts have no shingle and stay alone. A null doc_id counts last: it is a component_id only where
     all ids are null. Repeated rows are all returned. Sets are told apart by 52-bit shingle hashes.
     Copies are one set throughout, so that a group of copies costs as much as one document. Only sets
-    that share a signature are fetched. First each set is held against the one before it with which it
-    shares most signatures, twice; then, within a signature, sets that are still in different
-    components are all compared, by sketches and then exactly, so that no link is lost.
+    that share a signature are fetched. First each set is held against the one before it, similar
+    sets standing together, with which it shares most signatures. Then, within each signature, each set
+    is held against the nearest of another component by sketches; last all sets that are still in
+    different components are compared, by sketches and then exactly, so that no link is lost.
     """
     meta = kept(with_set_ids(docs, scheme))
     shared = kept(shared_signatures(docs, scheme))
     ids = shared.select("set_id").distinct()
     wanted = kept(meta.where("n_shingles > 0").groupBy("set_id").agg(F.min("text_key").alias("text_key")).join(ids, "set_id", "left_semi").select("text_key"))
     sets = kept(sets_of(docs, wanted, scheme))
-    before = F.lag("set_id").over(_by_signature())
-    chain = kept(shared.withColumn("before", before).where("before is not null").groupBy(F.col("set_id").alias("u"), F.col("before").alias("v")).agg(F.count("*").alias("n")))
-    links, roots = None, None
-    for _ in range(2):
-        open_ = chain if roots is None else _apart(chain, roots)
-        best = open_.groupBy("u").agg(F.max_by("v", F.struct("n", "v")).alias("v"))
-        got = kept(linked(best, sets, scheme))
-        links = got if links is None else kept(links.union(got))
-        roots = components(links)
-    rooted = shared.join(roots.toDF("set_id", "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    apart = rooted.groupBy("signature").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("signature")
-    groups = kept(rooted.join(apart, "signature", "left_semi"))
-    groups = groups.join(sets.select("set_id", "size", "sketch"), "set_id")
-    links = links.union(linked(kept(close_pairs(groups, scheme)), sets, scheme))
+    links = kept(linked(_neighbours(shared), sets, scheme))
+    for nearest in (True, False):
+        rooted = _rooted(shared, components(links))
+        apart = rooted.groupBy("signature").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("signature")
+        groups = kept(rooted.join(apart, "signature", "left_semi")).join(sets.select("set_id", "size", "sketch"), "set_id")
+        links = kept(links.union(linked(kept(close_pairs(groups, scheme, nearest)), sets, scheme)))
     roots = components(links).toDF("set_id", "root")
     least = meta.groupBy("set_id").agg(F.min("doc_id").alias("doc_id")).join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     named = kept(least.groupBy("root").agg(F.min("doc_id").alias("component_id")).join(least.select("root", "set_id"), "root").select("set_id", "root", "component_id"))
@@ -398,13 +401,12 @@ def first_of_each_group(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame
     return kept_rows.select(*names).union(keyed.join(wordless, "text_key", "left_semi").select(*names))
 
 
-def _by_signature():
-    from pyspark.sql import Window
+def _rooted(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    return shared.join(roots.toDF("set_id", "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
 
-    return Window.partitionBy("signature").orderBy("set_id")
 
-
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    a, b = roots.toDF("u", "ru"), roots.toDF("v", "rv")
-    joined = pairs.join(a, "u", "left").join(b, "v", "left")
-    return joined.where(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v", "n")
+def _neighbours(shared: DataFrame) -> DataFrame:
+    """(u, v): for each set the one that comes before it, in an order that brings similar sets together, in most of its signatures."""
+    before = F.lag("set_id").over(Window.partitionBy("signature").orderBy("set_id"))
+    pairs = shared.select(F.col("set_id").alias("u"), before.alias("v")).where("v is not null")
+    return pairs.groupBy("u", "v").agg(F.count("*").alias("n")).groupBy("u").agg(F.max_by("v", F.struct("n", "v")).alias("v"))

@@ -39,10 +39,24 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarra
     return keys & np.uint64((1 << BITS) - 1), first
 
 
+def least_hash(values: np.ndarray, first: np.ndarray, seed: int) -> np.ndarray:
+    """The smallest of the shingles' hashes, which two sets share as often as they are similar; 0 for the empty set."""
+    out = np.zeros(len(first) - 1, np.uint64)
+    full = np.flatnonzero(np.diff(first))
+    if len(full):
+        out[full] = np.minimum.reduceat(mix(values ^ np.uint64(seed)), first[full])
+    return out
+
+
 def set_ids(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One number for each set: equal sets have equal numbers. 0 for the empty set."""
+    """One number for each set: equal sets have equal numbers. 0 for the empty set.
+
+    The first 16 bits are those of the smallest shingle hash, so that similar sets are near in order.
+    """
     out = np.zeros(len(first) - 1, np.uint64)
     full = np.flatnonzero(np.diff(first))
     if len(full):
-        out[full] = mix(np.add.reduceat(mix(values + np.uint64(1)), first[full]) + np.diff(first)[full].astype(np.uint64))
+        whole = mix(np.add.reduceat(mix(values + np.uint64(1)), first[full]) + np.diff(first)[full].astype(np.uint64))
+        near = mix(least_hash(values, first, 1)[full])
+        out[full] = (whole >> np.uint64(16)) | (near >> np.uint64(48) << np.uint64(48))
     return out
