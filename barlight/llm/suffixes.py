@@ -23,7 +23,7 @@ from barlight.llm.store import kept
 from barlight.llm.words import buffer, byte_codes, chunks, mix, ranges, rolling, span_hash, within
 
 #: Bytes of an anchor and of a block, and bytes of strings that a task holds before it hands them on.
-GRAM, BLOCK, HELD_BYTES = 32, 20, 48 << 20
+GRAM, BLOCK, HELD_BYTES = 32, 20, 4 << 20
 
 
 def suffix_array(symbols: list[int]) -> list[int]:
