@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Steps of a window: gradients go no further back.
-WINDOW = 16
+WINDOW = 32
 
 
 @dataclass(frozen=True)
@@ -71,8 +71,13 @@ class Model:
 
     def step(self, words: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         k, u = self.hidden, self.p["u"]
-        x = self.p["x"][words] + self.p["b"]
-        zr = 1 / (1 + np.exp(-(x[:, : 2 * k] + h @ u[:, : 2 * k])))
+        x = self.p["x"].take(words, axis=0)
+        x += self.p["b"]
+        zr = h @ u[:, : 2 * k]
+        zr += x[:, : 2 * k]
+        np.exp(np.negative(zr, out=zr), out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
         z, r = zr[:, :k], zr[:, k:]
         rh = r * h
         new = np.tanh(x[:, 2 * k :] + rh @ u[:, 2 * k :])
@@ -81,39 +86,40 @@ class Model:
     def output(self, states: np.ndarray, words: np.ndarray, learn: bool) -> tuple[np.ndarray, np.ndarray | None, dict]:
         """Natural logarithm of the probability of each word after its state; gradients of minus their sum."""
         p, cl = self.p, self.classes
-        of = cl.of[words]
-        logits = states @ p["c"] + p["cb"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        rows = np.arange(len(words))
-        out = logits[rows, of] - np.log(total)
+        of, states_t = cl.of[words], np.ascontiguousarray(states.T)
+        columns = np.arange(len(words))
+
+        def softmax(weights: np.ndarray, bias: np.ndarray, x: np.ndarray, right: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+            # choices stand in rows, so that sums run along memory; cut logits need no maximum taken off
+            logits = weights @ x
+            logits += bias[:, None]
+            np.clip(logits, -60, 60, out=logits)
+            got = logits[right, n]
+            e = np.exp(logits, out=logits)
+            total = e.sum(axis=0)
+            if learn:
+                e /= total
+                e[right, n] -= 1
+            return got - np.log(total), e
+
+        out, d = softmax(p["c"].T, p["cb"], states_t, of, columns)
         back, grad = None, {}
         if learn:
-            d = e / total[:, None]
-            d[rows, of] -= 1
-            back = d @ p["c"].T
-            grad = {"c": states.T @ d, "cb": d.sum(axis=0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+            back = d.T @ p["c"].T
+            grad = {"c": states_t @ d.T, "cb": d.sum(axis=1), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
         order = np.argsort(of, kind="stable")
         edge = np.searchsorted(of[order], np.arange(len(cl.start)))
-        for c in np.flatnonzero(np.diff(edge)):
+        states_t, place = states_t.take(order, axis=1), cl.place[words[order]]
+        for c in np.flatnonzero(np.diff(edge) * (np.diff(cl.start) > 1)):
             a, b = cl.start[c], cl.start[c + 1]
-            if b - a == 1:
-                continue
-            mine = order[edge[c] : edge[c + 1]]
-            s = states[mine]
-            logits = s @ p["w"][a:b].T + p["wb"][a:b]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(axis=1)
-            place = cl.place[words[mine]]
-            out[mine] += logits[np.arange(len(mine)), place] - np.log(total)
+            mine = slice(edge[c], edge[c + 1])
+            x = states_t[:, mine]
+            got, d = softmax(p["w"][a:b], p["wb"][a:b], x, place[mine], columns[: x.shape[1]])
+            out[order[mine]] += got
             if learn:
-                d = e / total[:, None]
-                d[np.arange(len(mine)), place] -= 1
-                back[mine] += d @ p["w"][a:b]
-                grad["w"][a:b] = d.T @ s
-                grad["wb"][a:b] = d.sum(axis=0)
+                back[order[mine]] += d.T @ p["w"][a:b]
+                grad["w"][a:b] = d @ x.T
+                grad["wb"][a:b] = d.sum(axis=1)
         return out, back, grad
 
 
@@ -147,15 +153,15 @@ def _layout(first: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return token, length, begins
 
 
-def windows(model: Model, ids: np.ndarray, first: np.ndarray, most: int):
+def windows(model: Model, ids: np.ndarray, first: np.ndarray, most: int, steps: int = WINDOW):
     """For each window: lanes that still run, its tokens, the step results and the states before each token."""
     token, length, begins = _layout(first, most)
     state = np.zeros((token.shape[1], model.hidden), np.float32)
-    for t0 in range(0, len(token), WINDOW):
+    for t0 in range(0, len(token), steps):
         n = int((length > t0).sum())
         state = state[:n]
         before, tape = [], []
-        for t in range(t0, min(t0 + WINDOW, len(token))):
+        for t in range(t0, min(t0 + steps, len(token))):
             m = int((length > t).sum())
             now = token[t, :m]
             h = state[:m]
@@ -173,7 +179,7 @@ def windows(model: Model, ids: np.ndarray, first: np.ndarray, most: int):
 def score(model: Model, ids: np.ndarray, first: np.ndarray, most: int = 1024) -> np.ndarray:
     """Natural logarithm of each token's probability given all before it in its text."""
     out = np.zeros(len(ids))
-    for tokens, before, _ in windows(model, ids, first, most):
+    for tokens, before, _ in windows(model, ids, first, most, 2 * WINDOW):
         at = np.concatenate(tokens)
         out[at] = model.output(np.concatenate(before), ids[at], False)[0]
     return out

@@ -113,7 +113,7 @@ def train(docs: DataFrame, vocabulary: np.ndarray, model: Model, rounds: int = 3
         def run(batches: Iterator[pa.RecordBatch], start: Model = model) -> Iterator[pa.RecordBatch]:
             look, own, total = Lookup(vocabulary), Trainer(start.with_flat(start.flat()), rate), 0
             for tokens, first, _ in _held(batches):
-                own.learn(look(tokens), first, int(np.clip(len(tokens) // 2048, 8, 256)))
+                own.learn(look(tokens), first, int(np.clip(len(tokens) // 2048, 8, 512)))
                 total += len(tokens)
             if total:
                 blobs = [b.astype(np.float32).tobytes() for b in np.array_split(own.model.flat(), BLOCKS)]
