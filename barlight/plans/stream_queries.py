@@ -1,3 +1,83 @@
+"""Streaming queries over the event table, as JSON messages from a file source."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from barlight.plans import fixtures as X
 from barlight.plans.book import Book
+from barlight.streaming import events as E
 
 BOOK = Book()
+add = BOOK.add
+
+
+def messages(spark, sf_dir: str):
+    """A stream of JSON arrays: each event as a trade of its user's symbol, with a quote and a status beside it."""
+    schema = X.read(spark, sf_dir, "events").schema
+    e = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque*")
+    t = (F.expr(X.US.format("ts")) / 1000).cast("long")
+    k = F.get_json_object("props", "$.k").cast("double")
+    trade = F.struct(F.lit("T").alias("ev"), F.concat(F.lit("S"), (F.col("user_id") % 40).cast("string")).alias("sym"), F.col("value").alias("p"), (1 + k).alias("s"), t.alias("t"), F.col("event_id").alias("q"))
+    quote = F.struct(F.lit("Q").alias("ev"), F.col("event_type").alias("sym"), (F.col("value") * 0.99).alias("bp"), (F.col("value") * 1.01).alias("ap"), k.alias("bs"), (1 + k).alias("as"), t.alias("t"))
+    status = F.struct(F.lit("status").alias("ev"))
+    text = F.concat(F.lit("["), F.to_json(trade), F.lit(","), F.to_json(quote), F.lit(","), F.to_json(status), F.lit("]"))
+    return e.select(text.alias("value"), F.timestamp_millis(t + 5 + F.col("event_id") % 50).alias("received"))
+
+
+TRADES = "tr AS (SELECT 'S' || (user_id % 40) AS symbol, value AS price, 1 + CAST(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS DOUBLE) AS size, ts, event_id, epoch_ms(ts) AS t FROM events)"
+
+
+def _trades(spark, sf):
+    return E.trades_of(E.parse_events(messages(spark, sf)))
+
+
+@add("SELECT 'T' AS ev, count(*) AS n FROM events UNION ALL SELECT 'Q', count(*) FROM events")
+def event_counter(spark, sf):
+    return E.run_available(E.event_counter(E.parse_events(messages(spark, sf))))
+
+
+BOOK.queries["parse_events"], BOOK.sql["parse_events"] = BOOK.queries["event_counter"], BOOK.sql["event_counter"]
+
+
+@add(f"WITH {TRADES} SELECT symbol, count(*) AS trades, sum(price * size) AS cash FROM tr GROUP BY 1", doubles="cash", places=2)
+def running_totals(spark, sf):
+    return E.run_available(E.running_totals(_trades(spark, sf)))
+
+
+@add(f"WITH {TRADES} SELECT CAST(t // 5000 * 5000 AS BIGINT) AS start, symbol, count(*) AS trades, sum(price * size) AS cash FROM tr GROUP BY 1, 2", doubles="cash")
+def tumbling_trade_stats(spark, sf):
+    return E.run_available(E.tumbling_trade_stats(_trades(spark, sf))).withColumn("start", F.unix_millis("start"))
+
+
+@add(f"WITH {TRADES} SELECT symbol, count(*) AS trades, sum(price * size) AS cash FROM tr WHERE symbol IN ('S3', 'S5') GROUP BY 1", doubles="cash", places=2)
+def subscription_filter(spark, sf):
+    topics = spark.sql("select * from values ('T', 'S3'), ('T', 'S5'), ('Q', '*') as t(ev, symbol)")
+    events = E.subscription_filter(E.parse_events(messages(spark, sf)), topics)
+    return E.run_available(E.running_totals(E.trades_of(events)))
+
+
+@add("SELECT CAST(epoch_ms(ts) // 60000 * 60000 AS BIGINT) AS start, e.ev, avg(5 + event_id % 50) AS mean_ms, max(5 + event_id % 50) AS max_ms FROM events, (VALUES ('T'), ('Q')) AS e(ev) GROUP BY 1, 2", doubles="mean_ms")
+def stream_latency(spark, sf):
+    return E.run_available(E.stream_latency(E.parse_events(messages(spark, sf)))).withColumn("start", F.unix_millis("start"))
+
+
+@add("SELECT CAST(epoch_ms(ts) // 60000 * 60000 AS BIGINT) AS start, event_type AS symbol, count(*) AS quotes, avg(value * 1.01 - value * 0.99) AS avg_spread, sum(k) AS bid_size, sum(1 + k) AS ask_size FROM (SELECT *, CAST(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS DOUBLE) AS k FROM events) GROUP BY 1, 2", doubles="avg_spread bid_size ask_size")
+def stream_quote_bars(spark, sf):
+    quotes = E.parse_events(messages(spark, sf)).where("kind = 'quote'")
+    return E.run_available(E.stream_quote_bars(quotes)).withColumn("start", F.unix_millis("start"))
+
+
+@add(f"WITH {TRADES}, b AS (SELECT *, t // 3600000 * 3600000 AS bucket FROM tr), s AS (SELECT *, price - lag(price) OVER (PARTITION BY symbol, bucket ORDER BY t, event_id) AS d FROM b) SELECT symbol, CAST(bucket AS BIGINT) AS bucket, count(*) AS trades, sum(size) AS volume, coalesce(sum(size) FILTER (d > 0), 0) AS buy_volume, coalesce(sum(size) FILTER (d < 0), 0) AS sell_volume FROM s GROUP BY 1, 2", doubles="volume buy_volume sell_volume")
+def stream_trade_bars(spark, sf):
+    rows = E.run_available(E.stream_trade_bars(_trades(spark, sf), 60), "update")
+    return rows.groupBy("symbol", "bucket").agg(*(F.max_by(c, "trades").alias(c) for c in ("volume", "buy_volume", "sell_volume")), F.max("trades").alias("trades")).select("symbol", "bucket", "trades", "volume", "buy_volume", "sell_volume")
+
+
+@add("SELECT 'ABC' AS underlying, type, count(*) AS n FROM (SELECT CASE WHEN user_id % 2 = 0 THEN 'C' ELSE 'P' END AS type FROM events) GROUP BY 2")
+def stream_enrich_contract(spark, sf):
+    contracts = spark.sql("select * from values ('O:ABC240119C00050000', 'C'), ('O:ABC240119P00050000', 'P') as t(symbol, type)")
+    trades = _trades(spark, sf)
+    even = F.pmod(F.regexp_extract("symbol", r"(\d+)", 1).cast("int"), F.lit(2)) == 0
+    options = trades.withColumn("symbol", F.when(even, "O:ABC240119C00050000").otherwise("O:ABC240119P00050000"))
+    return E.run_available(E.stream_enrich_contract(options, contracts).groupBy("underlying", "type").agg(F.count("*").alias("n")))
