@@ -25,7 +25,7 @@ def messages(spark, sf_dir: str):
     return e.select(text.alias("value"), F.timestamp_millis(t + 5 + F.col("event_id") % 50).alias("received"))
 
 
-TRADES = "tr AS (SELECT 'S' || (user_id % 40) AS symbol, value AS price, 1 + CAST(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS DOUBLE) AS size, ts, event_id, epoch_ms(ts) AS t FROM events)"
+TRADES = "tr AS (SELECT 'S' || (user_id % 40) AS symbol, value AS price, 1 + CAST(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS DOUBLE) AS size, ts, event_id, epoch_us(ts) // 1000 AS t FROM events)"
 
 
 def _trades(spark, sf):
@@ -57,12 +57,12 @@ def subscription_filter(spark, sf):
     return E.run_available(E.running_totals(E.trades_of(events)))
 
 
-@add("SELECT CAST(epoch_ms(ts) // 60000 * 60000 AS BIGINT) AS start, e.ev, avg(5 + event_id % 50) AS mean_ms, max(5 + event_id % 50) AS max_ms FROM events, (VALUES ('T'), ('Q')) AS e(ev) GROUP BY 1, 2", doubles="mean_ms")
+@add("SELECT CAST(epoch_us(ts) // 1000 // 60000 * 60000 AS BIGINT) AS start, e.ev, avg(5 + event_id % 50) AS mean_ms, max(5 + event_id % 50) AS max_ms FROM events, (VALUES ('T'), ('Q')) AS e(ev) GROUP BY 1, 2", doubles="mean_ms")
 def stream_latency(spark, sf):
     return E.run_available(E.stream_latency(E.parse_events(messages(spark, sf)))).withColumn("start", F.unix_millis("start"))
 
 
-@add("SELECT CAST(epoch_ms(ts) // 60000 * 60000 AS BIGINT) AS start, event_type AS symbol, count(*) AS quotes, avg(value * 1.01 - value * 0.99) AS avg_spread, sum(k) AS bid_size, sum(1 + k) AS ask_size FROM (SELECT *, CAST(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS DOUBLE) AS k FROM events) GROUP BY 1, 2", doubles="avg_spread bid_size ask_size")
+@add("SELECT CAST(epoch_us(ts) // 1000 // 60000 * 60000 AS BIGINT) AS start, event_type AS symbol, count(*) AS quotes, avg(value * 1.01 - value * 0.99) AS avg_spread, sum(k) AS bid_size, sum(1 + k) AS ask_size FROM (SELECT *, CAST(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS DOUBLE) AS k FROM events) GROUP BY 1, 2", doubles="avg_spread bid_size ask_size")
 def stream_quote_bars(spark, sf):
     quotes = E.parse_events(messages(spark, sf)).where("kind = 'quote'")
     return E.run_available(E.stream_quote_bars(quotes)).withColumn("start", F.unix_millis("start"))

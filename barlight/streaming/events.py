@@ -96,8 +96,8 @@ def stream_trade_bars(trades: DataFrame, minutes: int = 1) -> DataFrame:
             buy += s if price is not None and p > price else 0.0
             sell += s if price is not None and p < price else 0.0
             price, n, volume = float(p), n + 1, volume + float(s)
-        state.update((price, n, volume, buy, sell))
-        state.setTimeoutTimestamp(max(key[1] + size, state.getCurrentWatermarkMs() + 1))
+        state.update((price, n, volume, float(buy), float(sell)))
+        state.setTimeoutTimestamp(max(int(key[1]) + size, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"symbol": [key[0]], "bucket": [key[1]], "trades": [n], "volume": [volume], "buy_volume": [buy], "sell_volume": [sell]})
 
     bucket = (F.unix_millis("ts") - F.pmod(F.unix_millis("ts"), F.lit(size))).alias("bucket")
