@@ -100,6 +100,8 @@ def choose(word_ll: np.ndarray, first: np.ndarray, rounds: int = 12) -> np.ndarr
     probable languages of the full mixture; a set is only left for a larger one if that pays.
     """
     texts, langs = len(first) - 1, word_ll.shape[1]
+    if not langs:
+        return np.zeros((texts, 0))
     share, most = _mixture(word_ll, first, np.ones((texts, langs)), rounds)
     words = np.diff(first)
     cost = 0.5 * np.log(np.maximum(words, 1)) + 2
@@ -108,9 +110,8 @@ def choose(word_ll: np.ndarray, first: np.ndarray, rounds: int = 12) -> np.ndarr
     if len(full):
         alone[full] = np.add.reduceat(word_ll, first[full], axis=0)
     best = np.zeros((texts, langs))
-    if langs:
-        best[np.arange(texts), alone.argmax(axis=1)] = 1
-    value = (alone.max(axis=1) if langs else np.zeros(texts)) - cost
+    best[np.arange(texts), alone.argmax(axis=1)] = 1
+    value = alone.max(axis=1) - cost
     order = np.argsort(-share, axis=1, kind="stable")
     for k in range(2, langs + 1):
         open_ = np.flatnonzero((most - k * cost > value) & (words > 0))

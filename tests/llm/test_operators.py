@@ -276,10 +276,10 @@ def test_licenses(spark):
 
 def test_html(spark):
     page = lambda k, body: (k, f"https://h.example.com/{k}", f"<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><ul><li>Menu</ul></nav><div class='ad'>Buy {k}</div>{body}<footer>Foot {k}</footer></body></html>")
-    rows = [page(k, f"<article><h1>Head {k}</h1><p>One  <b>bold</b>&amp;\n two{k}<p>Three<br>four<div class=x>Same on all pages</div><section id=comments>No</section></article>") for k in range(12)]
+    rows = [page(k, f"<article><h1>Head {k}</h1><p>One  <b>bold</b>&amp;\n two{k}<p>Three{k}<br>four<div class=x>Same on all pages</div><section id=comments>No</section></article>") for k in range(12)]
     rows += [(50, None, None), (51, "http://other.example/", ""), (52, "http://other.example/a", "<p>plain &lt;b&gt; text"), (53, "http://other.example/b", "<div><p>broken <i>markup")]
     out = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1))).collect()}
-    assert out[3].text == "Head 3 One bold& two3 Three four" and out[3].n_chars == len(out[3].text)
+    assert out[3].text == "Head 3 One bold& two3 Three3 four" and out[3].n_chars == len(out[3].text)
     assert (out[50].text, out[51].text, out[52].text, out[53].text) == ("", "", "plain <b> text", "broken markup")
 
 
