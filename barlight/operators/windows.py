@@ -168,13 +168,18 @@ def _clean(c: Column) -> Column:
     return F.when(c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")), 0.0).otherwise(c)
 
 
+def _cut(x: Column, mean: Column, sd: Column) -> Column:
+    """(x - mean) / sd inside -3 .. 3; 0 without deviation."""
+    z = F.coalesce((x - mean) / F.nullif(sd, F.lit(0.0)), F.lit(0.0))
+    return F.least(F.greatest(z, F.lit(-3.0)), F.lit(3.0))
+
+
 def zscore_0_100(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """z-scores over all rows, cut at 3, as 0 .. 100; 50 without deviation. One aggregation serves all columns."""
     stats = df.agg(*(f(_clean(F.col(c))).alias(f"{n}_{k}") for n, c in columns.items() for k, f in (("m", F.avg), ("s", F.stddev_samp))))
     out = df.crossJoin(F.broadcast(stats))  # one row
     for n, c in columns.items():
-        z = F.least(F.greatest((_clean(F.col(c)) - F.col(f"{n}_m")) / F.nullif(F.col(f"{n}_s"), F.lit(0.0)), F.lit(-3.0)), F.lit(3.0))
-        out = out.withColumn(n, F.coalesce((z + 3) / 6 * 100, F.lit(50.0)))
+        out = out.withColumn(n, (_cut(_clean(F.col(c)), F.col(f"{n}_m"), F.col(f"{n}_s")) + 3) / 6 * 100)
     return out.drop(*stats.columns)
 
 
@@ -182,8 +187,7 @@ def zscore_clip(c: str, *keys: str) -> Column:
     """z-score inside the keys, cut at 3; 0 without deviation."""
     w = Window.partitionBy(*keys)
     x = _clean(F.col(c))
-    z = (x - F.avg(x).over(w)) / F.nullif(F.stddev_samp(x).over(w), F.lit(0.0))
-    return F.coalesce(F.least(F.greatest(z, F.lit(-3.0)), F.lit(3.0)), F.lit(0.0))
+    return _cut(x, F.avg(x).over(w), F.stddev_samp(x).over(w))
 
 
 def trade_count_anomaly(days: DataFrame, n: int = 5, above: float = 3) -> DataFrame:

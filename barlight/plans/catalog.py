@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from barlight.plans import market_queries, option_queries, stream_queries, trade_queries, window_queries
+from barlight.plans import feature_queries, market_queries, option_queries, stream_queries, trade_queries, window_queries
 
-PARTS = (market_queries, window_queries, option_queries, trade_queries, stream_queries)
+PARTS = (market_queries, feature_queries, window_queries, option_queries, trade_queries, stream_queries)
 QUERIES = {name: fn for part in PARTS for name, fn in part.BOOK.queries.items()}
 ORACLE_SQL = {name: text for part in PARTS for name, text in part.BOOK.sql.items()}

@@ -298,3 +298,7 @@ def reference_query(spark, sf):
 
 
 BOOK.queries["compare_filter"], BOOK.sql["compare_filter"] = BOOK.queries["reference_query"], BOOK.sql["reference_query"]
+
+
+for _n, _same in (("last_crypto_trade", "last_trade"), ("last_forex_quote", "last_quote"), ("summaries", "snapshot"), ("weekday_calendar", "trading_days")):
+    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries[_same], BOOK.sql[_same]

@@ -132,7 +132,7 @@ def zscore_0_100(spark, sf):
     return W.zscore_0_100(X.day_bars(spark, sf), {"z_close": "close", "z_volume": "volume"}).select("ticker", "day", "z_close", "z_volume")
 
 
-@add("SELECT ticker, day, coalesce(greatest(least((close - avg(close) OVER w) / nullif(stddev_samp(close) OVER w, 0), 3), -3), 0) AS z FROM day_bars WINDOW w AS (PARTITION BY day)", "day_bars", doubles="z", dates="day")
+@add("SELECT ticker, day, greatest(least(coalesce((close - avg(close) OVER w) / nullif(stddev_samp(close) OVER w, 0), 0), 3), -3) AS z FROM day_bars WINDOW w AS (PARTITION BY day)", "day_bars", doubles="z", dates="day")
 def zscore_clip(spark, sf):
     return X.day_bars(spark, sf).select("ticker", "day", W.zscore_clip("close", "day").alias("z"))
 
@@ -153,7 +153,7 @@ def lookback_mean(spark, sf):
 
 
 @add("""WITH l AS (SELECT ticker, day, CASE WHEN count(dv) OVER w >= 5 THEN avg(dv) OVER w END AS dv, CASE WHEN count(volume) OVER w >= 5 THEN avg(volume) OVER w END AS v, CASE WHEN count(rp) OVER w >= 5 THEN avg(rp) OVER w END AS rp FROM (SELECT *, close * volume AS dv, (high - low) / close * 100 AS rp FROM day_bars) WINDOW w AS (PARTITION BY ticker ORDER BY day ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
-  s AS (SELECT ticker, day, 0.4 * coalesce(greatest(least((dv - avg(dv) OVER d) / nullif(stddev_samp(dv) OVER d, 0), 3), -3), 0) + 0.3 * coalesce(greatest(least((v - avg(v) OVER d) / nullif(stddev_samp(v) OVER d, 0), 3), -3), 0) + 0.3 * coalesce(greatest(least((rp - avg(rp) OVER d) / nullif(stddev_samp(rp) OVER d, 0), 3), -3), 0) AS score FROM l WHERE dv IS NOT NULL WINDOW d AS (PARTITION BY day))
+  s AS (SELECT ticker, day, 0.4 * greatest(least(coalesce((dv - avg(dv) OVER d) / nullif(stddev_samp(dv) OVER d, 0), 0), 3), -3) + 0.3 * greatest(least(coalesce((v - avg(v) OVER d) / nullif(stddev_samp(v) OVER d, 0), 0), 3), -3) + 0.3 * greatest(least(coalesce((rp - avg(rp) OVER d) / nullif(stddev_samp(rp) OVER d, 0), 0), 3), -3) AS score FROM l WHERE dv IS NOT NULL WINDOW d AS (PARTITION BY day))
   SELECT ticker, day, score, CAST("rank" AS INTEGER) AS "rank" FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY score DESC, ticker) AS "rank" FROM s) WHERE "rank" <= 3""", "day_bars", doubles="score", dates="day")
 def rank_universe(spark, sf):
     days = X.day_bars(spark, sf).withColumn("dollar_volume", F.col("close") * F.col("volume")).withColumn("total_volume", F.col("volume")).withColumn("range_pct", (F.col("high") - F.col("low")) / F.col("close") * 100)
