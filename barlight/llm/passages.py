@@ -139,7 +139,9 @@ def repeated_windows(docs: DataFrame, window: int, most: int = 4_000_000) -> Dat
             if not len(start):
                 continue
             place, _ = chosen(batch, words.first[:-1])
-            start = start[np.isin(anchor, place)]
+            marked = np.zeros(len(words.hash), bool)
+            marked[place] = True
+            start = start[marked[anchor]]
             blocks = window_blocks(words.hash, window)
             text = np.searchsorted(words.first, start, "right") - 1
             key = batch.column("text_key").to_numpy().view(np.uint64)[text]

@@ -209,7 +209,9 @@ def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
         for batch in new_texts(batches):
             data, at, _, gram, start, anchor = _anchored(batch.column("text"), length)
             place, _ = chosen(batch, at[:-1])
-            keep = np.isin(anchor, place)
+            marked = np.zeros(len(gram), bool)
+            marked[place] = True
+            keep = marked[anchor]
             start, anchor = start[keep], anchor[keep]
             if not len(start):
                 continue
@@ -273,7 +275,22 @@ def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
     flagged = repeated_anchors(docs, anchors)
     dealt = with_small(docs, flagged, 100).mapInArrow(deal, _DEALT).repartition("bucket").sortWithinPartitions("bucket")
     found = dealt.mapInArrow(meet, "text_key long, start int, end int")
-    return kept(found.groupBy("text_key").agg(F.collect_set(F.struct("start", "end")).alias("runs")))
+    return kept(found.groupBy("text_key").agg(F.collect_set(F.struct("start", "end")).alias("runs")).mapInArrow(_packed, "text_key long, runs binary"))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of each text, joined where they touch, as pairs of 4-byte numbers."""
+    for batch in batches:
+        out = []
+        for runs in batch.column("runs").to_pylist():
+            joined: list[list[int]] = []
+            for a, b in sorted((x["start"], x["end"]) for x in runs):
+                if joined and a <= joined[-1][1]:
+                    joined[-1][1] = max(joined[-1][1], b)
+                else:
+                    joined.append([a, b])
+            out.append(np.array(joined, "<u4").tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(out, pa.binary())], ["text_key", "runs"])
 
 
 def remove_strings(docs: DataFrame, length: int = 400) -> DataFrame:
@@ -300,8 +317,7 @@ def remove_strings(docs: DataFrame, length: int = 400) -> DataFrame:
             data, at = buffer(batch.column("text"))
             for k, (runs, twice) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("runs", "copied")), strict=True)):
                 text = data[at[k] : at[k + 1]].tobytes()
-                packed = np.array(sorted((x["start"], x["end"]) for x in runs or ()), "<u4").reshape(-1, 2)
-                spans = covered(packed.tobytes(), length, len(text), bool(twice))
+                spans = covered(runs, length, len(text), bool(twice))
                 left = [text[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)], strict=True)]
                 out["n_bytes"].append(len(text))
                 out["n_removed"].append(sum(b - a for a, b in spans))

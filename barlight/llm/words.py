@@ -138,7 +138,7 @@ def within(first: np.ndarray, n: int) -> np.ndarray:
     return ok
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` bytes of text, so that memory doesn't depend on Arrow's batches."""
     for batch in batches:
         if not batch.num_rows:
