@@ -53,8 +53,11 @@ def parse(page: str) -> tuple[list[str], list[list[int]], list[bool], int]:
     pending: list[str] = []
 
     def flush() -> None:
-        text = " ".join(html.unescape("".join(pending)).split())
+        raw = "".join(pending)
         pending.clear()
+        if not raw or raw.isspace():
+            return
+        text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
         top = stack[-1]
         if text:
             top.hash.update("\x01" + text)
