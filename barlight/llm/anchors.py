@@ -19,7 +19,7 @@ from barlight.llm.store import kept
 from barlight.llm.words import chunks
 
 BUCKETS = 1 << 12
-#: A side of a join is broadcast up to so many bytes, by its counted rows; beyond, both sides are shuffled.
+#: A side of a join is broadcast up to so many bytes, which are summed first; beyond, both sides are shuffled.
 BROADCAST_BYTES = 32 << 20
 #: Hashes and places that a task holds before it hands them on.
 HELD = 2_000_000
@@ -57,9 +57,11 @@ def new_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(new))
 
 
-def with_small(docs: DataFrame, side: DataFrame, row_bytes: int, how: str = "inner") -> DataFrame:
-    """docs joined with side by text_key; side is broadcast if its counted rows are few enough."""
-    small = side.count() * row_bytes <= BROADCAST_BYTES
+def with_small(docs: DataFrame, side: DataFrame, data: str, how: str = "inner") -> DataFrame:
+    """docs joined with side by text_key; side is broadcast if the sum of its rows' sizes, with those of `data`, is small enough."""
+    array = side.schema[data].dataType.typeName() == "array"
+    bytes_ = 64 + F.coalesce(F.size(data) * 8 if array else F.length(data), F.lit(0))
+    small = (side.agg(F.sum(bytes_)).first()[0] or 0) <= BROADCAST_BYTES
     return docs.join(F.broadcast(side) if small else side, "text_key", how)
 
 

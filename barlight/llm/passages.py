@@ -208,7 +208,7 @@ def repeated_windows(docs: DataFrame, window: int, most: int = 4_000_000) -> Dat
             yield close()
 
     flagged = repeated_anchors(docs, anchors)
-    some = with_small(docs, flagged, 200).mapInArrow(suffixes, _ROWS)
+    some = with_small(docs, flagged, "places").mapInArrow(suffixes, _ROWS)
     done = None
     for level in range(3):
         found = kept(some.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(trees(level), _ROWS))
@@ -269,7 +269,7 @@ def remove_passages(docs: DataFrame, window: int = 35) -> DataFrame:
                 out["kept_text"].append(b" ".join(kept_words).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in own), pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(out["kept_text"], pa.string())], [*own, *extra])
 
-    joined = with_small(docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), fate, 100, "left")
+    joined = with_small(docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), fate, "places", "left")
     return joined.select(*docs.columns, "places", "copied").mapInArrow(run, schema)
 
 

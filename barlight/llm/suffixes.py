@@ -273,7 +273,7 @@ def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
             yield from close()
 
     flagged = repeated_anchors(docs, anchors)
-    dealt = with_small(docs, flagged, 100).mapInArrow(deal, _DEALT).repartition("bucket").sortWithinPartitions("bucket")
+    dealt = with_small(docs, flagged, "places").mapInArrow(deal, _DEALT).repartition("bucket").sortWithinPartitions("bucket")
     found = dealt.mapInArrow(meet, "text_key long, start int, end int")
     return kept(found.groupBy("text_key").agg(F.collect_set(F.struct("start", "end")).alias("runs")).mapInArrow(_packed, "text_key long, runs binary"))
 
@@ -326,5 +326,5 @@ def remove_strings(docs: DataFrame, length: int = 400) -> DataFrame:
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in own), pa.array(out["n_bytes"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["spans"], span), pa.array(out["kept"], pa.binary())], [*own, *extra])
 
-    joined = with_small(docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), fate, 100, "left")
+    joined = with_small(docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), fate, "runs", "left")
     return joined.select(*own, "runs", "copied").mapInArrow(run, schema)
