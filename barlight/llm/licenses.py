@@ -1,8 +1,9 @@
-"""Operator 5, license scans: an exact set-similarity join of lines with license templates."""
+"""Operator 5, license scans: an exact set-similarity join of spans of words with license templates."""
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,16 @@ TEMPLATES = (
     ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-)
+    *((f"cc-{k}", f"Licensed under CC {k.upper()} 4.0") for k in ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")),
+    *((f"cc-{k}", f"This work is licensed under a Creative Commons {name} 4.0 International License") for k, name in (
+        ("by", "Attribution"), ("by-sa", "Attribution-ShareAlike"), ("by-nd", "Attribution-NoDerivatives"), ("by-nc", "Attribution-NonCommercial"),
+        ("by-nc-sa", "Attribution-NonCommercial-ShareAlike"), ("by-nc-nd", "Attribution-NonCommercial-NoDerivatives"))),
+    ("cc0", "Licensed under CC0 1.0 Universal"),
+)
+#: Words that tell licenses apart: a span without those of its template is of another license.
+NAMES = "mit apache gnu lesser mozilla cc cc0 creative sa nd nc sharealike noderivatives noncommercial"
+#: Words of a span for each word of its template.
+SPAN = 2
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -53,26 +62,31 @@ def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
 
     Words are runs of letters, digits and other than ASCII characters, A-Z lower-cased. n_base: places
     where the words of a phrase of PHRASES stand consecutively; first_word and last_word: the smallest
-    and largest of them. A text block is a line. Its containment of a template is the part of the
-    template's different words that it has; score is the largest of a document, and a template of
-    `threshold` or more gives its label. matches: (line from 0, label, containment) of all of these.
-    Null, empty and wordless texts have no words and labels; score 0.
+    and largest of them. A span is at most SPAN times as many consecutive words as the template has,
+    across line breaks. Its containment of a template is the part of the template's different words
+    that it has, if those of NAMES are among them, and otherwise 0. One of `threshold` or more gives
+    its label, unless a template of another label has the same words and more in an overlapping span.
+    matches: (line from 0 on which the span begins, label, containment) of spans that don't overlap
+    others of their template. score: the largest containment of a document; below `threshold` that
+    of the spans looked at. Null, empty and wordless texts have no words and labels; score 0.
 
     The join: words of templates are put in order of their counts in the whole corpus, rarest first. A
-    line can only reach the threshold if it has one of the first |T| - ceil(threshold * |T|) + 1 words of
-    T (prefix), at least threshold * |T| different words (length), and, counted from the first word of
-    T that it has, enough words left (position). Lines that pass are verified. Templates are a few.
+    span can only reach the threshold if it has one of the first |T| - ceil(threshold * |T|) + 1 words
+    of T (prefix). The words near these are verified in one pass. Templates are a few.
     """
     sets = [np.unique(_hashes(t)) for _, t in templates]
     tokens = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]))
     counts = token_counts(docs, tokens) if len(tokens) else {}
     ordered = [sorted(s.tolist(), key=lambda t: (counts.get(t, 0), t)) for s in sets]
     need = [math.ceil(threshold * len(s) - 1e-9) for s in ordered]
-    starts: dict[int, list[tuple[int, int]]] = {}
-    for k, s in enumerate(ordered):
-        for at, token in enumerate(s[: len(s) - need[k] + 1]):
-            starts.setdefault(token, []).append((k, at))
-    first_tokens = np.array(sorted(starts), np.uint64)
+    width = [SPAN * len(_hashes(t)) for _, t in templates]
+    number = {t: i for i, t in enumerate(tokens.tolist())}
+    named = set(_hashes(NAMES).tolist())
+    member, prefix = np.zeros((2, len(sets), len(tokens) + 1), bool)
+    for k, x in enumerate(ordered):
+        member[k, [number[t] for t in x]] = True
+        prefix[k, [number[t] for t in x[: len(x) - need[k] + 1]]] = True
+    names = [{number[t] for t in x if t in named} for x in ordered]
     labels = [label for label, _ in templates]
     phrases = [(label, _hashes(p)) for p, label in PHRASES.items()]
     extra = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, matches array<struct<line:long,label:string,containment:double>>"
@@ -82,17 +96,41 @@ def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     schema = T.StructType([*docs.schema.fields, *added])
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.struct([("line", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))]
 
-    def containments(line: np.ndarray) -> Iterator[tuple[int, float]]:
-        words = set(line.tolist())
-        tried = set()
-        for token in words & starts.keys():
-            for k, _ in starts[token]:
-                if k in tried or len(words) < need[k]:
-                    continue
-                tried.add(k)
-                at = next(i for i, t in enumerate(ordered[k]) if t in words)
-                if len(ordered[k]) - at >= need[k]:
-                    yield k, len(words.intersection(ordered[k])) / len(ordered[k])
+    def spans(k: int, pos: np.ndarray, token: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, frozenset]]:
+        """First and last word, different words of template k and which they are, of spans near its prefix words."""
+        near = pos[prefix[k][token]]
+        if not len(near):
+            return
+        of = np.searchsorted(first, near, "right")
+        lo, hi = np.maximum(near - width[k] + 1, first[of - 1]), np.minimum(near + width[k], first[of])
+        fresh = np.r_[True, lo[1:] >= hi[:-1]]
+        mine = member[k][token]
+        at, which = pos[mine], token[mine]
+        for a, b in zip(*np.searchsorted(at, [lo[fresh], hi[np.r_[fresh[1:], True]]]), strict=True):
+            place, word = at[a:b].tolist(), which[a:b].tolist()
+            if not names[k] <= set(word):
+                continue
+            held: Counter = Counter()
+            found, left = [], 0
+            for right, w in enumerate(word):
+                held[w] += 1
+                while place[right] - place[left] >= width[k] or held[word[left]] > 1:
+                    held[word[left]] -= 1
+                    if not held[word[left]]:
+                        del held[word[left]]
+                    left += 1
+                if names[k] <= held.keys():
+                    found.append((-len(held), right - left, left, right))
+            enough = sorted(x for x in found if -x[0] >= need[k]) or sorted(found)[:1]
+            taken = np.zeros(len(word), bool)
+            for n, _, left, right in enough:
+                if not taken[left : right + 1].any():
+                    taken[left : right + 1] = True
+                    yield place[left], place[right], -n, frozenset(word[left : right + 1])
+
+    def outdone(x: tuple, others: list[tuple]) -> bool:
+        """Whether a span of another label that overlaps x has all its words and more, or the same and fewer missing."""
+        return any(labels[x[0]] != labels[y[0]] and x[1] <= y[2] and y[1] <= x[2] and x[4] <= y[4] and (x[4] < y[4] or x[3] < y[3]) for y in others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -117,19 +155,19 @@ def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
             lines = np.flatnonzero(words.data == 10)
             line = np.searchsorted(lines, words.start)
             matches: list[list] = [[] for _ in range(texts)]
-            if len(first_tokens):
-                near = np.minimum(np.searchsorted(first_tokens, h), len(first_tokens) - 1)
-                hit = np.flatnonzero(first_tokens[near] == h)
-                key = np.stack([text[hit], line[hit]], 1)
-                for d, at_line in np.unique(key, axis=0).tolist():
-                    a, b = np.searchsorted(line[words.first[d] : words.first[d + 1]], [at_line, at_line + 1]) + words.first[d]
-                    number = at_line - int(np.searchsorted(lines, words.at[d]))
-                    matches[d] += [(number, k, c) for k, c in containments(h[a:b])]
+            if len(tokens):
+                token = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
+                pos = np.flatnonzero(tokens[token] == h)
+                for k in range(len(sets)):
+                    for a, b, n, held in spans(k, pos, token[pos], words.first):
+                        matches[text[a]].append((k, a, b, n / len(sets[k]), held))
+            before = np.searchsorted(lines, words.at)
             rows = []
             for d in range(texts):
-                good = [(n, labels[k], c) for n, k, c in sorted(matches[d]) if c >= threshold - 1e-12]
+                good = [x for x in matches[d] if x[3] >= threshold - 1e-12]
+                good = sorted((int(line[x[1]] - before[d]), labels[x[0]], x[3]) for x in good if not outdone(x, good))
                 all_labels = sorted(base[d] | {x[1] for x in good})
-                score = max((c for _, _, c in matches[d]), default=0.0)
+                score = max((x[3] for x in matches[d]), default=0.0)
                 rows.append((int(words.count[d]), int(n_base[d]), int(lo[d]) if lo[d] >= 0 else None, int(hi[d]) if hi[d] >= 0 else None, ",".join(sorted(base[d])), ",".join(all_labels), score, [{"line": n, "label": x, "containment": c} for n, x, c in good]))
             cols = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], [*own, *(f.name for f in added)])

@@ -274,6 +274,19 @@ def test_licenses(spark):
     assert out[6].n_base == 0
 
 
+def test_license_spans(spark):
+    mit = "/* Permission is hereby granted, free of\n * charge, to any person obtaining\n * a copy of this software and associated\n * documentation files */"
+    lgpl = "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public License"
+    scattered = " ".join(f"{w} " + "filler " * 40 for w in licenses.TEMPLATES[1][1].split())
+    rows = [(1, "Text.\nLicensed under CC BY-NC 4.0."), (2, "x\n" + mit), (3, scattered), (4, "Licensed under CC BY 4.0"), (5, "Licensed under CC BY-NC-SA\n4.0"), (6, "Released under the Apache License"), (7, lgpl), (8, "Licensed under the MIT License or the Apache License, Version 2.0"), (9, "no\n" + mit + "\n" + "filler " * 40 + "\n" + mit)]
+    out = {r.doc_id: r for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert [(out[1].labels, out[1].score), (out[2].labels, out[2].score)] == [("cc-by-nc", 1.0), ("mit", 1.0)]
+    assert [(m.line, m.label) for m in out[1].matches + out[2].matches + out[9].matches] == [(1, "cc-by-nc"), (1, "mit"), (1, "mit"), (6, "mit")]
+    assert out[3].labels == "" and out[3].score < 0.5
+    assert (out[4].labels, out[5].labels, out[6].labels, out[8].labels) == ("cc-by", "cc-by-nc-sa", "apache", "apache,mit")
+    assert [m.label for m in out[7].matches] == ["lgpl"]
+
+
 def test_html(spark):
     page = lambda k, body: (k, f"https://h.example.com/{k}", f"<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><ul><li>Menu</ul></nav><div class='ad'>Buy {k}</div>{body}<footer>Foot {k}</footer></body></html>")
     rows = [page(k, f"<article><h1>Head {k}</h1><p>One  <b>bold</b>&amp;\n two{k}<p>Three{k}<br>four<div class=x>Same on all pages</div><section id=comments>No</section></article>") for k in range(12)]
