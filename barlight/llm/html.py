@@ -79,7 +79,7 @@ def parse(page: str) -> tuple[list[str], list[list[int]], list[bool], int]:
         if not side and attributes.strip():
             for name, value in _ATTRIBUTE.findall(attributes):
                 value = value.strip("\"'")
-                side = side or (value.lower() in SIDE_ROLES if name.lower() == "role" else bool(SIDE_WORDS.search(value)) and tag not in ("html", "body", "article", "main"))
+                side = side or (value.lower() in SIDE_ROLES if name.lower() == "role" else bool(SIDE_WORDS.search(value)) and tag not in ("html", "body", "main"))
         stack.append(_Node(tag, side, top.main or tag in ("article", "main")))
 
     at = 0
@@ -128,44 +128,61 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def extract(pages: DataFrame, share: float = 0.2, least: int = 10) -> DataFrame:
+def extract(pages: DataFrame, share: float = 0.5, least: int = 10, fewest: int = 3) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages (page_id, url, html).
 
     Blocks are runs of text between tags of elements that stand on lines of their own. What stands in
     elements, roles or classes of menus, headers, footers, sidebars, notices, adverts, forms and
-    comments is set aside. If a page has an article or main element with text, only that is taken.
-    Then element sub-trees are hashed with their content and counted by host: those of at least
-    `least` and `share` of the host's different pages are the site's, and their blocks go. Copies of a
-    page count once, so a page that is copied often isn't taken for a template. Character references
-    are decoded, white space in a block becomes one space, blocks are joined by one space; nothing
-    else goes. Null and empty html: an empty text. A null url has the host "". Rows of a repeated
-    page_id are all returned. Pages are parsed once; what comes out is kept and counted.
+    comments is set aside. Then element sub-trees are hashed with their content and counted by host:
+    those on `least` different pages are the site's, and their blocks go. On a small host `share` of its
+    different pages is enough, but no fewer than `fewest`. Copies of a page count once, so a page that
+    is copied often isn't taken for a template. If article and main elements hold more than half of the
+    characters that are left of a page, only they are taken. Character references are decoded, white
+    space in a block becomes one space, blocks are joined by one space; nothing else goes. Null and
+    empty html: an empty text. A null url has the host "". Rows of a repeated page_id are all returned.
+
+    Pages are parsed twice, once for their sub-trees and once for their text, so that texts are written
+    to disk once only. The site's sub-trees stay rows; a page is joined with its own alone.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pages.schema["page_id"].dataType.simpleString()
+    url_kind = pages.schema["url"].dataType.simpleString()
+    hosted = pages.select("page_id", "url", host(F.col("url")).alias("host"), "html")
+
+    def sub_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                texts, trees, roots = [], [], []
+                trees, roots = [], []
                 for page in part.column("html").to_pylist():
-                    t, own, mains, root = parse(page or "")
-                    if any(mains):
-                        t, own = ([x for x, m in zip(y, mains, strict=True) if m] for y in (t, own))
-                    texts.append(t)
-                    trees.append(own)
+                    _, own, _, root = parse(page or "")
+                    trees.append(sorted({x for block in own for x in block}))
                     roots.append(root)
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), part.column("host"), pa.array(texts, pa.list_(pa.string())), pa.array(trees, pa.list_(pa.list_(pa.int64()))), pa.array(roots, pa.int64())], ["page_id", "url", "host", "texts", "trees", "page_hash"])
+                yield pa.RecordBatch.from_arrays([part.column("host"), pa.array(roots, pa.int64()), pa.array(trees, pa.list_(pa.int64()))], ["host", "page_hash", "trees"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                rows = [parse(page or "") for page in part.column("html").to_pylist()]
+                texts, trees, mains, roots = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), part.column("host"), pa.array(texts, pa.list_(pa.string())), pa.array(trees, pa.list_(pa.list_(pa.int64()))), pa.array(mains, pa.list_(pa.bool_())), pa.array(roots, pa.int64())], ["page_id", "url", "host", "texts", "trees", "mains", "page_hash"])
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    url_kind = pages.schema["url"].dataType.simpleString()
-    parsed = kept(pages.select("page_id", "url", host(F.col("url")).alias("host"), "html").mapInArrow(run, f"page_id {kind}, url {url_kind}, host string, texts array<string>, trees array<array<long>>, page_hash long"))
     # one of each different page of a host, with its sub-trees
-    different = parsed.groupBy("host", "page_hash").agg(F.first("trees").alias("trees"))
-    each = different.select("host", F.explode(F.array_distinct(F.flatten("trees"))).alias("tree"))
+    found = hosted.select("host", "html").mapInArrow(sub_trees, "host string, page_hash long, trees array<long>")
+    different = kept(found.groupBy("host", "page_hash").agg(F.first("trees").alias("trees")))
+    each = different.select("host", "page_hash", F.explode("trees").alias("tree"))
     total = different.groupBy("host").agg(F.count("*").alias("total"))
-    often = each.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    sites = kept(often.join(total, "host").where(F.col("n") >= share * F.col("total")).groupBy("host").agg(F.collect_set("tree").alias("site")))
-    joined = parsed.join(sites, "host", "left").withColumn("site", F.coalesce("site", F.array().cast("array<long>")))
-    left = F.filter(F.arrays_zip("texts", "trees"), lambda x: ~F.arrays_overlap(x["trees"], F.col("site")))
-    text = F.array_join(F.transform(left, lambda x: x["texts"]), " ")
+    often = each.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min(least, fewest))
+    enough = F.least(F.lit(least), F.greatest(F.lit(fewest), F.ceil(F.lit(share) * F.col("total"))))
+    sites = kept(often.join(total, "host").where(F.col("n") >= enough).select("host", "tree"))
+    own = kept(each.join(sites, ["host", "tree"]).groupBy("host", "page_hash").agg(F.collect_list("tree").alias("site")))
+    parsed = hosted.mapInArrow(blocks, f"page_id {kind}, url {url_kind}, host string, texts array<string>, trees array<array<long>>, mains array<boolean>, page_hash long")
+    joined = parsed.join(own, ["host", "page_hash"], "left").withColumn("site", F.coalesce("site", F.array().cast("array<long>")))
+    left = F.filter(F.arrays_zip("texts", "trees", "mains"), lambda x: ~F.arrays_overlap(x["trees"], F.col("site")))
+    joined = joined.select("page_id", "url", F.transform(left, lambda x: F.struct(x["texts"].alias("text"), x["mains"].alias("main"))).alias("left"))
+    chars = lambda blocks: F.aggregate(blocks, F.lit(0).cast("long"), lambda n, x: n + F.length(x["text"]))
+    joined = joined.withColumn("mains", F.filter("left", lambda x: x["main"]))
+    taken = F.when(2 * chars(F.col("mains")) > chars(F.col("left")), F.col("mains")).otherwise(F.col("left"))
+    text = F.array_join(F.transform(taken, lambda x: x["text"]), " ")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

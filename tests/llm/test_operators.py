@@ -296,6 +296,21 @@ def test_html(spark):
     assert (out[50].text, out[51].text, out[52].text, out[53].text) == ("", "", "plain <b> text", "broken markup")
 
 
+def test_html_sites(spark):
+    """What a tenth of a large host or all of a small one repeats goes; an article is taken only as the most of a page."""
+    body = lambda k: f"<div><p>Main text {k} of this page</div>"
+    rows = [(k, f"http://large/{k}", body(k) + ("<div>About the author</div>" if k < 12 else "")) for k in range(120)]
+    rows += [(200 + k, f"http://small/{k}", body(200 + k) + "<div>Our site</div>") for k in range(4)]
+    rows += [(300, "http://a/", "<article>Teaser</article><div>The long main text of the page</div>"), (301, "http://b/", "<div>Short</div><article>The text</article>")]
+    rows += [(302, "http://c/", "<div>The text itself</div><article class='comment'>A reader's comment which is longer than all else here</article>")]
+    rows += [(400 + k, f"http://copies/{k}", "<div>The same page</div>") for k in range(12)]
+    out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(out) == len(rows)
+    assert {out[k] for k in (0, 11, 119, 200, 203)} == {f"Main text {k} of this page" for k in (0, 11, 119, 200, 203)}
+    assert (out[300], out[301], out[302]) == ("Teaser The long main text of the page", "The text", "The text itself")
+    assert out[400] == out[411] == "The same page"
+
+
 def test_model_gradients():
     """Backpropagation agrees with differences, and learning lowers the loss."""
     rng = np.random.default_rng(0)
