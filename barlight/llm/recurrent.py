@@ -222,16 +222,21 @@ class Trainer:
             words, gates = np.concatenate(words), np.concatenate(gates)
             order = np.argsort(words, kind="stable")
             starts = np.flatnonzero(np.r_[True, words[order][1:] != words[order][:-1]])
+            self.read = words[order][starts]
             grad["x"] = np.zeros_like(model.p["x"])
-            grad["x"][words[order][starts]] = np.add.reduceat(gates[order], starts, axis=0)
+            grad["x"][self.read] = np.add.reduceat(gates[order], starts, axis=0)
             grad["b"] = gates.sum(axis=0)
             self._update(grad, len(at))
 
     def _update(self, grad: dict[str, np.ndarray], tokens: int) -> None:
         self.n += 1
         for name, g in grad.items():
-            g /= tokens
-            m, v = self.m[name], self.v[name]
+            # of a large vocabulary only the words of the window are touched
+            rows = self.read if name == "x" else slice(None)
+            g = g[rows] / tokens
+            m, v = self.m[name][rows], self.v[name][rows]
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            self.model.p[name] -= self.rate * (m / (1 - 0.9**self.n)) / (np.sqrt(v / (1 - 0.99**self.n)) + 1e-6)
+            if name == "x":
+                self.m[name][rows], self.v[name][rows] = m, v
+            self.model.p[name][rows] -= self.rate * (m / (1 - 0.9**self.n)) / (np.sqrt(v / (1 - 0.99**self.n)) + 1e-6)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,10 @@ from barlight.llm.store import kept
 from barlight.llm.words import Words, chunks, mix
 
 END = mix(np.array([0xE0D], np.uint64))[0]
-#: Words that the model tells apart, and words whose counts go to every task; others are joined.
+#: Words that the model tells apart at least, and words whose counts go to every task; others are joined.
 MODEL_WORDS, TABLE_WORDS = 2047, 1 << 17
+#: Words told apart for each root of the number of different words, and those for each bucket of rarer words.
+ROOT_WORDS, BUCKET_WORDS = 16, 8
 #: Tokens that a task holds, and blocks of weights that are averaged apart.
 HELD, BLOCKS = 2_000_000, 64
 
@@ -63,18 +66,41 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def model_words(distinct: int, table: int) -> int:
+    """Words that the model tells apart one by one: they grow with the root of the training words."""
+    return min(max(MODEL_WORDS, ROOT_WORDS * math.isqrt(distinct)), table)
+
+
 class Lookup:
-    """Numbers of words in the model's vocabulary; all others have the last number."""
+    """Numbers of words in the model's vocabulary; all others have that of their bucket, behind these."""
 
-    def __init__(self, tokens: np.ndarray):
+    def __init__(self, tokens: np.ndarray, buckets: int = 1):
         self.order = np.argsort(tokens)
-        self.sorted, self.n = tokens[self.order], len(tokens)
+        self.sorted, self.n, self.buckets = tokens[self.order], len(tokens), buckets
 
     def __call__(self, tokens: np.ndarray) -> np.ndarray:
+        other = self.n + (mix(tokens) % np.uint64(self.buckets)).astype(np.int64)
         if not self.n:
-            return np.zeros(len(tokens), np.int64)
+            return other
         at = np.minimum(np.searchsorted(self.sorted, tokens), self.n - 1)
-        return np.where(self.sorted[at] == tokens, self.order[at], self.n)
+        return np.where(self.sorted[at] == tokens, self.order[at], other)
+
+
+def bucket_counts(counts: DataFrame, vocabulary: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each bucket, the sum of counts and the number of its training words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look, n, words = Lookup(vocabulary, buckets), np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        for batch in batches:
+            at = look(batch.column("token").to_numpy().view(np.uint64)) - len(vocabulary)
+            np.add.at(n, at[at >= 0], batch.column("n").to_numpy()[at >= 0])
+            words += np.bincount(at[at >= 0], minlength=buckets)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(n), pa.array(words)], ["bucket", "n", "words"])
+
+    rows = counts.select("token", "n").mapInArrow(run, "bucket long, n long, words long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).toArrow()
+    out = np.zeros((2, buckets), np.int64)
+    out[:, rows.column("bucket").to_numpy()] = rows.column("n").to_numpy(), rows.column("words").to_numpy()
+    return out[0], out[1]
 
 
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[pa.RecordBatch]]]:
@@ -100,7 +126,7 @@ def _joined(parts: list) -> tuple[np.ndarray, np.ndarray, list[pa.RecordBatch]]:
     return np.concatenate([p[0] for p in parts]), np.concatenate(first), [p[2] for p in parts]
 
 
-def train(docs: DataFrame, vocabulary: np.ndarray, model: Model, rounds: int = 3, rate: float = 0.01) -> Model:
+def train(docs: DataFrame, vocabulary: np.ndarray, buckets: int, model: Model, rounds: int = 3, rate: float = 0.01) -> Model:
     """The model after one pass over all of docs, in rounds that take a part of the documents each.
 
     In a round every partition goes on from the same weights over its own documents; the weights that
@@ -111,9 +137,9 @@ def train(docs: DataFrame, vocabulary: np.ndarray, model: Model, rounds: int = 3
         part = docs.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(rounds)) == k)
 
         def run(batches: Iterator[pa.RecordBatch], start: Model = model) -> Iterator[pa.RecordBatch]:
-            look, own, total = Lookup(vocabulary), Trainer(start.with_flat(start.flat()), rate), 0
+            look, own, total = Lookup(vocabulary, buckets), Trainer(start.with_flat(start.flat()), rate), 0
             for tokens, first, _ in _held(batches):
-                own.learn(look(tokens), first, int(np.clip(len(tokens) // 2048, 8, 512)))
+                own.learn(look(tokens), first, int(np.clip(len(tokens) // 2048, 8, 128)))
                 total += len(tokens)
             if total:
                 blobs = [b.astype(np.float32).tobytes() for b in np.array_split(own.model.flat(), BLOCKS)]
@@ -144,8 +170,9 @@ def score_documents(docs: DataFrame, hidden: int = 16, rounds: int = 3) -> DataF
     the end alone. Documents whose crc32(doc_id as text) mod 5 is 1 are held out (null ids count as
     the empty text), all others are counted and learned from. base_score: log10 probability under
     the smoothed counts. score: that of the recurrent model, whose state runs through the whole text.
-    The model tells MODEL_WORDS words apart; for every other word it gives the probability of that
-    class, split by smoothed counts, so probabilities add up to one over known words and one unknown.
+    The model tells model_words() words apart, which grow with the corpus, and reads and predicts each
+    other word as its hash's bucket. A bucket's probability is split by smoothed counts, so probabilities
+    add up to one over known words and one unknown a bucket.
     Without training tokens the counts are 0 and both scores come from smoothing alone. Repeated rows
     are scored one by one. Counts of TABLE_WORDS words go to every task; those of all rarer words
     are joined by a shuffle, so no vocabulary is too large.
@@ -157,22 +184,23 @@ def score_documents(docs: DataFrame, hidden: int = 16, rounds: int = 3) -> DataF
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("n"), "token").limit(TABLE_WORDS).toArrow()
     table, table_n = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
-    words = min(MODEL_WORDS, len(table))
+    words = model_words(int(distinct), len(table))
+    buckets = max(1, words // BUCKET_WORDS)
     vocabulary, model_n = table[:words], table_n[:words]
-    rest, rest_distinct = int(total) - int(model_n.sum()), int(distinct) - words
-    model = train(training, vocabulary, Model.start(model_n, rest, hidden), rounds)
+    rest, rest_distinct = bucket_counts(counts, vocabulary, buckets)
+    model = train(training, vocabulary, buckets, Model.start(np.concatenate([model_n, rest[:-1]]), rest[-1], hidden), rounds)
     complete = distinct <= len(table)
     plain = np.log10(total + 0.5 * (distinct + 1))
     spread = np.log10(rest + 0.5 * (rest_distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look, place, row = Lookup(vocabulary), Lookup(table), TaskContext.get().partitionId() << 40
+        look, place, row = Lookup(vocabulary, buckets), Lookup(table), TaskContext.get().partitionId() << 40
         log_n = np.append(np.log10(table_n + 0.5), np.log10(0.5) if complete else 0.0)
         for tokens, first, rows in _held(batches):
             ids, at = look(tokens), place(tokens)
             lp = score(model, ids, first) / np.log(10)
-            other = ids == words
-            lp[other] += log_n[at[other]] - spread
+            other = ids >= words
+            lp[other] += log_n[at[other]] - spread[ids[other] - words]
             sums = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every text has a token
             late = (at == len(table)) & (not complete)
             of = np.repeat(np.arange(len(first) - 1), np.diff(first))[late]

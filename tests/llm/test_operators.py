@@ -362,3 +362,15 @@ def test_scoring(spark, docs):
         results.append(sum(r.score for r in got))
     assert all(np.isfinite(results))
     assert scoring.score_documents(docs.limit(0), rounds=1).count() == 0
+
+
+def test_vocabulary_grows(spark):
+    """More words are told apart in a larger corpus, and rare words are learned by their buckets."""
+    assert scoring.model_words(400_000, 1 << 17) > 4 * scoring.MODEL_WORDS and scoring.model_words(900, 700) == 700
+    counts = spark.createDataFrame([(k, k + 1) for k in range(50)], "token long, n long").repartition(3)
+    vocabulary = np.arange(40, 50).astype(np.uint64)
+    n, distinct = scoring.bucket_counts(counts, vocabulary, 4)
+    of = scoring.Lookup(vocabulary, 4)(np.arange(50).astype(np.uint64))
+    assert of[40:].tolist() == list(range(10)) and set(of[:40].tolist()) == {10, 11, 12, 13}
+    assert distinct.tolist() == [int((of == 10 + b).sum()) for b in range(4)]
+    assert n.tolist() == [sum(k + 1 for k in range(50) if of[k] == 10 + b) for b in range(4)]
