@@ -14,29 +14,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlight.llm.jaccard import planes, unplanes
 from barlight.llm.store import kept
-from barlight.llm.words import chunks
+from barlight.llm.words import chunks, planes, unplanes
 
-BUCKETS = 1 << 12
-#: A side of a join is broadcast up to so many bytes, which are summed first; beyond, both sides are shuffled.
-BROADCAST_BYTES = 32 << 20
 #: Hashes and places that a task holds before it hands them on.
 HELD = 2_000_000
 
 
 def windows_anchor(hashes: np.ndarray, width: int) -> np.ndarray:
-    """For each run of `width` hashes the place of its smallest, the first one on ties."""
+    """For each run of `width` hashes the place of its smallest, the first one on ties. Places have 32 bits."""
     if len(hashes) < width:
         return np.zeros(0, np.int64)
-    least = (hashes & ~np.uint64((1 << 28) - 1)) | np.arange(len(hashes), dtype=np.uint64)
+    low = np.uint64((1 << 32) - 1)
+    least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     done = 1
     while done * 2 <= width:
         least = np.minimum(least[:-done], least[done:])
         done *= 2
     if done < width:
         least = np.minimum(least[: len(least) - (width - done)], least[width - done :])
-    return (least & np.uint64((1 << 28) - 1)).astype(np.int64)
+    return (least & low).astype(np.int64)
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
@@ -57,12 +54,12 @@ def new_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(new))
 
 
-def with_small(docs: DataFrame, side: DataFrame, data: str, how: str = "inner") -> DataFrame:
-    """docs joined with side by text_key; side is broadcast if the sum of its rows' sizes, with those of `data`, is small enough."""
-    array = side.schema[data].dataType.typeName() == "array"
-    bytes_ = 64 + F.coalesce(F.size(data) * 8 if array else F.length(data), F.lit(0))
-    small = (side.agg(F.sum(bytes_)).first()[0] or 0) <= BROADCAST_BYTES
-    return docs.join(F.broadcast(side) if small else side, "text_key", how)
+def with_side(docs: DataFrame, side: DataFrame, how: str = "inner") -> DataFrame:
+    """docs joined with side by text_key, alike at every size: both are shuffled and side is hashed, so no text is sorted.
+
+    Of a text that very many rows have, Spark splits the rows over several tasks (skew join).
+    """
+    return docs.join(side.hint("shuffle_hash"), "text_key", how)
 
 
 def copied(docs: DataFrame) -> DataFrame:
@@ -70,19 +67,26 @@ def copied(docs: DataFrame) -> DataFrame:
     return docs.groupBy("text_key").agg(F.count("*").alias("n")).where("n > 1").select("text_key")
 
 
-def repeated_anchors(docs: DataFrame, anchors: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
+def edges(sorted_numbers: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers begins, and the end."""
+    if not len(sorted_numbers):
+        return np.zeros(1, np.int64)
+    return np.r_[0, np.flatnonzero(sorted_numbers[1:] != sorted_numbers[:-1]) + 1, len(sorted_numbers)]
+
+
+def repeated_anchors(docs: DataFrame, anchors: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]], bits: int) -> DataFrame:
     """(text_key, places) of the anchors that occur at two or more places of different texts or of one.
 
     anchors: hash, text number and place of each anchor of some texts. An anchor that a task meets
     more than once is settled there, and one of it is sent on: so a passage of a third of all texts
     is sent once a task.
     """
+    shift = np.uint64(64 - bits)
 
-    def rows(buckets: np.ndarray, parts: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
-        edge = np.searchsorted(buckets, np.arange(2 * BUCKETS + 1))
-        full = np.flatnonzero(np.diff(edge))
-        blobs = [b"".join(planes(x[edge[b] : edge[b + 1]], n) for x, n in parts) for b in full]
-        return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "data"])
+    def rows(kind: int, buckets: np.ndarray, parts: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
+        edge = edges(buckets)
+        blobs = [b"".join(planes(x[a:b], n) for x, n in parts) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([kind] * len(blobs), pa.int32()), pa.array(buckets[edge[:-1]].astype(np.int64)), pa.array(blobs, pa.binary())], ["kind", "bucket", "data"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -94,10 +98,10 @@ def repeated_anchors(docs: DataFrame, anchors: Callable[[pa.Array], tuple[np.nda
             sig, key, place = sig[order], key[order], place[order]
             head = np.r_[True, sig[1:] != sig[:-1]] if len(sig) else np.zeros(0, bool)
             many = ~head | np.r_[~head[1:], False] if len(sig) else head
-            yield rows((sig[head] >> np.uint64(52)).astype(np.int64), [(sig[head], 7), (key[head], 8), (place[head], 4)])
+            yield rows(1, sig[head] >> shift, [(sig[head], 8), (key[head], 8), (place[head], 4)])
             order = np.argsort(key[many])
             k, p = key[many][order], place[many][order]
-            yield rows((k >> np.uint64(52)).astype(np.int64) + BUCKETS, [(k, 8), (p, 4)])
+            yield rows(0, k >> shift, [(k, 8), (p, 4)])
 
         size = 0
         for batch in new_texts(batches):
@@ -111,10 +115,10 @@ def repeated_anchors(docs: DataFrame, anchors: Callable[[pa.Array], tuple[np.nda
             yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, parts = -1, []
+        now, parts = None, []
 
         def close() -> pa.RecordBatch:
-            lead = 7 if bucket < BUCKETS else 0
+            lead = 8 * now[0]
             wide = lead + 12
             n = [len(x) // wide for x in parts]
             key = np.concatenate([unplanes(x[lead * m : (lead + 8) * m], 8) for x, m in zip(parts, n, strict=True)])
@@ -129,25 +133,25 @@ def repeated_anchors(docs: DataFrame, anchors: Callable[[pa.Array], tuple[np.nda
                 same = sig[1:] == sig[:-1]
                 many = np.r_[same, False] | np.r_[False, same]
                 key, place = key[many], place[many]
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(place.astype(np.int32))], ["text_key", "place"])
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(place.astype(np.int64))], ["text_key", "place"])
 
         for batch in batches:
-            for b, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                if b != bucket and parts:
+            for kind, b, data in zip(*(batch.column(n).to_pylist() for n in ("kind", "bucket", "data")), strict=True):
+                if (kind, b) != now and parts:
                     yield close()
                     parts = []
-                bucket = b
+                now = (kind, b)
                 parts.append(data)
         if parts:
             yield close()
 
-    dealt = docs.select("text", "text_key").mapInArrow(emit, "bucket int, data binary").repartition("bucket").sortWithinPartitions("bucket")
-    found = dealt.mapInArrow(meet, "text_key long, place int")
+    dealt = docs.select("text", "text_key").mapInArrow(emit, "kind int, bucket long, data binary").repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
+    found = dealt.mapInArrow(meet, "text_key long, place long")
     return kept(found.groupBy("text_key").agg(F.collect_set("place").alias("places")))
 
 
-def chosen(batch: pa.RecordBatch, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places column of a chunk, counted from the chunk's start: text by text, where places are in their texts."""
+def chosen(batch: pa.RecordBatch, starts: np.ndarray) -> np.ndarray:
+    """The places column of a chunk, counted from the chunk's start, where the texts start at `starts`."""
     places = batch.column("places")
     flat, count = places.flatten().to_numpy(), np.diff(places.offsets.to_numpy())
-    return flat + np.repeat(starts, count), count
+    return flat + np.repeat(starts, count)

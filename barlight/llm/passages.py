@@ -1,14 +1,15 @@
 """Operator 6, substring dedup by prefix-partitioned suffix trees over words.
 
-A suffix is read in blocks of words down to the depth of a window. Suffixes are dealt by a prefix of
-one block; a group that a task can't hold is dealt again by a prefix of two, then of three. A group's
-tree is built from its sorted suffixes and their common prefixes; the leaves below its internal nodes
-of full depth are the places whose window occurs again.
+The suffixes that may repeat to the depth of a window are dealt by prefixes: first by the gram of words
+that is their anchor, so that neighbours travel together as one piece; those of a group that a task
+can't hold by their whole prefix up to the end of the anchor, whose length differs from suffix to suffix;
+and by the prefix of a window at last. A group's suffixes are sorted, neighbours' common prefixes are
+counted in words, and the internal nodes that they make are the tree. Each node of a window's depth or
+more is a repeat, to its full depth, and its leaves are the places where it stands.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,99 +18,126 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlight.llm.anchors import BUCKETS, HELD, chosen, copied, keyed, new_texts, repeated_anchors, windows_anchor, with_small
-from barlight.llm.jaccard import planes, unplanes
-from barlight.llm.store import kept
-from barlight.llm.words import Words, chunks, grams, within
+from barlight.llm.anchors import chosen, copied, keyed, repeated_anchors, windows_anchor, with_side
+from barlight.llm.pieces import HEAD, Pieces, repeated_spans, spans_of
+from barlight.llm.store import bucket_bits, kept
+from barlight.llm.words import Words, byte_codes, chunks, grams, mix, ranges, rolling, span_hash, within
 
-#: Bytes of a block's hash that a suffix carries.
-BLOCK_BYTES = 5
+#: Bytes of a word's hash in a piece.
+WORD_BYTES = 5
 
 
-def block_widths(window: int) -> list[int]:
-    third = -(-window // 3)
-    return [third, third, window - 2 * third]
+def gram_words(window: int) -> int:
+    """Words of an anchor."""
+    return -(-window // 3)
 
 
-def window_blocks(hashes: np.ndarray, window: int) -> list[np.ndarray]:
-    """For each place from which a window stands: the hash of each of its three blocks."""
-    n = len(hashes) - window + 1
-    out, at = [], 0
-    for width in block_widths(window):
-        out.append(grams(hashes, width)[at : at + n] >> np.uint64(64 - 8 * BLOCK_BYTES))
-        at += width
-    return out
+def sorted_suffixes(words: np.ndarray, at: np.ndarray, size: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes at `starts` of some sequences, and the words that each has in common with the one before it.
 
-
-def _anchored(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the short grams, the windows that stand in one text, and the anchor of each."""
-    short = block_widths(window)[0]
-    gram = grams(words.hash, short)
-    start = np.flatnonzero(within(words.first, window))
-    return gram, start, windows_anchor(gram, window - short + 1)[start]
-
-
-def deep_leaves(blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes, and which of them are below an internal node of full depth.
-
-    The common prefixes of neighbours give the tree; a node of full depth is a run in which every
-    neighbour shares all blocks.
+    words: numbers, one sequence after the other; at, size: where each begins, and its words. A suffix ends
+    with its sequence. Ranks of runs of 1, 2, 4 ... words, made from those of half the length, put them in
+    order; common prefixes are counted down the same ranks.
     """
-    order = np.lexsort(blocks[::-1])
-    if not len(order):
-        return order, np.zeros(0, bool)
-    shared = np.ones(len(order) - 1, bool)
-    depth = np.zeros(len(order) - 1, np.int8)
-    for block in blocks:
-        shared &= block[order][1:] == block[order][:-1]
-        depth += shared
-    full = depth == len(blocks)
-    return order, np.r_[full, False] | np.r_[False, full]
-
-
-def _pack(bucket: np.ndarray, parts: list[tuple[np.ndarray, int]]) -> tuple[list[int], list[bytes]]:
-    """Rows that are sorted by bucket as one blob a bucket."""
-    edge = np.searchsorted(bucket, np.arange(BUCKETS + 1))
-    full = np.flatnonzero(np.diff(edge))
-    return full.tolist(), [b"".join(planes(x[edge[b] : edge[b + 1]], n) for x, n in parts) for b in full]
-
-
-_WIDE = [BLOCK_BYTES] * 3 + [8, 4]
-
-
-def _unpack(blobs: list[bytes], wide: list[int]) -> list[np.ndarray]:
-    cols = [[] for _ in wide]
-    for x in blobs:
-        m, at = len(x) // sum(wide), 0
-        for col, w in zip(cols, wide, strict=True):
-            col.append(unplanes(x[at : at + w * m], w))
-            at += w * m
-    return [np.concatenate(c) for c in cols]
-
-
-_ROWS = "kind int, bucket int, data binary"
-
-
-def _batch(kind: int, buckets: list[int], blobs: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([kind] * len(blobs), pa.int32()), pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], ["kind", "bucket", "data"])
-
-
-def _found(key: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(key)
-    return _batch(-1, *_pack((key[order] >> np.uint64(52)).astype(np.int64), [(key[order], 8), (place[order], 4)]))
+    end = np.repeat(at + size, size)
+    place = np.arange(len(words))
+    ranks = [np.unique(words, return_inverse=True)[1].astype(np.int64) + 1]
+    step = 1
+    while step < size.max(initial=0):
+        ahead = np.zeros(len(words), np.int64)
+        fits = np.flatnonzero(place + step < end)
+        ahead[fits] = ranks[-1][fits + step]
+        ranks.append(np.unique(ranks[-1] * (int(ranks[-1].max()) + 1) + ahead, return_inverse=True)[1].astype(np.int64) + 1)
+        step *= 2
+    order = starts[np.argsort(ranks[-1][starts], kind="stable")] if len(starts) else starts
+    a, b = order[:-1].copy(), order[1:].copy()
+    left = np.minimum(end[a] - a, end[b] - b) if len(a) else a
+    common = np.zeros(len(a), np.int64)
+    for k in range(len(ranks) - 1, -1, -1):
+        fits = np.flatnonzero(common + (1 << k) <= left)
+        same = fits[ranks[k][a[fits] + common[fits]] == ranks[k][b[fits] + common[fits]]]
+        common[same] += 1 << k
+    return order, np.r_[0, common] if len(order) else common
+
+
+def internal_nodes(common: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Depth and leaves [first, last] of the tree's internal nodes of `least` words or more.
+
+    common: of sorted suffixes, as from sorted_suffixes(). A node of depth d is a longest run of suffixes
+    whose neighbours have d words in common, and some no more.
+    """
+    depth, first, last = [], [], []
+    for d in np.unique(common[common >= least]):
+        inside = np.r_[common >= d, False]
+        lo = np.flatnonzero(inside[1:] & ~inside[:-1])
+        hi = np.flatnonzero(~inside[1:] & inside[:-1])
+        exact = np.cumsum(np.r_[0, common == d])
+        of = exact[hi + 1] > exact[lo + 1]
+        depth.append(np.full(of.sum(), d))
+        first.append(lo[of])
+        last.append(hi[of])
+    if not depth:
+        return (np.zeros(0, np.int64),) * 3
+    return np.concatenate(depth), np.concatenate(first), np.concatenate(last)
+
+
+def _numbers(body: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(body) // WORD_BYTES, 8), np.uint8)
+    out[:, :WORD_BYTES] = body.reshape(-1, WORD_BYTES)
+    return out.reshape(-1).view("<u8")
+
+
+def repeats(pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, first, end) of the words below deep internal nodes: each leaf, to the depth of its deepest node.
+
+    A leaf whose piece has the same words from one word earlier on below a node of one word more is left
+    out: that repeat isn't maximal to the left.
+    """
+    windows = pieces.head["windows"].astype(np.int64)
+    piece = np.repeat(np.arange(len(pieces)), windows)
+    place = ranges(np.zeros(len(pieces), np.int64), windows)
+    order, common = sorted_suffixes(_numbers(pieces.body), pieces.at, pieces.units, pieces.at[piece] + place)
+    depth, first, last = internal_nodes(common, pieces.length)
+    deep = np.zeros(len(pieces.body) // WORD_BYTES + 1, np.int64)
+    for d in np.unique(depth):  # deeper nodes come later
+        nodes = np.flatnonzero(depth == d)
+        deep[order[ranges(first[nodes], last[nodes] - first[nodes] + 1)]] = d
+    at = pieces.at[piece] + place
+    found = deep[at] > 0
+    inner = found & (place > 0)
+    inner[inner] = deep[at[inner] - 1] > deep[at[inner]]
+    found &= ~inner
+    return piece[found], place[found], place[found] + deep[at[found]]
+
+
+def longer_prefixes(window: int):
+    """Suffixes of a large group one by one, by the prefix up to the anchor's end (level 1) or of a window (level 2)."""
+
+    def split(pieces: Pieces, level: int) -> Pieces:
+        windows = pieces.head["windows"].astype(np.int64)
+        piece = np.repeat(np.arange(len(pieces)), windows)
+        one = pieces.windows(piece, ranges(np.zeros(len(pieces), np.int64), windows), np.ones(len(piece), np.int64))
+        prefix = rolling(byte_codes(one.body))
+        words = one.head["offset"].astype(np.int64) + gram_words(window) if level == 1 else one.units
+        one.head["path"] = mix(span_hash(prefix, one.at * WORD_BYTES, (one.at + words) * WORD_BYTES))
+        return one
+
+    return split
 
 
-def _dealt(level: int, rows: list[np.ndarray]) -> pa.RecordBatch:
-    """Suffixes by the first bits of their prefix of level + 1 blocks."""
-    mixed = rows[level] >> np.uint64(8 * BLOCK_BYTES - 12)
-    order = np.argsort(mixed, kind="stable")
-    return _batch(level, *_pack(mixed[order].astype(np.int64), [(x[order], w) for x, w in zip(rows, _WIDE, strict=True)]))
+def _anchored(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the grams, the windows that stand in one text, and the anchor of each."""
+    n = gram_words(window)
+    gram = grams(words.hash, n)
+    start = np.flatnonzero(within(words.first, window))
+    return gram, start, windows_anchor(gram, window - n + 1)[start]
 
 
-def repeated_windows(docs: DataFrame, window: int, most: int = 4_000_000) -> DataFrame:
-    """(text_key, places) of windows that occur at another place: packed runs (first, last + 1) of starts.
+def repeated_windows(docs: DataFrame, window: int, held_bytes: int = 4 << 20, most_bytes: int = 16 << 20) -> DataFrame:
+    """(text_key, spans) of words covered by windows that occur at another place, as packed pairs (first, end).
 
-    docs: text, text_key. most: suffixes that one task holds at a time. Texts of several rows count once.
+    docs: text, text_key. held_bytes, most_bytes: of suffixes that a task holds together, and of a group beyond
+    which it gets longer prefixes. Texts of several rows count once.
     """
 
     def anchors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,118 +147,27 @@ def repeated_windows(docs: DataFrame, window: int, most: int = 4_000_000) -> Dat
         text = np.searchsorted(words.first, anchor, "right") - 1
         return gram[anchor], text, anchor - words.first[text]
 
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            rows = [np.concatenate(x) for x in zip(*held, strict=True)]
-            held.clear()
-            order, deep = deep_leaves(rows[:3])
-            rows = [x[order] for x in rows]
-            yield _found(rows[3][deep], rows[4][deep])
-            head = np.ones(len(order), bool)  # of equal windows one goes on
-            head[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]) | (rows[2][1:] != rows[2][:-1])
-            yield _dealt(0, [x[head] for x in rows])
-
-        size = 0
-        for batch in new_texts(batches):
-            words = Words(batch.column("text"), lower=False)
-            _, start, anchor = _anchored(words, window)
-            if not len(start):
-                continue
-            place, _ = chosen(batch, words.first[:-1])
-            marked = np.zeros(len(words.hash), bool)
-            marked[place] = True
-            start = start[marked[anchor]]
-            blocks = window_blocks(words.hash, window)
-            text = np.searchsorted(words.first, start, "right") - 1
-            key = batch.column("text_key").to_numpy().view(np.uint64)[text]
-            held.append([*(b[start] for b in blocks), key, (start - words.first[text]).astype(np.uint64)])
-            size += len(start)
-            if size > HELD:
-                yield from flush()
-                size = 0
-        if held:
-            yield from flush()
-
-    def trees(level: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bucket, parts, size, over = None, [], 0, False
-
-            def close() -> pa.RecordBatch:
-                rows = _unpack(parts, _WIDE)
-                if over:
-                    return _dealt(level + 1, rows)
-                order, deep = deep_leaves(rows[:3])
-                return _found(rows[3][order][deep], rows[4][order][deep])
-
-            for batch in batches:
-                for kind, b, data in zip(*(batch.column(n).to_pylist() for n in ("kind", "bucket", "data")), strict=True):
-                    if kind < 0:
-                        yield _batch(-1, [b], [data])
-                        continue
-                    if b != bucket and parts:
-                        yield close()
-                        parts, size, over = [], 0, False
-                    bucket = b
-                    parts.append(data)
-                    size += len(data) // sum(_WIDE)
-                    if size > most and level < 2:
-                        over = True
-                        yield close()
-                        parts, size = [], 0
-            if parts:
-                yield close()
-
-        return run
-
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, parts = None, []
-
-        def close() -> pa.RecordBatch:
-            key, place = _unpack(parts, [8, 4])
-            order = np.lexsort((place, key))
-            key, place = key[order], place[order]
-            new = np.r_[True, (key[1:] != key[:-1]) | (place[1:] > place[:-1] + np.uint64(1))]
-            last = np.r_[np.flatnonzero(new)[1:] - 1, len(key) - 1]
-            of, spans = key[new], np.stack([place[new], place[last] + np.uint64(1)], 1).astype("<u4")
-            edge = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
-            return pa.RecordBatch.from_arrays([pa.array(of[edge[:-1]].view(np.int64)), pa.array([spans[a:b].tobytes() for a, b in zip(edge, edge[1:])], pa.binary())], ["text_key", "places"])
-
-        for batch in batches:
-            for b, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                if b != bucket and parts:
-                    yield close()
-                    parts = []
-                bucket = b
-                parts.append(data)
-        if parts:
-            yield close()
-
-    flagged = repeated_anchors(docs, anchors)
-    some = with_small(docs, flagged, "places").mapInArrow(suffixes, _ROWS)
-    done = None
-    for level in range(3):
-        found = kept(some.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(trees(level), _ROWS))
-        done = found if done is None else done.union(found)
-        some = found.where(F.col("kind") == level + 1)
-        if level == 2 or some.isEmpty():
-            break
-    found = done.where("kind = -1").repartition("bucket").sortWithinPartitions("bucket")
-    return kept(found.mapInArrow(runs, "text_key long, places binary"))
-
-
-def covered(places: bytes | None, window: int, size: int, all_of_it: bool) -> list[tuple[int, int]]:
-    """Maximal removed runs [start, end) from runs of window starts."""
-    if all_of_it and size >= window:
-        return [(0, size)]
-    out: list[tuple[int, int]] = []
-    for a, b in np.frombuffer(places or b"", "<u4").reshape(-1, 2).tolist():
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b + window - 1))
-        else:
-            out.append((a, b + window - 1))
-    return out
+    def cut(batch: pa.RecordBatch) -> Pieces:
+        words = Words(batch.column("text"), lower=False)
+        gram, start, anchor = _anchored(words, window)
+        marked = np.zeros(len(words.hash) + 1, bool)
+        marked[chosen(batch, words.first[:-1])] = True
+        keep = marked[anchor]
+        start, anchor = start[keep], anchor[keep]
+        new = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]]) if len(start) else start
+        text = np.searchsorted(words.first, start[new], "right") - 1
+        head = np.zeros(len(new), HEAD)
+        head["anchor"], head["key"] = gram[anchor[new]], batch.column("text_key").to_numpy().view(np.uint64)[text]
+        head["path"] = mix(head["anchor"])
+        head["first"], head["offset"] = start[new] - words.first[text], anchor[new] - start[new]
+        head["windows"] = np.diff(np.append(new, len(start)))
+        at = ranges(start[new], head["windows"].astype(np.int64) + window - 1)
+        body = (words.hash[at] >> np.uint64(64 - 8 * WORD_BYTES)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
+        return Pieces(head, body.reshape(-1), window, WORD_BYTES)
+
+    bits = bucket_bits(docs)
+    some = with_side(docs, repeated_anchors(docs, anchors, bits)).select("text", "text_key", "places")
+    return repeated_spans(some, cut, repeats, longer_prefixes(window), window, WORD_BYTES, bits, held_bytes, most_bytes)
 
 
 def remove_passages(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -241,10 +178,10 @@ def remove_passages(docs: DataFrame, window: int = 35) -> DataFrame:
     by ASCII white space and are not changed; kept words are joined by one space. spans: the removed
     runs of words. Null, empty and short texts lose nothing (null: kept_text is empty). Every row of
     repeated rows counts, so a text of two rows and `window` words goes whole. Columns of docs with
-    the names of results or text_key, places, copied are replaced.
+    the names of results or text_key, copied are replaced.
     """
     extra = ["n_words", "n_removed", "spans", "kept_text"]
-    docs = docs.drop(*extra, "text_key", "places", "copied")
+    docs = docs.drop(*extra, "text_key", "copied")
     texts = keyed(docs)
     found = repeated_windows(texts, window)
     twice = copied(texts).withColumn("copied", F.lit(True))
@@ -255,9 +192,9 @@ def remove_passages(docs: DataFrame, window: int = 35) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             out: dict[str, list] = {n: [] for n in extra}
-            for text, places, twice in zip(*(batch.column(n).to_pylist() for n in ("text", "places", "copied")), strict=True):
+            for text, found, twice in zip(*(batch.column(n).to_pylist() for n in ("text", "spans", "copied")), strict=True):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
-                spans = covered(places, window, len(words), bool(twice))
+                spans = spans_of(found, len(words), window, bool(twice))
                 kept_words, at = [], 0
                 for a, b in spans:
                     kept_words += words[at:a]
@@ -269,9 +206,5 @@ def remove_passages(docs: DataFrame, window: int = 35) -> DataFrame:
                 out["kept_text"].append(b" ".join(kept_words).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in own), pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(out["kept_text"], pa.string())], [*own, *extra])
 
-    joined = with_small(docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), fate, "places", "left")
-    return joined.select(*docs.columns, "places", "copied").mapInArrow(run, schema)
-
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+    joined = with_side(docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), fate, "left")
+    return joined.select(*own, "spans", "copied").mapInArrow(run, schema)

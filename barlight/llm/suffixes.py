@@ -1,10 +1,11 @@
 """Operator 4, suffix-array dedup of byte strings.
 
 Strings of the wanted length that may repeat are found by their anchors. Round each such anchor the
-bytes of the strings that it stands for are dealt by the anchor's hash. A task cuts them into blocks,
-counted from the anchor, and builds one suffix array of the blocks of all of them; suffixes that share
-enough blocks stand side by side there. What is left of a string before its first and behind its last
-whole block is compared among these.
+bytes of the strings that it stands for are a piece. A task cuts its pieces into blocks, counted from
+the anchor, and builds one suffix array of the blocks of all of them; suffixes that share enough
+blocks stand side by side there. What is left of a string before its first and behind its last whole
+block is compared among these. This is done with the pieces of each task first and then, dealt by
+their anchors, with those of all tasks.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlight.llm.anchors import BUCKETS, chosen, copied, keyed, new_texts, repeated_anchors, windows_anchor, with_small
-from barlight.llm.passages import covered
-from barlight.llm.store import kept
+from barlight.llm.anchors import chosen, copied, keyed, repeated_anchors, windows_anchor, with_side
+from barlight.llm.pieces import HEAD, Pieces, repeated_spans, spans_of
+from barlight.llm.store import bucket_bits, kept
 from barlight.llm.words import buffer, byte_codes, chunks, mix, ranges, rolling, span_hash, within
 
-#: Bytes of an anchor and of a block, and bytes of strings that a task holds before it hands them on.
-GRAM, BLOCK, HELD_BYTES = 32, 20, 4 << 20
+#: Bytes of an anchor and of a block.
+GRAM, BLOCK = 32, 40
 
 
 def suffix_array(symbols: list[int]) -> list[int]:
@@ -91,40 +92,26 @@ def suffix_array(symbols: list[int]) -> list[int]:
     return out
 
 
-def _anchored(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _anchored(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes and offsets of the texts, hashes of their grams, the strings that stand in one text, and the anchor of each."""
     data, at = buffer(texts)
     prefix = rolling(byte_codes(data))
     place = np.arange(max(0, len(data) - GRAM + 1))
     gram = span_hash(prefix, place, place + GRAM)
     start = np.flatnonzero(within(at, length))
-    return data, at, prefix, gram, start, windows_anchor(gram, length - GRAM + 1)[start]
+    return data, at, gram, start, windows_anchor(gram, length - GRAM + 1)[start]
 
 
-_HEAD = np.dtype([("anchor", "<u8"), ("key", "<u8"), ("first", "<u4"), ("offset", "<u4"), ("strings", "<u4"), ("known", "u1")])
-
-
-def _pieces(head: np.ndarray, data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which pieces are alike in anchor, offset, number of strings and bytes: the first of each, and which have a like."""
-    size = head["strings"].astype(np.int64) + length - 1
-    prefix = rolling(byte_codes(data))
-    code = mix(span_hash(prefix, at, at + size) + mix(head["anchor"] ^ (head["offset"].astype(np.uint64) << np.uint64(32))))
-    order = np.argsort(code, kind="stable")
-    new = np.r_[True, code[order][1:] != code[order][:-1]]
-    many = np.zeros(len(head), bool)
-    many[order] = ~new | np.r_[~new[1:], False]
-    return np.sort(order[new]), many
-
-
-def repeated_strings(head: np.ndarray, data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(piece, place in it) of the strings of some different pieces that another piece has at the same place from the anchor."""
+def repeated_strings(pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, first, end) of the bytes of strings that another piece has at the same place from the same anchor."""
+    head, data, at, length = pieces.head, pieces.body, pieces.at, pieces.length
     need = length // BLOCK - 1
-    size = head["strings"].astype(np.int64) + length - 1
-    low = -(head["offset"].astype(np.int64) // BLOCK)  # blocks are counted from the anchor
-    count = (size - head["offset"].astype(np.int64)) // BLOCK - low
+    offset = head["offset"].astype(np.int64)
+    low = -(offset // BLOCK)  # blocks are counted from the anchor
+    count = (pieces.units - offset) // BLOCK - low
     piece = np.repeat(np.arange(len(head)), count)
     block = ranges(low, count)
-    begin = at[piece] + head["offset"][piece].astype(np.int64) + block * BLOCK
+    begin = at[piece] + offset[piece] + block * BLOCK
     prefix = rolling(byte_codes(data))
     code = mix(span_hash(prefix, begin, begin + BLOCK) + mix(head["anchor"][piece] + block.astype(np.uint64)))
     rank = np.unique(code, return_inverse=True)[1] + 1
@@ -150,7 +137,7 @@ def repeated_strings(head: np.ndarray, data: np.ndarray, at: np.ndarray, length:
     for head_bytes in range(BLOCK):
         start = begin[order] - head_bytes
         place = start - at[piece[order]]
-        ok = (place >= 0) & (place < head["strings"][piece[order]])
+        ok = (place >= 0) & (place < head["windows"][piece[order]])
         start, place, mine, r = start[ok], place[ok], piece[order][ok], run[ok]
         middle = start + head_bytes
         rest = middle + need * BLOCK
@@ -160,137 +147,57 @@ def repeated_strings(head: np.ndarray, data: np.ndarray, at: np.ndarray, length:
         hit = by[np.r_[again, False] | np.r_[False, again]] if len(by) else by
         out_piece.append(mine[hit])
         out_place.append(place[hit])
-    return np.concatenate(out_piece), np.concatenate(out_place)
-
-
-def _runs(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (key.view(np.int64), start.astype(np.int32), end.astype(np.int32))], ["text_key", "start", "end"])
-
-
-_DEALT = "bucket int, data binary"
-
-
-def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
-    """(text_key, runs) where strings of `length` bytes that occur at another place begin. docs: text, text_key."""
+    piece, place = np.concatenate(out_piece), np.concatenate(out_place)
+    order = np.lexsort((place, piece))
+    piece, place = piece[order], place[order]
+    new = np.flatnonzero(np.r_[True, (piece[1:] != piece[:-1]) | (place[1:] != place[:-1] + 1)]) if len(piece) else piece
+    last = np.append(new[1:] - 1, len(piece) - 1) if len(piece) else piece
+    return piece[new], place[new], place[last] + length
+
+
+def longer_paths(pieces: Pieces, level: int) -> Pieces:
+    """The strings of a large group in smaller pieces: those with the same first whole block, dealt by this and the last one, then by all."""
+    windows = pieces.head["windows"].astype(np.int64)
+    piece = np.repeat(np.arange(len(pieces)), windows)
+    place = ranges(np.zeros(len(pieces), np.int64), windows)
+    block = (pieces.head["offset"][piece].astype(np.int64) - place) // BLOCK
+    new = np.flatnonzero(np.r_[True, (piece[1:] != piece[:-1]) | (block[1:] != block[:-1])]) if len(piece) else piece
+    small = pieces.windows(piece[new], place[new], np.diff(np.append(new, len(piece))))
+    prefix = rolling(byte_codes(small.body))
+    first = small.at + small.head["offset"].astype(np.int64) - block[new] * BLOCK
+    last = first + (pieces.length // BLOCK - 1) * BLOCK
+    span = span_hash(prefix, first, last) if level > 1 else span_hash(prefix, first, first + BLOCK) + mix(span_hash(prefix, last - BLOCK, last))
+    small.head["path"] = mix(span ^ mix(small.head["anchor"] + block[new].astype(np.uint64)))
+    return small
+
+
+def repeated_runs(docs: DataFrame, length: int, held_bytes: int = 4 << 20, most_bytes: int = 16 << 20) -> DataFrame:
+    """(text_key, spans) covered by strings of `length` bytes that occur at another place. docs: text, text_key."""
 
     def anchors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        _, at, _, gram, _, anchor = _anchored(texts, length)
+        _, at, gram, _, anchor = _anchored(texts, length)
         anchor = np.unique(anchor)
         text = np.searchsorted(at, anchor, "right") - 1
         return gram[anchor], text, anchor - at[text]
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads: list[np.ndarray] = []
-        parts: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            head, data = np.concatenate(heads), np.concatenate(parts)
-            heads.clear()
-            parts.clear()
-            size = head["strings"].astype(np.int64) + length - 1
-            at = np.cumsum(size) - size
-            first, many = _pieces(head, data, at, length)
-            head["known"] |= many
-            goes = np.zeros(len(head), bool)
-            goes[first] = True  # of like pieces one goes on; the rest are settled, and sent without bytes
-            bucket = (mix(head["anchor"]) >> np.uint64(52)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edge = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
-            full, blobs = np.flatnonzero(np.diff(edge)), []
-            for b in full:
-                mine = order[edge[b] : edge[b + 1]]
-                mine = np.concatenate([mine[goes[mine]], mine[~goes[mine]]])
-                n = int(goes[mine].sum())
-                body = data[ranges(at[mine[:n]], size[mine[:n]])]
-                blobs.append(n.to_bytes(4, "little") + len(mine).to_bytes(4, "little") + head[mine].tobytes() + body.tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "data"])
-
-        held = 0
-        for batch in new_texts(batches):
-            data, at, _, gram, start, anchor = _anchored(batch.column("text"), length)
-            place, _ = chosen(batch, at[:-1])
-            marked = np.zeros(len(gram), bool)
-            marked[place] = True
-            keep = marked[anchor]
-            start, anchor = start[keep], anchor[keep]
-            if not len(start):
-                continue
-            head_at = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-            text = np.searchsorted(at, start[head_at], "right") - 1
-            head = np.zeros(len(head_at), _HEAD)
-            head["anchor"], head["key"] = gram[anchor[head_at]], batch.column("text_key").to_numpy().view(np.uint64)[text]
-            head["first"], head["offset"] = start[head_at] - at[text], anchor[head_at] - start[head_at]
-            head["strings"] = np.diff(np.append(head_at, len(start)))
-            heads.append(head)
-            parts.append(data[ranges(start[head_at], head["strings"].astype(np.int64) + length - 1)])
-            held += len(parts[-1])
-            if held > HELD_BYTES:
-                yield flush()
-                held = 0
-        if heads:
-            yield flush()
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, blobs = None, []
-
-        def close() -> Iterator[pa.RecordBatch]:
-            heads, parts = [], []
-            for blob in blobs:
-                n, m = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
-                rows = np.frombuffer(blob, _HEAD, m, 8)
-                heads.append(rows[:n])
-                parts.append(np.frombuffer(blob, np.uint8, offset=8 + m * _HEAD.itemsize))
-                settled = rows[n:]
-                first = settled["first"].astype(np.int64)
-                yield _runs(settled["key"], first, first + settled["strings"])
-            head, data = np.concatenate(heads), np.concatenate(parts)
-            size = head["strings"].astype(np.int64) + length - 1
-            at = np.cumsum(size) - size
-            only, many = _pieces(head, data, at, length)
-            known = many | (head["known"] > 0)
-            first = head["first"][known].astype(np.int64)
-            yield _runs(head["key"][known], first, first + head["strings"][known])
-            # an anchor with one piece left has nothing to be held against
-            anchors, of = np.unique(head["anchor"][only], return_inverse=True)
-            only = only[np.bincount(of, minlength=len(anchors))[of] > 1]
-            piece, place = repeated_strings(head[only], data, at[only], length) if len(only) else (only, only)
-            order = np.lexsort((place, piece))
-            piece, place = piece[order], place[order]
-            new = np.flatnonzero(np.r_[True, (piece[1:] != piece[:-1]) | (place[1:] != place[:-1] + 1)]) if len(piece) else piece
-            last = np.append(new[1:] - 1, len(piece) - 1) if len(piece) else piece
-            mine = head[only][piece[new]]
-            base = mine["first"].astype(np.int64)
-            yield _runs(mine["key"], base + place[new], base + place[last] + 1)
-
-        for batch in batches:
-            for b, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                if b != bucket and blobs:
-                    yield from close()
-                    blobs = []
-                bucket = b
-                blobs.append(data)
-        if blobs:
-            yield from close()
-
-    flagged = repeated_anchors(docs, anchors)
-    dealt = with_small(docs, flagged, "places").mapInArrow(deal, _DEALT).repartition("bucket").sortWithinPartitions("bucket")
-    found = dealt.mapInArrow(meet, "text_key long, start int, end int")
-    return kept(found.groupBy("text_key").agg(F.collect_set(F.struct("start", "end")).alias("runs")).mapInArrow(_packed, "text_key long, runs binary"))
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of each text, joined where they touch, as pairs of 4-byte numbers."""
-    for batch in batches:
-        out = []
-        for runs in batch.column("runs").to_pylist():
-            joined: list[list[int]] = []
-            for a, b in sorted((x["start"], x["end"]) for x in runs):
-                if joined and a <= joined[-1][1]:
-                    joined[-1][1] = max(joined[-1][1], b)
-                else:
-                    joined.append([a, b])
-            out.append(np.array(joined, "<u4").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(out, pa.binary())], ["text_key", "runs"])
+    def cut(batch: pa.RecordBatch) -> Pieces:
+        data, at, gram, start, anchor = _anchored(batch.column("text"), length)
+        marked = np.zeros(len(gram), bool)
+        marked[chosen(batch, at[:-1])] = True
+        keep = marked[anchor]
+        start, anchor = start[keep], anchor[keep]
+        new = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]]) if len(start) else start
+        text = np.searchsorted(at, start[new], "right") - 1
+        head = np.zeros(len(new), HEAD)
+        head["anchor"], head["key"] = gram[anchor[new]], batch.column("text_key").to_numpy().view(np.uint64)[text]
+        head["path"] = mix(head["anchor"])
+        head["first"], head["offset"] = start[new] - at[text], anchor[new] - start[new]
+        head["windows"] = np.diff(np.append(new, len(start)))
+        return Pieces(head, data[ranges(start[new], head["windows"].astype(np.int64) + length - 1)], length, 1)
+
+    bits = bucket_bits(docs)
+    some = with_side(docs, repeated_anchors(docs, anchors, bits)).select("text", "text_key", "places")
+    return repeated_spans(some, cut, repeated_strings, longer_paths, length, 1, bits, held_bytes, most_bytes)
 
 
 def remove_strings(docs: DataFrame, length: int = 400) -> DataFrame:
@@ -300,12 +207,12 @@ def remove_strings(docs: DataFrame, length: int = 400) -> DataFrame:
     in any row or in the same text; overlapping ones count, and strings are judged on the input.
     spans: the maximal removed runs of bytes; kept: the other bytes, one after the other. Null, empty
     and short texts lose nothing. A text of two rows and `length` bytes goes whole. Columns of docs
-    with the names of results or text_key, runs, copied are replaced. length: at least 2 blocks and a gram.
+    with the names of results or text_key, spans, copied are replaced. length: at least 2 blocks and a gram.
     """
     if length < max(2 * BLOCK, GRAM + 1):
         raise ValueError(f"length must be at least {max(2 * BLOCK, GRAM + 1)}")
     extra = ["n_bytes", "n_removed", "spans", "kept"]
-    docs = docs.drop(*extra, "text_key", "runs", "copied")
+    docs = docs.drop(*extra, "text_key", "copied")
     own = docs.columns
     texts = keyed(docs)
     fate = kept(repeated_runs(texts, length).join(copied(texts).withColumn("copied", F.lit(True)), "text_key", "full"))
@@ -315,9 +222,9 @@ def remove_strings(docs: DataFrame, length: int = 400) -> DataFrame:
         for batch in chunks(batches):
             out: dict[str, list] = {n: [] for n in extra}
             data, at = buffer(batch.column("text"))
-            for k, (runs, twice) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("runs", "copied")), strict=True)):
+            for k, (found, twice) in enumerate(zip(*(batch.column(n).to_pylist() for n in ("spans", "copied")), strict=True)):
                 text = data[at[k] : at[k + 1]].tobytes()
-                spans = covered(runs, length, len(text), bool(twice))
+                spans = spans_of(found, len(text), length, bool(twice))
                 left = [text[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)], strict=True)]
                 out["n_bytes"].append(len(text))
                 out["n_removed"].append(sum(b - a for a, b in spans))
@@ -326,5 +233,5 @@ def remove_strings(docs: DataFrame, length: int = 400) -> DataFrame:
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in own), pa.array(out["n_bytes"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["spans"], span), pa.array(out["kept"], pa.binary())], [*own, *extra])
 
-    joined = with_small(docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), fate, "runs", "left")
-    return joined.select(*own, "runs", "copied").mapInArrow(run, schema)
+    joined = with_side(docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))), fate, "left")
+    return joined.select(*own, "spans", "copied").mapInArrow(run, schema)

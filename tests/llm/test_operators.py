@@ -79,6 +79,9 @@ def test_jaccard_components(docs):
     found = jaccard.jaccard_components(docs.withColumn("set_id", F.lit(1)))
     same([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], want)
     assert jaccard.jaccard_components(docs.limit(0)).count() == 0
+    texts = docs.select("text")
+    rows = lambda df: sorted((r.signature, r.n, *sorted((r.set_id, r.mate or 0)) * (r.n == 2 and r.mate is not None)) for r in df.collect())
+    assert rows(jaccard.shared_signatures(texts, jaccard.Scheme())) == rows(jaccard.shared_signatures(texts, jaccard.Scheme(), most=2))
 
 
 def test_one_document_of_each_group(docs):
@@ -124,17 +127,89 @@ def test_passages(docs):
     split = [words(r.text) for r in rows]
     gone = removed(split, 35)
     want = [(r.doc_id, len(w), sum(g), " ".join(x for x, y in zip(w, g) if not y)) for r, w, g in zip(rows, split, gone)]
-    out = passages.remove_passages(docs.withColumn("text_key", F.lit(1)).withColumn("places", F.lit("x")))
+    out = passages.remove_passages(docs.withColumn("text_key", F.lit(1)).withColumn("places", F.lit("x")).withColumn("spans", F.lit(2)))
     same([(r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in out.collect()], want)
     assert passages.remove_passages(docs.limit(0)).count() == 0
 
 
 def test_groups_that_are_too_large_get_longer_prefixes(docs):
+    """With every group too large the spans are the same, and the groups of longer paths are smaller."""
     from barlight.llm.anchors import keyed
 
-    texts = keyed(docs)
-    whole = {r.text_key: r.places for r in passages.repeated_windows(texts, 35).collect()}
-    assert whole == {r.text_key: r.places for r in passages.repeated_windows(texts, 35, most=3).collect()}
+    texts = keyed(docs.where("doc_id < 45").coalesce(2))
+    whole = {r.text_key: r.spans for r in passages.repeated_windows(texts, 35).collect()}
+    assert whole and whole == {r.text_key: r.spans for r in passages.repeated_windows(texts, 35, most_bytes=3).collect()}
+    whole = {r.text_key: r.spans for r in suffixes.repeated_runs(texts, 100).collect()}
+    assert whole and whole == {r.text_key: r.spans for r in suffixes.repeated_runs(texts, 100, most_bytes=3).collect()}
+
+
+def pieces_of(unit, length, rng, n, windows=10):
+    """Pieces of one anchor whose units before and behind it differ."""
+    from barlight.llm.pieces import HEAD, Pieces
+
+    head, bodies = np.zeros(n, HEAD), []
+    head["anchor"], head["path"], head["windows"], head["offset"] = 7, 99, windows, windows - 1
+    head["key"] = np.arange(n)
+    for _ in range(n):
+        body = np.full((windows + length - 1, unit), 5, np.uint8)
+        body[: windows - 1] = rng.integers(0, 2, (windows - 1, unit))
+        body[-(windows - 1) :] = rng.integers(0, 2, (windows - 1, unit))
+        bodies.append(body.reshape(-1))
+    return Pieces(head, np.concatenate(bodies), length, unit)
+
+
+def test_longer_paths_split_the_group_of_one_anchor():
+    pieces = pieces_of(passages.WORD_BYTES, 35, np.random.default_rng(1), 200)
+    largest = [int(pieces.head["windows"].sum())]
+    for level in (1, 2):
+        one = passages.longer_prefixes(35)(pieces, level)
+        largest.append(int(np.unique(one.head["path"], return_counts=True)[1].max()))
+        for path in np.unique(one.head["path"])[:40]:  # a path is a prefix of the suffixes dealt by it
+            mine = np.flatnonzero(one.head["path"] == path)
+            depth = int(one.head["offset"][mine[0]]) + passages.gram_words(35) if level == 1 else 35
+            assert len({one.take(np.array([k])).body[: depth * passages.WORD_BYTES].tobytes() for k in mine}) == 1
+    assert largest[0] > largest[1] >= largest[2]
+    strings = pieces_of(1, 400, np.random.default_rng(2), 200, 100)
+    assert len(np.unique(suffixes.longer_paths(strings, 1).head["path"])) > 1
+
+
+def test_suffix_tree_against_brute_force():
+    """Order, common prefixes, nodes and maximal repeats of small sequences."""
+    rng = random.Random(8)
+    for _ in range(60):
+        sequences = [[rng.randrange(2) for _ in range(rng.randrange(1, 14))] for _ in range(rng.randrange(1, 5))]
+        size = np.array([len(s) for s in sequences])
+        at = np.cumsum(size) - size
+        flat = np.concatenate(sequences)
+        suffix = {int(a + i): s[i:] for a, s in zip(at, sequences) for i in range(len(s))}
+        order, common = passages.sorted_suffixes(flat, at, size, np.array(sorted(suffix)))
+        assert [suffix[i] for i in order] == sorted(suffix.values())
+
+        def shared(a, b):
+            return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+        assert common.tolist() == [0] + [shared(suffix[a], suffix[b]) for a, b in zip(order, order[1:])]
+        got = {(int(d), frozenset(order[a : b + 1].tolist())) for d, a, b in zip(*passages.internal_nodes(common, 2))}
+        want = set()
+        for a in suffix:
+            for b in suffix:
+                d = shared(suffix[a], suffix[b])
+                if a != b and d >= 2:
+                    want.add((d, frozenset(x for x in suffix if suffix[x][:d] == suffix[a][:d] and len(suffix[x]) >= d)))
+        assert got == want
+
+
+def test_without_the_suffix_array_nothing_is_found(docs, monkeypatch):
+    """Strings are found by the array alone: with none in its order a task finds nothing."""
+    from barlight.llm.pieces import HEAD, Pieces
+
+    body = np.frombuffer(bytes(range(65, 91)) * 16, np.uint8)[:400]
+    head = np.zeros(3, HEAD)
+    head["anchor"], head["windows"], head["offset"], head["key"] = 3, 1, 100, [1, 2, 3]
+    pieces = Pieces(head, np.tile(body, 3), 400, 1)
+    assert len(suffixes.repeated_strings(pieces)[0]) == 3
+    monkeypatch.setattr(suffixes, "suffix_array", lambda symbols: [])
+    assert len(suffixes.repeated_strings(pieces)[0]) == 0
 
 
 def test_strings(docs):
@@ -145,7 +220,7 @@ def test_strings(docs):
     for r, b, g in zip(rows, data, gone):
         spans = sum(1 for k in range(len(g)) if g[k] and (k == 0 or not g[k - 1]))
         want.append((r.doc_id, len(b), sum(g), spans, bytes(x for x, y in zip(b, g) if not y)))
-    out = suffixes.remove_strings(docs.withColumn("runs", F.lit(1)), 100)
+    out = suffixes.remove_strings(docs.withColumn("runs", F.lit(1)).withColumn("spans", F.lit(2)), 100)
     same([(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in out.collect()], want)
     assert suffixes.remove_strings(docs.limit(0)).count() == 0
 
