@@ -39,7 +39,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_strings(_read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
