@@ -11,7 +11,9 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Steps of a window: gradients go no further back.
-WINDOW = 32
+WINDOW = 20
+#: Tokens of a text that are learned in one go.
+PART = 4096
 
 
 @dataclass(frozen=True)
@@ -24,10 +26,10 @@ class Classes:
 
     @classmethod
     def by_count(cls, counts: np.ndarray) -> Classes:
-        """About as many classes as a class has words on average, each of the same sum of roots of counts."""
+        """0.6 times the root of the number of words, each class of the same sum of roots of counts."""
         n = len(counts)
         mass = np.cumsum(np.sqrt(np.maximum(counts, 1e-9)))
-        wanted = max(1, int(np.sqrt(n)))
+        wanted = max(1, int(0.6 * np.sqrt(n)))
         raw = np.minimum((mass - mass[0]) / max(mass[-1], 1e-9) * wanted, wanted - 1).astype(np.int64) if n else np.zeros(0, np.int64)
         of = np.append(np.unique(raw, return_inverse=True)[1] if n else raw, (len(np.unique(raw)) if n else 0)).astype(np.int64)
         start = np.append(np.flatnonzero(np.r_[True, of[1:] != of[:-1]]), n + 1)
@@ -93,7 +95,7 @@ class Model:
             # choices stand in rows, so that sums run along memory; cut logits need no maximum taken off
             logits = weights @ x
             logits += bias[:, None]
-            np.clip(logits, -60, 60, out=logits)
+            np.minimum(logits, 60, out=logits)
             got = logits[right, n]
             e = np.exp(logits, out=logits)
             total = e.sum(axis=0)
@@ -110,16 +112,21 @@ class Model:
         order = np.argsort(of, kind="stable")
         edge = np.searchsorted(of[order], np.arange(len(cl.start)))
         states_t, place = states_t.take(order, axis=1), cl.place[words[order]]
-        for c in np.flatnonzero(np.diff(edge) * (np.diff(cl.start) > 1)):
+        inner = np.zeros(len(words), out.dtype)
+        back_t = np.zeros_like(states_t) if learn else None
+        for c in np.flatnonzero(np.diff(edge) * (np.diff(cl.start) > 1)).tolist():
             a, b = cl.start[c], cl.start[c + 1]
             mine = slice(edge[c], edge[c + 1])
             x = states_t[:, mine]
-            got, d = softmax(p["w"][a:b], p["wb"][a:b], x, place[mine], columns[: x.shape[1]])
-            out[order[mine]] += got
+            weights = p["w"][a:b]
+            inner[mine], d = softmax(weights, p["wb"][a:b], x, place[mine], columns[: x.shape[1]])
             if learn:
-                back[order[mine]] += d.T @ p["w"][a:b]
+                back_t[:, mine] = weights.T @ d
                 grad["w"][a:b] = d @ x.T
                 grad["wb"][a:b] = d.sum(axis=1)
+        out[order] += inner
+        if learn:
+            back[order] += back_t.T
         return out, back, grad
 
 
@@ -177,8 +184,12 @@ def windows(model: Model, ids: np.ndarray, first: np.ndarray, most: int, steps:
 
 
 def score(model: Model, ids: np.ndarray, first: np.ndarray, most: int = 1024) -> np.ndarray:
-    """Natural logarithm of each token's probability given all before it in its text."""
+    """Natural logarithm of each token's probability given all before it in its text.
+
+    There are as many lanes as the longest text allows to fill, so that it doesn't run on alone.
+    """
     out = np.zeros(len(ids))
+    most = int(np.clip(len(ids) // max(1, np.diff(first).max(initial=1)), 16, most))
     for tokens, before, _ in windows(model, ids, first, most, 2 * WINDOW):
         at = np.concatenate(tokens)
         out[at] = model.output(np.concatenate(before), ids[at], False)[0]
@@ -194,6 +205,8 @@ class Trainer:
         self.v = {k: np.zeros_like(v) for k, v in model.p.items()}
 
     def learn(self, ids: np.ndarray, first: np.ndarray, most: int) -> None:
+        """One pass over the texts. Those of more than PART tokens are learned in parts, each from the empty state."""
+        first = np.union1d(first, np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b, PART) for a, b in zip(first[:-1], first[1:], strict=True) if b - a > PART)]).astype(np.int64)) if np.diff(first).max(initial=0) > PART else first
         model, k = self.model, self.model.hidden
         for tokens, before, tape in windows(model, ids, first, most):
             at = np.concatenate(tokens)
@@ -202,7 +215,7 @@ class Trainer:
             grad["u"] = np.zeros_like(u)
             edge = np.cumsum([0, *map(len, tokens)])
             carry = np.zeros((0, k), np.float32)
-            words, gates = [], []
+            words, gates, states, reset = [], [], [], []
             for i in range(len(tokens) - 1, -1, -1):
                 (w, h, z, r, rh, new), begun = tape[i]
                 d = np.zeros_like(h)
@@ -212,14 +225,16 @@ class Trainer:
                 dz = d * (h - new) * z * (1 - z)
                 dr = drh * h * r * (1 - r)
                 dzr = np.concatenate([dz, dr], axis=1)
-                grad["u"][:, 2 * k :] += rh.T @ dn
-                grad["u"][:, : 2 * k] += h.T @ dzr
+                states.append(h)
+                reset.append(rh)
                 dh = d * z + drh * r + dzr @ u[:, : 2 * k].T
                 carry = dh + back[edge[i] : edge[i + 1]]
                 carry[begun] = 0
                 words.append(w)
                 gates.append(np.concatenate([dzr, dn], axis=1))
             words, gates = np.concatenate(words), np.concatenate(gates)
+            grad["u"][:, : 2 * k] = np.concatenate(states).T @ gates[:, : 2 * k]
+            grad["u"][:, 2 * k :] = np.concatenate(reset).T @ gates[:, 2 * k :]
             order = np.argsort(words, kind="stable")
             starts = np.flatnonzero(np.r_[True, words[order][1:] != words[order][:-1]])
             self.read = words[order][starts]
@@ -235,8 +250,18 @@ class Trainer:
             rows = self.read if name == "x" else slice(None)
             g = g[rows] / tokens
             m, v = self.m[name][rows], self.v[name][rows]
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
+            m *= 0.9
+            m += 0.1 * g
+            g *= g
+            g *= 0.01
+            v *= 0.99
+            v += g
             if name == "x":
                 self.m[name][rows], self.v[name][rows] = m, v
-            self.model.p[name][rows] -= self.rate * (m / (1 - 0.9**self.n)) / (np.sqrt(v / (1 - 0.99**self.n)) + 1e-6)
+            # the step of Adam with the corrections of both means taken out of the vectors
+            late = np.sqrt(1 - 0.99**self.n)
+            np.sqrt(v, out=g)
+            g += 1e-6 * late
+            np.divide(m, g, out=g)
+            g *= self.rate * late / (1 - 0.9**self.n)
+            self.model.p[name][rows] -= g

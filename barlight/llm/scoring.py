@@ -22,7 +22,9 @@ MODEL_WORDS, TABLE_WORDS = 2047, 1 << 17
 #: Words told apart for each root of the number of different words, and those for each bucket of rarer words.
 ROOT_WORDS, BUCKET_WORDS = 16, 8
 #: Tokens that a task holds, and blocks of weights that are averaged apart.
-HELD, BLOCKS = 2_000_000, 64
+HELD, BLOCKS = 3_000_000, 64
+#: Training tokens of a shard, and least and most shards: they follow from the corpus, not from its files.
+SHARD_TOKENS, LEAST_SHARDS, MOST_SHARDS = 4_000_000, 8, 4096
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -103,12 +105,45 @@ def bucket_counts(counts: DataFrame, vocabulary: np.ndarray, buckets: int) -> tu
     return out[0], out[1]
 
 
+def encoded(docs: DataFrame, table: np.ndarray, buckets: int, shards: int, rounds: int, complete: bool) -> DataFrame:
+    """All rows of docs (doc_id, held_out, text) as numbers of tokens, written once: places in the table, or behind it the bucket.
+
+    row: a number of its own. round, shard: where the text is learned from, by its hash, so that this doesn't
+    depend on how docs are stored. rare: hashes of the tokens that the table hasn't; empty if it is complete.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look, row = Lookup(table, buckets), TaskContext.get().partitionId() << 40
+        for batch in chunks(batches):
+            tokens, first = _tokens(batch.column("text"))
+            ids = look(tokens)
+            late = (ids >= len(table)) & (not complete)
+            at = np.concatenate([[0], np.cumsum(late)])[first]
+            rare = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(tokens[late].view(np.int64)))
+            blob = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer((first * 4).astype(np.int64).tobytes()), pa.py_buffer(ids.astype("<i4").tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(batch.num_rows)), *(batch.column(n) for n in ("doc_id", "held_out", "round", "shard", "key")), blob.cast(pa.binary()), rare], ["row", "doc_id", "held_out", "round", "shard", "key", "ids", "rare"])
+            row += batch.num_rows
+
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    dealt = docs.select("doc_id", "held_out", "text", key.alias("key")).withColumn("round", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(rounds)).cast("int")).withColumn("shard", F.pmod(F.xxhash64("key", F.lit(4)), F.lit(shards)).cast("int"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return kept(dealt.mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, round int, shard int, key long, ids binary, rare array<long>"), "round")
+
+
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Token numbers of some texts one after the other, and the first of each."""
+    column = column.cast(pa.large_binary())
+    _, at, data = column.buffers()
+    at = np.frombuffer(at, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, "<i4")[at[0] // 4 : at[-1] // 4], (at - at[0]) // 4
+
+
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[pa.RecordBatch]]]:
-    """Tokens of about HELD words of text at a time, with the rows they are from."""
+    """Token numbers of about HELD tokens at a time, with the rows they are from."""
     parts: list[tuple[np.ndarray, np.ndarray, pa.RecordBatch]] = []
     size = 0
-    for batch in chunks(batches):
-        tokens, first = _tokens(batch.column("text"))
+    for batch in batches:
+        tokens, first = _numbers(batch.column("ids"))
         parts.append((tokens, first, batch))
         size += len(tokens)
         if size > HELD:
@@ -126,23 +161,19 @@ def _joined(parts: list) -> tuple[np.ndarray, np.ndarray, list[pa.RecordBatch]]:
     return np.concatenate([p[0] for p in parts]), np.concatenate(first), [p[2] for p in parts]
 
 
-def train(docs: DataFrame, vocabulary: np.ndarray, buckets: int, model: Model, rounds: int = 3, rate: float = 0.01) -> Model:
-    """The model after one pass over all of docs, in rounds that take a part of the documents each.
+def train(rows: DataFrame, to_model: np.ndarray, model: Model, shards: int, rounds: int, rate: float = 0.01) -> Model:
+    """The model after one pass over all training rows of encoded(), in rounds that take a part of the documents each.
 
-    In a round every partition goes on from the same weights over its own documents; the weights that
-    come out are averaged, by the tokens behind them, in blocks: a task averages one block of all
-    partitions. Only the averages reach the driver.
+    In a round every shard goes on from the same weights over its own documents, in order of their hashes;
+    the weights that come out are averaged, by the tokens behind them, in blocks: a task averages one
+    block of all shards. Only the averages reach the driver. Files and partitions play no part.
     """
     for k in range(rounds):
-        part = docs.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(rounds)) == k)
+        part = rows.where((F.col("round") == k) & ~F.col("held_out")).select("shard", "key", "ids")
 
         def run(batches: Iterator[pa.RecordBatch], start: Model = model) -> Iterator[pa.RecordBatch]:
-            look, own, total = Lookup(vocabulary, buckets), Trainer(start.with_flat(start.flat()), rate), 0
-            for tokens, first, _ in _held(batches):
-                own.learn(look(tokens), first, int(np.clip(len(tokens) // 2048, 8, 128)))
-                total += len(tokens)
-            if total:
-                blobs = [b.astype(np.float32).tobytes() for b in np.array_split(own.model.flat(), BLOCKS)]
+            for own, total in _shards_learned(batches, start, to_model, rate):
+                blobs = [b.astype(np.float32).tobytes() for b in np.array_split(own.flat(), BLOCKS)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(BLOCKS, dtype=np.int32)), pa.array([total] * BLOCKS, pa.int64()), pa.array(blobs, pa.binary())], ["block", "tokens", "weights"])
 
         def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,15 +186,51 @@ def train(docs: DataFrame, vocabulary: np.ndarray, buckets: int, model: Model, r
             blobs = [(s / n).astype(np.float32).tobytes() for s, n in sums.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(blobs, pa.binary())], ["block", "weights"])
 
-        trained = part.select("text").mapInArrow(run, "block int, tokens long, weights binary")
-        rows = trained.repartition("block").mapInArrow(average, "block int, weights binary").toArrow()
-        if rows.num_rows:
-            blocks = dict(zip(rows.column("block").to_pylist(), rows.column("weights").to_pylist(), strict=True))
+        trained = part.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "key").mapInArrow(run, "block int, tokens long, weights binary")
+        rows_out = trained.repartition("block").sortWithinPartitions("block", "tokens").mapInArrow(average, "block int, weights binary").toArrow()
+        if rows_out.num_rows:
+            blocks = dict(zip(rows_out.column("block").to_pylist(), rows_out.column("weights").to_pylist(), strict=True))
             model = model.with_flat(np.concatenate([np.frombuffer(blocks[b], np.float32) for b in range(BLOCKS)]))
     return model
 
 
-def score_documents(docs: DataFrame, hidden: int = 16, rounds: int = 3) -> DataFrame:
+def _shards_learned(batches: Iterator[pa.RecordBatch], start: Model, to_model: np.ndarray, rate: float) -> Iterator[tuple[Model, int]]:
+    """The model that each shard of a sorted partition comes to, and the shard's tokens."""
+
+    def by_shard() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard = batch.column("shard").to_numpy()
+            edge = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1), len(shard)]
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                if b > a:
+                    yield batch.slice(a, b - a)
+
+    def learned(shard: int, first: pa.RecordBatch) -> tuple[Model, int, pa.RecordBatch | None]:
+        after: list[pa.RecordBatch] = []
+
+        def mine() -> Iterator[pa.RecordBatch]:
+            yield first
+            for batch in parts:
+                if batch.column("shard")[0].as_py() != shard:
+                    after.append(batch)
+                    return
+                yield batch
+
+        own, total = Trainer(start.with_flat(start.flat()), rate), 0
+        for tokens, at, _ in _held(mine()):
+            own.learn(to_model[tokens], at, int(np.clip(len(tokens) // 2048, 8, 208)))
+            total += len(tokens)
+        return own.model, total, after[0] if after else None
+
+    parts = by_shard()
+    batch = next(parts, None)
+    while batch is not None:
+        model, total, batch = learned(batch.column("shard")[0].as_py(), batch)
+        if total:
+            yield model, total
+
+
+def score_documents(docs: DataFrame, hidden: int = 16, rounds: int = 6) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs.
 
     Tokens: words split by ASCII white space, A-Z lower-cased, and one end; a null or empty text is
@@ -177,10 +244,8 @@ def score_documents(docs: DataFrame, hidden: int = 16, rounds: int = 3) -> DataF
     are scored one by one. Counts of TABLE_WORDS words go to every task; those of all rarer words
     are joined by a shuffle, so no vocabulary is too large.
     """
-    docs = docs.select("doc_id", "text")
-    held_out = fold_remainder(F.col("doc_id")) == 1
-    training = docs.where(~held_out)
-    counts = kept(count_tokens(training))
+    docs = docs.select("doc_id", (fold_remainder(F.col("doc_id")) == 1).alias("held_out"), "text")
+    counts = kept(count_tokens(docs.where(~F.col("held_out"))))
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("n"), "token").limit(TABLE_WORDS).toArrow()
     table, table_n = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
@@ -188,33 +253,29 @@ def score_documents(docs: DataFrame, hidden: int = 16, rounds: int = 3) -> DataF
     buckets = max(1, words // BUCKET_WORDS)
     vocabulary, model_n = table[:words], table_n[:words]
     rest, rest_distinct = bucket_counts(counts, vocabulary, buckets)
-    model = train(training, vocabulary, buckets, Model.start(np.concatenate([model_n, rest[:-1]]), rest[-1], hidden), rounds)
     complete = distinct <= len(table)
+    shards = int(min(max(total // SHARD_TOKENS, LEAST_SHARDS), MOST_SHARDS))
+    rows = encoded(docs, table, buckets, shards, rounds, complete)
+    # of a place in the table or a bucket behind it, the model's word
+    to_model = np.concatenate([Lookup(vocabulary, buckets)(table), words + np.arange(buckets)]).astype(np.int32)
+    model = train(rows, to_model, Model.start(np.concatenate([model_n, rest[:-1]]), rest[-1], hidden), shards, rounds)
     plain = np.log10(total + 0.5 * (distinct + 1))
     spread = np.log10(rest + 0.5 * (rest_distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look, place, row = Lookup(vocabulary, buckets), Lookup(table), TaskContext.get().partitionId() << 40
         log_n = np.append(np.log10(table_n + 0.5), np.log10(0.5) if complete else 0.0)
-        for tokens, first, rows in _held(batches):
-            ids, at = look(tokens), place(tokens)
+        for tokens, first, parts in _held(batches):
+            ids, at = to_model[tokens], np.minimum(tokens, len(table))
             lp = score(model, ids, first) / np.log(10)
             other = ids >= words
             lp[other] += log_n[at[other]] - spread[ids[other] - words]
             sums = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every text has a token
-            late = (at == len(table)) & (not complete)
-            of = np.repeat(np.arange(len(first) - 1), np.diff(first))[late]
-            rare: list[list] = [[] for _ in range(len(first) - 1)]
-            for d, t in zip(of.tolist(), tokens[late].view(np.int64).tolist(), strict=True):
-                rare[d].append(t)
-            ids_in = pa.concat_arrays([r.column("doc_id").combine_chunks() if isinstance(r.column("doc_id"), pa.ChunkedArray) else r.column("doc_id") for r in rows])
-            out_in = pa.concat_arrays([r.column("held_out") for r in rows])
             n = np.diff(first)
-            yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(len(n))), ids_in, out_in, pa.array(n), pa.array(sums((at < len(table)).astype(np.int64))), pa.array(sums(log_n[at]) - n * plain), pa.array(sums(lp)), pa.array(rare, pa.list_(pa.int64()))], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
-            row += len(n)
+            own = pa.Table.from_batches(parts).combine_chunks()
+            yield pa.RecordBatch.from_arrays([*(own.column(c).chunk(0) for c in ("row", "doc_id", "held_out")), pa.array(n), pa.array(sums((at < len(table)).astype(np.int64))), pa.array(sums(log_n[at]) - n * plain), pa.array(sums(lp)), own.column("rare").chunk(0)], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>")
+    scored = rows.select("row", "doc_id", "held_out", "ids", "rare").mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>")
     if not complete:
         scored = kept(scored)
         late = scored.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count("*").alias("m")).join(counts, "token", "left")
