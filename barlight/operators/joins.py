@@ -49,17 +49,21 @@ def valid_from(rows: DataFrame, key: list[str], ts: str) -> DataFrame:
 
 
 def asof_yield_join(rows: DataFrame, curve: DataFrame, date: str = "day") -> DataFrame:
-    """Each row with the latest curve at or before its date, or the first curve before that.
+    """Each row with the latest curve at or before its date, or the first curve before that; a null date has none.
 
-    A curve has a row a day, so its rows are counted and broadcast as intervals; a larger table is
-    joined by asof_ffill_join.
+    The curve is looked up once for each different date, of which there are as many as days; rows are then
+    joined by equal dates, so no rows are compared with ranges and the curve may be of any length.
     """
     columns = [c for c in curve.columns if c != "date"]
-    dated = curve.withColumn("one", F.lit(1))
-    steps = valid_from(dated, ["one"], "date").drop("one")
-    at = F.col(date)
-    on = (F.col("valid_from").isNull() | (at >= F.col("valid_from"))) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
-    return rows.join(small(steps), on, "left").select(*rows.columns, F.col("date").alias("curve_date"), *columns)
+    dates = rows.select(F.col(date).alias("at")).where("at is not null").distinct().withColumn("c", F.lit(None))
+    known = curve.select(F.col("date").alias("at"), F.struct(F.col("date").alias("curve_date"), *columns).alias("c"))
+    both = known.withColumn("side", F.lit(0)).unionByName(dates.withColumn("side", F.lit(1)))
+    # a row a day: the only table here that one task sorts
+    days = Window.orderBy("at", "side")
+    here = F.last("c", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, 0))
+    first = F.first("c", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    found = both.withColumn("c", F.coalesce(here, first)).where("side = 1").select(F.col("at").alias("asof_date"), "c.*")
+    return rows.join(found, F.col(date) == F.col("asof_date"), "left").select(*(rows[c] for c in rows.columns), "curve_date", *columns)
 
 
 def minute_backfill_join(rows: DataFrame, minutes: DataFrame, column: str = "underlying") -> DataFrame:
@@ -87,16 +91,16 @@ def split_intervals(splits: DataFrame) -> DataFrame:
     later = Window.partitionBy("ticker").orderBy(F.desc("execution_date"))
     upto = later.rowsBetween(Window.unboundedPreceding, 0)
     ratio = F.col("split_to") / F.col("split_from")
-    factor = F.exp(F.sum(F.log(ratio)).over(upto))
+    factor = F.product(ratio).over(upto)
     start = F.lead("execution_date").over(later)
     return splits.select("ticker", start.alias("start"), F.col("execution_date").alias("before"), factor.alias("factor"))
 
 
-def split_factor_join(rows: DataFrame, splits: DataFrame, date: str = "day") -> DataFrame:
-    """factor: the product of split_to / split_from over splits with execution_date > date; 1 without."""
-    steps = split_intervals(splits).withColumnRenamed("ticker", "tk")
+def split_factor_join(rows: DataFrame, splits: DataFrame, date: str = "day", name: str = "factor") -> DataFrame:
+    """name: the product of split_to / split_from over splits with execution_date > date; 1 without. A row stays one row."""
+    steps = split_intervals(splits).withColumnsRenamed({"ticker": "tk", "factor": name})
     on = (F.col("ticker") == F.col("tk")) & (F.col(date) < F.col("before")) & (F.col("start").isNull() | (F.col(date) >= F.col("start")))
-    return rows.join(small(steps), on, "left").withColumn("factor", F.coalesce("factor", F.lit(1.0))).drop("tk", "start", "before")
+    return rows.join(small(steps), on, "left").withColumn(name, F.coalesce(name, F.lit(1.0))).drop("tk", "start", "before")
 
 
 def confluence_semi_join(primary: DataFrame, others: list[DataFrame], least: int = 1, on: tuple[str, ...] = ("ticker", "ts", "direction")) -> DataFrame:

@@ -118,17 +118,23 @@ def gainers_losers(days: DataFrame, direction: str = "gainers", n: int = 20) ->
     return rows.orderBy(F.desc("change_pct") if direction == "gainers" else F.asc("change_pct"), "ticker").limit(n)
 
 
-def order_book_l2(books: DataFrame) -> DataFrame:
-    """Best bid and ask, spread and number of levels of each book (ticker, bids, asks of price and exchange sizes)."""
-    side = lambda c, f: f(F.transform(F.col(c), lambda x: x["price"]))
-    out = books.withColumn("best_bid", side("bids", F.array_max)).withColumn("best_ask", side("asks", F.array_min))
-    return out.select("ticker", "best_bid", "best_ask", (F.col("best_ask") - F.col("best_bid")).alias("spread"), F.size("bids").alias("bid_levels"), F.size("asks").alias("ask_levels"))
+def order_book_levels(books: DataFrame) -> DataFrame:
+    """ticker, side, price, exchange, size: one row a level and exchange of nested books (ticker, bids, asks of price and exchange sizes)."""
+    side = lambda c: books.select("ticker", F.lit(c).alias("side"), F.explode(c).alias("l")).select("ticker", "side", F.col("l.price").alias("price"), F.explode_outer("l.x").alias("exchange", "size"))
+    return side("bids").union(side("asks"))
 
 
-def trading_days(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """Mondays to Fridays."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day"))
-    return days.where(F.dayofweek("day").between(2, 6))
+def order_book_l2(levels: DataFrame) -> DataFrame:
+    """Best bid and ask, spread and numbers of bid and ask levels of each ticker, from rows of levels: one partial aggregation."""
+    of = lambda side, c="price": F.when(F.col("side") == side, F.col(c))
+    out = levels.groupBy("ticker").agg(F.max(of("bids")).alias("best_bid"), F.min(of("asks")).alias("best_ask"), F.count(of("bids")).alias("bid_levels"), F.count(of("asks")).alias("ask_levels"))
+    return out.select("ticker", "best_bid", "best_ask", (F.col("best_ask") - F.col("best_bid")).alias("spread"), "bid_levels", "ask_levels")
+
+
+def calendar(days: DataFrame) -> DataFrame:
+    """Mondays to Fridays from the first to the last day of a table's column day."""
+    ends = days.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    return ends.select(F.explode(F.sequence("a", "b")).alias("day")).where("weekday(day) < 5")
 
 
 def sic_group_weights(rows: DataFrame) -> DataFrame:

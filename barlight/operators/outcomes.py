@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlight.operators import windows as w
@@ -39,13 +39,13 @@ def barrier_outcome_v3(signals: DataFrame, bars: DataFrame, rr: float = 2.0, tim
     start = 1 + latency
     ahead = forward_range_join(signals, bars, start, start + timeout)
     d = F.col("direction")
-    entries = ahead.where(F.col("at") == F.col("bar_no") + start).select("id", (F.col("b_open") * (1 + d * slippage_bps / 1e4)).alias("entry"))
-    walk = ahead.join(entries, "id")
+    opening = F.max(F.when(F.col("at") == F.col("bar_no") + start, F.col("b_open"))).over(Window.partitionBy("id"))
+    walk = ahead.withColumn("entry", opening * (1 + d * slippage_bps / 1e4)).where("entry is not null")
     walk = walk.withColumn("stop", F.coalesce("stop_abs", F.col("entry") - d * F.col("stop_offset"))).withColumn("risk", (F.col("entry") - F.col("stop")) * d).where("risk > 0").withColumn("target", F.col("entry") + d * F.col("risk") * rr)
     up = d == 1
     t = F.when(up, F.col("b_high") >= F.col("target")).otherwise(F.col("b_low") <= F.col("target"))
     s = F.when(up, F.col("b_low") <= F.col("stop")).otherwise(F.col("b_high") >= F.col("stop"))
-    keys = ["id", "ticker", "bar_no", "direction", "entry", "stop", "target", "risk"]
+    keys = ["id", "ticker", "bar_no", "direction", "entry", "stop", "target", "risk"]  # by id first: the window has dealt the rows so
     bar = F.struct("at", "b_high", "b_low", "b_close")
     hit = walk.groupBy(*keys).agg(F.min(F.when(t, F.col("at"))).alias("t"), F.min(F.when(s, F.col("at"))).alias("s"), F.max("at").alias("last"), F.max_by("b_close", "at").alias("close"), F.collect_list(bar).alias("bars"))
     first_stop = F.col("s").isNotNull() & (F.col("t").isNull() | ((F.col("s") <= F.col("t")) if stop_first else (F.col("s") < F.col("t"))))

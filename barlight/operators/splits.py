@@ -67,11 +67,14 @@ def detect_splits(ratios: DataFrame, least: int = 40, side: int = 10) -> DataFra
 
 
 def adjust_trades_quotes(rows: DataFrame, records: DataFrame, prices: tuple[str, ...], sizes: tuple[str, ...]) -> DataFrame:
-    """Rows before a ticker's split: prices divided by the factor, sizes times it. Always from the raw table."""
-    r = records.select("ticker", "split_date", F.col("factor").alias("f"))
-    out = rows.join(r, "ticker", "left")
-    hit = F.col("day") < F.col("split_date")
-    return out.withColumns({c: F.when(hit, F.col(c) / F.col("f")).otherwise(F.col(c)) for c in prices} | {c: F.when(hit, F.col(c) * F.col("f")).otherwise(F.col(c)) for c in sizes}).drop("f", "split_date")
+    """Prices divided, and sizes multiplied, by the product of the factors of the ticker's splits after the row's day.
+
+    records: ticker, split_date, factor, any number a ticker; a row stays one row. Always from the raw table.
+    """
+    steps = records.select("ticker", F.col("split_date").alias("execution_date"), F.col("factor").alias("split_to"), F.lit(1.0).alias("split_from"))
+    out = split_factor_join(rows, steps, name="later_splits")
+    f = F.col("later_splits")
+    return out.withColumns({c: F.col(c) / f for c in prices} | {c: F.col(c) * f for c in sizes}).select(*rows.columns)
 
 
 def check_split_consistency(ratios: DataFrame, records: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from barlight.operators import signals as G
 from barlight.operators import windows as W
 from barlight.plans import fixtures as X
 from barlight.plans.book import Book
+from barlight.plans.trade_queries import metrics_sql, streak_sql
 
 BOOK = Book()
 add = BOOK.add
@@ -37,7 +38,6 @@ def daily_features(spark, sf):
     return _features(spark, sf).select("ticker", "day", *FEATURES)
 
 
-BOOK.queries["daily_bar_features"], BOOK.sql["daily_bar_features"] = BOOK.queries["daily_features"], BOOK.sql["daily_features"]
 Z = "(greatest(least(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 0), 3), -3) + 3) / 6 * 100"
 z = lambda c: Z.format(c=f"coalesce({c}, 0)")
 SCORES = f"sc AS (SELECT ticker, day, 0.3 * {z('imbalance_abs')} + 0.25 * {z('micro_mid_abs')} + 0.25 * {z('contraction')} + 0.2 * (100 - {z('spread')}) AS score_quotes, 0.25 * {z('dollar_volume')} + 0.25 * 50 + 0.25 * (100 - {z('spread')}) + 0.25 * {z('depth')} AS score_liquidity, 0.3 * {z('range_pct')} + 0.25 * {z('total_volume')} + 0.2 * {z('last_close')} + 0.25 * {z('first_range')} AS score_volatility FROM df)"
@@ -53,19 +53,12 @@ def score_liquidity(spark, sf):
     return _scores(spark, sf)
 
 
-for _n in ("score_quotes", "score_volatility"):
-    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries["score_liquidity"], BOOK.sql["score_liquidity"]
-
-
 @add(f"WITH o AS (SELECT ticker, day, close AS delta_abs, open AS aggression, high AS large_ratio, low AS delta_pct_abs, CAST(transactions AS DOUBLE) AS trade_count, volume AS option_volume, vwap AS pcr FROM day_bars) SELECT ticker, day, 0.2 * ({z('delta_abs')}) + 0.2 * ({z('aggression')}) + 0.2 * ({z('large_ratio')}) + 0.2 * ({z('delta_pct_abs')}) + 0.2 * ({z('trade_count')}) AS score_orderflow, 0.15 * ({z('pcr')}) + 0.15 * ({z('option_volume')}) + 0.1 * ({z('delta_abs')}) + 0.15 * ({z('aggression')}) + 0.15 * ({z('large_ratio')}) + 0.15 * ({z('delta_pct_abs')}) AS score_options FROM o", "day_bars", doubles="score_orderflow score_options", dates="day")
 def score_orderflow(spark, sf):
     d = X.day_bars(spark, sf).select("ticker", "day", F.col("close").alias("delta_abs"), F.col("open").alias("aggression"), F.col("high").alias("large_ratio"), F.col("low").alias("delta_pct_abs"), F.col("transactions").alias("trade_count"), F.col("volume").alias("option_volume"), F.col("vwap").alias("pcr"), F.col("close").alias("expected_move"), F.col("open").alias("straddle"), F.col("high").alias("gamma_exposure"), F.col("low").alias("iv_skew"))
     return G.score(d, ("score_orderflow", "score_options")).select("ticker", "day", "score_orderflow", "score_options")
 
 
-BOOK.queries["score_options"], BOOK.sql["score_options"] = BOOK.queries["score_orderflow"], BOOK.sql["score_orderflow"]
-
-
 @add(f"WITH {QUOTE_HOURS}, {SCORES} SELECT ticker, day, 0.15 * score_liquidity + 0.2 * score_volatility + 0.15 * score_quotes AS opportunity FROM sc", "hour_bars", "quotes", doubles="opportunity", dates="day", places=1)
 def opportunity_score(spark, sf):
     s = _scores(spark, sf)
@@ -107,9 +100,6 @@ def screen_snapshot(spark, sf):
     return D.screen_snapshot(d, {"price_min": 100, "price_max": 3000, "rvol_min": 1.5}).select("ticker.ticker", "ticker.day", "price", "volume", "rvol")
 
 
-BOOK.queries["snapshot_filter"], BOOK.sql["snapshot_filter"] = BOOK.queries["screen_snapshot"], BOOK.sql["screen_snapshot"]
-
-
 @add("SELECT c.symbol, c.line_order, c.close, b.close AS underlying FROM (SELECT symbol, line_order, close, CAST(line_order % 10 AS VARCHAR) AS ticker, day FROM chains) c JOIN day_bars b ON c.ticker = b.ticker AND c.day = b.day", "chains", "day_bars", doubles="close underlying", places=6)
 def option_underlying_join(spark, sf):
     c = X.chains(spark, sf).select("symbol", "line_order", "close", (F.col("line_order") % 10).cast("string").alias("ticker"), F.col("day").alias("minute"))
@@ -140,9 +130,6 @@ def exclude_tickers(spark, sf):
     return J.exclude_tickers(b, b.where(F.col("ticker").cast("int") % 2 == 0))
 
 
-BOOK.queries["incremental_anti_join"], BOOK.sql["incremental_anti_join"] = BOOK.queries["exclude_tickers"], BOOK.sql["exclude_tickers"]
-
-
 @add("SELECT t.ticker, t.day, count(*) AS n FROM trades_log t SEMI JOIN (SELECT ticker, day FROM day_bars WHERE volume > 60) u ON t.ticker = u.ticker AND t.day = u.day GROUP BY 1, 2", "trades_log", "day_bars", dates="day")
 def universe_semi_join(spark, sf):
     return J.universe_semi_join(X.trades_log(spark, sf), X.day_bars(spark, sf).where("volume > 60")).groupBy("ticker", "day").agg(F.count("*").alias("n"))
@@ -175,9 +162,9 @@ def contract_underlying_ffill(spark, sf):
     return J.contract_underlying_ffill(rows, minutes).select("ticker", "sip_ns", "exchange", "underlying")
 
 
-@add("WITH t AS (SELECT ticker, ts AS entry_ts, ts + INTERVAL 3 HOUR AS exit_ts, close - open AS pnl FROM hour_bars WHERE transactions > 2) SELECT t.ticker, t.entry_ts, t.pnl - coalesce((a.ask_price - a.bid_price) / 2, 0) - coalesce((b.ask_price - b.bid_price) / 2, 0) AS adjusted_pnl FROM t ASOF LEFT JOIN quotes a ON t.ticker = a.ticker AND t.entry_ts >= a.ts ASOF LEFT JOIN quotes b ON t.ticker = b.ticker AND t.exit_ts >= b.ts", "hour_bars", "quotes", doubles="adjusted_pnl", dates="entry_ts", places=6)
+@add("WITH t AS (SELECT ticker, ts AS entry_ts, ts + INTERVAL 3 HOUR AS exit_ts, close - open AS pnl FROM hour_bars) SELECT t.ticker, t.entry_ts, t.pnl - coalesce((a.ask_price - a.bid_price) / 2, 0) - coalesce((b.ask_price - b.bid_price) / 2, 0) AS adjusted_pnl FROM t ASOF LEFT JOIN quotes a ON t.ticker = a.ticker AND t.entry_ts >= a.ts ASOF LEFT JOIN quotes b ON t.ticker = b.ticker AND t.exit_ts >= b.ts", "hour_bars", "quotes", doubles="adjusted_pnl", dates="entry_ts", places=6)
 def spread_adjusted_pnl(spark, sf):
-    t = X.hour_bars(spark, sf).where("transactions > 2").select("ticker", F.col("ts").alias("entry_ts"), F.expr("ts + interval 3 hour").alias("exit_ts"), (F.col("close") - F.col("open")).alias("pnl"))
+    t = X.hour_bars(spark, sf).select("ticker", F.col("ts").alias("entry_ts"), F.expr("ts + interval 3 hour").alias("exit_ts"), (F.col("close") - F.col("open")).alias("pnl"))
     return D.spread_adjusted_pnl(t, X.quotes(spark, sf)).select("ticker", "entry_ts", "adjusted_pnl")
 
 
@@ -198,9 +185,6 @@ def to_number(spark, sf):
     return X.read(spark, sf, "events").select("event_id", S.to_number(text).alias("x"), S.to_int(text).alias("n"))
 
 
-BOOK.queries["to_int"], BOOK.sql["to_int"] = BOOK.queries["to_number"], BOOK.sql["to_number"]
-
-
 @add("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN epoch_us(ts) // 1000000 ELSE epoch_us(ts) // 1000000 - 28800 END AS s FROM events")
 def naive_ts_to_utc(spark, sf):
     text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
@@ -228,7 +212,7 @@ def reference_extract(spark, sf):
     return X.read(spark, sf, "part").select("p_partkey", "p_name", "p_brand", F.coalesce("p_type", F.lit("")).alias("p_type"), "p_size")
 
 
-@add("SELECT CAST(s_suppkey AS VARCHAR) AS ticker, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal * 2 ELSE s_acctbal END AS market_cap, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey + 1.0 ELSE s_suppkey + 2.0 END AS shares_outstanding, CASE WHEN s_nationkey = 0 THEN NULL ELSE s_acctbal / s_nationkey END AS book_value FROM supplier", doubles="market_cap shares_outstanding book_value")
+@add("SELECT CAST(s_suppkey AS VARCHAR) AS ticker, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal * 2 ELSE s_acctbal END AS market_cap, CAST(CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey + 1 ELSE s_suppkey + 2 END AS DOUBLE) AS shares_outstanding, CASE WHEN s_nationkey = 0 THEN NULL ELSE s_acctbal / s_nationkey END AS book_value FROM supplier", doubles="market_cap shares_outstanding book_value")
 def fundamentals_build(spark, sf):
     s = X.read(spark, sf, "supplier").withColumn("ticker", F.col("s_suppkey").cast("string"))
     k = F.col("s_suppkey")
@@ -244,12 +228,11 @@ def sector_change(spark, sf):
     return M.sector_change(snaps, groups).select(F.col("sic_group").alias("g"), F.explode("tickers").alias("t")).select("g", "t.*")
 
 
-@add("SELECT event_type AS ticker, max(value * 0.99) AS best_bid, min(value * 1.01 + 500) AS best_ask, min(value * 1.01 + 500) - max(value * 0.99) AS spread, count(*) AS levels FROM events WHERE user_id < 20 GROUP BY 1", doubles="best_bid best_ask spread")
+@add("SELECT event_type AS ticker, max(value * 0.99) AS best_bid, min(value * 1.01 + 500) AS best_ask, min(value * 1.01 + 500) - max(value * 0.99) AS spread, count(*) AS bid_levels, count(*) AS ask_levels FROM events GROUP BY 1", doubles="best_bid best_ask spread")
 def order_book_l2(spark, sf):
-    e = X.read(spark, sf, "events").where("user_id < 20").groupBy(F.col("event_type").alias("ticker"))
-    x = lambda p: F.collect_list(F.struct(p.alias("price"), F.create_map(F.col("user_id").cast("string"), F.col("value")).alias("x")))
-    books = e.agg(x(F.col("value") * 0.99).alias("bids"), x(F.col("value") * 1.01 + 500).alias("asks"))
-    return M.order_book_l2(books).select("ticker", "best_bid", "best_ask", "spread", F.col("bid_levels").cast("long").alias("levels"))
+    level = lambda p: F.array(F.struct(p.alias("price"), F.create_map(F.col("user_id").cast("string"), F.col("value")).alias("x")))
+    books = X.read(spark, sf, "events").select(F.col("event_type").alias("ticker"), level(F.col("value") * 0.99).alias("bids"), level(F.col("value") * 1.01 + 500).alias("asks"))
+    return M.order_book_l2(M.order_book_levels(books))
 
 
 @add("SELECT symbol, strike, type, max(day) AS day, last(close ORDER BY day, line_order, close) AS close, last(CASE WHEN type = 'C' THEN strike + close ELSE strike - close END ORDER BY day, line_order, close) AS break_even FROM chains WHERE ticker = 'Brand#1' AND strike BETWEEN 920 AND 980 GROUP BY 1, 2, 3", "chains", doubles="strike close break_even", dates="day")
@@ -259,9 +242,6 @@ def option_chain(spark, sf):
     return last.withColumn("break_even", F.when(F.col("type") == "C", F.col("strike") + F.col("close")).otherwise(F.col("strike") - F.col("close")))
 
 
-BOOK.queries["option_snapshot"], BOOK.sql["option_snapshot"] = BOOK.queries["option_chain"], BOOK.sql["option_chain"]
-
-
 @add("WITH t AS (SELECT strategy, count(*) AS n, sum(pnl) AS a, sum(pnl - tax * price) AS b FROM trades_log GROUP BY 1) SELECT strategy, n, a AS before_pnl, b AS after_pnl, b - a AS change FROM t", "trades_log", doubles="before_pnl after_pnl change", places=2)
 def before_after(spark, sf):
     t = X.trades_log(spark, sf)
@@ -274,18 +254,16 @@ def _stock_metrics(spark, sf):
     return T.trade_metrics(X.trades_log(spark, sf), ["ticker", "strategy", "rr_ratio"], X.LOG_ORDER)
 
 
-@add(None)
+@add(f"""WITH {streak_sql("ticker, strategy, rr_ratio")}, g AS (SELECT ticker, strategy, rr_ratio, {metrics_sql()} FROM trades_log GROUP BY ALL), m AS (SELECT g.*, 3 * profit_factor + 2 * coalesce(sharpe, 0) - 0.1 * coalesce(max_losing_streak, 0) + coalesce(win_rate, 0) / 50 AS composite, row_number() OVER (PARTITION BY ticker ORDER BY profit_factor DESC, strategy, rr_ratio) AS k FROM g LEFT JOIN st USING (ticker, strategy, rr_ratio)),
+  v AS (SELECT ticker, avg(volume / 10) AS score_liquidity FROM day_bars GROUP BY 1) SELECT m.ticker, strategy, rr_ratio, profit_factor, composite, score_liquidity FROM m LEFT JOIN v ON m.ticker = v.ticker WHERE k = 1""", "trades_log", "day_bars", doubles="rr_ratio profit_factor composite score_liquidity", places=3)
 def stock_leaderboard(spark, sf):
     scores = X.day_bars(spark, sf).select("ticker", (F.col("volume") / 10).alias("score_liquidity"))
     return D.stock_leaderboard(_stock_metrics(spark, sf), scores).select("ticker", "strategy", "rr_ratio", "profit_factor", "composite", "score_liquidity")
 
 
-@add("SELECT ticker, day AS date, next AS new_ticker FROM (SELECT ticker, execution_date AS day, ticker || '-' || id AS next FROM splits WHERE ticker IN ('3', '5'))", "splits", dates="date")
+@add("SELECT ticker, day AS date, next AS new_ticker FROM (SELECT ticker, execution_date AS day, ticker || '-' || id AS next FROM splits)", "splits", dates="date")
 def ticker_history(spark, sf):
     from barlight.sources.tables import corporate_actions_build
 
-    s = X.splits(spark, sf).where(F.col("ticker").isin("3", "5")).groupBy("ticker").agg(F.collect_list(F.struct(F.col("execution_date").alias("date"), F.concat_ws("-", "ticker", "id").alias("ticker"))).alias("events"))
+    s = X.splits(spark, sf).groupBy("ticker").agg(F.collect_list(F.struct(F.col("execution_date").alias("date"), F.concat_ws("-", "ticker", "id").alias("ticker"))).alias("events"))
     return corporate_actions_build(s).orderBy("ticker", "date")
-
-
-BOOK.queries["corporate_actions_build"], BOOK.sql["corporate_actions_build"] = BOOK.queries["ticker_history"], BOOK.sql["ticker_history"]

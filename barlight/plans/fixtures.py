@@ -56,12 +56,11 @@ def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").cast("string").alias("ticker"), (F.col("s_acctbal") * 1e6).alias("market_cap"), F.col("n_name").alias("exchange"), F.col("s_name").alias("sector"))
 
 
-SPLITS = [(str(t), f"{1996 + k}-0{1 + (t + 3 * k) % 9}-1{t}", 1.0, r) for t in range(10) for k, r in enumerate((2.0, 3.0, 10.0, 0.5)[: 2 + t % 3])]
-
-
 def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(t, d, f, r, k) for k, (t, d, f, r) in enumerate(SPLITS)], "ticker string, d string, split_from double, split_to double, id long")
-    return rows.withColumn("execution_date", F.to_date("d")).drop("d")
+    """A split of each of ten tickers in each odd year, on the day of its first order in that year."""
+    first = read(spark, sf_dir, "orders").select((F.col("o_custkey") % 10).alias("t"), F.to_date("o_orderdate").alias("d")).where("year(d) % 2 = 1").groupBy("t", F.year("d").alias("y")).agg(F.min("d").alias("execution_date"))
+    ratio = F.element_at(F.array(*map(F.lit, (2.0, 3.0, 10.0, 0.5))), ((F.col("t") + F.col("y")) % 4 + 1).cast("int"))
+    return first.select(F.col("t").cast("string").alias("ticker"), "execution_date", F.lit(1.0).alias("split_from"), ratio.alias("split_to"), (F.col("y") * 10 + F.col("t")).cast("long").alias("id"))
 
 
 TENORS = {"y1m": 30, "y3m": 91, "y6m": 182, "y1": 365, "y2": 730, "y5": 1825}
@@ -103,9 +102,9 @@ SQL = {
     "contracts": "SELECT p_brand AS ticker, p_retailprice AS strike, CAST(p_size AS BIGINT) AS dte, CASE WHEN p_partkey % 2 = 0 THEN 'C' ELSE 'P' END AS type, 'P' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS symbol, p_partkey FROM part",
     "chains": "SELECT c.*, CAST(l_shipdate AS DATE) AS day, 1 + l_quantity AS close, l_quantity AS volume, CAST(950 + l_suppkey % 50 AS DOUBLE) AS underlying, l_tax AS spread, l_orderkey AS line_order, l_discount + 0.1 AS iv, l_tax / 100 AS gamma, l_quantity * 10 AS open_interest, CASE WHEN type = 'C' THEN l_quantity / 51 ELSE -l_quantity / 51 END AS delta, l_quantity / 100 AS vega FROM lineitem JOIN contracts c ON l_partkey = c.p_partkey",
     "fundamentals": "SELECT CAST(s_suppkey AS VARCHAR) AS ticker, s_acctbal * 1e6 AS market_cap, n_name AS exchange, s_name AS sector FROM supplier JOIN nation ON s_nationkey = n_nationkey",
-    "splits": "SELECT * FROM (VALUES " + ", ".join(f"('{t}', DATE '{d}', CAST({f} AS DOUBLE), CAST({r} AS DOUBLE), {k})" for k, (t, d, f, r) in enumerate(SPLITS)) + ") AS s(ticker, execution_date, split_from, split_to, id)",
+    "splits": "SELECT CAST(t AS VARCHAR) AS ticker, execution_date, CAST(1 AS DOUBLE) AS split_from, [2::DOUBLE, 3::DOUBLE, 10::DOUBLE, 0.5::DOUBLE][1 + (t + y) % 4] AS split_to, CAST(y * 10 + t AS BIGINT) AS id FROM (SELECT o_custkey % 10 AS t, year(o_orderdate) AS y, min(CAST(o_orderdate AS DATE)) AS execution_date FROM orders WHERE year(o_orderdate) % 2 = 1 GROUP BY 1, 2)",
     "curve": "SELECT date, 2 + 0.1 * 0 + (n % 7) / 10.0 AS y1m, 2 + 0.1 * 1 + (n % 7) / 10.0 AS y3m, CASE WHEN n % 11 = 0 THEN 0.0 ELSE 2 + 0.1 * 2 + (n % 7) / 10.0 END AS y6m, 2 + 0.1 * 3 + (n % 7) / 10.0 AS y1, 2 + 0.1 * 4 + (n % 7) / 10.0 AS y2, 2 + 0.1 * 5 + (n % 7) / 10.0 AS y5 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS n FROM orders) WHERE n % 5 <> 0",
-    "trades_log": "SELECT CAST(l_suppkey % 10 AS VARCHAR) AS ticker, l_linestatus AS strategy, 1.5 + 0.5 * (l_linenumber % 3) AS rr_ratio, CASE l_returnflag WHEN 'R' THEN 'loss' WHEN 'A' THEN 'win' ELSE 'timeout' END AS result, l_extendedprice * (l_discount - 0.05) AS pnl, (l_discount - 0.05) * 100 AS pnl_pct, CAST(l_shipdate AS DATE) AS day, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS price, l_quantity AS quantity, l_tax AS tax FROM lineitem",
+    "trades_log": "SELECT CAST(l_suppkey % 10 AS VARCHAR) AS ticker, l_linestatus AS strategy, CAST(1.5 + 0.5 * (l_linenumber % 3) AS DOUBLE) AS rr_ratio, CASE l_returnflag WHEN 'R' THEN 'loss' WHEN 'A' THEN 'win' ELSE 'timeout' END AS result, l_extendedprice * (l_discount - 0.05) AS pnl, (l_discount - 0.05) * 100 AS pnl_pct, CAST(l_shipdate AS DATE) AS day, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS price, l_quantity AS quantity, l_tax AS tax FROM lineitem",
 }
 NEEDS = {"hour_bars": ["ticks"], "chains": ["contracts"]}
 

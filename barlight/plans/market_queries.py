@@ -16,6 +16,8 @@ from barlight.plans.book import Book
 
 BOOK = Book()
 add = BOOK.add
+#: Event types, which are the tickers here.
+EVENTS = ("click", "error", "purchase", "signup", "view")
 HOUR = 3600 * 10**9
 
 TRADE_BARS = f"""
@@ -107,19 +109,15 @@ def exchange_heatmap(spark, sf):
     return M.exchange_heatmap(X.ticks(spark, sf))
 
 
-BOOK.queries["complete_grid"], BOOK.sql["complete_grid"] = BOOK.queries["exchange_heatmap"], BOOK.sql["exchange_heatmap"]
-
-
 @add("""WITH d AS (SELECT ticker, ts, close / lag(close) OVER (PARTITION BY ticker ORDER BY ts) - 1 AS r FROM hour_bars), k AS (SELECT ts FROM d GROUP BY ts HAVING count(r) = (SELECT count(DISTINCT ticker) FROM hour_bars))
   SELECT a.ticker AS a, b.ticker AS b, corr(a.r, b.r) AS corr FROM d a JOIN d b ON a.ts = b.ts AND a.ticker < b.ticker JOIN k ON k.ts = a.ts GROUP BY 1, 2""", "hour_bars", doubles="corr")
 def correlation_matrix(spark, sf):
     return M.correlation_matrix(X.hour_bars(spark, sf))
 
 
-@add("SELECT ts, " + ", ".join(f"max(CASE WHEN ticker = '{t}' THEN close END) AS {t}" for t in ("click", "view", "signup")) + " FROM hour_bars WHERE ticker IN ('click', 'view', 'signup') GROUP BY 1", "hour_bars", doubles="click view signup", dates="ts")
+@add("SELECT ts, " + ", ".join(f"max(CASE WHEN ticker = '{t}' THEN close END) AS {t}" for t in EVENTS) + " FROM hour_bars GROUP BY 1", "hour_bars", doubles=" ".join(EVENTS), dates="ts")
 def outer_align_closes(spark, sf):
-    bars = X.hour_bars(spark, sf).where(F.col("ticker").isin("click", "view", "signup"))
-    return J.outer_align_closes(bars, ["click", "view", "signup"])
+    return J.outer_align_closes(X.hour_bars(spark, sf), list(EVENTS))
 
 
 @add("SELECT ticker, day, open, close, (close - open) / open * 100 AS change_pct FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY day DESC) AS n FROM day_bars) WHERE n = 2", "day_bars", doubles="open close change_pct", dates="day")
@@ -205,20 +203,21 @@ def date_range_filter(spark, sf):
     return X.read(spark, sf, "events").where(P.date_range_filter(F.col("ts"), "2024-01-05", "2024-01-09") & P.range_filter(F.col("value"), 10, 20)).select("event_id", "user_id", "value")
 
 
-BOOK.queries["range_filter"], BOOK.sql["range_filter"] = BOOK.queries["date_range_filter"], BOOK.sql["date_range_filter"]
-
-
 @add("SELECT DISTINCT split_part(upper(trim(p_brand || '-' || p_size)), '-', 1) AS ticker FROM part")
 def clean_ticker(spark, sf):
     return J.ticker_list_distinct([X.read(spark, sf, "part").select(F.concat_ws("-", "p_brand", "p_size").alias("ticker"))], S.clean_ticker(F.col("ticker")))
 
 
-BOOK.queries["ticker_list_distinct"], BOOK.sql["ticker_list_distinct"] = BOOK.queries["clean_ticker"], BOOK.sql["clean_ticker"]
+@add("SELECT CAST(d AS DATE) AS day FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders) WHERE isodow(d) <= 5", dates="day")
+def weekday_calendar(spark, sf):
+    return M.calendar(X.read(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day")))
 
 
-@add("SELECT CAST(d AS DATE) AS day FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-12-31', INTERVAL 1 DAY)) AS d) WHERE isodow(d) <= 5", dates="day")
+@add("SELECT CAST(d AS DATE) AS day, count(DISTINCT b.ticker) AS tickers FROM (SELECT unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM day_bars) LEFT JOIN day_bars b ON b.day = CAST(d AS DATE) WHERE isodow(d) <= 5 GROUP BY 1", "day_bars", dates="day")
 def trading_days(spark, sf):
-    return M.trading_days(spark, "2024-01-01", "2024-12-31")
+    bars = X.day_bars(spark, sf)
+    traded = bars.groupBy("day").agg(F.countDistinct("ticker").alias("tickers"))
+    return M.calendar(bars).join(traded, "day", "left").fillna(0, ["tickers"])
 
 
 @add("SELECT p_partkey, 'BRAND' AS root, make_date(2000 + p_size % 30, 1 + p_size % 12, 1 + p_size % 28) AS expiry, CASE WHEN p_partkey % 2 = 0 THEN 'C' ELSE 'P' END AS type, p_retailprice AS strike FROM part", doubles="strike", dates="expiry")
@@ -237,10 +236,6 @@ def time_zone_bucket(spark, sf):
     return X.read(spark, sf, "events").select("event_id", S.time_zone_bucket(ts).alias("part"), S.session_label(ts, weekend).alias("session"), S.in_session(ts, 570, 660).alias("trading"))
 
 
-for _n in ("session_label", "session_filter"):
-    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries["time_zone_bucket"], BOOK.sql["time_zone_bucket"]
-
-
 @add("SELECT ticker, g, market_cap / sum(market_cap) OVER (PARTITION BY g) AS weight FROM (SELECT *, CASE WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 100 AND 999 THEN 'Agriculture' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 1000 AND 1499 THEN 'Mining' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 1500 AND 1799 THEN 'Construction' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 2000 AND 3999 THEN 'Manufacturing' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 4000 AND 4999 THEN 'Transportation' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 5000 AND 5199 THEN 'Wholesale' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 5200 AND 5999 THEN 'Retail' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 6000 AND 6799 THEN 'Finance' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 7000 AND 8999 THEN 'Services' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 9100 AND 9729 THEN 'Public Administration' WHEN CAST(ticker AS INTEGER) * 97 % 10000 BETWEEN 9900 AND 9999 THEN 'Nonclassifiable' ELSE 'Other' END AS g FROM fundamentals WHERE market_cap > 0)", "fundamentals", doubles="weight")
 def sic_group_weights(spark, sf):
     f = X.fundamentals(spark, sf).withColumn("sic", F.col("ticker").cast("int") * 97 % 10000)
@@ -261,9 +256,6 @@ def build_universes(spark, sf):
     return G.build_universes(stats, {"top3": (1, 3), "next4": (4, 7), "top8": (1, 8)})
 
 
-BOOK.queries["write_universe"], BOOK.sql["write_universe"] = BOOK.queries["build_universes"], BOOK.sql["build_universes"]
-
-
 @add("SELECT s.ticker, dollar_volume, mean_close, market_cap FROM (SELECT ticker, sum(close * volume) AS dollar_volume, avg(close) AS mean_close FROM day_bars GROUP BY 1) s LEFT JOIN fundamentals f ON s.ticker = f.ticker", "day_bars", "fundamentals", doubles="dollar_volume mean_close market_cap", places=2)
 def universe_stats(spark, sf):
     return M.universe_stats(X.day_bars(spark, sf), X.fundamentals(spark, sf))
@@ -295,10 +287,3 @@ def enrich_reference_join(spark, sf):
 @add("SELECT p_partkey, p_name, p_size FROM part WHERE p_size >= 10 AND p_size < 30 AND p_type IN ('ECONOMY', 'SMALL') ORDER BY p_partkey DESC LIMIT 40")
 def reference_query(spark, sf):
     return M.listing(X.read(spark, sf, "part"), 40, "p_partkey", False, p_size__gte=10, p_size__lt=30, p_type__any_of=["ECONOMY", "SMALL"]).select("p_partkey", "p_name", "p_size")
-
-
-BOOK.queries["compare_filter"], BOOK.sql["compare_filter"] = BOOK.queries["reference_query"], BOOK.sql["reference_query"]
-
-
-for _n, _same in (("last_crypto_trade", "last_trade"), ("last_forex_quote", "last_quote"), ("summaries", "snapshot"), ("weekday_calendar", "trading_days")):
-    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries[_same], BOOK.sql[_same]

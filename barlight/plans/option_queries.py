@@ -25,9 +25,6 @@ def has_time_premium(spark, sf):
     return O.has_time_premium(O.valid_contracts(X.chains(spark, sf))).select("symbol", "day", "line_order", "close")
 
 
-BOOK.queries["valid_contracts"], BOOK.sql["valid_contracts"] = BOOK.queries["has_time_premium"], BOOK.sql["has_time_premium"]
-
-
 @add("""WITH e AS (SELECT *, CAST(day + CAST(dte AS INTEGER) AS DATE) AS expiry FROM chains), x AS (SELECT symbol, line_order, close, underlying, strike, expiry, dte, greatest(CASE WHEN type = 'C' THEN underlying - strike ELSE strike - underlying END, 0) AS intrinsic FROM e)
   SELECT symbol, line_order, CAST(dte AS INTEGER) AS dte, CASE WHEN isodow(expiry) = 5 AND extract(day FROM expiry) BETWEEN 15 AND 21 THEN 'Monthly' WHEN isodow(expiry) = 5 OR dte <= 7 THEN 'Weekly' ELSE 'Monthly' END AS expiry_type, underlying / strike AS moneyness, intrinsic, greatest(close - intrinsic, 0) AS extrinsic, close AS mid FROM x""", "chains", doubles="moneyness intrinsic extrinsic mid", places=6)
 def chain_enrich(spark, sf):
@@ -53,10 +50,6 @@ def option_features(spark, sf):
     return O.option_features(_day_rows(spark, sf))
 
 
-for _n in ("chain_features",):
-    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries["option_features"], BOOK.sql["option_features"]
-
-
 def _day_rows(spark, sf):
     """One row a contract and month."""
     first = lambda c: F.first(c).alias(c)
@@ -81,9 +74,6 @@ def chain_daily_features(spark, sf):
     return O.chain_daily_features(X.chains(spark, sf))
 
 
-BOOK.queries["chain_day_join"], BOOK.sql["chain_day_join"] = BOOK.queries["chain_daily_features"], BOOK.sql["chain_daily_features"]
-
-
 @add("SELECT ticker, day, nullif(sum(gamma * open_interest * underlying * 100), 0) AS gex, nullif(sum(delta * open_interest * underlying * 100), 0) AS dex, coalesce(sum(volume) FILTER (type = 'C'), 0) AS call_volume, coalesce(sum(volume) FILTER (type = 'P'), 0) AS put_volume, coalesce(sum(open_interest) FILTER (type = 'C'), 0) AS call_oi, coalesce(sum(open_interest) FILTER (type = 'P'), 0) AS put_oi, sum(open_interest) AS total_oi, coalesce(sum(volume) FILTER (type = 'P'), 0) / nullif(sum(volume) FILTER (type = 'C'), 0) AS pcr FROM chains GROUP BY 1, 2", "chains", doubles="gex dex call_volume put_volume call_oi put_oi total_oi pcr", dates="day")
 def chain_snapshot_features(spark, sf):
     return O.chain_snapshot_features(X.chains(spark, sf))
@@ -108,9 +98,6 @@ def skew_25d(spark, sf):
     return O.skew_25d(c)
 
 
-BOOK.queries["iv_at_delta"], BOOK.sql["iv_at_delta"] = BOOK.queries["skew_25d"], BOOK.sql["skew_25d"]
-
-
 @add("SELECT ticker, sip_ns // 3600000000000 AS bucket, avg(ask_price - bid_price) AS mean_spread, avg(bid_size) AS mean_bid_size, avg(ask_size) AS mean_ask_size, avg((bid_size - ask_size) / (bid_size + ask_size)) AS mean_imbalance FROM quotes GROUP BY 1, 2", "quotes", doubles="mean_spread mean_bid_size mean_ask_size mean_imbalance", places=6)
 def option_quote_features(spark, sf):
     return O.option_quote_features(X.quotes(spark, sf).withColumn("bucket", F.expr("sip_ns div 3600000000000")))
@@ -141,16 +128,24 @@ def yields_build(spark, sf):
     return X.curve(spark, sf).orderBy("date")
 
 
-@add(None)
+def _quoted(spark, sf, add_iv: float, kind):
+    """Chain rows near the money, at the price that their volatility gives: solving must give it back."""
+    c = X.chains(spark, sf).withColumn("strike", F.col("underlying") * (0.95 + (F.col("line_order") % 7) / 100)).withColumn("dte", F.col("dte") + 30)
+    return c.select("symbol", "day", "line_order", "underlying", F.lit(0.04).alias("rate"), "strike", "dte", kind.alias("type"), O.price_of(F.col("iv") + add_iv, F.col("underlying"), F.col("strike"), F.lit(0.04), F.col("dte") / 365, kind == "C").alias("close"))
+
+
+@add("SELECT symbol, day, line_order, iv, CASE WHEN type = 'C' THEN 1 ELSE -1 END AS side FROM chains", "chains", doubles="iv", dates="day", places=3)
 def enrich_greeks(spark, sf):
-    c = X.chains(spark, sf).withColumn("rate", F.lit(0.04)).select("symbol", "day", "line_order", "underlying", "strike", "rate", "close", "dte", "type")
-    return O.enrich_greeks(c)
+    return O.enrich_greeks(_quoted(spark, sf, 0.0, F.col("type"))).select("symbol", "day", "line_order", "iv", F.signum("delta").cast("int").alias("side"))
 
 
-@add(None)
+@add("SELECT symbol, day, line_order, iv AS call_iv, iv + 0.05 AS put_iv, 1 AS call_side, -1 AS put_side FROM chains", "chains", doubles="call_iv put_iv", dates="day", places=3)
 def enrich_feature_greeks(spark, sf):
-    c = X.chains(spark, sf).where("type = 'C'").select("symbol", "day", "line_order", "underlying", F.lit(0.04).alias("rate"), F.col("strike").alias("call_strike"), F.col("close").alias("call_close"), F.col("dte").alias("call_dte"), F.lit("C").alias("call_type"), F.col("strike").alias("put_strike"), (F.col("close") + 5).alias("put_close"), F.col("dte").alias("put_dte"), F.lit("P").alias("put_type"))
-    return O.enrich_feature_greeks(c, ("call", "put"))
+    c = X.chains(spark, sf).withColumn("strike", F.col("underlying") * (0.95 + (F.col("line_order") % 7) / 100)).withColumn("dte", F.col("dte") + 30)
+    price = lambda more, call: O.price_of(F.col("iv") + more, F.col("underlying"), F.col("strike"), F.lit(0.04), F.col("dte") / 365, F.lit(call))
+    sides = [x for p, kind, more in (("call", "C", 0.0), ("put", "P", 0.05)) for x in (F.col("strike").alias(f"{p}_strike"), F.col("dte").alias(f"{p}_dte"), F.lit(kind).alias(f"{p}_type"), price(more, kind == "C").alias(f"{p}_close"))]
+    done = O.enrich_feature_greeks(c.select("symbol", "day", "line_order", "underlying", F.lit(0.04).alias("rate"), *sides), ("call", "put"))
+    return done.select("symbol", "day", "line_order", "call_iv", "put_iv", F.signum("call_delta").cast("int").alias("call_side"), F.signum("put_delta").cast("int").alias("put_side"))
 
 
 @add("SELECT b.ticker, b.day, b.close, coalesce((SELECT product(split_to / split_from) FROM splits s WHERE s.ticker = b.ticker AND s.execution_date > b.day), 1) AS factor FROM day_bars b", "day_bars", "splits", doubles="close factor", dates="day", places=6)
@@ -171,13 +166,24 @@ def dedupe_splits(spark, sf):
     return S.dedupe_splits(s.unionByName(again)).select("ticker", "execution_date", "split_from", "split_to", "id")
 
 
-@add("SELECT b.ticker, b.day, CASE WHEN b.day < r.d THEN close / r.f ELSE close END AS close, CASE WHEN b.day < r.d THEN volume * r.f ELSE volume END AS volume FROM day_bars b LEFT JOIN (SELECT ticker, max(execution_date) AS d, arg_max(split_to, execution_date) AS f FROM splits GROUP BY 1) r ON b.ticker = r.ticker", "day_bars", "splits", doubles="close volume", dates="day", places=6)
+LATER = "(SELECT b.*, coalesce((SELECT product(split_to / split_from) FROM splits s WHERE s.ticker = b.ticker AND s.execution_date > b.day), 1) AS f FROM day_bars b)"
+
+
+def _records(spark, sf):
+    return X.splits(spark, sf).select("ticker", F.col("execution_date").alias("split_date"), (F.col("split_to") / F.col("split_from")).alias("factor"))
+
+
+@add(f"SELECT ticker, day, close / f AS close, volume * f AS volume FROM {LATER}", "day_bars", "splits", doubles="close volume", dates="day", places=4)
 def adjust_trades_quotes(spark, sf):
-    r = X.splits(spark, sf).groupBy("ticker").agg(F.max("execution_date").alias("split_date"), F.max_by("split_to", "execution_date").alias("factor"))
-    return S.adjust_trades_quotes(X.day_bars(spark, sf).select("ticker", "day", "close", "volume"), r, ("close",), ("volume",))
+    return S.adjust_trades_quotes(X.day_bars(spark, sf).select("ticker", "day", "close", "volume"), _records(spark, sf), ("close",), ("volume",))
+
+
+@add(f"SELECT ticker, day, f AS later_factor FROM {LATER} WHERE f <> 1", "day_bars", "splits", doubles="later_factor", dates="day", places=4)
+def split_record_join(spark, sf):
+    steps = _records(spark, sf).select("ticker", F.col("split_date").alias("execution_date"), F.col("factor").alias("split_to"), F.lit(1.0).alias("split_from"))
+    return J.split_factor_join(X.day_bars(spark, sf).select("ticker", "day"), steps, name="later_factor").where("later_factor <> 1")
 
 
-BOOK.queries["split_record_join"], BOOK.sql["split_record_join"] = BOOK.queries["adjust_trades_quotes"], BOOK.sql["adjust_trades_quotes"]
 STEP = "rt AS (SELECT ticker, day, (CASE WHEN day < DATE '1998-03-0' || (1 + CAST(ticker AS INTEGER) % 9) THEN 1 + CAST(ticker AS INTEGER) % 4 ELSE 1 END) * (1 + (extract(day FROM day) % 5) / 100) AS ratio FROM day_bars)".replace("DATE '1998-03-0' || (1 + CAST(ticker AS INTEGER) % 9)", "make_date(1998, 3, 1 + CAST(ticker AS INTEGER))")
 
 

@@ -37,9 +37,6 @@ def event_counter(spark, sf):
     return E.run_available(E.event_counter(E.parse_events(messages(spark, sf))))
 
 
-BOOK.queries["parse_events"], BOOK.sql["parse_events"] = BOOK.queries["event_counter"], BOOK.sql["event_counter"]
-
-
 @add(f"WITH {TRADES} SELECT symbol, count(*) AS trades, sum(price * size) AS cash FROM tr GROUP BY 1", doubles="cash", places=2)
 def running_totals(spark, sf):
     return E.run_available(E.running_totals(_trades(spark, sf)))

@@ -89,14 +89,14 @@ def by_quintile(spark, sf):
 
 
 NUMBERED = "b AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY ts) - 1 AS bar_no FROM hour_bars)"
-ENTRY = "s AS (SELECT ticker, bar_no, CASE WHEN bar_no % 2 = 0 THEN 1 ELSE -1 END AS direction, close AS entry, close - (CASE WHEN bar_no % 2 = 0 THEN 1 ELSE -1 END) * close * 0.3 AS stop, close + (CASE WHEN bar_no % 2 = 0 THEN 1 ELSE -1 END) * close * 0.6 AS target, ticker || bar_no AS id FROM b WHERE bar_no % 7 = 3)"
+ENTRY = "s AS (SELECT ticker, bar_no, CASE WHEN bar_no % 2 = 0 THEN 1 ELSE -1 END AS direction, close AS entry, close - (CASE WHEN bar_no % 2 = 0 THEN 1 ELSE -1 END) * close * 0.3 AS stop, close + (CASE WHEN bar_no % 2 = 0 THEN 1 ELSE -1 END) * close * 0.6 AS target, ticker || bar_no AS id FROM b)"
 
 
 def _walk(spark, sf):
     bars = X.hour_bars(spark, sf).withColumn("bar_no", W.bar_number().cast("long"))
     d = F.when(F.col("bar_no") % 2 == 0, 1).otherwise(-1)
     c = F.col("close")
-    s = bars.where("bar_no % 7 = 3").select("ticker", "bar_no", d.alias("direction"), c.alias("entry"), (c - d * c * 0.3).alias("stop"), (c + d * c * 0.6).alias("target"), F.concat("ticker", F.col("bar_no").cast("string")).alias("id"), (c - d * c * 0.3).alias("stop_abs"), F.lit(None).cast("double").alias("stop_offset"))
+    s = bars.select("ticker", "bar_no", d.alias("direction"), c.alias("entry"), (c - d * c * 0.3).alias("stop"), (c + d * c * 0.6).alias("target"), F.concat("ticker", F.col("bar_no").cast("string")).alias("id"), (c - d * c * 0.3).alias("stop_abs"), F.lit(None).cast("double").alias("stop_offset"))
     return s, bars
 
 
@@ -127,12 +127,12 @@ def audit_ambiguous_bars(spark, sf):
     return T.audit_ambiguous_bars(s.select("ticker", "bar_no", "direction", "entry", "stop", "target", "id"), bars, 20)
 
 
-@add(f"""WITH {NUMBERED}, {ENTRY}, g AS (SELECT rr, timeout, s.* FROM s, (VALUES (1.5::DOUBLE), (2.5::DOUBLE)) AS r(rr), (VALUES (5), (15)) AS o(timeout)), h AS (SELECT g.*, entry + (entry - stop) * rr AS tg, b.bar_no AS xat, b.high AS bh, b.low AS bl, b.close AS bc FROM g JOIN b ON g.ticker = b.ticker AND b.bar_no BETWEEN g.bar_no + 1 AND g.bar_no + timeout),
+@add(f"""WITH {NUMBERED}, {ENTRY}, g AS (SELECT rr, timeout, s.* FROM s, (VALUES (1.5::DOUBLE), (2::DOUBLE), (2.5::DOUBLE)) AS r(rr), (VALUES (15), (30), (60), (120)) AS o(timeout)), h AS (SELECT g.*, entry + (entry - stop) * rr AS tg, b.bar_no AS xat, b.high AS bh, b.low AS bl, b.close AS bc FROM g JOIN b ON g.ticker = b.ticker AND b.bar_no BETWEEN g.bar_no + 1 AND g.bar_no + timeout),
   f AS (SELECT rr, timeout, id, direction, entry, stop, tg, min(xat) FILTER ((direction = 1 AND bh >= tg) OR (direction = -1 AND bl <= tg)) AS t, min(xat) FILTER ((direction = 1 AND bl <= stop) OR (direction = -1 AND bh >= stop)) AS k, arg_max(bc, xat) AS c FROM h GROUP BY ALL), r AS (SELECT *, CASE WHEN k IS NOT NULL AND (t IS NULL OR k <= t) THEN 'loss' WHEN t IS NOT NULL THEN 'win' ELSE 'timeout' END AS result FROM f),
   p AS (SELECT rr, timeout, result, ((CASE result WHEN 'loss' THEN stop WHEN 'win' THEN tg ELSE c END) - entry) * direction AS pnl FROM r) SELECT rr, timeout, {metrics_sql()} FROM p GROUP BY ALL""", "hour_bars", doubles=f"rr {METRICS}")
 def robustness_grid(spark, sf):
     s, bars = _walk(spark, sf)
-    return T.robustness_grid(s.select("ticker", "bar_no", "direction", "entry", "stop", "id"), bars, (1.5, 2.5), (5, 15))
+    return T.robustness_grid(s.select("ticker", "bar_no", "direction", "entry", "stop", "id"), bars, (1.5, 2.0, 2.5), (15, 30, 60, 120))
 
 
 @add(f"WITH {NUMBERED}, {ENTRY}, z AS (SELECT id, entry, stop, least(floor(500 / nullif(abs(entry - stop), 0)), floor(10000 / (entry * 0.25))) AS shares FROM s) SELECT id, entry, stop, CAST(shares AS BIGINT) AS shares, shares * entry AS notional, shares * entry * 0.25 AS margin, greatest(0.35, shares * 0.0001) AS commission FROM z WHERE shares > 0", "hour_bars", doubles="entry stop notional margin commission", places=6)

@@ -26,16 +26,11 @@ def returns(spark, sf):
     return X.hour_bars(spark, sf).select("ticker", "ts", W.bar_number().cast("long").alias("bar_no"), W.returns().alias("ret"), W.log_returns().alias("log_ret"), W.bar_range().alias("bar_range"))
 
 
-for _n in ("bar_number", "log_returns", "bar_range"):
-    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries["returns"], BOOK.sql["returns"]
-
-
 @add(f"WITH {PLAIN}, t AS (SELECT *, coalesce(greatest(high - low, abs(high - pc), abs(low - pc)), high - low) AS tr FROM b) SELECT ticker, ts, tr AS true_range, {gate('avg', 'tr', -13, 0, 14)} AS atr FROM t", "hour_bars", doubles="true_range atr", dates="ts")
 def atr(spark, sf):
     return W.with_atr(X.hour_bars(spark, sf)).select("ticker", "ts", "true_range", "atr")
 
 
-BOOK.queries["true_range"], BOOK.sql["true_range"] = BOOK.queries["atr"], BOOK.sql["atr"]
 CHANGE = "t AS (SELECT *, coalesce(close - pc, 0) AS ch FROM b), g AS (SELECT *, greatest(ch, 0) AS up, greatest(-ch, 0) AS down FROM t)"
 
 
@@ -53,16 +48,11 @@ def rel_vol(spark, sf):
     return W.with_return_stdev(W.with_volume_ma(X.hour_bars(spark, sf))).select("ticker", "ts", "volume_ma", "rel_vol", "return_stdev")
 
 
-for _n in ("volume_ma", "return_stdev"):
-    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries["rel_vol"], BOOK.sql["rel_vol"]
-
-
 @add("WITH s AS (SELECT ticker, ts, close, sum(close * volume) OVER w / sum(volume) OVER w AS session_vwap FROM hour_bars WINDOW w AS (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts)) SELECT ticker, ts, session_vwap, (close - session_vwap) / session_vwap * 100 AS vwap_dist_pct FROM s", "hour_bars", doubles="session_vwap vwap_dist_pct", dates="ts", places=6)
 def session_vwap(spark, sf):
     return W.with_session_vwap(X.hour_bars(spark, sf)).select("ticker", "ts", "session_vwap", "vwap_dist_pct")
 
 
-BOOK.queries["vwap_dist_pct"], BOOK.sql["vwap_dist_pct"] = BOOK.queries["session_vwap"], BOOK.sql["session_vwap"]
 ROLL = f"CASE WHEN count(close) {W_} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) = 20 THEN sum(close * volume) {W_} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) / (sum(volume) {W_} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) + 1e-9) END"
 PREPARED = f"""{PLAIN}, {CHANGE}, {rsi_sql(5)}, m AS (SELECT *, abs(close - pc) AS mv FROM rs),
   p0 AS (SELECT *, {gate('max', 'high', -5, -1, 5)} AS prior_high, {gate('min', 'low', -5, -1, 5)} AS prior_low, {gate('avg', 'volume', -5, -1, 5)} AS prior_avg_volume, {gate('avg', 'mv', -9, -1, 9).replace('9 PRECEDING AND', '10 PRECEDING AND').replace('10 PRECEDING AND 1', '9 PRECEDING AND 1')} AS atr10, {ROLL} AS vwap20,
@@ -75,10 +65,6 @@ def rolling_vwap(spark, sf):
     return G.prepared(X.hour_bars(spark, sf)).select("ticker", "ts", "prior_high", "prior_low", "prior_avg_volume", F.col("atr10").alias("local_atr"), F.col("vwap20").alias("rolling_vwap"), F.col("spike").alias("volume_spike"), F.col("move").alias("price_move"))
 
 
-for _n in ("local_atr", "prior_high", "prior_low", "prior_avg_volume", "price_move", "volume_spike"):
-    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries["rolling_vwap"], BOOK.sql["rolling_vwap"]
-
-
 @add(f"SELECT ticker, ts, {gate('avg', 'close', -19, 0, 20)} AS sma FROM hour_bars", "hour_bars", doubles="sma", dates="ts")
 def sma(spark, sf):
     return X.hour_bars(spark, sf).select("ticker", "ts", W.sma().alias("sma"))
@@ -143,9 +129,6 @@ def trade_count_anomaly(spark, sf):
     return W.trade_count_anomaly(X.day_bars(spark, sf), above=3.03)
 
 
-BOOK.queries["lookup_table_build"], BOOK.sql["lookup_table_build"] = BOOK.queries["trade_count_anomaly"], BOOK.sql["trade_count_anomaly"]
-
-
 @add("SELECT ticker, day, CASE WHEN count(close) OVER w >= 5 THEN avg(close) OVER w END AS m FROM day_bars WINDOW w AS (PARTITION BY ticker ORDER BY day ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)", "day_bars", doubles="m", dates="day")
 def lookback_mean(spark, sf):
     days = X.day_bars(spark, sf)
@@ -178,10 +161,6 @@ def equity_curve(spark, sf):
     days = X.trades_log(spark, sf).groupBy("ticker", "day").agg(F.sum("pnl").alias("pnl"))
     return W.equity(days, ["ticker"], ["day"], "pnl", 1e6).drop("pnl")
 
-
-for _n in ("running_pnl", "drawdown"):
-    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries["equity_curve"], BOOK.sql["equity_curve"]
-
 SIG = "SELECT ticker, ts, bar_no, CAST(direction AS INTEGER) AS direction, strategy, stop_abs, stop_offset FROM (SELECT ticker, ts, bar_no, {direction} AS direction, '{name}' AS strategy, CAST({stop_abs} AS DOUBLE) AS stop_abs, CAST({stop_offset} AS DOUBLE) AS stop_offset FROM {source}) WHERE direction <> 0"
 HIT = "bar_no >= 10 AND high > prior_high AND volume > 1.2 * prior_avg_volume"
 SIGNALS = {
@@ -230,10 +209,6 @@ def generate_signals(spark, sf):
     return out.withColumn("bar_no", F.col("bar_no").cast("long"))
 
 
-for _n in ("sig_confluence", "confluence_semi_join"):
-    BOOK.queries[_n], BOOK.sql[_n] = BOOK.queries["generate_signals"], BOOK.sql["generate_signals"]
-
-
 @add("SELECT ticker, ts, 0 AS bar_no FROM hour_bars WHERE false", "hour_bars", dates="ts")
 def lookahead_check(spark, sf):
     return G.lookahead_check(X.hour_bars(spark, sf), "momentum_breakout", 300).select("ticker", "ts", F.col("bar_no").cast("int").alias("bar_no"))
@@ -252,13 +227,10 @@ def align_feature_bars(spark, sf):
     return J.align_feature_bars(X.hour_bars(spark, sf).select("ticker", "ts", "close"), t, q)
 
 
-BOOK.queries["prefix_columns"], BOOK.sql["prefix_columns"] = BOOK.queries["align_feature_bars"], BOOK.sql["align_feature_bars"]
-
-
-@add("WITH b AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY ts) - 1 AS bar_no FROM hour_bars) SELECT a.ticker, a.bar_no, CAST(b.bar_no AS BIGINT) AS at, b.open AS b_open, b.close AS b_close FROM b a JOIN b ON a.ticker = b.ticker AND b.bar_no BETWEEN a.bar_no + 1 AND a.bar_no + 4 WHERE a.bar_no % 10 = 0", "hour_bars", doubles="b_open b_close")
+@add("WITH b AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY ts) - 1 AS bar_no FROM hour_bars) SELECT a.ticker, a.bar_no, CAST(b.bar_no AS BIGINT) AS at, b.open AS b_open, b.close AS b_close FROM b a JOIN b ON a.ticker = b.ticker AND b.bar_no BETWEEN a.bar_no + 1 AND a.bar_no + 4", "hour_bars", doubles="b_open b_close")
 def forward_range_join(spark, sf):
     bars = X.hour_bars(spark, sf).withColumn("bar_no", W.bar_number().cast("long"))
-    return J.forward_range_join(bars.where("bar_no % 10 = 0").select("ticker", "bar_no"), bars, 1, 4).select("ticker", "bar_no", "at", "b_open", "b_close")
+    return J.forward_range_join(bars.select("ticker", "bar_no"), bars, 1, 4).select("ticker", "bar_no", "at", "b_open", "b_close")
 
 
 @add("SELECT CAST(ticker AS VARCHAR) AS ticker, day, CAST(n AS INTEGER) AS \"rank\" FROM (SELECT ticker, day, row_number() OVER (PARTITION BY day ORDER BY volume DESC, ticker) AS n FROM day_bars)", "day_bars", dates="day")

@@ -10,6 +10,7 @@ from barlight.functions.scalars import naive_ts_to_utc, parse_occ_symbol, to_num
 
 BARS = "ticker string, ts timestamp_ntz, open double, high double, low double, close double, volume double, vwap double, transactions long, otc boolean"
 TRADE_BARS = "ticker string, ts timestamp_ntz, trade_count long, volume double, vwap double, avg_size double, median_size double, max_size double, size_stdev double, buy_volume double, sell_volume double, delta double, cumulative_delta double, delta_pct double, aggression_ratio double, trade_frequency double, large_trade_count long, large_trade_ratio double, avg_seconds_between_trades double"
+QUOTE_BARS = "ticker string, ts timestamp_ntz, quote_count long, avg_bid double, avg_ask double, avg_spread double, avg_bid_size double, avg_ask_size double, bid_ask_imbalance double, quote_frequency double"
 OPTION_FLATFILE = "ticker string, volume long, open double, close double, high double, low double, window_start long, transactions long"
 QUOTE_FLATFILE = "ticker string, ask_exchange int, ask_price double, ask_size double, bid_exchange int, bid_price double, bid_size double, sequence_number long, sip_timestamp long"
 TRADE_FLATFILE = "ticker string, conditions string, correction int, exchange int, id string, participant_timestamp long, price double, sequence_number long, sip_timestamp long, size double, tape int, trf_id long, trf_timestamp long"
@@ -52,6 +53,16 @@ def scan_trade_bars(spark: SparkSession, root: str, agg: str, year: int) -> Data
     return conform(spark.read.parquet(root).where((F.col("agg") == agg) & (F.col("year") == year)), TRADE_BARS)
 
 
+def scan_quote_bars(spark: SparkSession, root: str, agg: str, year: int) -> DataFrame:
+    return conform(spark.read.parquet(root).where((F.col("agg") == agg) & (F.col("year") == year)), QUOTE_BARS)
+
+
+def scan_option_features(spark: SparkSession, root: str, agg: str, tickers: list[str] | None = None) -> DataFrame:
+    """Option features of a size, with all columns of the table but its partition's."""
+    df = spark.read.parquet(root).where(F.col("agg") == agg).drop("agg")
+    return df if tickers is None else df.where(F.col("ticker").isin(tickers))
+
+
 def scan_chains(spark: SparkSession, root: str, agg: str, fallback: str = "1min") -> DataFrame:
     """Chains of the wanted size where a ticker has them, else of the fallback."""
     both = spark.read.parquet(root).where(F.col("agg").isin(agg, fallback))
@@ -79,13 +90,16 @@ def scan_trade_flatfile(spark: SparkSession, path: str) -> DataFrame:
     return scan_csv(spark, path, TRADE_FLATFILE)
 
 
-def ingest_json_payloads(spark: SparkSession, path: str, dataset: str, schema: str) -> DataFrame:
-    """Rows of pages of JSON, each with an array `results`; short keys get their names, missing columns are null."""
+def ingest_json_payloads(spark: SparkSession, path: str, dataset: str, schema: str, page_a_file: bool = True) -> DataFrame:
+    """Rows of pages of JSON, each with an array `results`; short keys get their names, missing columns are null.
+
+    A page is a file, or with page_a_file=False a line.
+    """
     short = SHORT_KEYS.get(dataset, {})
     fields = T._parse_datatype_string(schema).fields
     back = {v: k for k, v in short.items()}
     raw = T.StructType([T.StructField("results", T.ArrayType(T.StructType([T.StructField(n, f.dataType) for f in fields for n in dict.fromkeys((f.name, back.get(f.name, f.name)))])))])
-    rows = spark.read.schema(raw).option("multiLine", True).option("mode", "PERMISSIVE").json(path).select(F.explode("results").alias("r"))
+    rows = spark.read.schema(raw).option("multiLine", page_a_file).option("mode", "PERMISSIVE").json(path).select(F.explode("results").alias("r"))
     value = lambda f: F.coalesce(F.col(f"r.`{f.name}`"), F.col(f"r.`{back.get(f.name, f.name)}`"))
     return rows.select(*(value(f).alias(f.name) for f in fields))
 

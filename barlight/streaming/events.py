@@ -6,14 +6,14 @@ progress.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlight.sources.shared import new_path
+
 WATERMARK = "10 seconds"
 
 # Single-letter keys of the messages of all markets, and what they stand for.
@@ -111,8 +111,7 @@ def run_available(stream: DataFrame, mode: str = "complete") -> DataFrame:
     Batches are written to the folder that the cluster shares.
     """
     spark: SparkSession = stream.sparkSession
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="barlight-")
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = new_path(spark)
     done: list[str] = []
 
     def batch(df: DataFrame, number: int) -> None:

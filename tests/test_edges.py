@@ -74,7 +74,7 @@ def test_scores_without_deviation_are_the_middle(spark):
 def test_order_book(spark):
     level = "array<struct<price:double,x:map<string,double>>>"
     df = spark.createDataFrame([("A", [(1.0, {"a": 1.0}), (2.0, {"b": 1.0})], [(3.0, {"a": 1.0})])], f"ticker string, bids {level}, asks {level}")
-    r = market.order_book_l2(df).first()
+    r = market.order_book_l2(market.order_book_levels(df)).first()
     assert (r.best_bid, r.best_ask, r.spread, r.bid_levels) == (2.0, 3.0, 1.0, 2)
 
 
@@ -100,3 +100,40 @@ def test_option_flatfile(spark, tmp_path):
     (tmp_path / "a.csv").write_text("ticker,volume,open,close,high,low,window_start,transactions\nO:F240119C00010000,1,1,1,1,1,60000000000,1\nO:FB240119C00010000,1,1,1,1,1,60000000000,1\nbad,1,1,1,1,1,1,1\n")
     assert tables.scan_option_flatfile(spark, str(tmp_path / "a.csv")).count() == 2
     assert tables.scan_option_flatfile(spark, str(tmp_path / "a.csv"), ["F"]).first().strike == 10.0
+
+
+def test_feature_greeks_keep_repeated_rows(spark):
+    from barlight.operators import options
+
+    row = (100.0, 0.04, 100.0, 5.0, 30, "C", 100.0, 4.0, 30, "P")
+    cols = "underlying double, rate double, " + ", ".join(f"{p}_strike double, {p}_close double, {p}_dte int, {p}_type string" for p in ("call", "put"))
+    out = options.enrich_feature_greeks(spark.createDataFrame([row, row, (None,) * 10], cols), ("call", "put")).collect()
+    assert len(out) == 3 and [r.call_iv is None for r in out] == [False, False, True] and out[0].put_delta < 0 < out[0].call_delta
+
+
+def test_error_function():
+    import math
+
+    import numpy as np
+
+    from barlight.operators.options import _erf
+
+    x = np.linspace(-8, 8, 5001)
+    assert np.abs(_erf(x) - np.array([math.erf(v) for v in x])).max() < 1e-10
+
+
+def test_a_row_with_two_splits_stays_one_row(spark):
+    from barlight.operators import splits
+
+    rows = spark.createDataFrame([("A", "2020-01-01", 100.0, 6.0), ("A", "2021-06-01", 100.0, 6.0), ("A", "2023-01-01", 100.0, 6.0), ("B", "2020-01-01", 1.0, 1.0)], "ticker string, day string, close double, volume double").withColumn("day", F.to_date("day"))
+    records = spark.createDataFrame([("A", "2021-01-01", 2.0), ("A", "2022-01-01", 3.0)], "ticker string, split_date string, factor double").withColumn("split_date", F.to_date("split_date"))
+    out = sorted((str(r.day), r.ticker, round(r.close, 6), r.volume) for r in splits.adjust_trades_quotes(rows, records, ("close",), ("volume",)).collect())
+    assert out == [("2020-01-01", "A", 16.666667, 36.0), ("2020-01-01", "B", 1.0, 1.0), ("2021-06-01", "A", 33.333333, 18.0), ("2023-01-01", "A", 100.0, 6.0)]
+
+
+def test_yields_as_of_by_equal_dates(spark):
+    curve = spark.sql("select date'2000-01-01' + id as date, double(id) as y from range(0, 150000, 3)")
+    rows = spark.sql("select id, date'1999-12-31' + int(id) as day from range(0, 9)").union(spark.sql("select 99, null"))
+    out = joins.asof_yield_join(rows, curve)
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.id: r.y for r in out.collect()} == {0: 0.0, 1: 0.0, 2: 0.0, 3: 0.0, 4: 3.0, 5: 3.0, 6: 3.0, 7: 6.0, 8: 6.0, 99: None}
