@@ -1,4 +1,9 @@
-"""Operator 8, HTML extraction with removal of what a site repeats."""
+"""Operator 8, HTML extraction with removal of what a site repeats.
+
+The sub-trees of whole pages are hashed and counted by site, whatever they are; those on many pages go.
+Only of what is left do elements, roles and names decide what else isn't the main text: that which a site
+doesn't repeat often enough to be known by its repetition.
+"""
 
 from __future__ import annotations
 
@@ -22,105 +27,185 @@ ENDS_P = BLOCK - {"br", "option", "caption", "td", "th", "tr", "tbody", "thead",
 # Elements, roles and words of class or id that are never the main text.
 SIDE = frozenset("nav header footer aside form script style head button select menu dialog noscript template iframe svg math textarea title object canvas video audio".split())
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-SIDE_WORDS = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|header|footer|sidebar|aside|widget|cookie|cookies|consent|notice|notices|gdpr|popup|modal|newsletter|subscribe|signup|login|share|social|related|comment|comments|replies|disqus|pagination|pager|skip)(?:$|[\s_-])", re.I)
+SIDE_NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs header footer sidebar aside widget cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup login share sharing social related comment comments replies reply disqus pagination pager skip".split())
+#: Words that a name may have beside these. With any other, as in article-header or notice-board, it says nothing.
+PLAIN_NAMES = frozenset("site main top bottom left right global primary secondary box bar block list section wrapper wrap container slot item items link links area inner outer form count button buttons icon icons group row unit zone mobile desktop sticky fixed wide narrow small large".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+_LISTS = ("ul", "ol", "dl", "table", "select")
 _STOPS = frozenset("ul ol dl table article section main div nav aside header footer body html td th blockquote form".split())
+#: Elements that are open at most; deeper ones count as part of the last.
+DEEPEST = 512
+#: Attribute values in quotes that a tag may have; one with more ends at the first `>`.
+MOST_QUOTES = 64
 
 
-class _Node:
-    __slots__ = ("tag", "side", "main", "hash", "blocks", "own")
+def _tag_end(page: str, at: int) -> int:
+    """Behind the `>` that ends a tag, where quotes hide it; an unclosed quote hides nothing. -1: there is none."""
+    plain = page.find(">", at)
+    if plain < 0:
+        return -1
+    for _ in range(MOST_QUOTES):
+        m = _STOP.search(page, at)
+        if m is None or m[0] == ">":
+            return m.end() if m else plain + 1
+        at = page.find(m[0], m.end()) + 1
+        if not at:
+            return plain + 1
+    return plain + 1
 
-    def __init__(self, tag: str, side: bool, main: bool):
-        self.tag, self.side, self.main, self.own = tag, side, main, None
-        self.hash = xxhash.xxh64(tag)
-        self.blocks: list[int] = []
 
+def tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """Begin, end, whether it closes, name and attributes of each tag; the name is empty for comments and declarations.
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
+    Each step goes on from where the last one ended, so malformed pages take no more time than others.
+    """
+    at = page.find("<")
+    while at >= 0:
+        if page.startswith(("!", "?"), at + 1):
+            mark = "-->" if page.startswith("<!--", at) else "]]>" if page.startswith("<![CDATA[", at) else ">"
+            end = page.find(mark, at + 2)
+            end = len(page) if end < 0 else end + len(mark)
+            yield at, end, False, "", ""
+        else:
+            m = _NAME.match(page, at + 1)
+            if m is None:
+                at = page.find("<", at + 1)
+                continue
+            end = _tag_end(page, m.end())
+            if end < 0:
+                return
+            name = m[2].lower()
+            if name in RAW and not m[1]:
+                close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, end)
+                yield at, close.end() if close else len(page), False, "", ""
+                end = close.end() if close else len(page)
+            else:
+                yield at, end, bool(m[1]), name, page[m.end() : end - 1]
+        at = page.find("<", end)
 
 
-def parse(page: str) -> tuple[list[str], list[list[int]], list[bool], int]:
-    """Blocks of text that are not set aside by markup, the hashes of the element sub-trees round each,
-    whether each stands in an article or main element, and the hash of the whole page."""
-    stack = [_Node("", False, False)]
-    texts: list[str] = []
-    owners: list[list[_Node]] = []
-    mains: list[bool] = []
-    pending: list[str] = []
-
-    def flush() -> None:
-        raw = "".join(pending)
-        pending.clear()
-        if not raw or raw.isspace():
-            return
-        text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
-        top = stack[-1]
-        if text:
-            top.hash.update("\x01" + text)
-            if not top.side:
-                texts.append(text)
-                owners.append(stack[1:])
-                mains.append(top.main)
-
-    def close(n: int) -> None:
-        flush()
-        while len(stack) > n:
-            node = stack.pop()
-            node.own = node.hash.intdigest()
-            stack[-1].hash.update(b"\x02" + node.own.to_bytes(8, "little"))
-
-    def open_(tag: str, attributes: str) -> None:
-        top = stack[-1]
-        side = top.side or tag in SIDE and not (tag == "header" and top.main)
-        if not side and attributes.strip():
-            for name, value in _ATTRIBUTE.findall(attributes):
-                value = value.strip("\"'")
-                side = side or (value.lower() in SIDE_ROLES if name.lower() == "role" else bool(SIDE_WORDS.search(value)) and tag not in ("html", "body", "main"))
-        stack.append(_Node(tag, side, top.main or tag in ("article", "main")))
-
-    at = 0
-    for m in iter(lambda: _TOKEN.search(page, at), None):
-        pending.append(page[at : m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+def is_side(attributes: str) -> bool:
+    """Whether a role, or a word of class or id, says that an element isn't main text."""
+    for kind, value in _ATTRIBUTE.findall(attributes):
+        value = value.strip("\"'").lower()
+        if kind.lower() == "role":
+            if value in SIDE_ROLES:
+                return True
             continue
-        if m[1]:
-            found = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+        for name in value.split():
+            parts = set(re.split(r"[-_]+|(?<=[a-z])(?=[0-9])", name)) - {""}
+            if parts & SIDE_NAMES and all(p in SIDE_NAMES or p in PLAIN_NAMES or p.isdigit() for p in parts):
+                return True
+    return False
+
+
+class Page:
+    """A page's elements and blocks of text.
+
+    parent, hash: of each element, the page itself first; parents stand before their elements. texts: the
+    blocks in page order; node, side, main: the element of each, whether markup sets it aside, and
+    whether it is in an article or main element.
+    """
+
+    def __init__(self, page: str):
+        self.parent, self.hash, self.texts, self.node, self.side, self.main = [0], [0], [], [], [], []
+        # number, tag, side, main and running hash of the open elements
+        stack = [(0, "", False, False, xxhash.xxh64())]
+        open_tags: dict[str, int] = {}
+        pending: list[str] = []
+
+        def flush() -> None:
+            raw = "".join(pending)
+            pending.clear()
+            if not raw or raw.isspace():
+                return
+            text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
+            if text:
+                number, _, side, main, running = stack[-1]
+                running.update("\x01" + text)
+                self.texts.append(text)
+                self.node.append(number)
+                self.side.append(side)
+                self.main.append(main)
+
+        def close(n: int) -> None:
+            flush()
+            while len(stack) > n:
+                number, tag, _, _, running = stack.pop()
+                open_tags[tag] -= 1
+                self.hash[number] = _signed(running.intdigest())
+                stack[-1][4].update(b"\x02" + running.digest())
+
+        def last_open(*wanted: str, stop: tuple[str, ...] | frozenset = ()) -> int:
+            if any(open_tags.get(t) for t in wanted):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][1] in wanted:
+                        return i
+                    if stack[i][1] in stop:
+                        return 0
+            return 0
+
+        at = 0
+        for begin, end, closes, tag, attributes in tags(page):
+            pending.append(page[at:begin])
+            at = end
+            if not tag:
+                continue
+            if closes:
+                found = last_open(tag)
+                if tag in BLOCK:
+                    flush()
+                if found and (tag in BLOCK or tag in SIDE or not any(stack[i][1] in BLOCK for i in range(found + 1, len(stack)))):
+                    close(found)  # what was opened inside it without an end goes with it
+                continue
             if tag in BLOCK:
                 flush()
-            if found and tag in BLOCK | SIDE:
-                close(found)
-            elif found and not any(stack[i].tag in BLOCK for i in range(found + 1, len(stack))):
-                close(found)  # what was opened inside it without an end goes with it
-            continue
-        if tag in BLOCK:
-            flush()
-        if tag in ENDS_P:
-            found = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag in _STOPS), 0)
-            if found and stack[found].tag == "p":
-                close(found)
-        if tag in _CLOSES:
-            found = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in _CLOSES[tag] or stack[i].tag in ("ul", "ol", "dl", "table", "select")), 0)
-            if found and stack[found].tag in _CLOSES[tag]:
-                close(found)
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-        elif tag not in VOID and (tag in BLOCK or tag in SIDE or _marks(m[3])):
-            flush()
-            open_(tag, m[3])
-    pending.append(page[at:])
-    close(1)
-    return texts, [[_signed(n.own) for n in nodes] for nodes in owners], mains, _signed(stack[0].hash.intdigest())
+            if tag in ENDS_P:
+                found = last_open("p", stop=_STOPS)
+                if found:
+                    close(found)
+            if tag in _CLOSES:
+                found = last_open(*_CLOSES[tag], stop=_LISTS)
+                if found:
+                    close(found)
+            marked = bool(attributes) and tag not in ("html", "body", "main") and is_side(attributes)
+            if tag not in VOID and (tag in BLOCK or tag in SIDE or marked) and len(stack) <= DEEPEST:
+                flush()
+                number, _, side, main, _ = stack[-1]
+                open_tags[tag] = open_tags.get(tag, 0) + 1
+                self.parent.append(number)
+                self.hash.append(0)
+                stack.append((len(self.hash) - 1, tag, side or marked or tag in SIDE and not (tag == "header" and main), main or tag in ("article", "main"), xxhash.xxh64(tag)))
+        pending.append(page[at:])
+        close(1)
+        self.hash[0] = _signed(stack[0][4].intdigest())
+
+    def trees(self) -> list[int]:
+        """Hashes of the elements that have text, in themselves or below."""
+        full = [False] * len(self.parent)
+        for k in self.node:
+            while k and not full[k]:
+                full[k] = True
+                k = self.parent[k]
+        return sorted({h for h, f in zip(self.hash, full, strict=True) if f})
+
+    def text(self, site: frozenset[int]) -> str:
+        """The main text without the sub-trees of the site."""
+        gone = [False] * len(self.parent)
+        for k in range(1, len(gone)):
+            gone[k] = gone[self.parent[k]] or self.hash[k] in site
+        left = [(t, m) for t, k, s, m in zip(self.texts, self.node, self.side, self.main, strict=True) if not s and not gone[k]]
+        main = [t for t, m in left if m]
+        taken = main if 2 * sum(map(len, main)) > sum(len(t) for t, _ in left) else [t for t, _ in left]
+        return " ".join(taken)
 
 
-def _marks(attributes: str) -> bool:
-    return any(n.lower() == "role" and v.strip("\"'").lower() in SIDE_ROLES or n.lower() != "role" and SIDE_WORDS.search(v.strip("\"'")) for n, v in _ATTRIBUTE.findall(attributes))
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
 
 
 def host(url: Column) -> Column:
@@ -128,61 +213,56 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def site_trees(hosted: DataFrame, share: float, least: int, fewest: int) -> tuple[DataFrame, DataFrame]:
+    """(host, tree, n) of the sub-trees that a site repeats, and (host, page_key, page_hash, trees) of its different pages.
+
+    hosted: host, page_key (a hash of html), html.
+    """
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                pages = [Page(page or "") for page in part.column("html").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("host"), part.column("page_key"), pa.array([p.hash[0] for p in pages], pa.int64()), pa.array([p.trees() for p in pages], pa.list_(pa.int64()))], ["host", "page_key", "page_hash", "trees"])
+
+    found = hosted.mapInArrow(parsed, "host string, page_key long, page_hash long, trees array<long>")
+    pages = kept(found.groupBy("host", "page_key").agg(F.first("page_hash").alias("page_hash"), F.first("trees").alias("trees")))
+    different = pages.groupBy("host", "page_hash").agg(F.first("trees").alias("trees"))
+    total = different.groupBy("host").agg(F.count("*").alias("total"))
+    often = different.select("host", F.explode("trees").alias("tree")).groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min(least, fewest))
+    enough = F.least(F.lit(least), F.greatest(F.lit(fewest), F.ceil(F.lit(share) * F.col("total"))))
+    return often.join(total, "host").where(F.col("n") >= enough).select("host", "tree", "n"), pages
+
+
 def extract(pages: DataFrame, share: float = 0.5, least: int = 10, fewest: int = 3) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages (page_id, url, html).
 
-    Blocks are runs of text between tags of elements that stand on lines of their own. What stands in
-    elements, roles or classes of menus, headers, footers, sidebars, notices, adverts, forms and
-    comments is set aside. Then element sub-trees are hashed with their content and counted by host:
-    those on `least` different pages are the site's, and their blocks go. On a small host `share` of its
-    different pages is enough, but no fewer than `fewest`. Copies of a page count once, so a page that
-    is copied often isn't taken for a template. If article and main elements hold more than half of the
-    characters that are left of a page, only they are taken. Character references are decoded, white
+    Element sub-trees of whole pages, menus and footers among them, are hashed with their content and counted
+    by host: those on `least` different pages are the site's, and their text goes. On a small host `share` of
+    its different pages is enough, but no fewer than `fewest`. Copies of a page count once, so a page that
+    is copied often isn't taken for a template. Of the rest goes what stands in elements, roles or names
+    of menus, headers, footers, sidebars, notices, adverts, forms and comments. If article and main elements
+    hold more than half of the characters that are left of a page, only they are taken. Blocks are runs of
+    text between tags of elements that stand on lines of their own; character references are decoded, white
     space in a block becomes one space, blocks are joined by one space; nothing else goes. Null and
     empty html: an empty text. A null url has the host "". Rows of a repeated page_id are all returned.
+    Tags that never end are text. Other columns of pages are left out.
 
-    Pages are parsed twice, once for their sub-trees and once for their text, so that texts are written
-    to disk once only. The site's sub-trees stay rows; a page is joined with its own alone.
+    Pages are parsed twice, once for their sub-trees and once, with the site's at hand, for their text.
     """
+    kind, url_kind = (pages.schema[c].dataType.simpleString() for c in ("page_id", "url"))
+    hosted = pages.select("page_id", "url", host(F.col("url")).alias("host"), "html", F.xxhash64("html").alias("page_key"))
+    sites, known = site_trees(hosted.select("host", "page_key", "html"), share, least, fewest)
+    each = known.select("host", "page_key", F.explode("trees").alias("tree"))
+    own = kept(each.join(sites, ["host", "tree"]).groupBy("host", "page_key").agg(F.collect_list("tree").alias("site")))
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    url_kind = pages.schema["url"].dataType.simpleString()
-    hosted = pages.select("page_id", "url", host(F.col("url")).alias("host"), "html")
-
-    def sub_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                trees, roots = [], []
-                for page in part.column("html").to_pylist():
-                    _, own, _, root = parse(page or "")
-                    trees.append(sorted({x for block in own for x in block}))
-                    roots.append(root)
-                yield pa.RecordBatch.from_arrays([part.column("host"), pa.array(roots, pa.int64()), pa.array(trees, pa.list_(pa.int64()))], ["host", "page_hash", "trees"])
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                rows = [parse(page or "") for page in part.column("html").to_pylist()]
-                texts, trees, mains, roots = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), part.column("host"), pa.array(texts, pa.list_(pa.string())), pa.array(trees, pa.list_(pa.list_(pa.int64()))), pa.array(mains, pa.list_(pa.bool_())), pa.array(roots, pa.int64())], ["page_id", "url", "host", "texts", "trees", "mains", "page_hash"])
-
-    # one of each different page of a host, with its sub-trees
-    found = hosted.select("host", "html").mapInArrow(sub_trees, "host string, page_hash long, trees array<long>")
-    different = kept(found.groupBy("host", "page_hash").agg(F.first("trees").alias("trees")))
-    each = different.select("host", "page_hash", F.explode("trees").alias("tree"))
-    total = different.groupBy("host").agg(F.count("*").alias("total"))
-    often = each.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min(least, fewest))
-    enough = F.least(F.lit(least), F.greatest(F.lit(fewest), F.ceil(F.lit(share) * F.col("total"))))
-    sites = kept(often.join(total, "host").where(F.col("n") >= enough).select("host", "tree"))
-    own = kept(each.join(sites, ["host", "tree"]).groupBy("host", "page_hash").agg(F.collect_list("tree").alias("site")))
-    parsed = hosted.mapInArrow(blocks, f"page_id {kind}, url {url_kind}, host string, texts array<string>, trees array<array<long>>, mains array<boolean>, page_hash long")
-    joined = parsed.join(own, ["host", "page_hash"], "left").withColumn("site", F.coalesce("site", F.array().cast("array<long>")))
-    left = F.filter(F.arrays_zip("texts", "trees", "mains"), lambda x: ~F.arrays_overlap(x["trees"], F.col("site")))
-    joined = joined.select("page_id", "url", F.transform(left, lambda x: F.struct(x["texts"].alias("text"), x["mains"].alias("main"))).alias("left"))
-    chars = lambda blocks: F.aggregate(blocks, F.lit(0).cast("long"), lambda n, x: n + F.length(x["text"]))
-    joined = joined.withColumn("mains", F.filter("left", lambda x: x["main"]))
-    taken = F.when(2 * chars(F.col("mains")) > chars(F.col("left")), F.col("mains")).otherwise(F.col("left"))
-    text = F.array_join(F.transform(taken, lambda x: x["text"]), " ")
-    return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+                out = [Page(page or "").text(frozenset(site or ())) for page, site in zip(part.column("html").to_pylist(), part.column("site").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
+
+    joined = hosted.join(own.hint("shuffle_hash"), ["host", "page_key"], "left").select("page_id", "url", "html", "site")
+    return joined.mapInArrow(texts, f"page_id {kind}, url {url_kind}, text string").withColumn("n_chars", F.length("text").cast("long"))

@@ -386,6 +386,36 @@ def test_html_sites(spark):
     assert out[400] == out[411] == "The same page"
 
 
+def test_html_template_step_against_brute_force(spark):
+    """Sub-trees that no list names go by their counts, which are those of a plain recount; nothing else can remove them."""
+    menu = "<div class='x1'><ul><li>Start<li>News</ul></div>"
+    rows = [(k, f"http://s/{k}", f"<body>{menu}<section><p>Own text {k}</p>" + ("<p>Some rights</p>" if k % 2 else "") + f"</section><div>Tail {k % 2}</div></body>") for k in range(8)] + [(99, "http://s/99", f"<body>{menu}<section><p>Own text 0</p></section><div>Tail 0</div></body>")]
+    rows += [(100, "http://t/1", f"<body>{menu}<p>Alone</body>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    hosted = df.select(html.host(F.col("url")).alias("host"), F.xxhash64("html").alias("page_key"), "html")
+    sites, _ = html.site_trees(hosted, 0.5, 10, 3)
+    want = collections.Counter()
+    for _, url, page in {(html.Page(h).hash[0], u.split("/")[2], h): 0 for _, u, h in rows if u != "http://s/99"}:
+        want.update((url, t) for t in html.Page(page).trees())
+    assert {(r.host, r.tree): r.n for r in sites.collect()} == {k: n for k, n in want.items() if n >= 4}
+    out = {r.page_id: r.text for r in html.extract(df).collect()}
+    assert out[0] == "Own text 0" and out[1] == "Own text 1" and out[100] == "Start News Alone"
+
+
+def test_html_names_and_malformed_pages():
+    import time
+
+    text = lambda page: html.Page(page).text(frozenset())
+    assert text("<article><div class='article-header'><h1>Head</h1></div><p class='notice-board'>Board</p><p class='cookie-banner'>C</p><div id=site-footer>F</div></article>") == "Head Board"
+    assert text("a <b <p>b</p>") in ("a b", "a") and text('<p title="x > y">in</p>') == "in" and text("<p title='x>in</p>") == "in" and text("1 < 2 <3") == "1 < 2 <3"
+    began = time.time()
+    for page in ('<a "' * 250_000, "<a \"'>" * 150_000, "<div>" * 100_000 + "deep", "<div></b>" * 100_000, "<!--" * 200_000, "<p>x" * 100_000, "<" * 1_000_000):
+        html.Page(page)
+    assert time.time() - began < 12
+    page = html.Page("<div>" * 2000 + "in")
+    assert len(page.trees()) <= html.DEEPEST and page.text(frozenset()) == "in"
+
+
 def test_model_gradients():
     """Backpropagation agrees with differences, and learning lowers the loss."""
     rng = np.random.default_rng(0)
