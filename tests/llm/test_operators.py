@@ -263,6 +263,22 @@ def test_contamination(spark):
     assert contamination(docs, items.limit(0)).where("contaminated").count() == 0
 
 
+def test_contamination_in_blocks(spark, monkeypatch):
+    """A benchmark that goes through in several blocks gives what it gives at once; ties go to the smallest item."""
+    from barlight.llm import contamination as module
+
+    rng = random.Random(3)
+    text = lambda n: " ".join(rng.choice("abcdefghij") * 2 + str(rng.randrange(30)) for _ in range(n))
+    items = [(i, text(rng.randrange(5, 30))) for i in range(30)]
+    items += [(40 + i, items[i][1]) for i in range(5)]
+    docs = [(i, text(40) + " " + rng.choice(items)[1] + " " + text(10)) for i in range(40)]
+    args = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, contamination(*args).collect()))
+    assert sum(r[5] if isinstance(r[5], bool) else r[-1] for r in whole) == 40 and all(r[2] < 40 for r in whole)
+    monkeypatch.setattr(module, "BLOCK_WORDS", 200)
+    assert whole == sorted(map(tuple, contamination(*args).collect()))
+
+
 def test_tiling_against_brute_force():
     rng = random.Random(4)
 
@@ -339,6 +355,28 @@ def test_top_k(spark):
     assert kdtree.top_k(df.limit(0)).count() == 0
 
 
+def test_shards_have_boxes_of_their_own(spark):
+    """On clustered vectors less than half of the points are scored, and the result is that of brute force."""
+    rng = np.random.default_rng(4)
+    middle = rng.normal(size=(16, 5)) * 20
+    data = np.round((middle[rng.integers(0, 16, 3000)] + rng.normal(size=(3000, 5))) * 256) / 256
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(data)], "vec_id long, embedding array<double>")
+    whole = np.floor(data * 256)
+    old = kdtree.SHARD, kdtree.LEAF, kdtree.TOGETHER
+    kdtree.SHARD, kdtree.LEAF, kdtree.TOGETHER = 200, 16, 7
+    try:
+        got = collections.defaultdict(list)
+        for r in kdtree.top_k(df).collect():
+            got[r.query_id].append((r["rank"], r.vec_id, r.score))
+        scored = kdtree._found(df, 50, 5).agg(F.sum("scored")).first()[0]
+    finally:
+        kdtree.SHARD, kdtree.LEAF, kdtree.TOGETHER = old
+    assert scored < 0.5 * 60 * 3000
+    for q in range(0, 3000, 50):
+        order = sorted((-float(whole[q] @ whole[i]), i) for i in range(3000) if i != q)[:5]
+        assert sorted(got[q]) == [(n + 1, i, int(-s)) for n, (s, i) in enumerate(order)]
+
+
 def test_licenses(spark):
     rows = [(1, "Hello.\nReleased under the MIT License."), (2, "the general public license, general-public LICENSE"), (3, None), (4, ""), (5, "Redistribution and use in source and binary forms, with or without modification, are permitted provided that following conditions are met."), (6, "transmit license")]
     out = {r.doc_id: r for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string").withColumn("labels", F.lit(0))).collect()}
