@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlight.llm.store import kept
 from barlight.llm.words import MARK, Words, chunks, grams, rolling, span_hash, within
 
 #: Words of the benchmark that go to every task at once; a larger benchmark is gone through in blocks of so many.
@@ -64,14 +65,19 @@ def tile(item: np.ndarray, text: np.ndarray, least: int) -> int:
     return covered
 
 
-def _blocks(items: pa.Table) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """Ids, word hashes and first words of the items, at most about BLOCK_WORDS words at a time."""
-    words = Words(items.column("text"), MARK)
-    ids, lo = items.column("item_id").to_pylist(), 0
-    while lo < len(ids):
-        hi = max(lo + 1, int(np.searchsorted(words.first, words.first[lo] + BLOCK_WORDS, "right")) - 1)
-        yield ids[lo:hi], words.hash[words.first[lo] : words.first[hi]], words.first[lo : hi + 1] - words.first[lo]
-        lo = hi
+def _blocks(items: DataFrame) -> Iterator[tuple[list, np.ndarray, np.ndarray, int]]:
+    """Ids, word hashes and first words of the items, and the number of blocks: about BLOCK_WORDS words at a time: only one block is in the driver.
+
+    Items are dealt to blocks by their hash; how many blocks there are follows from the number of all words.
+    """
+    items = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
+    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // 4
+    blocks = int(total // BLOCK_WORDS) + 1
+    for k in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id").toArrow()
+        if part.num_rows:
+            words = Words(part.column("text"), MARK)
+            yield part.column("item_id").to_pylist(), words.hash, words.first, blocks
 
 
 def _seeds(hashes: np.ndarray, first: np.ndarray, least: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -98,18 +104,19 @@ def contamination(docs: DataFrame, items: DataFrame, least: int = 5, threshold:
     on ties, null without a tile. contaminated: coverage is at least `threshold`. n_items: items
     of which that holds. Null and wordless texts and items have coverage 0. A null item_id can be
     found, too, and then leaves item_id null. Columns of docs with the names of results are replaced.
-    Items go to every task in blocks of BLOCK_WORDS words, one block after another, so that a larger
-    benchmark needs more passes, not more memory.
+    Items go to every task in blocks of about BLOCK_WORDS words, one block after another, so that a larger
+    benchmark needs more passes, not more memory, in tasks or in the driver.
     """
     own = [c for c in docs.columns if c not in ("contaminated", "item_id", "coverage", "n_items")]
     docs = docs.select(*own)
     kind = items.schema["item_id"].dataType
     added = [T.StructField("item_id", kind), T.StructField("coverage", T.DoubleType()), T.StructField("n_items", T.LongType())]
     schema = T.StructType([*docs.schema.fields, *added])
-    blocks = items.select("item_id", "text").orderBy("item_id")
     out = docs.select("*", F.lit(None).cast(kind).alias("item_id"), F.lit(0.0).alias("coverage"), F.lit(0).cast("long").alias("n_items"))
-    for ids, hashes, first in _blocks(blocks.toArrow()):
+    for ids, hashes, first, blocks in _blocks(items):
         out = out.mapInArrow(_scan(own, ids, hashes, first, least, threshold), schema)
+        if blocks > 1:
+            out = kept(out)  # so that the block needn't stay
     return out.withColumn("contaminated", F.col("n_items") > 0)
 
 
@@ -140,7 +147,7 @@ def _scan(own: list[str], ids: list, hashes: np.ndarray, first: np.ndarray, leas
                 mine = np.zeros(int(sizes[k]), bool)
                 for p in np.unique(place[a:b]):
                     mine[p : p + span] = True
-                if mine.sum() < threshold * sizes[k] and mine.mean() <= best[d][1]:
+                if mine.sum() < threshold * sizes[k] and mine.mean() < best[d][1]:
                     continue  # no tiling can cover more than the seeds do
                 near = np.zeros(int(words.count[d]), bool)
                 for p in np.unique(at[a:b]) - words.first[d]:
@@ -150,7 +157,7 @@ def _scan(own: list[str], ids: list, hashes: np.ndarray, first: np.ndarray, leas
                 own_words = np.where(near, words.hash[words.first[d] : words.first[d + 1]], np.uint64(0))[keep]
                 share = tile(hashes[first[k] : first[k + 1]], own_words, min(span, int(sizes[k]))) / int(sizes[k])
                 was, cover, hits = best[d]
-                if share > cover:
+                if share > cover or share == cover > 0 and was is not None and ids[k] is not None and ids[k] < was:
                     was, cover = ids[k], share
                 best[d] = (was, cover, hits + (share >= threshold))
             columns = list(zip(*best, strict=True)) if best else [(), (), ()]
