@@ -17,9 +17,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: null texts and texts without a letter go."""
+    """Documents whose language can be told, with it as their lang: null texts and texts without a letter go.
+
+    The label that a document came with, if any, is replaced by what its text is. Where no label is left to
+    learn from, no language can be told and all documents go.
+    """
     model = train(docs.where(fold_remainder(F.col("doc_id")) != 0))
-    return identify(docs, model).where("lang_pred <> 'und'").select(*COLUMNS)
+    told = identify(docs, model).where("lang_pred <> 'und'")
+    return told.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +41,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that don't hold a benchmark item."""
+    """Documents that don't hold a benchmark item. Null texts hold none; a benchmark without rows takes none away."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination(docs, items).where("not contaminated").select(*COLUMNS)
 
