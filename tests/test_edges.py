@@ -132,7 +132,7 @@ def test_a_row_with_two_splits_stays_one_row(spark):
 
 
 def test_yields_as_of_by_equal_dates(spark):
-    curve = spark.sql("select date'2000-01-01' + id as date, double(id) as y from range(0, 150000, 3)")
+    curve = spark.sql("select date'2000-01-01' + int(id) as date, double(id) as y from range(0, 150000, 3)")
     rows = spark.sql("select id, date'1999-12-31' + int(id) as day from range(0, 9)").union(spark.sql("select 99, null"))
     out = joins.asof_yield_join(rows, curve)
     assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
