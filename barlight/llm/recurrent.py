@@ -6,7 +6,9 @@ window until a text ends.
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 
@@ -16,6 +18,20 @@ WINDOW = 20
 PART = 4096
 
 
+def one_thread() -> None:
+    """Matrix products of this process on one core, where numpy's library lets that be set.
+
+    Spark runs a task on each core. Threads of small products wait for each other most of the time, which
+    takes twice the CPU for no gain.
+    """
+    loaded = {x.split()[-1] for x in Path("/proc/self/maps").read_text().splitlines() if "openblas" in x} if Path("/proc/self/maps").exists() else set()
+    for path in loaded:
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 @dataclass(frozen=True)
 class Classes:
     """Words 0 .. n-1 by falling count; word n stands for all others and is the last class, alone."""

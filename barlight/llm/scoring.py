@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlight.llm.language import fold_remainder
-from barlight.llm.recurrent import Model, Trainer, score
+from barlight.llm.recurrent import Model, Trainer, one_thread, score
 from barlight.llm.store import kept
 from barlight.llm.words import Words, chunks, mix
 
@@ -23,8 +23,9 @@ MODEL_WORDS, TABLE_WORDS = 2047, 1 << 17
 ROOT_WORDS, BUCKET_WORDS = 16, 8
 #: Tokens that a task holds, and blocks of weights that are averaged apart.
 HELD, BLOCKS = 3_000_000, 64
-#: Training tokens of a shard, and least and most shards: they follow from the corpus, not from its files.
-SHARD_TOKENS, LEAST_SHARDS, MOST_SHARDS = 4_000_000, 8, 4096
+#: Training tokens of a shard, and least and most shards: they follow from the corpus, not from its files. A shard
+#: writes its weights once a round, which for the largest vocabulary is about as much as the texts of so many tokens.
+SHARD_TOKENS, LEAST_SHARDS, MOST_SHARDS = 64_000_000, 8, 4096
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -222,6 +223,7 @@ def _shards_learned(batches: Iterator[pa.RecordBatch], start: Model, to_model: n
             total += len(tokens)
         return own.model, total, after[0] if after else None
 
+    one_thread()
     parts = by_shard()
     batch = next(parts, None)
     while batch is not None:
@@ -263,6 +265,7 @@ def score_documents(docs: DataFrame, hidden: int = 16, rounds: int = 6) -> DataF
     spread = np.log10(rest + 0.5 * (rest_distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         log_n = np.append(np.log10(table_n + 0.5), np.log10(0.5) if complete else 0.0)
         for tokens, first, parts in _held(batches):
             ids, at = to_model[tokens], np.minimum(tokens, len(table))
