@@ -101,8 +101,8 @@ class Model:
         new = np.tanh(x[:, 2 * k :] + rh @ u[:, 2 * k :])
         return new + z * (h - new), (words, h, z, r, rh, new)
 
-    def output(self, states: np.ndarray, words: np.ndarray, learn: bool) -> tuple[np.ndarray, np.ndarray | None, dict]:
-        """Natural logarithm of the probability of each word after its state; gradients of minus their sum."""
+    def output(self, states: np.ndarray, words: np.ndarray, learn: bool, space: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None, dict]:
+        """Natural logarithm of the probability of each word after its state; gradients of minus their sum, in `space` where it is all 0."""
         p, cl = self.p, self.classes
         of, states_t = cl.of[words], np.ascontiguousarray(states.T)
         columns = np.arange(len(words))
@@ -124,7 +124,7 @@ class Model:
         back, grad = None, {}
         if learn:
             back = d.T @ p["c"].T
-            grad = {"c": states_t @ d.T, "cb": d.sum(axis=1), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+            grad = {"c": states_t @ d.T, "cb": d.sum(axis=1), "w": space["w"], "wb": space["wb"]}
         order = np.argsort(of, kind="stable")
         edge = np.searchsorted(of[order], np.arange(len(cl.start)))
         states_t, place = states_t.take(order, axis=1), cl.place[words[order]]
@@ -219,6 +219,7 @@ class Trainer:
         self.model, self.rate, self.n = model, rate, 0
         self.m = {k: np.zeros_like(v) for k, v in model.p.items()}
         self.v = {k: np.zeros_like(v) for k, v in model.p.items()}
+        self.space = {k: np.zeros_like(model.p[k]) for k in ("x", "w", "wb")}  # gradients, all 0 between steps
 
     def learn(self, ids: np.ndarray, first: np.ndarray, most: int) -> None:
         """One pass over the texts. Those of more than PART tokens are learned in parts, each from the empty state."""
@@ -226,7 +227,7 @@ class Trainer:
         model, k = self.model, self.model.hidden
         for tokens, before, tape in windows(model, ids, first, most):
             at = np.concatenate(tokens)
-            _, back, grad = model.output(np.concatenate(before), ids[at], True)
+            _, back, grad = model.output(np.concatenate(before), ids[at], True, self.space)
             u = model.p["u"]
             grad["u"] = np.zeros_like(u)
             edge = np.cumsum([0, *map(len, tokens)])
@@ -254,10 +255,13 @@ class Trainer:
             order = np.argsort(words, kind="stable")
             starts = np.flatnonzero(np.r_[True, words[order][1:] != words[order][:-1]])
             self.read = words[order][starts]
-            grad["x"] = np.zeros_like(model.p["x"])
+            grad["x"] = self.space["x"]
             grad["x"][self.read] = np.add.reduceat(gates[order], starts, axis=0)
             grad["b"] = gates.sum(axis=0)
             self._update(grad, len(at))
+            self.space["x"][self.read] = 0
+            self.space["w"].fill(0)
+            self.space["wb"].fill(0)
 
     def _update(self, grad: dict[str, np.ndarray], tokens: int) -> None:
         self.n += 1
