@@ -4,8 +4,10 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from barlight.plans import catalog
+from barlight.operators import options
+from barlight.plans import catalog, fixtures
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -40,7 +42,8 @@ def test_query(spark, name):
 
 def test_greeks_price_back(spark):
     """The implied volatility gives the price again, and rows without time premium have none."""
-    rows = [r for r in catalog.QUERIES["enrich_greeks"](spark, SF).collect()]
+    chains = fixtures.chains(spark, SF).withColumn("rate", F.lit(0.04)).select("symbol", "day", "line_order", "underlying", "strike", "rate", "close", "dte", "type")
+    rows = options.enrich_greeks(chains).collect()
     n = lambda x: 0.5 * (1 + math.erf(x / math.sqrt(2)))
     solved = [r for r in rows if r.iv is not None]
     assert solved
