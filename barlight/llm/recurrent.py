@@ -14,8 +14,8 @@ import numpy as np
 
 #: Steps of a window: gradients go no further back.
 WINDOW = 20
-#: Tokens of a text that are learned in one go.
-PART = 4096
+#: Tokens of a text that are learned in one go: no more than a lane is filled with, or long texts run on almost alone.
+PART = 2048
 #: Largest logit, logits that are held at a time, and weights that are moved on at a time: each a core's cache or less.
 LARGEST, HELD, PIECE = 60.0, 48 << 10, 16 << 10
 
