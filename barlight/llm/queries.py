@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from barlight.llm.audit import audit
 from barlight.llm.contamination import contamination
 from barlight.llm.html import extract
 from barlight.llm.jaccard import jaccard_components
@@ -18,6 +20,7 @@ from barlight.llm.mixing import mix_sources
 from barlight.llm.passages import remove_passages
 from barlight.llm.scoring import score_documents
 from barlight.llm.suffixes import remove_strings
+from barlight.llm.tokens import decode, encode
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,6 +74,17 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    ids = encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
+    out = decode(ids, path)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(_read(spark, sf_dir, "documents").select("doc_id", "source", "text"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
@@ -82,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_mixing": op9_mixing,
     "op10_top_k": op10_top_k,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op13_filter_audit": op13_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -105,4 +121,33 @@ ORACLE_SQL: dict[str, str] = {
         k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op13_filter_audit": """
+        WITH d AS (
+          SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        f AS (
+          SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+            map {'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w), 'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+                 'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)} AS fails
+          FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+        b AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        p AS (
+          SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM b a, b b, b c, b d, b e
+          WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        g AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails),
+        s AS (
+          SELECT part, filter_order, step, n, good, toxic, fails[filter_order[step]] AS failing,
+            len(list_filter(range(1, step), lambda i: fails[filter_order[i]])) AS before,
+            len(list_filter(map_values(fails), lambda v: v)) AS failed
+          FROM g, p, (SELECT unnest(range(1, 6)) AS step)),
+        r AS (
+          SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS x,
+            coalesce(sum(n) FILTER (before = 0 AND NOT failing), 0) AS kept, coalesce(sum(n) FILTER (before = 0 AND failing), 0) AS removed,
+            coalesce(sum(n) FILTER (before > 0 AND failing), 0) AS redundant, coalesce(sum(n) FILTER (failing AND failed = 1), 0) AS unique_fails,
+            coalesce(sum(good) FILTER (before = 0 AND failing), 0) AS good_lost, coalesce(sum(toxic) FILTER (before = 0 AND failing), 0) AS toxic_lost
+          FROM s GROUP BY part, filter_order, step)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+          CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+          CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+        FROM r""",
 }
