@@ -21,6 +21,7 @@ from barlight.llm.passages import remove_passages
 from barlight.llm.scoring import score_documents
 from barlight.llm.suffixes import remove_strings
 from barlight.llm.tokens import decode, encode
+from barlight.llm.turns import repair
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -81,6 +82,10 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(_read(spark, sf_dir, "conversations"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(_read(spark, sf_dir, "documents").select("doc_id", "source", "text"), _read(spark, sf_dir, "labels"))
 
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_top_k": op10_top_k,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_filter_audit": op13_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
@@ -121,6 +127,50 @@ ORACLE_SQL: dict[str, str] = {
         k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op12_conversation_repair": """
+        WITH RECURSIVE crc AS (
+          SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, CAST(i AS BIGINT))) AS step),
+        k AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+        h AS (
+          SELECT k.*, xor(list_reduce(list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(key[i]) AS BIGINT)),
+            lambda c, b: xor(step[1 + (xor(c, b) & 255)], c >> 8), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind FROM k, crc),
+        d AS (
+          SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+          FROM h, (SELECT unnest([1, 2]) AS copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)),
+        o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM d),
+        f AS (
+          SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+            WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 't' ELSE '' END AS fault,
+            role[1] AS letter, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM o),
+        n AS (
+          SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+            count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS turns FROM f GROUP BY conv_id),
+        m(q, put, role, q2) AS (VALUES
+          (0, '', 's', 1), (0, '', 'u', 2), (1, '', 'u', 2), (3, '', 'u', 2), (2, '', 'a', 3),
+          (0, 'user', 'a', 3), (1, 'user', 'a', 3), (3, 'user', 'a', 3), (2, 'assistant', 'u', 2)),
+        p(conv_id, i, q, best) AS (
+          SELECT conv_id, CAST(0 AS BIGINT), 0, {'c': CAST(0 AS BIGINT), 'a': '', 'r': CAST([] AS VARCHAR[])} FROM n
+          UNION ALL
+          SELECT conv_id, i, q, min(b) FROM (
+            SELECT p.conv_id, f.i, p.q, {'c': best.c + 3, 'a': best.a || 'D', 'r': best.r} AS b
+            FROM p JOIN f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = p.i + 1
+            UNION ALL
+            SELECT p.conv_id, f.i, m.q2,
+              {'c': best.c + CASE WHEN put <> '' THEN 2 ELSE 0 END + CASE WHEN letter = m.role THEN 0 ELSE 2 END + CASE WHEN fault = 't' THEN 1 ELSE 0 END,
+               'a': best.a || CASE WHEN put <> '' THEN 'I' ELSE '' END || CASE WHEN letter = m.role THEN 'K' ELSE 'R' END,
+               'r': best.r || CASE WHEN put <> '' THEN [put || ':'] ELSE [] END || [CASE WHEN letter = m.role THEN f.role WHEN m.role = 'u' THEN 'user' ELSE 'assistant' END || ':' || text]}
+            FROM p JOIN f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = p.i + 1 JOIN m ON p.q = m.q
+            WHERE fault NOT IN ('b', 'd') AND (letter = m.role OR m.role <> 's')) GROUP BY conv_id, i, q),
+        e AS (
+          SELECT p.conv_id, min({'c': best.c + CASE q WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END, 'a': best.a || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+            'r': best.r || CASE q WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE [] END}) AS best
+          FROM p JOIN n ON p.conv_id IS NOT DISTINCT FROM n.conv_id AND p.i = n.turns GROUP BY p.conv_id)
+        SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+          coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.r, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON c.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN e ON c.conv_id IS NOT DISTINCT FROM e.conv_id""",
     "op13_filter_audit": """
         WITH d AS (
           SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
