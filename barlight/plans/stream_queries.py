@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from barlight.plans import fixtures as X
 from barlight.plans.book import Book
+from barlight.sources.shared import new_path
 from barlight.streaming import events as E
+from barlight.streaming import messages as M
+from barlight.streaming import state as S
 
 BOOK = Book()
 add = BOOK.add
@@ -54,9 +57,14 @@ def subscription_filter(spark, sf):
     return E.run_available(E.running_totals(E.trades_of(events)))
 
 
-@add("SELECT CAST(epoch_us(ts) // 1000 // 60000 * 60000 AS BIGINT) AS start, e.ev, avg(5 + event_id % 50) AS mean_ms, max(5 + event_id % 50) AS max_ms FROM events, (VALUES ('T'), ('Q')) AS e(ev) GROUP BY 1, 2", doubles="mean_ms")
+@add(
+    "WITH l AS (SELECT CAST(epoch_us(ts) // 1000 // 60000 * 60000 AS BIGINT) AS start, 5 + event_id % 50 AS ms FROM events), r AS (SELECT *, row_number() OVER (PARTITION BY start ORDER BY ms) AS i, count(*) OVER (PARTITION BY start) AS k FROM l)"
+    " SELECT start, e.ev, avg(ms) AS mean_ms, max(ms) AS max_ms, count(*) AS n, min(ms) FILTER (i >= 0.5 * k) AS p50, min(ms) FILTER (i >= 0.95 * k) AS p95, min(ms) FILTER (i >= 0.99 * k) AS p99 FROM r, (VALUES ('T'), ('Q')) AS e(ev) GROUP BY 1, 2",
+    doubles="mean_ms",
+)
 def stream_latency(spark, sf):
-    return E.run_available(E.stream_latency(E.parse_events(messages(spark, sf)))).withColumn("start", F.unix_millis("start"))
+    rows = E.run_available(E.stream_latency(E.parse_events(messages(spark, sf)))).withColumn("start", F.unix_millis("start"))
+    return rows.drop("sketch").join(E.latency_quantiles(rows, "start", "ev"), ["start", "ev"])
 
 
 @add("SELECT CAST(epoch_us(ts) // 1000 // 60000 * 60000 AS BIGINT) AS start, event_type AS symbol, count(*) AS quotes, avg(value * 1.01 - value * 0.99) AS avg_spread, sum(k) AS bid_size, sum(1 + k) AS ask_size FROM (SELECT *, CAST(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS DOUBLE) AS k FROM events) GROUP BY 1, 2", doubles="avg_spread bid_size ask_size")
@@ -67,7 +75,7 @@ def stream_quote_bars(spark, sf):
 
 @add(f"WITH {TRADES}, b AS (SELECT *, t // 3600000 * 3600000 AS bucket FROM tr), s AS (SELECT *, price - lag(price) OVER (PARTITION BY symbol, bucket ORDER BY t, event_id) AS d FROM b) SELECT symbol, CAST(bucket AS BIGINT) AS bucket, count(*) AS trades, sum(size) AS volume, coalesce(sum(size) FILTER (d > 0), 0) AS buy_volume, coalesce(sum(size) FILTER (d < 0), 0) AS sell_volume FROM s GROUP BY 1, 2", doubles="volume buy_volume sell_volume")
 def stream_trade_bars(spark, sf):
-    rows = E.run_available(E.stream_trade_bars(_trades(spark, sf), 60), "update")
+    rows = E.run_available(S.stream_trade_bars(_trades(spark, sf), 60), "update")
     return rows.groupBy("symbol", "bucket").agg(*(F.max_by(c, "trades").alias(c) for c in ("volume", "buy_volume", "sell_volume")), F.max("trades").alias("trades")).select("symbol", "bucket", "trades", "volume", "buy_volume", "sell_volume")
 
 
@@ -78,3 +86,101 @@ def stream_enrich_contract(spark, sf):
     even = F.pmod(F.regexp_extract("symbol", r"(\d+)", 1).cast("int"), F.lit(2)) == 0
     options = trades.withColumn("symbol", F.when(even, "O:ABC240119C00050000").otherwise("O:ABC240119P00050000"))
     return E.run_available(E.stream_enrich_contract(options, contracts).groupBy("underlying", "type").agg(F.count("*").alias("n")))
+
+
+# Windows that the watermark, ten seconds behind the newest row, has passed.
+CLOSED = f"{TRADES}, each AS (SELECT CAST(t // 5000 * 5000 AS BIGINT) AS start, symbol, count(*) AS trades, sum(price * size) AS cash FROM tr GROUP BY 1, 2), closed AS (SELECT * FROM each WHERE start + 5000 <= (SELECT max(t) FROM tr) - 10000)"
+
+
+@add(f"WITH {CLOSED} SELECT start, count(*) AS symbols, CAST(sum(trades) AS BIGINT) AS trades, sum(cash) AS cash FROM closed GROUP BY 1", doubles="cash")
+def window_totals(spark, sf):
+    return E.run_available(E.window_totals(_trades(spark, sf)), "append").withColumn("start", F.unix_millis("start"))
+
+
+@add(f"WITH {CLOSED}, r AS (SELECT *, row_number() OVER (PARTITION BY start ORDER BY trades DESC, round(cash, 4) DESC, symbol) AS \"rank\" FROM closed) SELECT * FROM r WHERE \"rank\" <= 25", doubles="cash")
+def top_symbols(spark, sf):
+    stats = E.tumbling_trade_stats(_trades(spark, sf))
+    return E.run_available(stats, "append", lambda df: E.top_symbols(df.withColumn("cash", F.round("cash", 4)))).withColumn("start", F.unix_millis("start")).withColumn("rank", F.col("rank").cast("long"))
+
+
+@add(f"WITH {TRADES} SELECT count(*) AS trades, sum(price * size) AS cash, count(DISTINCT symbol) AS tickers FROM tr", doubles="cash", places=2)
+def live_totals(spark, sf):
+    return S.totals_after(E.run_available(S.live_totals(_trades(spark, sf), 8), "update", number="batch"))
+
+
+#: One event of each type of a market, by rule: values follow from the event's id and the field's place.
+SAMPLED = ("stocks", "indices", "futures", "crypto", "forex")
+VALUES = {
+    "double": ("event_id % 100 + {j} + 0.5", "{c}", "event_id % 100 + {j} + 0.5"),
+    "int": ("event_id % 100 + {j}", "{c}", "event_id % 100 + {j}"),
+    "long": ("event_id % 100 + {j}", "{c}", "event_id % 100 + {j}"),
+    "string": ("concat('S', event_id % 40)", "length({c})", "length('S' || (event_id % 40))"),
+    "boolean": ("event_id % 2 = 0", "int({c})", "1 - event_id % 2"),
+    "array<int>": ("array(event_id % 3, {j})", "1000 * size({c}) + {c}[0] + {c}[1]", "2000 + event_id % 3 + {j}"),
+    "array<array<double>>": ("array(array(event_id % 10 + 0.5, event_id % 4), array(event_id % 7 + 0.25, {j}))", "{c}[0][0] + {c}[0][1] + {c}[1][0] + {c}[1][1]", "event_id % 10 + 0.5 + event_id % 4 + event_id % 7 + 0.25 + {j}"),
+}
+
+
+def market_messages(spark, sf_dir: str, market: str):
+    """A message an event: an event of each type of the market, a status, and now and then types that are not known, no type, or text that is no JSON."""
+    e = spark.readStream.schema(X.read(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque*")
+    one = lambda ev, kind: F.to_json(F.struct(F.lit(ev).alias("ev"), *(F.expr(VALUES[t][0].format(j=j)).alias(k) for j, (_, k, t) in enumerate(M.fields(kind)))))
+    parts = [one(ev, kind) for ev, kind in M.MARKETS[market].items()]
+    parts.append(F.lit('{"ev":"status","status":"connected"}'))
+    parts.append(F.when(F.col("event_id") % 3 == 0, '{"ev":"ZZ","x":1}'))
+    parts.append(F.when(F.col("event_id") % 5 == 0, '{"x":1}'))
+    return e.select(F.concat(F.lit("["), F.concat_ws(",", *parts), F.when(F.col("event_id") % 7 == 0, "").otherwise("]")).alias("value"))
+
+
+def _typed_sql() -> str:
+    rows = [(m, kind, c, VALUES[t][2].format(j=j), sum(k == kind for k in M.MARKETS[m].values())) for m in SAMPLED for kind in dict.fromkeys(M.MARKETS[m].values()) for j, (c, _, t) in enumerate(M.fields(kind))]
+    return " UNION ALL ".join(f"SELECT '{m}' AS market, '{kind}' AS kind, '{c}' AS field, {n} * count(*) AS filled, CAST({n} * sum({value}) AS DOUBLE) AS total FROM events WHERE event_id % 7 <> 0" for m, kind, c, value, n in rows)
+
+
+def _routed(spark, sf: str, market: str) -> str:
+    path = new_path(spark)
+    M.route(market_messages(spark, sf, market), market, path).awaitTermination()
+    return path
+
+
+@add(_typed_sql(), doubles="total")
+def typed_streams(spark, sf):
+    out = None
+    for market in SAMPLED:
+        path = _routed(spark, sf, market)
+        for kind in dict.fromkeys(M.MARKETS[market].values()):
+            rows = spark.read.parquet(f"{path}/{kind}")
+            sums = rows.agg(*(f(c, t) for c, _, t in M.fields(kind) for f in (lambda c, _: F.count(c).alias(f"n_{c}"), lambda c, t: F.sum(F.expr(VALUES[t][1].format(c=c)).cast("double")).alias(f"t_{c}"))))
+            each = sums.select(F.inline(F.array(*(F.struct(F.lit(market).alias("market"), F.lit(kind).alias("kind"), F.lit(c).alias("field"), F.col(f"n_{c}").alias("filled"), F.col(f"t_{c}").alias("total")) for c, _, _ in M.fields(kind)))))
+            out = each if out is None else out.union(each)
+    return out
+
+
+@add(
+    "SELECT m.market, 'broken' AS reason, CAST(NULL AS VARCHAR) AS ev, count(*) AS n FROM events, (VALUES ('stocks'), ('crypto')) AS m(market) WHERE event_id % 7 = 0 GROUP BY 1"
+    " UNION ALL SELECT m.market, 'unknown', 'ZZ', count(*) FROM events, (VALUES ('stocks'), ('crypto')) AS m(market) WHERE event_id % 7 <> 0 AND event_id % 3 = 0 GROUP BY 1"
+    " UNION ALL SELECT m.market, 'untyped', NULL, count(*) FROM events, (VALUES ('stocks'), ('crypto')) AS m(market) WHERE event_id % 7 <> 0 AND event_id % 5 = 0 GROUP BY 1"
+)
+def message_rejects(spark, sf):
+    counts = [spark.read.parquet(f"{_routed(spark, sf, m)}/counts").withColumn("market", F.lit(m)) for m in ("stocks", "crypto")]
+    return counts[0].union(counts[1]).groupBy("market", "reason", "ev").agg(F.sum("n").alias("n"))
+
+
+@add("""
+    WITH l AS (
+      SELECT 'P' || (user_id % 20) AS pair, epoch_us(ts) // 1000 AS t, epoch_us(ts) // 1000 + event_id % 3 AS r, s.side, s.price, s.size
+      FROM events, LATERAL (SELECT unnest([{'side': 'bid', 'price': CAST(100.5 + event_id % 50 AS DOUBLE), 'size': event_id % 4}, {'side': 'bid', 'price': CAST(90.25 + event_id % 7 AS DOUBLE), 'size': 1}, {'side': 'ask', 'price': CAST(151.5 + event_id % 50 AS DOUBLE), 'size': (event_id + 1) % 4}]) AS s)),
+    k AS (SELECT pair, side, price, max({'t': t, 'r': r, 'size': size}) AS l FROM l GROUP BY 1, 2, 3),
+    n AS (SELECT *, max(l.t) OVER (PARTITION BY pair) AS newest FROM k),
+    o AS (SELECT * FROM n WHERE l.t >= newest - 86400000 AND l.size > 0)
+    SELECT n.pair, max(n.newest) AS "at", max(o.price) FILTER (o.side = 'bid') AS best_bid, CAST(arg_max(o.l.size, o.price) FILTER (o.side = 'bid') AS DOUBLE) AS bid_size, min(o.price) FILTER (o.side = 'ask') AS best_ask,
+      CAST(arg_min(o.l.size, o.price) FILTER (o.side = 'ask') AS DOUBLE) AS ask_size, count(*) FILTER (o.side = 'bid') AS bid_levels, count(*) FILTER (o.side = 'ask') AS ask_levels
+    FROM n LEFT JOIN o ON n.pair = o.pair AND n.side = o.side AND n.price = o.price GROUP BY 1""", doubles="best_bid bid_size best_ask ask_size")
+def live_books(spark, sf):
+    e = spark.readStream.schema(X.read(spark, sf, "events").schema).parquet(f"{sf}/events.parque*")
+    at = (F.expr(X.US.format("ts")) / 1000).cast("long")
+    book = F.struct(F.lit("XL2").alias("ev"), F.concat(F.lit("P"), F.col("user_id") % 20).alias("pair"), F.expr("array(array(100.5 + event_id % 50, event_id % 4), array(90.25 + event_id % 7, 1))").alias("b"), F.expr("array(array(151.5 + event_id % 50, (event_id + 1) % 4))").alias("a"), at.alias("t"), (at + F.col("event_id") % 3).alias("r"))
+    typed = M.typed(M.read_messages(e.select(F.concat(F.lit("["), F.to_json(book), F.lit("]")).alias("value")), "crypto"), "book")
+    rows = E.run_available(S.live_books(M.levels(typed)), "update", number="batch")
+    last = rows.groupBy("pair").agg(F.max_by(F.struct(*(c for c in rows.columns if c not in ("pair", "batch"))), "batch").alias("l"))
+    return last.select("pair", "l.*")
