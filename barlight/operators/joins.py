@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlight.operators.scans import last_known
+
 #: A side is broadcast only up to so many rows, which are counted first; beyond, the join is by shuffle.
 SMALL_ROWS = 100_000
 
@@ -28,17 +30,14 @@ def prefix_columns(df: DataFrame, prefix: str, keep: tuple[str, ...] = ("ticker"
 def asof_ffill_join(bars: DataFrame, facts: DataFrame, columns: list[str], key: str = "ticker", ts: str = "ts") -> DataFrame:
     """Each bar with the last non-null value of each column of facts at or before it.
 
-    One union and one window: a single shuffle by key, and no pair of rows is ever made. A key with too
-    many rows for a sort in one task spills, like any window.
+    One union of both, in slices of time of a key: no pair of rows is ever made, and no task has a whole key.
     """
     none = lambda c: F.lit(None).alias(c)
     struct = F.struct(*bars.columns)
     left = bars.select(F.col(key).alias("k"), F.col(ts).alias("t"), F.lit(1).alias("side"), struct.alias("row"), *map(none, columns))
     right = facts.select(F.col(key).alias("k"), F.col(ts).alias("t"), F.lit(0).alias("side"), F.lit(None).alias("row"), *columns)
-    w = Window.partitionBy("k").orderBy("t", "side").rowsBetween(Window.unboundedPreceding, 0)
-    both = left.unionByName(right)
-    filled = both.select("side", "row", *(F.last(c, ignorenulls=True).over(w).alias(c) for c in columns))
-    return filled.where("side = 1").select("row.*", *columns)
+    known = last_known(left.unionByName(right), columns, "k", ["t", "side"])
+    return known.where("side = 1").select("row.*", *(F.col(f"known_{c}").alias(c) for c in columns))
 
 
 def valid_from(rows: DataFrame, key: list[str], ts: str) -> DataFrame:

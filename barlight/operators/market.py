@@ -9,6 +9,7 @@ from barlight.functions.predicates import compare_filter, date_range_filter
 from barlight.functions.scalars import minute_of_day, new_york, safe_divide, sic_group
 from barlight.operators.bars import bars_from_ticks
 from barlight.operators.joins import complete_grid
+from barlight.operators.scans import correlation_blocks
 
 # Nanoseconds of spans whose buckets are counted from the epoch.
 SPANS = {"second": 10**9, "minute": 60 * 10**9, "hour": 3600 * 10**9, "day": 86400 * 10**9, "week": 604800 * 10**9}
@@ -46,9 +47,7 @@ def correlation_matrix(bars: DataFrame) -> DataFrame:
     tickers = bars.agg(F.countDistinct("ticker").alias("tickers"))
     whole = r.groupBy("ts").agg(F.count("r").alias("n")).crossJoin(F.broadcast(tickers)).where("n = tickers").select("ts")
     r = r.join(whole, "ts", "left_semi")
-    b = r.select(F.col("ticker").alias("b"), F.col("ts"), F.col("r").alias("rb"))
-    pairs = r.select(F.col("ticker").alias("a"), "ts", F.col("r").alias("ra")).join(b, "ts").where("a < b")
-    return pairs.groupBy("a", "b").agg(F.corr("ra", "rb").alias("corr"))
+    return correlation_blocks(r)
 
 
 def prev_day_change(days: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from barlight.operators import windows as w
 from barlight.operators.joins import forward_range_join
+from barlight.operators.scans import exact_quantiles
+from barlight.sources.shared import written
 
 # Edges of the six bins of results in units of risk.
 R_BINS = ((None, -1.0, "<-1R"), (-1.0, 0.0, "-1R..0"), (0.0, 1.0, "0..1R"), (1.0, 2.0, "1R..2R"), (2.0, 3.0, "2R..3R"), (3.0, None, ">=3R"))
@@ -150,13 +152,11 @@ def best_of(rows: DataFrame, keys: list[str], by: list[Column]) -> DataFrame:
 
 
 def by_quintile(trades: DataFrame, names: list[str], pnl: str = "pnl") -> DataFrame:
-    """Statistics of each quintile of several measures; all quantiles come from one aggregation."""
-    cuts = trades.agg(*(F.array_distinct(F.percentile(c, F.array(*(F.lit(k / 5) for k in range(6))))).alias(f"cut_{c}") for c in names))
-    long = trades.crossJoin(F.broadcast(cuts))  # one row
-    parts = F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("x"), F.col(f"cut_{c}").alias("edges")) for c in names))
-    long = long.withColumn("m", F.explode(parts)).select("*", "m.*").where("x is not null")
-    inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    return long.withColumn("quintile", F.size(F.filter(inner, lambda e: e < F.col("x"))) + 1).groupBy("metric", "quintile").agg(*metrics(pnl))
+    """Statistics of each quintile of several measures; all quantiles are found in the same few passes."""
+    edges = exact_quantiles(written(trades.select(*names)), names, [k / 5 for k in range(6)])
+    parts = F.array(*(F.struct(F.lit(c).alias("metric"), w.quantile_bin(F.col(c).cast("double"), edges[c]).alias("quintile")) for c in names))
+    long = trades.withColumn("m", F.explode(parts)).select("*", "m.*").where("quintile is not null")
+    return long.groupBy("metric", "quintile").agg(*metrics(pnl))
 
 
 def robustness_grid(signals: DataFrame, bars: DataFrame, ratios: tuple[float, ...], timeouts: tuple[int, ...]) -> DataFrame:

@@ -6,12 +6,12 @@ rows is null until it has n values.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barlight.functions.scalars import safe_divide
+from barlight.operators.scans import exact_quantiles, with_ema
+from barlight.sources.shared import written
 
 
 def by_ticker(*more: str) -> WindowSpec:
@@ -101,38 +101,6 @@ def sma(c: str = "close", n: int = 20) -> Column:
     return gated(F.avg, F.col(c), -(n - 1), 0, n)
 
 
-def with_ema(bars: DataFrame, spans: dict[str, int], column: str = "close") -> DataFrame:
-    """Exponential means that begin at a ticker's first value: e = a * x + (1 - a) * e, a = 2 / (span + 1).
-
-    The state runs through a ticker's sorted rows and is carried from batch to batch, so that a ticker
-    of any length takes bounded memory. Nulls leave the mean as it is.
-    """
-    import pyarrow as pa
-    from pyspark.sql import types as T
-
-    names = bars.columns
-    schema = T.StructType([*bars.schema.fields, *(T.StructField(n, T.DoubleType()) for n in spans)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ticker, state = None, {}
-        for batch in batches:
-            tickers = batch.column("ticker").to_pylist()
-            values = batch.column(column).to_pylist()
-            out: dict[str, list] = {n: [] for n in spans}
-            for t, x in zip(tickers, values, strict=True):
-                if t != ticker:
-                    ticker, state = t, dict.fromkeys(spans)
-                for n, span in spans.items():
-                    e = state[n]
-                    if x is not None:
-                        a = 2 / (span + 1)
-                        state[n] = float(x) if e is None else a * x + (1 - a) * e
-                    out[n].append(state[n])
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(out[n], pa.float64()) for n in spans)], [*names, *spans])
-
-    return bars.repartition("ticker").sortWithinPartitions("ticker", "ts").mapInArrow(run, schema)
-
-
 def with_macd(bars: DataFrame, short: int = 12, long: int = 26, signal: int = 9) -> DataFrame:
     out = with_ema(bars, {"ema_short": short, "ema_long": long}).withColumn("macd", F.col("ema_short") - F.col("ema_long"))
     return with_ema(out, {"macd_signal": signal}, "macd").withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop("ema_short", "ema_long")
@@ -207,12 +175,19 @@ def lookback_mean(days: DataFrame, column: str, n: int = 20, least: int = 5) ->
     return F.when(F.count(column).over(w) >= least, F.avg(column).over(w))
 
 
+def quantile_bin(x: Column, edges: list[float]) -> Column:
+    """Bin 1 .. of a value by the quantiles from 0 to 1, closed at the right; equal edges are one."""
+    inner = sorted(set(edges))[1:-1]
+    return F.when(x.isNotNull(), sum((F.when(F.lit(e) < x, 1).otherwise(0) for e in inner), F.lit(1)))
+
+
 def quintile(df: DataFrame, column: str, bins: int = 5) -> DataFrame:
-    """Bin 1 .. bins by linearly interpolated quantiles, closed at the right; equal edges are one."""
-    cuts = df.agg(F.array_distinct(F.percentile(column, F.array(*(F.lit(k / bins) for k in range(bins + 1))))).alias("edges"))
-    out = df.crossJoin(F.broadcast(cuts))  # one row
-    inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    return out.withColumn("quintile", F.when(F.col(column).isNotNull(), F.size(F.filter(inner, lambda e: e < F.col(column))) + 1)).drop("edges")
+    """Bin 1 .. bins by linearly interpolated quantiles, closed at the right; equal edges are one.
+
+    The quantiles are exact and found in a few passes over the column, which is written once for them.
+    """
+    edges = exact_quantiles(written(df.select(column)), [column], [k / bins for k in range(bins + 1)])[column]
+    return df.withColumn("quintile", quantile_bin(F.col(column), edges))
 
 
 def streaks(trades: DataFrame, keys: list[str], order: list[str], flag: Column, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barlight.operators import joins as J
+from barlight.operators import scans
 from barlight.operators import signals as G
 from barlight.operators import windows as W
 from barlight.plans import fixtures as X
@@ -105,12 +106,7 @@ def first_n_of_day(spark, sf):
 
 @add("SELECT ticker, sip_ns, sum(size * side) OVER (PARTITION BY ticker ORDER BY sip_ns, sequence) AS cumulative_delta FROM (SELECT *, coalesce(sign(price - lag(price) OVER (PARTITION BY ticker ORDER BY sip_ns, sequence)), 0) AS side FROM ticks)", "ticks", doubles="cumulative_delta")
 def cumulative_delta(spark, sf):
-    from pyspark.sql import Window
-
-    from barlight.operators.bars import tick_rule
-
-    w = Window.partitionBy("ticker").orderBy("sip_ns", "sequence").rowsBetween(Window.unboundedPreceding, 0)
-    return tick_rule(X.ticks(spark, sf), "ticker").select("ticker", "sip_ns", F.sum(F.col("size") * F.col("side")).over(w).alias("cumulative_delta"))
+    return scans.cumulative_delta(X.ticks(spark, sf)).select("ticker", "sip_ns", "cumulative_delta")
 
 
 @add("WITH s AS (SELECT avg(close) AS m, stddev_samp(close) AS d, avg(volume) AS mv, stddev_samp(volume) AS dv FROM day_bars) SELECT ticker, day, (greatest(least((close - m) / d, 3), -3) + 3) / 6 * 100 AS z_close, (greatest(least((volume - mv) / dv, 3), -3) + 3) / 6 * 100 AS z_volume FROM day_bars, s", "day_bars", doubles="z_close z_volume", dates="day")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_path(spark: SparkSession) -> str:
@@ -16,3 +16,10 @@ def new_path(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="barlight-")
     return f"{folder}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, for what is read more than once; the job clears the folder when it ends."""
+    path = new_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
