@@ -31,10 +31,11 @@ def tick_rule(ticks: DataFrame, *keys: str) -> DataFrame:
 def trade_bars(ticks: DataFrame, size: str = "1min") -> DataFrame:
     """One row a ticker and bucket with order-flow measures.
 
-    All windows share the partitioning by ticker: one shuffle. The large-trade count needs the bucket's
-    mean and deviation first, which a window over the same partitioning gives.
+    Ticks are dealt once, by ticker and bucket, which all windows and the aggregation share; so a ticker with
+    many ticks lies in many tasks. The large-trade count needs the bucket's mean and deviation first, which a
+    window over the same partitioning gives. Only bars, one a bucket, go on by ticker.
     """
-    keyed = tick_rule(valid_trades(ticks).withColumn("bucket", bucket(size)).repartition("ticker"), "ticker", "bucket")
+    keyed = tick_rule(valid_trades(ticks).withColumn("bucket", bucket(size)), "ticker", "bucket")
     whole = Window.partitionBy("ticker", "bucket")
     sd = F.coalesce(F.stddev_samp("size").over(whole), F.lit(0.0))
     keyed = keyed.withColumn("large", (sd > 0) & (F.col("size") >= F.avg("size").over(whole) + 2 * sd))

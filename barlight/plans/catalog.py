@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from barlight.plans import feature_queries, market_queries, option_queries, scan_queries, stream_queries, trade_queries, window_queries
+from barlight.plans import feature_queries, market_queries, option_queries, reference_queries, scan_queries, stream_queries, trade_queries, window_queries
 
-PARTS = (market_queries, feature_queries, window_queries, option_queries, trade_queries, stream_queries, scan_queries)
+PARTS = (market_queries, reference_queries, feature_queries, window_queries, option_queries, trade_queries, stream_queries, scan_queries)
 QUERIES = {name: fn for part in PARTS for name, fn in part.BOOK.queries.items()}
 ORACLE_SQL = {name: text for part in PARTS for name, text in part.BOOK.sql.items()}
 
@@ -24,7 +24,6 @@ VIEWS = {
     "incremental_anti_join": ("exclude_tickers", "ticker day"),
     "to_int": ("to_number", "event_id n"),
     "option_snapshot": ("option_chain", "symbol day close break_even"),
-    "corporate_actions_build": ("ticker_history", "date new_ticker"),
     "bar_number": ("returns", "ticker ts bar_no"),
     "log_returns": ("returns", "ticker ts log_ret"),
     "bar_range": ("returns", "ticker ts bar_range"),
