@@ -113,9 +113,9 @@ def confluence_semi_join(primary: DataFrame, others: list[DataFrame], least: int
 
 
 def forward_range_join(signals: DataFrame, bars: DataFrame, first: int, last: int) -> DataFrame:
-    """Each signal with the bars first .. last places ahead: as equal keys, not as a range."""
+    """Each signal with the bars first .. last places ahead: as equal keys, not as a range. b_bid and b_ask come along if bars have them."""
     ahead = signals.withColumn("at", F.explode(F.sequence(F.col("bar_no") + first, F.col("bar_no") + last)))
-    b = bars.select("ticker", F.col("bar_no").alias("at"), F.col("open").alias("b_open"), F.col("high").alias("b_high"), F.col("low").alias("b_low"), F.col("close").alias("b_close"))
+    b = bars.select("ticker", F.col("bar_no").alias("at"), F.col("open").alias("b_open"), F.col("high").alias("b_high"), F.col("low").alias("b_low"), F.col("close").alias("b_close"), *(F.col(c).alias(f"b_{c}") for c in ("bid", "ask") if c in bars.columns))
     return ahead.join(b, ["ticker", "at"])
 
 

@@ -33,42 +33,80 @@ def barrier_outcome_v2(signals: DataFrame, bars: DataFrame, max_bars: int = 60)
     return out.withColumn("pnl_pct", (F.col("exit") - F.col("entry")) * F.col("direction") / F.col("entry") * 100).drop("t", "s", "last", "close")
 
 
-def barrier_outcome_v3(signals: DataFrame, bars: DataFrame, rr: float = 2.0, timeout: int = 60, latency: int = 0, slippage_bps: float = 0.0, stop_first: bool = True) -> DataFrame:
-    """Entry at the open of bar signal + 1 + latency, walked from that bar on; excursions up to the exit.
-
-    signals: ticker, bar_no, direction, stop_abs, stop_offset, id.
-    """
-    start = 1 + latency
-    ahead = forward_range_join(signals, bars, start, start + timeout)
-    d = F.col("direction")
-    opening = F.max(F.when(F.col("at") == F.col("bar_no") + start, F.col("b_open"))).over(Window.partitionBy("id"))
-    walk = ahead.withColumn("entry", opening * (1 + d * slippage_bps / 1e4)).where("entry is not null")
-    walk = walk.withColumn("stop", F.coalesce("stop_abs", F.col("entry") - d * F.col("stop_offset"))).withColumn("risk", (F.col("entry") - F.col("stop")) * d).where("risk > 0").withColumn("target", F.col("entry") + d * F.col("risk") * rr)
-    up = d == 1
-    t = F.when(up, F.col("b_high") >= F.col("target")).otherwise(F.col("b_low") <= F.col("target"))
-    s = F.when(up, F.col("b_low") <= F.col("stop")).otherwise(F.col("b_high") >= F.col("stop"))
-    keys = ["id", "ticker", "bar_no", "direction", "entry", "stop", "target", "risk"]  # by id first: the window has dealt the rows so
-    bar = F.struct("at", "b_high", "b_low", "b_close")
-    hit = walk.groupBy(*keys).agg(F.min(F.when(t, F.col("at"))).alias("t"), F.min(F.when(s, F.col("at"))).alias("s"), F.max("at").alias("last"), F.max_by("b_close", "at").alias("close"), F.collect_list(bar).alias("bars"))
-    first_stop = F.col("s").isNotNull() & (F.col("t").isNull() | ((F.col("s") <= F.col("t")) if stop_first else (F.col("s") < F.col("t"))))
-    first_target = ~first_stop & F.col("t").isNotNull()
-    hit = hit.withColumn("exit_bar", F.when(first_stop, F.col("s")).when(first_target, F.col("t")).otherwise(F.col("last")))
-    hit = hit.withColumn("exit", F.when(first_stop, F.col("stop")).when(first_target, F.col("target")).otherwise(F.col("close"))).withColumn("result", F.when(first_stop, "loss").when(first_target, "win").otherwise("timeout"))
-    inside = F.filter("bars", lambda b: b["at"] <= F.col("exit_bar"))
-    high, low = F.array_max(F.transform(inside, lambda b: b["b_high"])), F.array_min(F.transform(inside, lambda b: b["b_low"]))
-    up_move, down_move = high - F.col("entry"), F.col("entry") - low
-    out = hit.withColumn("mfe", F.when(d == 1, up_move).otherwise(down_move)).withColumn("mae", F.when(d == 1, down_move).otherwise(up_move))
-    return out.withColumn("pnl", (F.col("exit") - F.col("entry")) * d).withColumn("duration", F.col("exit_bar") - F.col("bar_no") - start).drop("bars", "t", "s", "last", "close", "exit_bar")
+# How entries and exits are priced, and the slippage in basis points that the last has of its own.
+EXECUTIONS = ("mid", "bid_ask", "bid_ask_slippage")
+OWN_SLIPPAGE = 5.0
 
 
 def fill_price(side: Column, kind: str, opening: Column, bid: Column, ask: Column, bps: float = 0.0) -> Column:
-    """mid: the open; else the ask to buy and the bid to sell, or the open; slipped against the side."""
+    """mid: the open; else the ask to buy and the bid to sell, where there is one above 0, or the open; slipped against the side."""
     buy = side == 1
-    base = opening if kind == "mid" else F.coalesce(F.when(buy, ask).otherwise(bid), opening)
-    slip = bps + (5.0 if kind == "bid_ask_slippage" else 0.0)
+    quote = F.when(buy, ask).otherwise(bid)
+    base = opening if kind == "mid" else F.coalesce(F.when(quote > 0, quote), opening)
+    slip = bps if bps > 0 else OWN_SLIPPAGE if kind == "bid_ask_slippage" else 0.0
     return base * F.when(buy, 1 + slip / 1e4).otherwise(1 - slip / 1e4)
 
 
+def _quoted(bars: DataFrame) -> DataFrame:
+    return bars.withColumns({c: F.lit(None).cast("double") for c in ("bid", "ask") if c not in bars.columns})
+
+
+def _entered(signals: DataFrame, bars: DataFrame, latency: int) -> DataFrame:
+    """Signals whose entry bar is there, with its open, bid and ask."""
+    first = bars.select("ticker", (F.col("bar_no") - 1 - latency).alias("bar_no"), F.col("open").alias("e_open"), F.col("bid").alias("e_bid"), F.col("ask").alias("e_ask"))
+    return signals.join(first, ["ticker", "bar_no"])
+
+
+def _plan(execution: str, rr: float, bps: float) -> dict[str, Column]:
+    """entry, stop, risk and target of an entered signal."""
+    d = F.col("direction")
+    entry = fill_price(d, execution, F.col("e_open"), F.col("e_bid"), F.col("e_ask"), bps)
+    offset = F.coalesce("stop_offset", F.lit(0.0))
+    stop = F.coalesce(F.col("stop_abs"), entry - d * offset)
+    risk = F.when(F.col("stop_abs").isNotNull(), F.abs(entry - stop)).otherwise(offset)
+    return {"entry": entry, "stop": stop, "risk": risk, "target": entry + d * risk * rr}
+
+
+def _reached(target: Column, stop: Column) -> tuple[Column, Column]:
+    """Whether a bar of the walk reaches the target, and the stop."""
+    up = F.col("direction") == 1
+    return F.when(up, F.col("b_high") >= target).otherwise(F.col("b_low") <= target), F.when(up, F.col("b_low") <= stop).otherwise(F.col("b_high") >= stop)
+
+
+def _leave(result: Column, target: Column, stop: Column, bar: Column, execution: str, bps: float) -> Column:
+    """The exit: at the target; at the market, but no better than the stop; or at the market."""
+    d = F.col("direction")
+    market = fill_price(-d, execution, bar["b_close"], bar["b_bid"], bar["b_ask"], bps)
+    stopped = F.when(d == 1, F.least(market, stop)).otherwise(F.greatest(market, stop))
+    return F.when(result == "win", target).when(result == "loss", stopped).otherwise(market)
+
+
+def barrier_outcome_v3(signals: DataFrame, bars: DataFrame, rr: float = 2.0, timeout: int = 60, latency: int = 0, slippage_bps: float = 0.0, stop_first: bool = True, execution: str = "mid") -> DataFrame:
+    """Entry in bar signal + 1 + latency, walked from that bar on for `timeout` bars more; excursions up to the exit.
+
+    signals: ticker, bar_no, direction, stop_abs, stop_offset, id; bars may have bid and ask. Signals whose entry
+    bar isn't there, or whose risk is 0, have no row. execution: see fill_price(). A stop is left at the market or the
+    stop, whichever is worse. mfe is 0 or more, mae 0 or less. Running extremes go with the walk, so no bars are collected.
+    """
+    bars = _quoted(bars)
+    start = 1 + latency
+    plan = _entered(signals, bars, latency).withColumns(_plan(execution, rr, slippage_bps)).where("risk > 0")
+    keys = ["id", "ticker", "bar_no", "direction", "entry", "stop", "target", "risk"]
+    walk = forward_range_join(plan.select(*keys), bars, start, start + timeout)
+    so_far = Window.partitionBy("id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    t, s = _reached(F.col("target"), F.col("stop"))
+    walk = walk.withColumn("high", F.max("b_high").over(so_far)).withColumn("low", F.min("b_low").over(so_far)).withColumn("t", t).withColumn("s", s)
+    bar = F.struct("at", "t", "s", "high", "low", "b_close", "b_bid", "b_ask")
+    hit = walk.groupBy(*keys).agg(F.min(F.when(F.col("t") | F.col("s"), bar)).alias("end"), F.max(bar).alias("last"))
+    x = F.coalesce("end", "last")
+    result = F.when(F.col("end").isNull(), "timeout").when(x["s"] & (~x["t"] | F.lit(stop_first)), "loss").otherwise("win")
+    d = F.col("direction")
+    up_move, down_move = x["high"] - F.col("entry"), F.col("entry") - x["low"]
+    out = hit.withColumn("result", result).withColumn("exit", _leave(F.col("result"), F.col("target"), F.col("stop"), x, execution, slippage_bps))
+    out = out.withColumn("mfe", F.greatest(F.when(d == 1, up_move).otherwise(down_move), F.lit(0.0))).withColumn("mae", F.least(F.when(d == 1, -down_move).otherwise(-up_move), F.lit(0.0)))
+    return out.withColumn("pnl", (F.col("exit") - F.col("entry")) * d).withColumn("duration", x["at"] - F.col("bar_no") - start).drop("end", "last")
+
+
 def position_size(signals: DataFrame, risk_dollars: float, cash: float) -> DataFrame:
     """Whole shares by risk and by what cash buys at 25 % margin; rows of 0 shares go."""
     by_risk = F.floor(F.lit(risk_dollars) / F.nullif(F.abs(F.col("entry") - F.col("stop")), F.lit(0.0)))
@@ -77,14 +115,31 @@ def position_size(signals: DataFrame, risk_dollars: float, cash: float) -> DataF
     return out.withColumn("commission", F.greatest(F.lit(0.35), F.col("shares") * 0.0001))
 
 
-def audit_ambiguous_bars(signals: DataFrame, bars: DataFrame, max_bars: int = 60) -> DataFrame:
-    """How many trades have a first bar that reaches both barriers, and their results with the stop first."""
-    ahead = forward_range_join(signals, bars, 1, max_bars - 1)
-    up = F.col("direction") == 1
-    t = F.when(up, F.col("b_high") >= F.col("target")).otherwise(F.col("b_low") <= F.col("target"))
-    s = F.when(up, F.col("b_low") <= F.col("stop")).otherwise(F.col("b_high") >= F.col("stop"))
-    hit = ahead.groupBy("id").agg(F.min(F.when(t, F.col("at"))).alias("t"), F.min(F.when(s, F.col("at"))).alias("s"))
-    return hit.agg(F.count("*").alias("n"), F.count(F.when(F.col("t") == F.col("s"), 1)).alias("ambiguous"), F.count(F.when(F.col("s").isNotNull() & (F.col("t").isNull() | (F.col("s") <= F.col("t"))), 1)).alias("losses_stop_first"), F.count(F.when(F.col("t").isNotNull() & (F.col("s").isNull() | (F.col("t") <= F.col("s"))), 1)).alias("wins_target_first"))
+def audit_ambiguous_bars(trades: DataFrame, bars: DataFrame, max_bars: int = 60) -> DataFrame:
+    """Tests of trades against the bars they were taken in; one row of counts, from one join and one aggregation.
+
+    trades: id, ticker, bar_no (of the entry), direction, entry, stop, target, result, exit, bars_held. ambiguous:
+    some bar after the entry reaches both barriers. losses_, wins_, timeouts_stop_first: results if the stop came first
+    in such bars; relabelled: those that differ from the result given. wins_target_first: if the target did.
+    entry_bar_stop: the entry bar itself reaches the stop. phantom_entry: the entry bar doesn't reach the entry.
+    unreachable_exit: the exit bar of a win or loss doesn't reach the exit.
+    """
+    ahead = forward_range_join(trades, bars, 0, max_bars - 1)
+    d, at = F.col("direction"), F.col("at") - F.col("bar_no")
+    t, s = _reached(F.col("target"), F.col("stop"))
+    later = at >= 1
+    phantom = F.when(d == 1, F.col("b_high") < F.col("entry")).otherwise(F.col("b_low") > F.col("entry"))
+    with_trade, against = F.when(d == 1, F.col("b_high") >= F.col("exit")).otherwise(F.col("b_low") <= F.col("exit")), F.when(d == 1, F.col("b_low") <= F.col("exit")).otherwise(F.col("b_high") >= F.col("exit"))
+    reached = F.when(F.col("result") == "win", with_trade).when(F.col("result") == "loss", against).otherwise(True)
+    any_ = lambda c, name: F.max(F.coalesce(c, F.lit(False))).alias(name)
+    hit = ahead.groupBy("id", "result").agg(F.min(F.when(later & t, at)).alias("t"), F.min(F.when(later & s, at)).alias("s"), any_(later & t & s, "both"), any_((at == 0) & s, "entry_stop"), any_((at == 0) & phantom, "phantom"), any_((at == F.col("bars_held")) & ~reached, "unreachable"))
+    loss = F.col("s").isNotNull() & (F.col("t").isNull() | (F.col("s") <= F.col("t")))
+    hit = hit.withColumn("stop_first", F.when(loss, "loss").when(F.col("t").isNotNull(), "win").otherwise("timeout"))
+    count = lambda c, name: F.count(F.when(c, 1)).alias(name)
+    return hit.agg(
+        F.count("*").alias("n"), count(F.col("both"), "ambiguous"), *(count(F.col("stop_first") == r, f"{name}_stop_first") for r, name in (("loss", "losses"), ("win", "wins"), ("timeout", "timeouts"))), count(F.col("stop_first") != F.col("result"), "relabelled"),
+        count(F.col("t").isNotNull() & (F.col("s").isNull() | (F.col("t") <= F.col("s"))), "wins_target_first"), count(F.col("entry_stop"), "entry_bar_stop"), count(F.col("phantom"), "phantom_entry"), count(F.col("unreachable"), "unreachable_exit"),
+    )
 
 
 def metrics(pnl: str = "pnl", result: str = "result", sharpe: float = 252.0) -> list[Column]:
@@ -159,20 +214,32 @@ def by_quintile(trades: DataFrame, names: list[str], pnl: str = "pnl") -> DataFr
     return long.groupBy("metric", "quintile").agg(*metrics(pnl))
 
 
-def robustness_grid(signals: DataFrame, bars: DataFrame, ratios: tuple[float, ...], timeouts: tuple[int, ...]) -> DataFrame:
-    """Outcomes of the same signals over a grid of reward ratios and timeouts; the walk is joined once.
+def robustness_grid(signals: DataFrame, bars: DataFrame, ratios: tuple[float, ...], timeouts: tuple[int, ...], executions: tuple[str, ...] = EXECUTIONS, latency: int = 0, slippage_bps: float = 0.0, stop_first: bool = True) -> DataFrame:
+    """Statistics of barrier_outcome_v3() over a grid of reward ratios, timeouts and executions; the walk is joined once.
 
-    signals: ticker, bar_no, direction, entry, stop, id.
+    signals: ticker, bar_no, direction, stop_abs, stop_offset, id. The first bar that ends a trade follows from
+    ratio and execution, the last bar from the timeout; so a walk's row is not copied for each cell.
     """
-    grid = F.array(*(F.struct(F.lit(r).alias("rr"), F.lit(t).alias("timeout")) for r in ratios for t in timeouts))
-    ahead = forward_range_join(signals, bars, 1, max(timeouts)).withColumn("g", F.explode(grid)).select("*", "g.*").where(F.col("at") - F.col("bar_no") <= F.col("timeout"))
-    d = F.col("direction")
-    target = F.col("entry") + (F.col("entry") - F.col("stop")) * F.col("rr")
-    t = F.when(d == 1, F.col("b_high") >= target).otherwise(F.col("b_low") <= target)
-    s = F.when(d == 1, F.col("b_low") <= F.col("stop")).otherwise(F.col("b_high") >= F.col("stop"))
-    hit = ahead.groupBy("rr", "timeout", "id", "direction", "entry", "stop").agg(F.min(F.when(t, F.col("at"))).alias("t"), F.min(F.when(s, F.col("at"))).alias("s"), F.max_by("b_close", "at").alias("close"))
-    loss = F.col("s").isNotNull() & (F.col("t").isNull() | (F.col("s") <= F.col("t")))
-    win = ~loss & F.col("t").isNotNull()
-    out = hit.withColumn("result", F.when(loss, "loss").when(win, "win").otherwise("timeout"))
-    exit_ = F.when(loss, F.col("stop")).when(win, F.col("entry") + (F.col("entry") - F.col("stop")) * F.col("rr")).otherwise(F.col("close"))
-    return out.withColumn("pnl", (exit_ - F.col("entry")) * d).groupBy("rr", "timeout").agg(*metrics("pnl"))
+    bars = _quoted(bars)
+    start = 1 + latency
+    entered = _entered(signals, bars, latency).select("id", "ticker", "bar_no", "direction", "stop_abs", "stop_offset", "e_open", "e_bid", "e_ask")
+    walk = forward_range_join(entered, bars, start, start + max(timeouts))
+    cells = [(e, r) for e in executions for r in ratios]
+    plans = [_plan(e, r, slippage_bps) for e, r in cells]
+    ends = []
+    for k, p in enumerate(plans):
+        t, s = _reached(p["target"], p["stop"])
+        ends.append(F.min(F.when(t | s, F.struct(F.col("at"), t.alias("t"), s.alias("s"), "b_close", "b_bid", "b_ask"))).alias(f"end{k}"))
+    lasts = [F.max(F.when(F.col("at") <= F.col("bar_no") + start + m, F.struct("at", "b_close", "b_bid", "b_ask"))).alias(f"last{m}") for m in timeouts]
+    hit = walk.groupBy(*entered.columns).agg(*ends, *lasts)
+    rows = []
+    for k, ((execution, rr), p) in enumerate(zip(cells, plans, strict=True)):
+        end = F.col(f"end{k}")
+        for m in timeouts:
+            within = end.isNotNull() & (end["at"] <= F.col("bar_no") + start + m)
+            result = F.when(~within, "timeout").when(end["s"] & (~end["t"] | F.lit(stop_first)), "loss").otherwise("win")
+            bar = F.when(within, F.struct(end["b_close"].alias("b_close"), end["b_bid"].alias("b_bid"), end["b_ask"].alias("b_ask"))).otherwise(F.struct(*(F.col(f"last{m}")[c].alias(c) for c in ("b_close", "b_bid", "b_ask"))))
+            pnl = (_leave(result, p["target"], p["stop"], bar, execution, slippage_bps) - p["entry"]) * F.col("direction")
+            rows.append(F.when(p["risk"] > 0, F.struct(F.lit(rr).alias("rr"), F.lit(m).alias("timeout"), F.lit(execution).alias("execution"), result.alias("result"), pnl.alias("pnl"))))
+    cells_of = hit.select(F.explode(F.array_compact(F.array(*rows))).alias("c")).select("c.*")
+    return cells_of.groupBy("rr", "timeout", "execution").agg(*metrics("pnl"))

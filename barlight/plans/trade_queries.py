@@ -111,28 +111,53 @@ def barrier_outcome_v2(spark, sf):
     return T.barrier_outcome_v2(s.drop("stop_abs", "stop_offset"), bars, 20)
 
 
-@add(f"""WITH {NUMBERED}, {ENTRY}, e AS (SELECT s.ticker, s.bar_no, s.direction, n.open AS entry, s.stop, (n.open - s.stop) * s.direction AS risk, s.id FROM s JOIN b n ON n.ticker = s.ticker AND n.bar_no = s.bar_no + 1), x AS (SELECT *, entry + direction * risk * 2 AS target FROM e WHERE risk > 0),
-  h AS (SELECT x.*, b.bar_no AS xat, b.high AS bh, b.low AS bl, b.close AS bc FROM x JOIN b ON x.ticker = b.ticker AND b.bar_no BETWEEN x.bar_no + 1 AND x.bar_no + 21), f AS (SELECT id, ticker, bar_no, direction, entry, stop, target, risk, min(xat) FILTER ((direction = 1 AND bh >= target) OR (direction = -1 AND bl <= target)) AS t, min(xat) FILTER ((direction = 1 AND bl <= stop) OR (direction = -1 AND bh >= stop)) AS k, max(xat) AS last, arg_max(bc, xat) AS c FROM h GROUP BY ALL),
-  r AS (SELECT *, CASE WHEN k IS NOT NULL AND (t IS NULL OR k <= t) THEN 'loss' WHEN t IS NOT NULL THEN 'win' ELSE 'timeout' END AS result FROM f), z AS (SELECT *, CASE result WHEN 'loss' THEN k WHEN 'win' THEN t ELSE last END AS xb, CASE result WHEN 'loss' THEN stop WHEN 'win' THEN target ELSE c END AS exit FROM r),
-  m AS (SELECT z.id, max(h.bh) AS hi, min(h.bl) AS lo FROM z JOIN h ON z.id = h.id AND h.xat <= z.xb GROUP BY 1)
-  SELECT z.id, ticker, bar_no, direction, entry, stop, target, risk, exit, result, CASE WHEN direction = 1 THEN hi - entry ELSE entry - lo END AS mfe, CASE WHEN direction = 1 THEN entry - lo ELSE hi - entry END AS mae, (exit - entry) * direction AS pnl, xb - bar_no - 1 AS duration FROM z JOIN m ON z.id = m.id""", "hour_bars", doubles="entry stop target risk exit mfe mae pnl", places=6)
-def barrier_outcome_v3(spark, sf):
+# Bars with the hour's mean quotes, some of them without.
+QUOTED = "qq AS (SELECT ticker, date_trunc('hour', ts) AS ts, avg(bid_price) AS bid, avg(ask_price) AS ask FROM quotes GROUP BY 1, 2), qb AS (SELECT b.*, CASE WHEN bar_no % 11 <> 0 THEN bid END AS bid, CASE WHEN bar_no % 13 <> 0 THEN ask END AS ask FROM b LEFT JOIN qq ON b.ticker = qq.ticker AND b.ts = qq.ts)"
+EXECUTED = f"""WITH {NUMBERED}, {QUOTED}, {ENTRY}, x AS (SELECT *, CASE WHEN execution = 'bid_ask_slippage' THEN 5 / 1e4 ELSE 0 END AS slip FROM (VALUES ('mid'), ('bid_ask'), ('bid_ask_slippage')) AS x(execution)),
+  e AS (SELECT x.*, s.id, s.ticker, s.bar_no, s.direction, s.stop, (CASE WHEN execution = 'mid' THEN n.open ELSE coalesce(CASE WHEN direction = 1 THEN n.ask ELSE n.bid END, n.open) END) * (1 + direction * slip) AS entry FROM x, s JOIN qb n ON n.ticker = s.ticker AND n.bar_no = s.bar_no + 1),
+  p AS (SELECT e.*, abs(entry - stop) AS risk, rr, timeout, entry + direction * abs(entry - stop) * rr AS target FROM e, {{grid}} WHERE abs(entry - stop) > 0),
+  h AS (SELECT p.*, b.bar_no AS xat, b.high AS bh, b.low AS bl, (CASE WHEN execution = 'mid' THEN b.close ELSE coalesce(CASE WHEN direction = 1 THEN b.bid ELSE b.ask END, b.close) END) * (1 - direction * slip) AS mx,
+    CASE WHEN direction = 1 THEN b.high >= target ELSE b.low <= target END AS t, CASE WHEN direction = 1 THEN b.low <= stop ELSE b.high >= stop END AS k FROM p JOIN qb b ON p.ticker = b.ticker AND b.bar_no BETWEEN p.bar_no + 1 AND p.bar_no + 1 + timeout),
+  f AS (SELECT execution, rr, timeout, id, coalesce(min(xat) FILTER (t OR k), max(xat)) AS xb FROM h GROUP BY ALL),
+  r AS (SELECT h.*, CASE WHEN k THEN 'loss' WHEN t THEN 'win' ELSE 'timeout' END AS result FROM h JOIN f USING (execution, rr, timeout, id) WHERE h.xat = f.xb),
+  o AS (SELECT *, CASE result WHEN 'win' THEN target WHEN 'loss' THEN (CASE WHEN direction = 1 THEN least(mx, stop) ELSE greatest(mx, stop) END) ELSE mx END AS exit FROM r)"""
+
+
+def _quoted(spark, sf):
     s, bars = _walk(spark, sf)
-    return T.barrier_outcome_v3(s.select("ticker", "bar_no", "direction", "stop_abs", "stop_offset", "id"), bars, 2.0, 20)
+    q = X.quotes(spark, sf).groupBy("ticker", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(F.avg("bid_price").alias("bid"), F.avg("ask_price").alias("ask"))
+    bars = bars.join(q, ["ticker", "ts"], "left").withColumn("bid", F.when(F.col("bar_no") % 11 != 0, F.col("bid"))).withColumn("ask", F.when(F.col("bar_no") % 13 != 0, F.col("ask")))
+    return s.select("ticker", "bar_no", "direction", "stop_abs", "stop_offset", "id"), bars
 
 
-@add(f"WITH {NUMBERED}, {ENTRY}, {HITS.format(first=1, last=19)}, {FIRST} SELECT count(*) AS n, count(*) FILTER (t = k) AS ambiguous, count(*) FILTER (k IS NOT NULL AND (t IS NULL OR k <= t)) AS losses_stop_first, count(*) FILTER (t IS NOT NULL AND (k IS NULL OR t <= k)) AS wins_target_first FROM f", "hour_bars")
-def audit_ambiguous_bars(spark, sf):
-    s, bars = _walk(spark, sf)
-    return T.audit_ambiguous_bars(s.select("ticker", "bar_no", "direction", "entry", "stop", "target", "id"), bars, 20)
+@add(EXECUTED.format(grid="(VALUES (2::DOUBLE, 20)) AS g(rr, timeout)") + """, m AS (SELECT execution, id, max(bh) AS hi, min(bl) AS lo FROM h JOIN f USING (execution, rr, timeout, id) WHERE xat <= xb GROUP BY ALL)
+  SELECT execution, id, ticker, bar_no, direction, entry, stop, target, risk, exit, result, greatest(CASE WHEN direction = 1 THEN hi - entry ELSE entry - lo END, 0) AS mfe, least(CASE WHEN direction = 1 THEN lo - entry ELSE entry - hi END, 0) AS mae, (exit - entry) * direction AS pnl, xat - bar_no - 1 AS duration FROM o JOIN m USING (execution, id)""", "hour_bars", "quotes", doubles="entry stop target risk exit mfe mae pnl", places=6)
+def barrier_outcome_v3(spark, sf):
+    s, bars = _quoted(spark, sf)
+    outcomes = [T.barrier_outcome_v3(s, bars, 2.0, 20, execution=e).withColumn("execution", F.lit(e)) for e in T.EXECUTIONS]
+    return outcomes[0].union(outcomes[1]).union(outcomes[2])
 
 
-@add(f"""WITH {NUMBERED}, {ENTRY}, g AS (SELECT rr, timeout, s.* FROM s, (VALUES (1.5::DOUBLE), (2::DOUBLE), (2.5::DOUBLE)) AS r(rr), (VALUES (15), (30), (60), (120)) AS o(timeout)), h AS (SELECT g.*, entry + (entry - stop) * rr AS tg, b.bar_no AS xat, b.high AS bh, b.low AS bl, b.close AS bc FROM g JOIN b ON g.ticker = b.ticker AND b.bar_no BETWEEN g.bar_no + 1 AND g.bar_no + timeout),
-  f AS (SELECT rr, timeout, id, direction, entry, stop, tg, min(xat) FILTER ((direction = 1 AND bh >= tg) OR (direction = -1 AND bl <= tg)) AS t, min(xat) FILTER ((direction = 1 AND bl <= stop) OR (direction = -1 AND bh >= stop)) AS k, arg_max(bc, xat) AS c FROM h GROUP BY ALL), r AS (SELECT *, CASE WHEN k IS NOT NULL AND (t IS NULL OR k <= t) THEN 'loss' WHEN t IS NOT NULL THEN 'win' ELSE 'timeout' END AS result FROM f),
-  p AS (SELECT rr, timeout, result, ((CASE result WHEN 'loss' THEN stop WHEN 'win' THEN tg ELSE c END) - entry) * direction AS pnl FROM r) SELECT rr, timeout, {metrics_sql()} FROM p GROUP BY ALL""", "hour_bars", doubles=f"rr {METRICS}")
+@add(EXECUTED.format(grid="(VALUES (1.5::DOUBLE), (2::DOUBLE), (2.5::DOUBLE)) AS r(rr), (VALUES (15), (30), (60), (120)) AS o(timeout)") + f", pp AS (SELECT execution, rr, timeout, result, (exit - entry) * direction AS pnl FROM o) SELECT execution, rr, timeout, {metrics_sql()} FROM pp GROUP BY ALL", "hour_bars", "quotes", doubles=f"rr {METRICS}")
 def robustness_grid(spark, sf):
+    s, bars = _quoted(spark, sf)
+    return T.robustness_grid(s, bars, (1.5, 2.0, 2.5), (15, 30, 60, 120))
+
+
+@add(f"""WITH {NUMBERED}, {ENTRY}, {HITS.format(first=1, last=19)}, {FIRST}, r AS (SELECT *, CASE WHEN t IS NOT NULL AND (k IS NULL OR t <= k) THEN 'win' WHEN k IS NOT NULL THEN 'loss' ELSE 'timeout' END AS result FROM f),
+  tr AS (SELECT r.*, entry * (1 + bar_no % 3 * 0.02) AS paid, CASE result WHEN 'win' THEN target WHEN 'loss' THEN stop ELSE c END AS exit, CASE result WHEN 'win' THEN t WHEN 'loss' THEN k ELSE last END - bar_no AS held FROM r),
+  w AS (SELECT tr.*, b.bar_no - tr.bar_no AS n, b.high AS bh, b.low AS bl, CASE WHEN direction = 1 THEN b.high >= target ELSE b.low <= target END AS ht, CASE WHEN direction = 1 THEN b.low <= stop ELSE b.high >= stop END AS hs FROM tr JOIN b ON b.ticker = tr.ticker AND b.bar_no BETWEEN tr.bar_no AND tr.bar_no + 19),
+  g AS (SELECT id, result, min(n) FILTER (n > 0 AND ht) AS t, min(n) FILTER (n > 0 AND hs) AS s, bool_or(n > 0 AND ht AND hs) AS both_, bool_or(n = 0 AND hs) AS es, bool_or(n = 0 AND CASE WHEN direction = 1 THEN bh < paid ELSE bl > paid END) AS ph,
+    bool_or(n = held AND ((result = 'win' AND NOT ht) OR (result = 'loss' AND NOT hs))) AS un FROM w GROUP BY ALL),
+  l AS (SELECT *, CASE WHEN s IS NOT NULL AND (t IS NULL OR s <= t) THEN 'loss' WHEN t IS NOT NULL THEN 'win' ELSE 'timeout' END AS sf FROM g)
+  SELECT count(*) AS n, count(*) FILTER (both_) AS ambiguous, count(*) FILTER (sf = 'loss') AS losses_stop_first, count(*) FILTER (sf = 'win') AS wins_stop_first, count(*) FILTER (sf = 'timeout') AS timeouts_stop_first, count(*) FILTER (sf <> result) AS relabelled,
+    count(*) FILTER (t IS NOT NULL AND (s IS NULL OR t <= s)) AS wins_target_first, count(*) FILTER (es) AS entry_bar_stop, count(*) FILTER (ph) AS phantom_entry, count(*) FILTER (un) AS unreachable_exit FROM l""", "hour_bars")
+def audit_ambiguous_bars(spark, sf):
     s, bars = _walk(spark, sf)
-    return T.robustness_grid(s.select("ticker", "bar_no", "direction", "entry", "stop", "id"), bars, (1.5, 2.0, 2.5), (15, 30, 60, 120))
+    trades = T.barrier_outcome_v2(s.drop("stop_abs", "stop_offset"), bars, 20)
+    # What is said to have been paid is off for some, so that some entries were never to be had.
+    trades = trades.withColumn("entry", F.col("entry") * (1 + F.col("bar_no") % 3 * 0.02))
+    return T.audit_ambiguous_bars(trades, bars, 20)
 
 
 @add(f"WITH {NUMBERED}, {ENTRY}, z AS (SELECT id, entry, stop, least(floor(500 / nullif(abs(entry - stop), 0)), floor(10000 / (entry * 0.25))) AS shares FROM s) SELECT id, entry, stop, CAST(shares AS BIGINT) AS shares, shares * entry AS notional, shares * entry * 0.25 AS margin, greatest(0.35, shares * 0.0001) AS commission FROM z WHERE shares > 0", "hour_bars", doubles="entry stop notional margin commission", places=6)

@@ -1,11 +1,13 @@
 """Empty, null, tie and single-row cases of operators."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from barlight.functions import predicates as P
 from barlight.functions import scalars as S
-from barlight.operators import bars, joins, market, signals, windows
+from barlight.operators import bars, joins, market, outcomes, signals, windows
 from barlight.sources import tables
 
 TICKS = "ticker string, sip_ns long, price double, size double, exchange long, sequence long, ts timestamp_ntz"
@@ -137,3 +139,60 @@ def test_yields_as_of_by_equal_dates(spark):
     out = joins.asof_yield_join(rows, curve)
     assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
     assert {r.id: r.y for r in out.collect()} == {0: 0.0, 1: 0.0, 2: 0.0, 3: 0.0, 4: 3.0, 5: 3.0, 6: 3.0, 7: 6.0, 8: 6.0, 99: None}
+
+
+def walk(spark, direction, *bars_):
+    """Bars from bar 0 on (open, high, low, close, bid, ask) and a signal at bar 0 with the stop at 9 or 11."""
+    bars_df = spark.createDataFrame([("A", k, *map(float, b[:4]), *b[4:]) for k, b in enumerate(bars_)], "ticker string, bar_no long, open double, high double, low double, close double, bid double, ask double")
+    signal = spark.createDataFrame([("A", 0, direction, 10.0 - direction, None, "i")], "ticker string, bar_no long, direction int, stop_abs double, stop_offset double, id string")
+    return signal, bars_df
+
+
+QUIET = (10, 10.1, 9.9, 10, None, None)
+
+
+def test_a_gap_through_the_stop_is_left_at_the_market(spark):
+    signal, b = walk(spark, 1, QUIET, QUIET, (8, 8.2, 7.5, 8, 7.9, 8.1))
+    got = {e: outcomes.barrier_outcome_v3(signal, b, execution=e).first() for e in outcomes.EXECUTIONS}
+    assert [got[e].result for e in got] == ["loss"] * 3
+    assert got["mid"].exit == 8 and got["bid_ask"].exit == 7.9 and got["bid_ask_slippage"].exit == pytest.approx(7.9 * (1 - 5e-4))
+    assert got["mid"].entry == 10 and got["bid_ask_slippage"].entry == pytest.approx(10 * (1 + 5e-4))  # no quote: the open
+    assert (got["mid"].mfe, got["mid"].mae, got["mid"].duration) == (pytest.approx(0.1), -2.5, 1)
+    signal, b = walk(spark, -1, QUIET, QUIET, (10.9, 11.5, 10.8, 10.9, 10.7, 10.8))
+    r = outcomes.barrier_outcome_v3(signal, b).first()
+    assert (r.result, r.exit) == ("loss", 11)  # the market has come back: the stop is worse
+
+
+def test_both_barriers_in_a_bar(spark):
+    signal, b = walk(spark, 1, QUIET, (10, 13, 8, 12, 11.9, 12.1))
+    assert [outcomes.barrier_outcome_v3(signal, b, stop_first=f).first().result for f in (True, False)] == ["loss", "win"]
+    assert outcomes.barrier_outcome_v3(signal, b, stop_first=False).first().exit == 12
+    assert outcomes.barrier_outcome_v3(signal, b, latency=3).count() == 0  # no entry bar
+    timeout = outcomes.barrier_outcome_v3(*walk(spark, 1, QUIET, QUIET, QUIET), execution="bid_ask").first()
+    assert (timeout.result, timeout.exit, timeout.duration) == ("timeout", 10, 1)
+
+
+def test_the_grid_is_every_outcome_for_itself(spark):
+    rng = random.Random(5)
+    rows, price = [], 10.0
+    for _ in range(200):
+        o = price
+        price *= 1 + rng.uniform(-0.05, 0.05)
+        rows.append((o, max(o, price) * 1.01, min(o, price) * 0.99, price, None if rng.random() < 0.2 else price * 0.999, price * 1.001))
+    _, b = walk(spark, 1, *rows)
+    signals_df = b.where("bar_no % 3 = 0").select("ticker", "bar_no", F.when(F.col("bar_no") % 2 == 0, 1).otherwise(-1).alias("direction"), F.when(F.col("bar_no") % 5 > 0, F.col("close") * 0.97).alias("stop_abs"), F.lit(0.3).alias("stop_offset"), F.col("bar_no").cast("string").alias("id"))
+    grid = {(r.rr, r.timeout, r.execution): (r.n, r.wins, r.losses, pytest.approx(r.total_pnl)) for r in outcomes.robustness_grid(signals_df, b, (1.5, 2.5), (3, 20), latency=1).collect()}
+    assert len(grid) == 12
+    for (rr, timeout, execution), want in grid.items():
+        one = outcomes.barrier_outcome_v3(signals_df, b, rr, timeout, 1, execution=execution).agg(F.count("*"), F.count(F.when(F.col("result") == "win", 1)), F.count(F.when(F.col("result") == "loss", 1)), F.sum("pnl")).first()
+        assert tuple(one) == want
+
+
+def test_audit_of_trades(spark):
+    _, b = walk(spark, 1, (10, 10.1, 8.9, 10, None, None), (10, 12.5, 8.5, 10, None, None), QUIET)
+    schema = "id string, ticker string, bar_no long, direction int, entry double, stop double, target double, result string, exit double, bars_held long"
+    trades = spark.createDataFrame([("x", "A", 0, 1, 10.5, 9.0, 12.0, "win", 12.0, 1), ("y", "A", 1, -1, 8.0, 11.0, 7.0, "loss", 13.0, 1)], schema)
+    r = outcomes.audit_ambiguous_bars(trades, b, 5).first()
+    assert (r.n, r.ambiguous, r.losses_stop_first, r.timeouts_stop_first, r.relabelled) == (2, 1, 1, 1, 2)
+    assert (r.entry_bar_stop, r.phantom_entry, r.unreachable_exit, r.wins_target_first) == (2, 2, 1, 1)
+    assert outcomes.audit_ambiguous_bars(trades.where("false"), b).first().n == 0
