@@ -11,7 +11,6 @@ ORACLE_SQL = {name: text for part in PARTS for name, text in part.BOOK.sql.items
 #: Operators whose columns another query computes along with its own: that query, and the operator's columns.
 VIEWS = {
     "complete_grid": ("exchange_heatmap", "exchange slot n"),
-    "summaries": ("snapshot", "ticker day day_close change_pct"),
     "range_filter": ("date_range_filter", "event_id value"),
     "session_label": ("time_zone_bucket", "event_id session"),
     "session_filter": ("time_zone_bucket", "event_id trading"),
@@ -23,7 +22,6 @@ VIEWS = {
     "snapshot_filter": ("screen_snapshot", "ticker day rvol"),
     "incremental_anti_join": ("exclude_tickers", "ticker day"),
     "to_int": ("to_number", "event_id n"),
-    "option_snapshot": ("option_chain", "symbol day close break_even"),
     "bar_number": ("returns", "ticker ts bar_no"),
     "log_returns": ("returns", "ticker ts log_ret"),
     "bar_range": ("returns", "ticker ts bar_range"),

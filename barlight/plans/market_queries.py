@@ -11,6 +11,7 @@ from barlight.operators import joins as J
 from barlight.operators import market as M
 from barlight.operators import options as O
 from barlight.operators import signals as G
+from barlight.operators import snapshots as N
 from barlight.plans import fixtures as X
 from barlight.plans.book import Book
 
@@ -287,3 +288,48 @@ def enrich_reference_join(spark, sf):
 @add("SELECT p_partkey, p_name, p_size FROM part WHERE p_size >= 10 AND p_size < 30 AND p_type IN ('ECONOMY', 'SMALL') ORDER BY p_partkey DESC LIMIT 40")
 def reference_query(spark, sf):
     return M.listing(X.read(spark, sf, "part"), 40, "p_partkey", False, p_size__gte=10, p_size__lt=30, p_type__any_of=["ECONOMY", "SMALL"]).select("p_partkey", "p_name", "p_size")
+
+
+FULL = """k AS (SELECT *, CAST(ts - INTERVAL 5 HOUR AS DATE) AS day, CAST(extract(hour FROM ts - INTERVAL 5 HOUR) * 60 + extract(minute FROM ts) AS INTEGER) AS minute FROM ticks),
+  m AS (SELECT ticker, day, minute, first(price ORDER BY sip_ns, sequence) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY sip_ns, sequence) AS close, sum(size) AS volume, sum(price * size) / sum(size) AS vwap, count(*) AS transactions FROM k GROUP BY 1, 2, 3),
+  d AS (SELECT ticker, day, first(price ORDER BY sip_ns, sequence) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY sip_ns, sequence) AS close, sum(size) AS volume, sum(price * size) / sum(size) AS vwap, count(*) AS transactions, max({'a': sip_ns, 'b': sequence, 'price': price, 'size': size, 'exchange': exchange}) AS t,
+    last(price ORDER BY sip_ns, sequence) FILTER (minute < 570) AS early, last(price ORDER BY sip_ns, sequence) FILTER (minute >= 570 AND minute < 960) AS regular, last(price ORDER BY sip_ns, sequence) FILTER (minute >= 960) AS late, max(minute) AS last_minute, row_number() OVER (PARTITION BY ticker ORDER BY day DESC) AS n FROM k GROUP BY ticker, day),
+  q AS (SELECT ticker, max({'a': sip_ns, 'bid_price': bid_price, 'ask_price': ask_price, 'bid_size': bid_size, 'ask_size': ask_size}) AS q FROM quotes GROUP BY 1),
+  fs AS (SELECT d.ticker, d.day, d.open AS day_open, d.high AS day_high, d.low AS day_low, d.close AS day_close, d.volume AS day_volume, d.vwap AS day_vwap, d.transactions AS day_transactions, p.open AS prev_open, p.high AS prev_high, p.low AS prev_low, p.close AS prev_close, p.volume AS prev_volume,
+    m.minute AS min_minute, m.open AS min_open, m.high AS min_high, m.low AS min_low, m.close AS min_close, m.volume AS min_volume, m.vwap AS min_vwap, m.transactions AS min_transactions, d.t.price AS trade_price, d.t.size AS trade_size, d.t.exchange AS trade_exchange, d.t.a AS trade_ns,
+    q.q.bid_price AS bid_price, q.q.bid_size AS bid_size, q.q.ask_price AS ask_price, q.q.ask_size AS ask_size, greatest(d.t.a, q.q.a) AS updated, d.close - p.close AS change, (d.close - p.close) / p.close * 100 AS change_pct, d.early - p.close AS early_change, d.regular - p.close AS regular_change, d.late - d.regular AS late_change
+    FROM d LEFT JOIN d p ON d.ticker = p.ticker AND p.n = 2 JOIN m ON m.ticker = d.ticker AND m.day = d.day AND m.minute = d.last_minute LEFT JOIN q ON q.ticker = d.ticker WHERE d.n = 1)"""
+FULL_DOUBLES = "day_open day_high day_low day_close day_volume day_vwap prev_open prev_high prev_low prev_close prev_volume min_open min_high min_low min_close min_volume min_vwap trade_price trade_size bid_price bid_size ask_price ask_size change change_pct early_change regular_change late_change"
+
+
+@add(f"WITH {FULL} SELECT * FROM fs", "ticks", "quotes", doubles=FULL_DOUBLES, dates="day")
+def full_snapshot(spark, sf):
+    return N.full_snapshot(X.ticks(spark, sf), X.quotes(spark, sf))
+
+
+OPTIONS = """od AS (SELECT symbol, day, arg_max({'ticker': ticker, 'type': type, 'strike': strike, 'dte': dte, 'close': close, 'iv': iv, 'delta': delta, 'gamma': gamma, 'vega': vega, 'open_interest': open_interest}, {'a': line_order, 'b': close, 'c': underlying, 'd': spread, 'e': iv}) AS l, max(close) AS high, min(close) AS low, arg_min(close, {'a': line_order, 'b': close, 'c': underlying, 'd': spread, 'e': iv}) AS open, sum(volume) AS volume FROM chains GROUP BY 1, 2),
+  ow AS (SELECT *, lag(l.close) OVER (PARTITION BY symbol ORDER BY day) AS previous_close, row_number() OVER (PARTITION BY symbol ORDER BY day DESC) AS n FROM od), u AS (SELECT ticker AS u, avg(strike) AS underlying_price FROM contracts GROUP BY 1),
+  os AS (SELECT symbol, day, open, high, low, volume, previous_close, l.ticker AS ticker, l.type AS type, l.strike AS strike, l.dte AS dte, l.close AS close, l.iv AS iv, l.delta AS delta, l.gamma AS gamma, l.vega AS vega, l.open_interest AS open_interest, underlying_price,
+    CASE WHEN l.type = 'C' THEN l.strike + l.close ELSE l.strike - l.close END AS break_even, CASE WHEN l.type = 'C' THEN l.strike + l.close ELSE l.strike - l.close END - underlying_price AS to_break_even, l.close - previous_close AS change FROM ow LEFT JOIN u ON l.ticker = u WHERE n = 1)"""
+
+
+def _options(spark, sf):
+    price = X.contracts(spark, sf).groupBy("ticker").agg(F.avg("strike").alias("price"))
+    return N.option_snapshot(X.chains(spark, sf), price, ["line_order", "close", "underlying", "spread", "iv"])
+
+
+@add(f"WITH {OPTIONS} SELECT * FROM os", "chains", doubles="open high low volume previous_close strike close iv delta gamma vega open_interest underlying_price break_even to_break_even change", dates="day")
+def option_snapshot(spark, sf):
+    return _options(spark, sf)
+
+
+@add(
+    f"""WITH {FULL}, {OPTIONS}, w AS (SELECT DISTINCT event_type AS ticker FROM events UNION SELECT symbol FROM contracts UNION SELECT 'none')
+  SELECT w.ticker, CASE WHEN fs.ticker IS NOT NULL THEN 'stocks' WHEN os.symbol IS NOT NULL THEN 'options' END AS type, coalesce(day_close, os.close) AS price, coalesce(fs.change, os.change) AS change, early_change AS early, late_change AS late, coalesce(day_volume, os.volume) AS volume, os.type AS contract_type, os.ticker AS underlying,
+  CASE WHEN fs.ticker IS NULL AND os.symbol IS NULL THEN 'NOT_FOUND' END AS error FROM w LEFT JOIN fs ON w.ticker = fs.ticker LEFT JOIN os ON w.ticker = os.symbol""",
+    "ticks", "quotes", "chains", doubles="price change early late volume",
+)
+def summaries(spark, sf):
+    wanted = X.read(spark, sf, "events").select(F.col("event_type").alias("ticker")).union(X.contracts(spark, sf).select("symbol")).union(spark.range(1).select(F.lit("none")))
+    rows = N.summaries(wanted, N.full_snapshot(X.ticks(spark, sf), X.quotes(spark, sf)), _options(spark, sf))
+    return rows.select("ticker", "type", "price", F.col("session.change").alias("change"), F.col("session.early_trading_change").alias("early"), F.col("session.late_trading_change").alias("late"), F.col("session.volume").alias("volume"), F.col("options.contract_type").alias("contract_type"), F.col("options.underlying_ticker").alias("underlying"), "error")
