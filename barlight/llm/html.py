@@ -39,23 +39,28 @@ _LISTS = ("ul", "ol", "dl", "table", "select")
 _STOPS = frozenset("ul ol dl table article section main div nav aside header footer body html td th blockquote form".split())
 #: Elements that are open at most; deeper ones count as part of the last.
 DEEPEST = 512
-#: Attribute values in quotes that a tag may have; one with more ends at the first `>`.
-MOST_QUOTES = 64
+#: Characters that a block of a menu has at most. Sub-trees of longer blocks, and those of one block, may be prose.
+SHORT = 80
+#: What a sub-tree is, in the low bits of its number: of short blocks; of anything else; in an article or main element.
+MENU, PROSE, INSIDE = 0, 1, 2
 
 
-def _tag_end(page: str, at: int) -> int:
-    """Behind the `>` that ends a tag, where quotes hide it; an unclosed quote hides nothing. -1: there is none."""
-    plain = page.find(">", at)
-    if plain < 0:
-        return -1
-    for _ in range(MOST_QUOTES):
+def _tag_end(page: str, at: int, absent: set[str]) -> int:
+    """Behind the `>` that ends a tag, where quotes hide it; an unclosed quote hides nothing. -1: there is none.
+
+    absent: quotes of which the page has none any more, which is kept from tag to tag.
+    """
+    while True:
         m = _STOP.search(page, at)
         if m is None or m[0] == ">":
-            return m.end() if m else plain + 1
-        at = page.find(m[0], m.end()) + 1
-        if not at:
-            return plain + 1
-    return plain + 1
+            return m.end() if m else -1
+        at = m.end()
+        if m[0] not in absent:
+            closed = page.find(m[0], at) + 1
+            if closed:
+                at = closed
+            else:
+                absent.add(m[0])
 
 
 def tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
@@ -63,7 +68,7 @@ def tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
 
     Each step goes on from where the last one ended, so malformed pages take no more time than others.
     """
-    at = page.find("<")
+    at, absent = page.find("<"), set()
     while at >= 0:
         if page.startswith(("!", "?"), at + 1):
             mark = "-->" if page.startswith("<!--", at) else "]]>" if page.startswith("<![CDATA[", at) else ">"
@@ -75,7 +80,7 @@ def tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
             if m is None:
                 at = page.find("<", at + 1)
                 continue
-            end = _tag_end(page, m.end())
+            end = _tag_end(page, m.end(), absent)
             if end < 0:
                 return
             name = m[2].lower()
@@ -108,11 +113,12 @@ class Page:
 
     parent, hash: of each element, the page itself first; parents stand before their elements. texts: the
     blocks in page order; node, side, main: the element of each, whether markup sets it aside, and
-    whether it is in an article or main element.
+    whether it is in an article or main element. tag, inside: of each element, and whether it is in one of these.
     """
 
     def __init__(self, page: str):
         self.parent, self.hash, self.texts, self.node, self.side, self.main = [0], [0], [], [], [], []
+        self.tag, self.inside = [""], [False]
         # number, tag, side, main and running hash of the open elements
         stack = [(0, "", False, False, xxhash.xxh64())]
         open_tags: dict[str, int] = {}
@@ -179,25 +185,48 @@ class Page:
                 open_tags[tag] = open_tags.get(tag, 0) + 1
                 self.parent.append(number)
                 self.hash.append(0)
+                self.tag.append(tag)
+                self.inside.append(main)
                 stack.append((len(self.hash) - 1, tag, side or marked or tag in SIDE and not (tag == "header" and main), main or tag in ("article", "main"), xxhash.xxh64(tag)))
         pending.append(page[at:])
         close(1)
         self.hash[0] = _signed(stack[0][4].intdigest())
 
+    def numbers(self) -> list[int | None]:
+        """Of each element: its hash with what it is in the low bits; None for those that are never the site's.
+
+        Those are the page, its body, article and main elements and what these stand in, single blocks of text inside
+        them, and elements without text.
+        """
+        n = len(self.parent)
+        blocks, longest, holds = [0] * n, [0] * n, [t in ("article", "main", "html", "body") for t in self.tag]
+        for t, k in zip(self.texts, self.node, strict=True):
+            blocks[k] += 1
+            longest[k] = max(longest[k], len(t))
+        for k in range(n - 1, 0, -1):
+            up = self.parent[k]
+            blocks[up] += blocks[k]
+            longest[up] = max(longest[up], longest[k])
+            holds[up] = holds[up] or holds[k]
+        out: list[int | None] = [None] * n
+        for k in range(1, n):
+            if not blocks[k] or holds[k] or self.inside[k] and blocks[k] == 1:
+                continue
+            kind = INSIDE if self.inside[k] else MENU if blocks[k] > 1 and longest[k] <= SHORT else PROSE
+            out[k] = self.hash[k] & ~3 | kind
+        return out
+
     def trees(self) -> list[int]:
-        """Hashes of the elements that have text, in themselves or below."""
-        full = [False] * len(self.parent)
-        for k in self.node:
-            while k and not full[k]:
-                full[k] = True
-                k = self.parent[k]
-        return sorted({h for h, f in zip(self.hash, full, strict=True) if f})
+        """Numbers of the elements that may be the site's."""
+        return sorted({x for x in self.numbers() if x is not None})
 
     def text(self, site: frozenset[int]) -> str:
         """The main text without the sub-trees of the site."""
         gone = [False] * len(self.parent)
-        for k in range(1, len(gone)):
-            gone[k] = gone[self.parent[k]] or self.hash[k] in site
+        if site:
+            numbers = self.numbers()
+            for k in range(1, len(gone)):
+                gone[k] = gone[self.parent[k]] or numbers[k] in site
         left = [(t, m) for t, k, s, m in zip(self.texts, self.node, self.side, self.main, strict=True) if not s and not gone[k]]
         main = [t for t, m in left if m]
         taken = main if 2 * sum(map(len, main)) > sum(len(t) for t, _ in left) else [t for t, _ in left]
@@ -231,7 +260,9 @@ def site_trees(hosted: DataFrame, share: float, least: int, fewest: int) -> tupl
     different = pages.groupBy("host", "page_hash").agg(F.first("trees").alias("trees"))
     total = different.groupBy("host").agg(F.count("*").alias("total"))
     often = different.select("host", F.explode("trees").alias("tree")).groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min(least, fewest))
-    enough = F.least(F.lit(least), F.greatest(F.lit(fewest), F.ceil(F.lit(share) * F.col("total"))))
+    part = F.greatest(F.lit(fewest), F.ceil(F.lit(share) * F.col("total")))
+    kind = F.col("tree").bitwiseAND(F.lit(3))
+    enough = F.when(kind == MENU, F.least(F.lit(least), part)).when(kind == INSIDE, F.greatest(F.lit(least), part)).otherwise(part)
     return often.join(total, "host").where(F.col("n") >= enough).select("host", "tree", "n"), pages
 
 
@@ -239,9 +270,11 @@ def extract(pages: DataFrame, share: float = 0.5, least: int = 10, fewest: int =
     """page_id, url, text and n_chars of every row of pages (page_id, url, html).
 
     Element sub-trees of whole pages, menus and footers among them, are hashed with their content and counted
-    by host: those on `least` different pages are the site's, and their text goes. On a small host `share` of
-    its different pages is enough, but no fewer than `fewest`. Copies of a page count once, so a page that
-    is copied often isn't taken for a template. Of the rest goes what stands in elements, roles or names
+    by host: those on `share` of its different pages, but no fewer than `fewest`, are the site's, and their text
+    goes. For sub-trees of several short blocks, as menus are, `least` pages are enough on a host of any size; those
+    in article or main elements need `least` as well as the share. A single block of text in these is never taken
+    for the site's, however often it stands there, nor are these elements themselves and what holds them. Copies of a
+    page count once, so a page that is copied often isn't taken for a template. Of the rest goes what stands in elements, roles or names
     of menus, headers, footers, sidebars, notices, adverts, forms and comments. If article and main elements
     hold more than half of the characters that are left of a page, only they are taken. Blocks are runs of
     text between tags of elements that stand on lines of their own; character references are decoded, white

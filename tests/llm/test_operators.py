@@ -405,14 +405,14 @@ def test_html(spark):
     rows = [page(k, f"<article><h1>Head {k}</h1><p>One  <b>bold</b>&amp;\n two{k}<p>Three{k}<br>four<div class=x>Same on all pages</div><section id=comments>No</section></article>") for k in range(12)]
     rows += [(50, None, None), (51, "http://other.example/", ""), (52, "http://other.example/a", "<p>plain &lt;b&gt; text"), (53, "http://other.example/b", "<div><p>broken <i>markup")]
     out = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1))).collect()}
-    assert out[3].text == "Head 3 One bold& two3 Three3 four" and out[3].n_chars == len(out[3].text)
+    assert out[3].text == "Head 3 One bold& two3 Three3 four Same on all pages" and out[3].n_chars == len(out[3].text)
     assert (out[50].text, out[51].text, out[52].text, out[53].text) == ("", "", "plain <b> text", "broken markup")
 
 
 def test_html_sites(spark):
     """What a tenth of a large host or all of a small one repeats goes; an article is taken only as the most of a page."""
     body = lambda k: f"<div><p>Main text {k} of this page</div>"
-    rows = [(k, f"http://large/{k}", body(k) + ("<div>About the author</div>" if k < 12 else "")) for k in range(120)]
+    rows = [(k, f"http://large/{k}", body(k) + ("<div><h4>About the author</h4><ul><li>Site<li>Mail</ul></div>" if k < 12 else "")) for k in range(120)]
     rows += [(200 + k, f"http://small/{k}", body(200 + k) + "<div>Our site</div>") for k in range(4)]
     rows += [(300, "http://a/", "<article>Teaser</article><div>The long main text of the page</div>"), (301, "http://b/", "<div>Short</div><article>The text</article>")]
     rows += [(302, "http://c/", "<div>The text itself</div><article class='comment'>A reader's comment which is longer than all else here</article>")]
@@ -424,6 +424,30 @@ def test_html_sites(spark):
     assert out[400] == out[411] == "The same page"
 
 
+def test_html_keeps_article_text_that_repeats(spark):
+    """A sentence in a tenth or all of a host's articles stays, a copied article under other menus too; the menu goes."""
+    rng = random.Random(12)
+    sentence = "The same sentence in many an article."
+    rows, want = [], {}
+    for k in range(100):
+        own = [f"Own text {k} {rng.random()} " + "that is long enough to be a paragraph of prose and no menu at all" for _ in range(3)]
+        blocks = own[:1] + ([sentence] if k % 10 == 0 else []) + own[1:] + (["On every page of the host."] if k % 2 else [])
+        blocks = ["Article that is copied with other menus. " * 3, "Its second paragraph, as long as the first one is. " * 2] if k >= 85 else blocks
+        inner = "".join(rng.choice(["<p>{}</p>", "<div>{}</div>", "<p><b>{}</b></p>"]).format(b) for b in blocks)
+        menu = "<div class=q><ul><li>Start<li>News<li>About us</ul></div>" + (f"<div><ul><li>Seen {k}<li>Next</ul></div>" if k >= 85 else "")
+        rows.append((k, "http://h/%d" % k, f"<body>{menu}" + (f"<article>{inner}</article>" if k % 3 else f"<div class=text>{inner}</div>") + "</body>"))
+        seen = [f"Seen {k}", "Next"] if k >= 85 and not k % 3 else []
+        want[k] = " ".join(" ".join(b.split()) for b in [*seen, *blocks])
+    out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == want
+
+
+def test_html_many_quotes():
+    text = lambda page: html.Page(page).text(frozenset())
+    many = " ".join(f'd{k}="a>b"' for k in range(3000))
+    assert text(f"<p {many}>in</p>") == "in" and text(f"<p {many} x='>in</p>") == "in" and text('<p t="a>b" u=\'c>in</p><p>it is</p>') == "in it is"
+
+
 def test_html_template_step_against_brute_force(spark):
     """Sub-trees that no list names go by their counts, which are those of a plain recount; nothing else can remove them."""
     menu = "<div class='x1'><ul><li>Start<li>News</ul></div>"
