@@ -7,14 +7,6 @@ from pyspark.sql import functions as F
 
 from barlight.operators.scans import last_known
 
-#: A side is broadcast only up to so many rows, which are counted first; beyond, the join is by shuffle.
-SMALL_ROWS = 100_000
-
-
-def small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
-
-
 def align_feature_bars(bars: DataFrame, trade_bars: DataFrame | None = None, quote_bars: DataFrame | None = None, option_bars: DataFrame | None = None, on: tuple[str, ...] = ("ticker", "ts")) -> DataFrame:
     """Bars with the columns of the other bars of the same key, prefixed tr_, qu_ and opt_."""
     for side, prefix in ((trade_bars, "tr_"), (quote_bars, "qu_"), (option_bars, "opt_")):
@@ -99,7 +91,7 @@ def split_factor_join(rows: DataFrame, splits: DataFrame, date: str = "day", nam
     """name: the product of split_to / split_from over splits with execution_date > date; 1 without. A row stays one row."""
     steps = split_intervals(splits).withColumnsRenamed({"ticker": "tk", "factor": name})
     on = (F.col("ticker") == F.col("tk")) & (F.col(date) < F.col("before")) & (F.col("start").isNull() | (F.col(date) >= F.col("start")))
-    return rows.join(small(steps), on, "left").withColumn(name, F.coalesce(name, F.lit(1.0))).drop("tk", "start", "before")
+    return rows.join(steps, on, "left").withColumn(name, F.coalesce(name, F.lit(1.0))).drop("tk", "start", "before")
 
 
 def confluence_semi_join(primary: DataFrame, others: list[DataFrame], least: int = 1, on: tuple[str, ...] = ("ticker", "ts", "direction")) -> DataFrame:

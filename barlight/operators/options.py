@@ -220,6 +220,25 @@ def enrich_greeks(chains: DataFrame) -> DataFrame:
     return _with_greeks(chains, ("",))
 
 
+def greeks_job(chains: DataFrame, curve: DataFrame, minutes: DataFrame, tenors: dict[str, int]) -> DataFrame:
+    """Chains as they were stored, with underlying and rate filled in and the greeks of each row.
+
+    chains: symbol, ticker (of the underlying), ts, strike, dte, type, close, underlying (null where it wasn't known) and
+    any other columns. curve: date and rates in percent by tenor. minutes: ticker, minute, close. A missing
+    underlying is the close of the row's minute, or the last one that the contract had before; rows
+    that still have none, no price, no time or no time premium keep null greeks. The rate is that of the curve at or before the
+    row's day, by straight line between tenors.
+    """
+    from barlight.operators.joins import minute_backfill_join
+    from barlight.operators.scans import last_known
+
+    filled = minute_backfill_join(chains, minutes)
+    known = last_known(filled, ["underlying"], "symbol", ["ts"])
+    filled = known.withColumn("underlying", F.col("known_underlying")).drop("known_underlying")
+    rated = interp_rate(filled.withColumn("curve_day", F.to_date("ts")), curve, tenors, "curve_day").drop("curve_day")
+    return enrich_greeks(rated)
+
+
 def enrich_feature_greeks(features: DataFrame, contracts: tuple[str, ...]) -> DataFrame:
     """The same for several contracts of one row: prefix_strike, prefix_close, prefix_dte, prefix_type with underlying and rate.
 

@@ -79,13 +79,13 @@ def stream_trade_bars(spark, sf):
     return rows.groupBy("symbol", "bucket").agg(*(F.max_by(c, "trades").alias(c) for c in ("volume", "buy_volume", "sell_volume")), F.max("trades").alias("trades")).select("symbol", "bucket", "trades", "volume", "buy_volume", "sell_volume")
 
 
-@add("SELECT 'ABC' AS underlying, type, count(*) AS n FROM (SELECT CASE WHEN user_id % 2 = 0 THEN 'C' ELSE 'P' END AS type FROM events) GROUP BY 2")
+@add("SELECT 'BRAND' AS underlying, p_brand AS brand, CASE p_partkey % 2 WHEN 0 THEN 'C' WHEN 1 THEN 'P' END AS type, count(*) AS n FROM events LEFT JOIN part ON user_id % 40 = p_partkey GROUP BY ALL")
 def stream_enrich_contract(spark, sf):
-    contracts = spark.sql("select * from values ('O:ABC240119C00050000', 'C'), ('O:ABC240119P00050000', 'P') as t(symbol, type)")
-    trades = _trades(spark, sf)
-    even = F.pmod(F.regexp_extract("symbol", r"(\d+)", 1).cast("int"), F.lit(2)) == 0
-    options = trades.withColumn("symbol", F.when(even, "O:ABC240119C00050000").otherwise("O:ABC240119P00050000"))
-    return E.run_available(E.stream_enrich_contract(options, contracts).groupBy("underlying", "type").agg(F.count("*").alias("n")))
+    symbol = lambda key: F.concat(F.lit("O:BRAND240119"), F.when(key % 2 == 0, "C").otherwise("P"), F.lpad((key * 1000).cast("string"), 8, "0"))
+    c = X.contracts(spark, sf)
+    contracts = c.select(symbol(F.col("p_partkey")).alias("symbol"), F.col("ticker").alias("brand"), "type")
+    options = _trades(spark, sf).withColumn("symbol", symbol(F.regexp_extract("symbol", r"(\d+)", 1).cast("int")))
+    return E.run_available(E.stream_enrich_contract(options, contracts).groupBy("underlying", "brand", "type").agg(F.count("*").alias("n")))
 
 
 # Windows that the watermark, ten seconds behind the newest row, has passed.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barlight.functions import predicates as P
 from barlight.functions import scalars as S
-from barlight.operators import bars, joins, market, outcomes, signals, windows
+from barlight.operators import bars, joins, market, options, outcomes, signals, windows
 from barlight.sources import tables
 
 TICKS = "ticker string, sip_ns long, price double, size double, exchange long, sequence long, ts timestamp_ntz"
@@ -196,3 +196,16 @@ def test_audit_of_trades(spark):
     assert (r.n, r.ambiguous, r.losses_stop_first, r.timeouts_stop_first, r.relabelled) == (2, 1, 1, 1, 2)
     assert (r.entry_bar_stop, r.phantom_entry, r.unreachable_exit, r.wins_target_first) == (2, 2, 1, 1)
     assert outcomes.audit_ambiguous_bars(trades.where("false"), b).first().n == 0
+
+
+def test_greeks_job_fills_what_is_missing(spark):
+    """The minute's close first, then the contract's last known underlying; rows without either keep nulls."""
+    rows = [("C1", "A", "2024-01-02 10:00:30", None, 5.0), ("C1", "A", "2024-01-02 10:01:00", 101.0, 5.0), ("C1", "A", "2024-01-03 10:02:10", None, 6.0), ("C1", "A", "2024-01-04 11:00:00", None, 6.0), ("C2", "B", "2024-01-04 11:00:00", None, 6.0)]
+    chains = spark.createDataFrame(rows, "symbol string, ticker string, t string, underlying double, close double").select("symbol", "ticker", F.col("t").cast("timestamp_ntz").alias("ts"), F.lit(100.0).alias("strike"), F.lit(30).alias("dte"), F.lit("C").alias("type"), "close", "underlying")
+    minutes = spark.createDataFrame([("A", "2024-01-03 10:02:00", 103.0)], "ticker string, t string, close double").select("ticker", F.col("t").cast("timestamp_ntz").alias("minute"), "close")
+    curve = spark.createDataFrame([("2024-01-01", 5.0, 4.0), ("2024-01-04", 6.0, 4.0)], "d string, m1 double, y1 double").select(F.col("d").cast("date").alias("date"), "m1", "y1")
+    got = {(r.symbol, str(r.ts)): r for r in options.greeks_job(chains, curve, minutes, {"m1": 30, "y1": 365}).collect()}
+    assert [got[k].underlying for k in sorted(got)] == [None, 101, 103, 103, None]
+    assert got["C1", "2024-01-03 10:02:10"].rate == 0.05 and got["C1", "2024-01-04 11:00:00"].rate == 0.06
+    assert got["C1", "2024-01-03 10:02:10"].iv > 0 and got["C2", "2024-01-04 11:00:00"].iv is None
+    assert len(got) == 5
