@@ -23,6 +23,8 @@ SHARD, LEAF, TOGETHER = 8192, 128, 1024
 FITTED, MOST_FITTED, BOX_BYTES = 32, 50_000, 64 << 20
 #: Shards that a query visits in the second round, those of the largest bounds; in the last round all that are left.
 NEXT = 4
+#: Bounds of queries by shards that are held at once, and queries that are sent on at once.
+CELLS, SENT = 1 << 21, 1 << 13
 
 
 @dataclass(frozen=True)
@@ -165,6 +167,31 @@ def _fit(x: np.ndarray, wide: int) -> np.ndarray:
     return x[:, :wide] if x.shape[1] >= wide else np.pad(x, ((0, 0), (0, wide - x.shape[1])))
 
 
+def routed(q: np.ndarray, own: np.ndarray, floor: np.ndarray, number: np.ndarray, lo: np.ndarray, hi: np.ndarray, first: int, last: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, shard) of the shards that queries go to: in order of their bounds from first to last, but for a query's own, if the bound reaches its floor.
+
+    One array of queries by shards, of CELLS at most, is held. Bounds are whole numbers and exact, so both rounds see the same order.
+    """
+    bound = np.maximum(q, 0) @ hi.T
+    bound += np.minimum(q, 0) @ lo.T
+    bound[number[None] == own[:, None]] = -np.inf
+    n = last or first
+    if n and n < len(number):
+        best = np.argpartition(bound, len(number) - n, axis=1)[:, len(number) - n :]
+        values = np.take_along_axis(bound, best, axis=1)
+    else:
+        best, values = np.arange(len(number))[None].repeat(len(q), 0), bound
+    if last is None:
+        if n < len(number):
+            np.put_along_axis(bound, best[:, : n or 0], -np.inf, axis=1)
+        else:
+            bound[:] = -np.inf
+        row, at = np.nonzero((bound >= floor[:, None]) & (bound > -np.inf))
+        return row, number[at]
+    row, at = np.nonzero((values >= floor[:, None]) & (values > -np.inf))
+    return row, number[best[row, at]]
+
+
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose vec_id is divisible by `every` the k largest inner products.
 
@@ -176,7 +203,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     gives no rows.
 
     Of equal vectors, however many, only the k + 1 rows of the smallest vec_ids can be among the best, so no
-    more are indexed. The splits between shards are fitted to a sample of about FITTED vectors a shard, drawn by
+    more are indexed; each task keeps no more before they are dealt by vector. The splits between shards are fitted to a sample of about FITTED vectors a shard, drawn by
     hash, at most twice MOST_FITTED in all; all are
     dealt by them. The boxes of the shards, of BOX_BYTES at most, go to every task: a larger table has larger
     shards. Queries of one shard are searched in blocks of about TOGETHER, each in a task of its own.
@@ -240,18 +267,16 @@ def _found(vectors: DataFrame, every: int, k: int) -> DataFrame:
         """To each query the shards first .. last in order of their bounds, its own aside, if the bound reaches the floor."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows or not len(number):
-                    continue
-                q = _fit(_matrix(batch.column("v")), max(wide, 1))
-                floor = np.array([-np.inf if x is None else x for x in batch.column("floor").to_pylist()])
-                bound = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
-                bound[number[None] == batch.column("shard").to_numpy()[:, None]] = -np.inf
-                order = np.argsort(-bound, axis=1, kind="stable")[:, first:last]
-                bounds = np.take_along_axis(bound, order, axis=1)
-                row, at = np.nonzero((bounds >= floor[:, None]) & (bounds > -np.inf))
-                part = batch.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(number[order[row, at]], pa.int32()), part.column("vec_id"), part.column("v"), part.column("floor")], ["shard", "vec_id", "v", "floor"])
+            step = max(1, CELLS // max(len(number), 1))
+            for whole in batches:
+                for at in range(0, whole.num_rows if len(number) else 0, step):
+                    batch = whole.slice(at, step)
+                    q = _fit(_matrix(batch.column("v")), max(wide, 1))
+                    floor = np.array([-np.inf if x is None else x for x in batch.column("floor").to_pylist()])
+                    row, shard = routed(q, batch.column("shard").to_numpy(), floor, number, lo, hi, first, last)
+                    for part in range(0, len(row), SENT):
+                        sent = batch.take(pa.array(row[part : part + SENT]))
+                        yield pa.RecordBatch.from_arrays([pa.array(shard[part : part + SENT], pa.int32()), sent.column("vec_id"), sent.column("v"), sent.column("floor")], ["shard", "vec_id", "v", "floor"])
 
         return run
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -400,6 +401,42 @@ def test_license_spans(spark):
     assert [m.label for m in out[7].matches] == ["lgpl"]
 
 
+def test_routing_over_many_boxes():
+    """Both rounds together reach each box that the floor allows once, and hold no more than a few arrays of bounded size."""
+    rng = np.random.default_rng(5)
+    n, d = 20_000, 16
+    centre = np.floor(rng.normal(size=(n, d)) * 100)
+    lo, hi, number = centre - rng.integers(0, 9, (n, d)), centre + rng.integers(0, 9, (n, d)), rng.permutation(n).astype(np.int32)
+    q, own, floor = np.floor(rng.normal(size=(100, d)) * 100), rng.integers(0, n, 100).astype(np.int32), np.where(np.arange(100) % 3, 90_000.0, -np.inf)
+    bound = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
+    want = {(r, int(s)) for r in range(100) for s in number[bound[r] >= floor[r]] if s != own[r]}
+    tracemalloc.start()
+    near = list(zip(*(x.tolist() for x in kdtree.routed(q, own, floor, number, lo, hi, 0, 4)), strict=True))
+    far = list(zip(*(x.tolist() for x in kdtree.routed(q, own, floor, number, lo, hi, 4, None)), strict=True))
+    assert tracemalloc.get_traced_memory()[1] < 400e6
+    tracemalloc.stop()
+    assert len(near) + len(far) == len(set(near) | set(far)) and set(near) | set(far) == want
+    for r in (0, 1, 50):
+        best = np.sort(np.where(number == own[r], -np.inf, bound[r]))[-4:]
+        assert sorted(bound[r][np.flatnonzero(number == s)[0]] for x, s in near if x == r) == [b for b in best if b >= floor[r]]
+
+
+def test_one_vector_in_half_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(kdtree, "SHARD", 100)
+    rng = np.random.default_rng(6)
+    rows = [(k, (np.ones(6) * 0.5 if k % 2 else rng.normal(size=6)).tolist()) for k in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    v = {k: np.floor(256 * np.array(e)) for k, e in rows}
+    want = []
+    for a in range(0, 1000, 50):
+        best = sorted(((-int(v[a] @ v[b]), b) for b in v if b != a))[:5]
+        want += [(a, r + 1, b, -s) for r, (s, b) in enumerate(best)]
+    same([tuple(r) for r in kdtree.top_k(df).collect()], want)
+    monkeypatch.setattr(kdtree, "CELLS", 7)
+    monkeypatch.setattr(kdtree, "SENT", 3)
+    same([tuple(r) for r in kdtree.top_k(df).collect()], want)
+
+
 def test_html(spark):
     page = lambda k, body: (k, f"https://h.example.com/{k}", f"<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><ul><li>Menu</ul></nav><div class='ad'>Buy {k}</div>{body}<footer>Foot {k}</footer></body></html>")
     rows = [page(k, f"<article><h1>Head {k}</h1><p>One  <b>bold</b>&amp;\n two{k}<p>Three{k}<br>four<div class=x>Same on all pages</div><section id=comments>No</section></article>") for k in range(12)]
