@@ -46,10 +46,10 @@ def reference_splits(spark, sf):
 def _dividend_rows(spark, sf):
     o = X.read(spark, sf, "orders")
     day = F.to_date("o_orderdate")
-    return o.select(F.col("o_orderkey").cast("string").alias("id"), F.round(F.col("o_totalprice") / 1000, 2).alias("cash_amount"), F.lit("USD").alias("currency"), day.alias("declaration_date"), F.lit("CD").alias("dividend_type"), F.date_add(day, 10).alias("ex_dividend_date"), F.when(F.col("o_orderkey") % 2 == 0, "4").otherwise("often").alias("frequency"), F.date_add(day, 30).alias("pay_date"), F.concat(F.lit("T"), F.col("o_custkey") % 50).alias("ticker"), F.col("o_orderkey").alias("n"))
+    return o.select(F.col("o_orderkey").cast("string").alias("id"), F.round(F.col("o_totalprice") / 1000 + X.hair(2), 2).alias("cash_amount"), F.lit("USD").alias("currency"), day.alias("declaration_date"), F.lit("CD").alias("dividend_type"), F.date_add(day, 10).alias("ex_dividend_date"), F.when(F.col("o_orderkey") % 2 == 0, "4").otherwise("often").alias("frequency"), F.date_add(day, 30).alias("pay_date"), F.concat(F.lit("T"), F.col("o_custkey") % 50).alias("ticker"), F.col("o_orderkey").alias("n"))
 
 
-_DIVIDENDS = "SELECT CAST(o_orderkey AS VARCHAR) AS id, 'T' || (o_custkey % 50) AS ticker, round(o_totalprice / 1000, 2) AS cash_amount, CAST(CAST(o_orderdate AS DATE) + 10 AS VARCHAR) AS ex_dividend_date, CAST(o_orderkey % 2 = 1 AS BOOLEAN) AS odd FROM orders"
+_DIVIDENDS = f"SELECT CAST(o_orderkey AS VARCHAR) AS id, 'T' || (o_custkey % 50) AS ticker, round(o_totalprice / 1000 + {X.hair(2):.10f}, 2) AS cash_amount, CAST(CAST(o_orderdate AS DATE) + 10 AS VARCHAR) AS ex_dividend_date, CAST(o_orderkey % 2 = 1 AS BOOLEAN) AS odd FROM orders"
 
 
 @add(f"SELECT id, ticker, cash_amount, ex_dividend_date, CASE WHEN odd THEN 'often' END AS unfit FROM ({_DIVIDENDS}) WHERE ticker IN ('T3', 'T7') ORDER BY cash_amount DESC, ticker, ex_dividend_date, id LIMIT 100", doubles="cash_amount")
