@@ -40,6 +40,10 @@ def exchange_heatmap(ticks: DataFrame) -> DataFrame:
     return complete_grid(counts).withColumn("heat", F.log1p("n"))
 
 
+#: Tickers of a block of the correlation matrix, about.
+BLOCK_TICKERS = 256
+
+
 def correlation_matrix(bars: DataFrame) -> DataFrame:
     """(a, b, corr) of returns over the times at which every ticker has one."""
     before = F.lag("close").over(Window.partitionBy("ticker").orderBy("ts"))
@@ -47,7 +51,9 @@ def correlation_matrix(bars: DataFrame) -> DataFrame:
     tickers = bars.agg(F.countDistinct("ticker").alias("tickers"))
     whole = r.groupBy("ts").agg(F.count("r").alias("n")).crossJoin(F.broadcast(tickers)).where("n = tickers").select("ts")
     r = r.join(whole, "ts", "left_semi")
-    return correlation_blocks(r)
+    # Blocks of some hundred tickers: their products are what a task holds.
+    names = bars.agg(F.approx_count_distinct("ticker").alias("n")).first()["n"]
+    return correlation_blocks(r, blocks=1 + names // BLOCK_TICKERS)
 
 
 def prev_day_change(days: DataFrame) -> DataFrame:

@@ -218,28 +218,35 @@ def robustness_grid(signals: DataFrame, bars: DataFrame, ratios: tuple[float, ..
     """Statistics of barrier_outcome_v3() over a grid of reward ratios, timeouts and executions; the walk is joined once.
 
     signals: ticker, bar_no, direction, stop_abs, stop_offset, id. The first bar that ends a trade follows from
-    ratio and execution, the last bar from the timeout; so a walk's row is not copied for each cell.
+    ratio and execution, the last bar from the timeout; so a walk's row is not copied for each cell, and an aggregation of
+    plain numbers finds both. Only exits, a row a signal and cell, are joined to their bars' prices.
     """
     bars = _quoted(bars)
     start = 1 + latency
-    entered = _entered(signals, bars, latency).select("id", "ticker", "bar_no", "direction", "stop_abs", "stop_offset", "e_open", "e_bid", "e_ask")
-    walk = forward_range_join(entered, bars, start, start + max(timeouts))
     cells = [(e, r) for e in executions for r in ratios]
-    plans = [_plan(e, r, slippage_bps) for e, r in cells]
+    entered = _entered(signals, bars, latency)
+    plans = F.array(*(F.struct(F.lit(e).alias("execution"), F.lit(r).alias("rr"), *(c.alias(n) for n, c in _plan(e, r, slippage_bps).items())) for e, r in cells))
+    planned = entered.select("id", "ticker", "bar_no", "direction", plans.alias("plans"))
+    narrow = entered.select("id", "ticker", "bar_no", "direction", "stop_abs", "stop_offset", "e_open", "e_bid", "e_ask")
+    walk = forward_range_join(narrow, bars.drop("bid", "ask"), start, start + max(timeouts))
     ends = []
-    for k, p in enumerate(plans):
-        t, s = _reached(p["target"], p["stop"])
-        ends.append(F.min(F.when(t | s, F.struct(F.col("at"), t.alias("t"), s.alias("s"), "b_close", "b_bid", "b_ask"))).alias(f"end{k}"))
-    lasts = [F.max(F.when(F.col("at") <= F.col("bar_no") + start + m, F.struct("at", "b_close", "b_bid", "b_ask"))).alias(f"last{m}") for m in timeouts]
-    hit = walk.groupBy(*entered.columns).agg(*ends, *lasts)
+    for k, (execution, rr) in enumerate(cells):
+        plan = _plan(execution, rr, slippage_bps)
+        t, s = _reached(plan["target"], plan["stop"])
+        ends.append(F.min(F.when(t | s, F.col("at") * 4 + F.when(s, 2).otherwise(0) + F.when(t, 1).otherwise(0))).alias(f"end{k}"))
+    lasts = [F.max(F.when(F.col("at") <= F.col("bar_no") + start + m, F.col("at"))).alias(f"last{m}") for m in timeouts]
+    hit = walk.groupBy("id", "ticker", "bar_no").agg(*ends, *lasts)
     rows = []
-    for k, ((execution, rr), p) in enumerate(zip(cells, plans, strict=True)):
+    for k in range(len(cells)):
         end = F.col(f"end{k}")
+        at, stopped, reached = F.floor(end / 4), end.bitwiseAND(F.lit(2)) > 0, end.bitwiseAND(F.lit(1)) > 0
         for m in timeouts:
-            within = end.isNotNull() & (end["at"] <= F.col("bar_no") + start + m)
-            result = F.when(~within, "timeout").when(end["s"] & (~end["t"] | F.lit(stop_first)), "loss").otherwise("win")
-            bar = F.when(within, F.struct(end["b_close"].alias("b_close"), end["b_bid"].alias("b_bid"), end["b_ask"].alias("b_ask"))).otherwise(F.struct(*(F.col(f"last{m}")[c].alias(c) for c in ("b_close", "b_bid", "b_ask"))))
-            pnl = (_leave(result, p["target"], p["stop"], bar, execution, slippage_bps) - p["entry"]) * F.col("direction")
-            rows.append(F.when(p["risk"] > 0, F.struct(F.lit(rr).alias("rr"), F.lit(m).alias("timeout"), F.lit(execution).alias("execution"), result.alias("result"), pnl.alias("pnl"))))
-    cells_of = hit.select(F.explode(F.array_compact(F.array(*rows))).alias("c")).select("c.*")
-    return cells_of.groupBy("rr", "timeout", "execution").agg(*metrics("pnl"))
+            within = end.isNotNull() & (at <= F.col("bar_no") + start + m)
+            result = F.when(~within, "timeout").when(stopped & (~reached | F.lit(stop_first)), "loss").otherwise("win")
+            rows.append(F.struct(F.lit(k).alias("k"), F.lit(m).alias("timeout"), result.alias("result"), F.when(within, at).otherwise(F.col(f"last{m}")).alias("at")))
+    exits = hit.select("id", "ticker", "bar_no", F.inline(F.array(*rows))).join(planned.select("id", "bar_no", "ticker", "direction", "plans"), ["id", "ticker", "bar_no"])
+    exits = exits.withColumn("p", F.col("plans")[F.col("k")]).select("ticker", "at", "timeout", "result", "direction", "p.*").where("risk > 0")
+    prices = bars.select("ticker", F.col("bar_no").alias("at"), F.struct(F.col("close").alias("b_close"), F.col("bid").alias("b_bid"), F.col("ask").alias("b_ask")).alias("bar"))
+    left = F.coalesce(*(F.when(F.col("execution") == e, _leave(F.col("result"), F.col("target"), F.col("stop"), F.col("bar"), e, slippage_bps)) for e in executions))
+    done = exits.join(prices, ["ticker", "at"]).withColumn("pnl", (left - F.col("entry")) * F.col("direction"))
+    return done.groupBy("rr", "timeout", "execution").agg(*metrics("pnl"))
