@@ -401,6 +401,58 @@ def test_license_spans(spark):
     assert [m.label for m in out[7].matches] == ["lgpl"]
 
 
+def test_license_without_its_name(spark):
+    texts = ["This work is licensed under the General Public License, version 3", "Released under the BSD License"]
+    gpl, bsd = (licenses.find_licenses(spark.createDataFrame([(t,)], "text string")).first() for t in texts)
+    assert (gpl.labels, gpl.score) == ("gpl", pytest.approx(11 / 12)) and [m.label for m in gpl.matches] == ["gpl"]
+    assert (bsd.labels, bsd.score, bsd.matches) == ("", 0.8, []) and [(b.label, b.containment) for b in bsd.blocks] == [("mit", 0.8)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_license_join_against_brute_force(spark, seed):
+    """Every window of every text, against random templates whose words are frequent and rare alike."""
+    rng = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(30)]
+    templates = tuple((f"t{n}", " ".join(rng.choice(vocabulary[: rng.choice([8, 30])]) for _ in range(rng.randrange(1, 14)))) for n in range(9)) + (("none", "..."),)
+    rows = [(None,), ("",)]
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(4)):
+            parts += [rng.choice(vocabulary + ["other"] * 40) for _ in range(rng.randrange(30))]
+            parts += [w for w in rng.choice(templates)[1].split() if rng.random() < 0.85]
+        rows.append((" ".join(parts),))
+    out = licenses.find_licenses(spark.createDataFrame(rows, "text string").repartition(3), templates).collect()
+    assert len(out) == len(rows)
+    for row in out:
+        said, best, want = re.findall(r"v\d+|other", row.text or ""), 0.0, set()
+        for label, template in templates[:-1]:
+            had, width = set(template.split()), licenses.SPAN * len(template.split())
+            most = max((len(had & set(said[i : i + width])) for i in range(len(said))), default=0) / len(had)
+            best = max(best, most)
+            want |= {(label, most)} if most >= 0.8 else set()
+        assert row.score == pytest.approx(best if best >= 0.5 else 0.0)
+        got = {}
+        for b in row.blocks:
+            got[b.label] = max(got.get(b.label, 0), b.containment)
+        assert got == dict(want)
+
+
+def test_license_filters_drop_pairs(monkeypatch):
+    """The positional filter alone drops a pair whose shared word is the last but one of the block's."""
+    tokens = np.arange(1, 9, dtype=np.uint64)
+    ranks = lambda text: [np.array([int(x) for x in text.split()], np.uint64)][0]
+    monkeypatch.setattr(licenses, "_hashes", lambda text: ranks(text) if text != licenses.NAMES else tokens[:0])
+    table = licenses.Templates.of(["3 4 7 8"], tokens, {int(t): int(t) for t in tokens}, 0.75)
+    assert table.need.tolist() == [3] and table.index(np.array([0]))[2].tolist() == [0, 1]
+    run = lambda *r: licenses.block_candidates(table, 8, table.index(np.array([0])), np.zeros(len(r), int), np.arange(len(r)), np.array(r) - 1)
+    assert [x.tolist() for x in run(1, 3, 4, 8)] == [[0], [0], [0]]
+    assert [x.tolist() for x in run(1, 2, 4, 8)] == [[], [], []]
+    counted = []
+    monkeypatch.setattr(licenses.np, "bincount", lambda x, w, n: counted.append(n) or np.zeros(n))
+    run(1, 2, 4, 8), run(3, 4), run(3, 4, 5, 8)
+    assert counted == [0, 0, 1]
+
+
 def test_routing_over_many_boxes():
     """Both rounds together reach each box that the floor allows once, and hold no more than a few arrays of bounded size."""
     rng = np.random.default_rng(5)
