@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlight.functions.scalars import new_york, session_label
 from barlight.operators.scans import last_known
 
+
 def align_feature_bars(bars: DataFrame, trade_bars: DataFrame | None = None, quote_bars: DataFrame | None = None, option_bars: DataFrame | None = None, on: tuple[str, ...] = ("ticker", "ts")) -> DataFrame:
     """Bars with the columns of the other bars of the same key, prefixed tr_, qu_ and opt_."""
     for side, prefix in ((trade_bars, "tr_"), (quote_bars, "qu_"), (option_bars, "opt_")):
@@ -151,3 +153,30 @@ def ticker_list_distinct(lists: list[DataFrame], clean: Column | None = None) ->
     for x in lists[1:]:
         out = out.unionByName(x.select("ticker"))
     return (out.select(clean.alias("ticker")) if clean is not None else out).distinct()
+
+
+def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of either table that the other has fewer times, as often as they are more; columns go by name."""
+    b = b.select(*a.columns)
+    return a.exceptAll(b).unionByName(b.exceptAll(a))
+
+
+def chain_day_join(days: DataFrame, chains: DataFrame, keys: tuple[str, ...] = ("ticker", "day")) -> DataFrame:
+    """Daily rows with what their day's chain comes to: contracts, volume and mean IV; null where there is no chain.
+
+    The chain is brought down to a row a ticker and day before the join.
+    """
+    daily = chains.groupBy(*keys).agg(F.count("*").alias("chain_rows"), F.sum("volume").alias("chain_volume"), F.avg("iv").alias("chain_iv"))
+    return days.join(daily, list(keys), "left")
+
+
+def session_labels(rows: DataFrame, calendar: DataFrame, ts: str = "ts", name: str = "session") -> DataFrame:
+    """Rows with their session by the New York clock. calendar: date, closed, early_close (minute of the day, or null).
+
+    Weekends are closed, and days that the calendar doesn't name are whole trading days. It has a row a day.
+    """
+    local = new_york(F.col(ts))
+    special = calendar.select(F.col("date").alias("special_date"), F.struct("closed", "early_close").alias("special"))
+    joined = rows.withColumn("special_date", F.to_date(local)).join(special, "special_date", "left")
+    closed = F.coalesce("special.closed", F.lit(False)) | F.dayofweek(local).isin(1, 7)
+    return joined.withColumn(name, session_label(F.col(ts), closed, F.col("special.early_close"))).select(*rows.columns, name)

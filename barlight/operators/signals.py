@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlight.operators import windows as w
-from barlight.operators.joins import confluence_semi_join
+from barlight.operators.joins import confluence_semi_join, symmetric_difference
 
 SIGNAL = ("ticker", "ts", "bar_no", "direction", "strategy", "stop_abs", "stop_offset")
 
@@ -120,7 +120,7 @@ def lookahead_check(bars: DataFrame, strategy: str, cut: int) -> DataFrame:
     """Signals before bar `cut` that differ between the whole and the truncated history: none, if nothing looks ahead."""
     whole = REGISTRY[strategy](prepared(bars)).where(F.col("bar_no") < cut)
     short = REGISTRY[strategy](prepared(bars.withColumn("n", w.bar_number()).where(F.col("n") < cut).drop("n")))
-    return whole.exceptAll(short).unionByName(short.exceptAll(whole))
+    return symmetric_difference(whole, short)
 
 
 # Weights of the scores' parts. A minus sign marks parts for which less is better.

@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-from barlight.plans import feature_queries, market_queries, option_queries, reference_queries, scan_queries, stream_queries, trade_queries, window_queries
+from barlight.plans import feature_queries, market_queries, option_queries, reference_queries, scan_queries, single_queries, stream_queries, trade_queries, window_queries
 
-PARTS = (market_queries, reference_queries, feature_queries, window_queries, option_queries, trade_queries, stream_queries, scan_queries)
+PARTS = (market_queries, reference_queries, feature_queries, window_queries, option_queries, trade_queries, stream_queries, scan_queries, single_queries)
 QUERIES = {name: fn for part in PARTS for name, fn in part.BOOK.queries.items()}
 ORACLE_SQL = {name: text for part in PARTS for name, text in part.BOOK.sql.items()}
 
 #: Operators whose columns another query computes along with its own: that query, and the operator's columns.
 VIEWS = {
-    "complete_grid": ("exchange_heatmap", "exchange slot n"),
-    "range_filter": ("date_range_filter", "event_id value"),
-    "session_label": ("time_zone_bucket", "event_id session"),
-    "session_filter": ("time_zone_bucket", "event_id trading"),
-    "compare_filter": ("reference_query", "p_partkey p_size"),
     "daily_bar_features": ("daily_features", "ticker day n_bars dollar_volume total_volume range_pct last_close first_range"),
     "score_quotes": ("score_liquidity", "ticker day score_quotes"),
     "score_volatility": ("score_liquidity", "ticker day score_volatility"),
     "score_options": ("score_orderflow", "ticker day score_options"),
-    "snapshot_filter": ("screen_snapshot", "ticker day rvol"),
-    "incremental_anti_join": ("exclude_tickers", "ticker day"),
     "to_int": ("to_number", "event_id n"),
     "bar_number": ("returns", "ticker ts bar_no"),
     "log_returns": ("returns", "ticker ts log_ret"),
@@ -37,13 +30,7 @@ VIEWS = {
     "volume_spike": ("rolling_vwap", "ticker ts volume_spike"),
     "running_pnl": ("equity_curve", "ticker day running_pnl"),
     "drawdown": ("equity_curve", "ticker day drawdown"),
-    "sig_confluence": ("generate_signals", "ticker ts direction strategy"),
-    "confluence_semi_join": ("generate_signals", "ticker bar_no direction"),
-    "prefix_columns": ("align_feature_bars", "ticker ts tr_n qu_spread"),
-    "valid_contracts": ("has_time_premium", "symbol day line_order"),
     "chain_features": ("option_features", "ticker ts contract_count straddle expected_move pcr"),
-    "chain_day_join": ("chain_daily_features", "ticker day mean_iv delta_sum"),
-    "iv_at_delta": ("skew_25d", "ticker day put_iv call_iv"),
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,18 +43,26 @@ def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 scan_gz_csv = scan_csv
 
 
-def scan_bars(spark: SparkSession, root: str, agg: str, year: int, tickers: list[str] | None = None) -> DataFrame:
-    """Bars of a size and year from a table partitioned by agg and year: only these partitions are read."""
-    df = spark.read.parquet(root).where((F.col("agg") == agg) & (F.col("year") == year))
+def _of_years(spark: SparkSession, root: str, agg: str, years: int | tuple[int, int] | None) -> DataFrame:
+    """Rows of a size of one year, of years from the first to the last, or of all, from a table partitioned by agg and year: only these partitions are read."""
+    df = spark.read.parquet(root).where(F.col("agg") == agg)
+    if years is None:
+        return df
+    return df.where(F.col("year") == years if isinstance(years, int) else F.col("year").between(*years))
+
+
+def scan_bars(spark: SparkSession, root: str, agg: str, years: int | tuple[int, int] | None = None, tickers: list[str] | None = None) -> DataFrame:
+    """Bars of a size: of a year, a range of years or all."""
+    df = _of_years(spark, root, agg, years)
     return conform(df if tickers is None else df.where(F.col("ticker").isin(tickers)), BARS)
 
 
-def scan_trade_bars(spark: SparkSession, root: str, agg: str, year: int) -> DataFrame:
-    return conform(spark.read.parquet(root).where((F.col("agg") == agg) & (F.col("year") == year)), TRADE_BARS)
+def scan_trade_bars(spark: SparkSession, root: str, agg: str, years: int | tuple[int, int] | None = None) -> DataFrame:
+    return conform(_of_years(spark, root, agg, years), TRADE_BARS)
 
 
-def scan_quote_bars(spark: SparkSession, root: str, agg: str, year: int) -> DataFrame:
-    return conform(spark.read.parquet(root).where((F.col("agg") == agg) & (F.col("year") == year)), QUOTE_BARS)
+def scan_quote_bars(spark: SparkSession, root: str, agg: str, years: int | tuple[int, int] | None = None) -> DataFrame:
+    return conform(_of_years(spark, root, agg, years), QUOTE_BARS)
 
 
 def scan_option_features(spark: SparkSession, root: str, agg: str, tickers: list[str] | None = None) -> DataFrame:
@@ -65,9 +73,11 @@ def scan_option_features(spark: SparkSession, root: str, agg: str, tickers: list
 
 def scan_chains(spark: SparkSession, root: str, agg: str, fallback: str = "1min") -> DataFrame:
     """Chains of the wanted size where a ticker has them, else of the fallback."""
-    both = spark.read.parquet(root).where(F.col("agg").isin(agg, fallback))
-    best = F.min(F.when(F.col("agg") == agg, 0).otherwise(1)).over(Window.partitionBy("ticker"))
-    return both.withColumn("best", best).where(F.when(F.col("best") == 0, F.col("agg") == agg).otherwise(F.col("agg") == fallback)).drop("best")
+    rows = spark.read.parquet(root)
+    wanted = rows.where(F.col("agg") == agg)
+    if agg == fallback:
+        return wanted
+    return wanted.unionByName(rows.where(F.col("agg") == fallback).join(wanted.select("ticker").distinct(), "ticker", "left_anti").select(*rows.columns))
 
 
 def scan_option_flatfile(spark: SparkSession, path: str, roots: list[str] | None = None) -> DataFrame:
@@ -131,6 +141,13 @@ def write_parquet(df: DataFrame, path: str, *partitions: str, mode: str = "error
     (df.sortWithinPartitions(*partitions, *keys) if keys else df).write.mode(mode).partitionBy(*partitions).parquet(path)
 
 
+def write_counted(df: DataFrame, path: str, *partitions: str, mode: str = "error") -> int:
+    """write_parquet that gives the number of rows, which the job that writes them counts."""
+    seen = Observation()
+    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("n")), path, *partitions, mode=mode)
+    return seen.get["n"]
+
+
 def append_table(df: DataFrame, path: str, *partitions: str) -> None:
     write_parquet(df, path, *partitions, mode="append")
 

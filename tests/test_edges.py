@@ -209,3 +209,28 @@ def test_greeks_job_fills_what_is_missing(spark):
     assert got["C1", "2024-01-03 10:02:10"].rate == 0.05 and got["C1", "2024-01-04 11:00:00"].rate == 0.06
     assert got["C1", "2024-01-03 10:02:10"].iv > 0 and got["C2", "2024-01-04 11:00:00"].iv is None
     assert len(got) == 5
+
+
+def test_sessions_by_calendar(spark):
+    """An early close, a holiday, a weekend, a null time, and columns named like those of the calendar."""
+    rows = [(1, "2024-01-02 18:30:00"), (2, "2024-01-03 18:30:00"), (3, "2024-01-04 18:30:00"), (4, "2024-01-06 18:30:00"), (5, None), (6, "2024-01-03 14:29:59"), (7, "2024-01-03 14:30:00")]
+    df = spark.createDataFrame(rows, "closed int, t string").selectExpr("closed", "cast(t as timestamp_ntz) as ts")
+    calendar = spark.createDataFrame([("2024-01-02", False, 780), ("2024-01-04", True, None)], "d string, closed boolean, early_close int").selectExpr("cast(d as date) as date", "closed", "early_close")
+    out = {r.closed: r.session for r in joins.session_labels(df, calendar).collect()}
+    assert out == {1: "after-hours", 2: "regular", 3: "closed", 4: "closed", 5: "closed", 6: "pre-market", 7: "regular"}
+
+
+def test_symmetric_difference_counts_repeats(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([("x", 1), (None, 2), ("z", 4), ("z", 4)], "v string, k int")
+    assert sorted(map(tuple, joins.symmetric_difference(a, b).collect())) == [(1, "x"), (3, "y"), (4, "z"), (4, "z")]
+    assert joins.symmetric_difference(a, a).count() == 0
+
+
+def test_bars_of_years(spark, tmp_path):
+    root = str(tmp_path / "bars")
+    df = spark.createDataFrame([(y, f"t{y % 2}", "1h") for y in range(2019, 2024)], "year int, ticker string, agg string").withColumn("ts", F.make_timestamp_ntz("year", F.lit(3), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    assert tables.write_counted(df, root, "agg", "year") == 5
+    count = lambda years, **more: tables.scan_bars(spark, root, "1h", years, **more).count()
+    assert [count(2020), count((2020, 2022)), count(None), count(None, tickers=["t1"]), count(1999)] == [1, 3, 5, 3, 0]
+    assert "PartitionFilters: [isnotnull(agg" in tables.scan_bars(spark, root, "1h", (2020, 2022))._jdf.queryExecution().toString()
