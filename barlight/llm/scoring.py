@@ -26,6 +26,8 @@ HELD, BLOCKS = 3_000_000, 64
 #: Training tokens of a shard, and least and most shards: they follow from the corpus, not from its files. A shard
 #: writes its weights once a round, which for the largest vocabulary is about as much as the texts of so many tokens.
 SHARD_TOKENS, LEAST_SHARDS, MOST_SHARDS = 64_000_000, 8, 4096
+#: What all shards write of weights in all rounds is at most this part of what the training tokens' numbers take.
+WEIGHTS_SHARE = 0.7
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,6 +108,12 @@ def bucket_counts(counts: DataFrame, vocabulary: np.ndarray, buckets: int) -> tu
     return out[0], out[1]
 
 
+def shard_count(tokens: int, weights: int, rounds: int) -> int:
+    """Shards of a corpus: by its tokens, but no more than WEIGHTS_SHARE allows, at four bytes a token and two a weight."""
+    allowed = int(WEIGHTS_SHARE * 4 * tokens / (2 * weights * rounds))
+    return max(1, min(max(tokens // SHARD_TOKENS, LEAST_SHARDS), MOST_SHARDS, allowed))
+
+
 def encoded(docs: DataFrame, table: np.ndarray, buckets: int, shards: int, rounds: int, complete: bool) -> DataFrame:
     """All rows of docs (doc_id, held_out, text) as numbers of tokens, written once: places in the table, or behind it the bucket.
 
@@ -256,11 +264,12 @@ def score_documents(docs: DataFrame, hidden: int = 16, rounds: int = 6) -> DataF
     vocabulary, model_n = table[:words], table_n[:words]
     rest, rest_distinct = bucket_counts(counts, vocabulary, buckets)
     complete = distinct <= len(table)
-    shards = int(min(max(total // SHARD_TOKENS, LEAST_SHARDS), MOST_SHARDS))
+    start = Model.start(np.concatenate([model_n, rest[:-1]]), rest[-1], hidden)
+    shards = shard_count(int(total), start.flat().size, rounds)
     rows = encoded(docs, table, buckets, shards, rounds, complete)
     # of a place in the table or a bucket behind it, the model's word
     to_model = np.concatenate([Lookup(vocabulary, buckets)(table), words + np.arange(buckets)]).astype(np.int32)
-    model = train(rows, to_model, Model.start(np.concatenate([model_n, rest[:-1]]), rest[-1], hidden), shards, rounds)
+    model = train(rows, to_model, start, shards, rounds)
     plain = np.log10(total + 0.5 * (distinct + 1))
     spread = np.log10(rest + 0.5 * (rest_distinct + 1))
 

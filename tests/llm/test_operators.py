@@ -620,6 +620,15 @@ def test_scoring(spark, docs):
     assert scoring.score_documents(docs.limit(0), rounds=1).count() == 0
 
 
+def test_shards_follow_from_the_corpus():
+    """Weights written stay below the share; more tokens never mean fewer shards."""
+    weights = 1_200_000
+    counts = [scoring.shard_count(n, weights, 6) for n in (0, 1, 10**6, 2 * 10**7, 10**8, 10**10)]
+    assert counts == [1, 1, 1, 3, 8, 156] and counts == sorted(counts)
+    for n in (2 * 10**7, 10**8, 10**10):
+        assert scoring.shard_count(n, weights, 6) * weights * 2 * 6 <= scoring.WEIGHTS_SHARE * 4 * n
+
+
 def test_vocabulary_grows(spark):
     """More words are told apart in a larger corpus, and rare words are learned by their buckets."""
     assert scoring.model_words(400_000, 1 << 17) > 4 * scoring.MODEL_WORDS and scoring.model_words(900, 700) == 700
