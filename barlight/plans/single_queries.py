@@ -68,11 +68,29 @@ def incremental_anti_join(spark, sf):
     return J.incremental_anti_join(X.contracts(spark, sf).select("symbol", "ticker", "strike"), X.chains(spark, sf).where("volume > 45"), "symbol")
 
 
-@add("SELECT ticker, day AS ts, CASE WHEN close > open THEN 1 ELSE -1 END AS direction FROM day_bars WHERE CAST(volume > 50 AS INTEGER) + CAST(transactions >= 2 AS INTEGER) + CAST(close > open AND high > 1.5 * low AS INTEGER) >= 2", "day_bars", dates="ts")
+CONFIRMED = ("momentum_breakout", "vwap_reversion", "vwap_delta")
+
+
+def _confirmed_sql(name: str) -> str:
+    at = lambda o: f"EXISTS (SELECT 1 FROM {o} o WHERE o.ticker = s.ticker AND o.ts = s.ts AND o.direction = s.direction)"
+    return f"SELECT * FROM {name} s WHERE {' OR '.join(at(o) for o in CONFIRMED if o != name)}"
+
+
+@add(f"""WITH {PREPARED}, {EXTRA}, {', '.join(f'{n} AS ({signal_sql(n)})' for n in CONFIRMED)} {' UNION ALL '.join(_confirmed_sql(n) for n in CONFIRMED)}
+  UNION ALL SELECT ticker, day AS ts, NULL AS bar_no, CASE WHEN close > open THEN 1 ELSE -1 END AS direction, 'day' AS strategy, NULL AS stop_abs, NULL AS stop_offset FROM day_bars WHERE CAST(volume > 50 AS INTEGER) + CAST(transactions >= 2 AS INTEGER) + CAST(close > open AND high > 1.5 * low AS INTEGER) >= 2""", "hour_bars", "day_bars", doubles="stop_abs stop_offset", dates="ts")
 def confluence_semi_join(spark, sf):
-    d = X.day_bars(spark, sf).withColumnRenamed("day", "ts").withColumn("direction", F.when(F.col("close") > F.col("open"), 1).otherwise(-1))
+    """Signals of hours that another strategy confirms, each strategy in turn as the primary one, and directions of days that two of three sets confirm."""
+    p = G.prepared(_bars_with_flow(spark, sf))
+    base = {n: G.REGISTRY[n](p) for n in CONFIRMED}
+    hours = [J.confluence_semi_join(base[n], [base[o] for o in CONFIRMED if o != n]) for n in CONFIRMED]
+    d = X.day_bars(spark, sf).withColumn("ts", F.col("day").cast("timestamp_ntz")).withColumn("direction", F.when(F.col("close") > F.col("open"), 1).otherwise(-1))
     others = [d.where("volume > 50"), d.where("transactions >= 2").unionByName(d.where("transactions >= 2")), d.where("high > 1.5 * low").withColumn("direction", F.lit(1))]
-    return J.confluence_semi_join(d.select("ticker", "ts", "direction"), others, 2)
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    signals = d.select("ticker", "ts", none("bar_no", "int"), "direction", F.lit("day").alias("strategy"), none("stop_abs", "double"), none("stop_offset", "double"))
+    rows = J.confluence_semi_join(signals, others, 2).select(*G.SIGNAL)
+    for h in hours:
+        rows = rows.unionByName(h)
+    return rows.withColumn("bar_no", F.col("bar_no").cast("long"))
 
 
 @add(f"WITH {PREPARED}, {EXTRA}, s1 AS ({signal_sql('vwap_delta')}), s2 AS ({signal_sql('vwap_reversion')}), s3 AS ({signal_sql('momentum_breakout')}) SELECT s1.* REPLACE ('flow_confirmed' AS strategy) FROM s1 WHERE EXISTS (SELECT 1 FROM s2 WHERE s2.ticker = s1.ticker AND s2.ts = s1.ts AND s2.direction = s1.direction) OR EXISTS (SELECT 1 FROM s3 WHERE s3.ticker = s1.ticker AND s3.ts = s1.ts AND s3.direction = s1.direction)", "hour_bars", doubles="stop_abs stop_offset", dates="ts")
