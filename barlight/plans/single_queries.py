@@ -100,9 +100,22 @@ def sig_confluence(spark, sf):
     return G.sig_confluence(base, "flow_confirmed", "vwap_delta", ["vwap_reversion", "momentum_breakout"], 1).withColumn("bar_no", F.col("bar_no").cast("long"))
 
 
-@add("SELECT ticker, day, open AS tr_open, volume AS tr_volume, transactions AS tr_transactions FROM day_bars", "day_bars", doubles="tr_open tr_volume", dates="day")
+BAR = ("open", "high", "low", "close", "volume", "vwap", "transactions")
+TRADE_COLUMNS = ", ".join(f"{c} AS tr_{c}" for c in BAR)
+
+
+@add(f"""WITH t AS (SELECT ticker, date_trunc('hour', ts) AS ts, nullif(count(*) FILTER (size > 50), 0) AS n FROM ticks GROUP BY 1, 2), q AS (SELECT ticker, date_trunc('hour', ts) AS ts, avg(ask_price - bid_price) FILTER (bid_size > 2) AS spread, avg(bid_size) AS bid_size, avg(ask_size) AS ask_size, count(*) AS n FROM quotes GROUP BY 1, 2)
+  SELECT b.ticker, b.ts, {TRADE_COLUMNS}, t.n AS tr_n, spread AS qu_spread, bid_size AS qu_bid_size, ask_size AS qu_ask_size, q.n AS qu_n FROM hour_bars b LEFT JOIN t ON b.ticker = t.ticker AND b.ts = t.ts LEFT JOIN q ON b.ticker = q.ticker AND b.ts = q.ts
+  UNION ALL SELECT ticker, day, {TRADE_COLUMNS}, NULL, NULL, NULL, NULL, NULL FROM day_bars""", "hour_bars", "day_bars", "quotes", doubles=" ".join(f"tr_{c}" for c in BAR[:-1]) + " qu_spread qu_bid_size qu_ask_size", dates="ts", places=6)
 def prefix_columns(spark, sf):
-    return J.prefix_columns(X.day_bars(spark, sf).select("ticker", "day", "open", "volume", "transactions"), "tr_", ("ticker", "day"))
+    """Bars of hours and of days with every measure of the trades under tr_, those of hours with the quotes' under qu_ as well."""
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")
+    on, size, spread = ["ticker", "ts"], F.col("size"), F.col("ask_price") - F.col("bid_price")
+    large = X.ticks(spark, sf).groupBy("ticker", hour).agg(F.nullif(F.count(F.when(size > 50, 1)), F.lit(0)).alias("n"))
+    quoted = X.quotes(spark, sf).groupBy("ticker", hour).agg(F.avg(F.when(F.col("bid_size") > 2, spread)).alias("spread"), F.avg("bid_size").alias("bid_size"), F.avg("ask_size").alias("ask_size"), F.count("*").alias("n"))
+    hours = J.prefix_columns(X.hour_bars(spark, sf).select(*on, *BAR).join(large, on, "left"), "tr_").join(J.prefix_columns(quoted, "qu_"), on, "left")
+    days = X.day_bars(spark, sf).withColumn("ts", F.col("day").cast("timestamp_ntz")).select(*on, *BAR)
+    return hours.unionByName(J.prefix_columns(days, "tr_"), allowMissingColumns=True)
 
 
 @add("SELECT symbol, day, line_order, close FROM chains WHERE p_partkey % 7 <> 0 AND line_order % 5 <> 0 AND dte >= 1", "chains", doubles="close", dates="day")

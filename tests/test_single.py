@@ -16,3 +16,10 @@ def test_confluence_has_all_confirmed_signals(spark):
     assert lost(spark, "generate_signals", "confluence_semi_join", ["ticker", "ts", "bar_no", "direction", "stop_abs", "stop_offset"]) == 0
     rows = catalog.QUERIES["confluence_semi_join"](spark, SF).groupBy("strategy").count().collect()
     assert {r.strategy for r in rows} >= {"vwap_reversion", "vwap_delta", "day"}
+
+
+def test_prefixed_bars_keep_rows_and_columns(spark):
+    assert lost(spark, "align_feature_bars", "prefix_columns", ["ticker", "ts", "tr_n", "qu_spread"]) == 0
+    bars = fixtures.hour_bars(spark, SF).count() + fixtures.day_bars(spark, SF).count()
+    df = catalog.QUERIES["prefix_columns"](spark, SF)
+    assert df.count() == bars and df.where("tr_vwap is not null").count() == bars
