@@ -131,10 +131,18 @@ def chain_day_join(spark, sf):
     return J.chain_day_join(X.day_bars(spark, sf).select("ticker", "day", "close"), chains)
 
 
-@add(f"WITH dd AS (SELECT ticker, day, symbol, any_value(type) AS type, avg(iv) AS iv, avg(delta) AS delta FROM chains GROUP BY 1, 2, 3), {_delta_sql('C', 0.5, 'iv_50')} SELECT * FROM iv_50", "chains", doubles="iv_50", dates="day")
+#: Kind, delta and name of the volatilities of iv_at_delta.
+AT_DELTA = (("P", -0.25, "put_iv"), ("C", 0.25, "call_iv"), ("P", -0.5, "put_iv_50"), ("C", 0.5, "iv_50"))
+
+
+@add(f"WITH dd AS (SELECT ticker, day, symbol, any_value(type) AS type, avg(iv) AS iv, round(avg(delta), 9) AS delta FROM chains GROUP BY 1, 2, 3), {', '.join(_delta_sql(*x) for x in AT_DELTA)} SELECT * FROM put_iv FULL JOIN call_iv USING (ticker, day) FULL JOIN put_iv_50 USING (ticker, day) FULL JOIN iv_50 USING (ticker, day)", "chains", doubles="put_iv call_iv put_iv_50 iv_50", dates="day")
 def iv_at_delta(spark, sf):
-    c = X.chains(spark, sf).groupBy("ticker", "day", "symbol").agg(F.first("type").alias("type"), F.avg("iv").alias("iv"), F.avg("delta").alias("delta"))
-    return O.iv_at_delta(c, "C", 0.5, "iv_50")
+    """Both kinds at a quarter's and at a half's delta, of every ticker and day that has either kind. Means of delta that are equal but for their last bits are one."""
+    c = X.chains(spark, sf).groupBy("ticker", "day", "symbol").agg(F.first("type").alias("type"), F.avg("iv").alias("iv"), F.round(F.avg("delta"), 9).alias("delta"))
+    out, *more = (O.iv_at_delta(c, *x) for x in AT_DELTA)
+    for side in more:
+        out = out.join(side, ["ticker", "day"], "full")
+    return out
 
 
 @add("WITH a AS (SELECT l_partkey % 50 AS k, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), b AS (SELECT l_partkey % 50 AS k, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1) SELECT coalesce(a.k, b.k) AS k, abs(coalesce(a.n, 0) - coalesce(b.n, 0)) AS n FROM a FULL JOIN b ON a.k = b.k WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)")

@@ -31,3 +31,11 @@ def test_no_valid_contract_is_lost(spark):
     columns = ["symbol", "day", "line_order", "close"]
     assert df.where("premium").select(*columns).exceptAll(catalog.QUERIES["has_time_premium"](spark, SF).select(*columns)).count() == 0
     assert lost(spark, "has_time_premium", "valid_contracts", columns) == 0
+
+
+def test_iv_at_delta_has_both_kinds(spark):
+    assert lost(spark, "skew_25d", "iv_at_delta", ["ticker", "day"]) == 0
+    df = catalog.QUERIES["iv_at_delta"](spark, SF)
+    counts = df.agg(*(F.count(c).alias(c) for c in ("put_iv", "call_iv", "put_iv_50", "iv_50"))).first()
+    old = catalog.QUERIES["skew_25d"](spark, SF).agg(F.count("put_iv"), F.count("call_iv")).first()
+    assert (counts.put_iv, counts.call_iv) == tuple(old) == (counts.put_iv_50, counts.iv_50)
