@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from barlight.llm.anchors import chosen, copied, keyed, repeated_anchors, windows_anchor, with_side
 from barlight.llm.pieces import HEAD, Pieces, repeated_spans, spans_of
 from barlight.llm.store import bucket_bits, kept
-from barlight.llm.words import Words, byte_codes, chunks, grams, mix, ranges, rolling, span_hash, within
+from barlight.llm.words import Words, chunks, grams, mix, ranges, within
 
 #: Bytes of a word's hash in a piece.
 WORD_BYTES = 5
@@ -37,17 +37,18 @@ def sorted_suffixes(words: np.ndarray, at: np.ndarray, size: np.ndarray, starts:
 
     words: numbers, one sequence after the other; at, size: where each begins, and its words. A suffix ends
     with its sequence. Ranks of runs of 1, 2, 4 ... words, made from those of half the length, put them in
-    order; common prefixes are counted down the same ranks.
+    order; common prefixes are counted down the same ranks, which are held in four bytes each.
     """
+    ranked = lambda x: np.unique(x, return_inverse=True)[1].astype(np.int32) + 1
     end = np.repeat(at + size, size)
     place = np.arange(len(words))
-    ranks = [np.unique(words, return_inverse=True)[1].astype(np.int64) + 1]
+    ranks = [ranked(words)]
     step = 1
     while step < size.max(initial=0):
         ahead = np.zeros(len(words), np.int64)
         fits = np.flatnonzero(place + step < end)
         ahead[fits] = ranks[-1][fits + step]
-        ranks.append(np.unique(ranks[-1] * (int(ranks[-1].max()) + 1) + ahead, return_inverse=True)[1].astype(np.int64) + 1)
+        ranks.append(ranked(ranks[-1].astype(np.int64) * (int(ranks[-1].max()) + 1) + ahead))
         step *= 2
     order = starts[np.argsort(ranks[-1][starts], kind="stable")] if len(starts) else starts
     a, b = order[:-1].copy(), order[1:].copy()
@@ -117,9 +118,8 @@ def longer_prefixes(window: int):
         windows = pieces.head["windows"].astype(np.int64)
         piece = np.repeat(np.arange(len(pieces)), windows)
         one = pieces.windows(piece, ranges(np.zeros(len(pieces), np.int64), windows), np.ones(len(piece), np.int64))
-        prefix = rolling(byte_codes(one.body))
         words = one.head["offset"].astype(np.int64) + gram_words(window) if level == 1 else one.units
-        one.head["path"] = mix(span_hash(prefix, one.at * WORD_BYTES, (one.at + words) * WORD_BYTES))
+        one.head["path"] = mix(one.hashes(words))
         return one
 
     return split
