@@ -1,12 +1,13 @@
 """A gated recurrent language model in numpy: forward, truncated backpropagation, class-factored softmax.
 
-Texts run in lanes side by side, one after another in each lane. The state is carried from window to
+A word's probability is that of its class, times that of its group in the class, times its own in the group. Texts run in lanes side by side, one after another in each lane. The state is carried from window to
 window until a text ends.
 """
 
 from __future__ import annotations
 
 import ctypes
+import math
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -16,8 +17,12 @@ import numpy as np
 WINDOW = 20
 #: Tokens of a text that are learned in one go: no more than a lane is filled with, or long texts run on almost alone.
 PART = 2048
-#: Largest logit, logits that are held at a time, and weights that are moved on at a time: each a core's cache or less.
-LARGEST, HELD, PIECE = 60.0, 48 << 10, 16 << 10
+#: Logits that are held at a time, and weights that are moved on at a time: each a core's cache or less.
+HELD, PIECE = 48 << 10, 16 << 10
+#: Words of a group, the probability of a place of a group that no word has (as a logarithm), and tokens whose groups are held at a time.
+GROUP, NONE, GROUPED = 8, -1e4, 1024
+#: Tokens whose words are scored at a time, and rows of a run from which on it is summed by itself.
+SCORED, LONG = 32 << 10, 8
 
 
 def one_thread() -> None:
@@ -36,31 +41,48 @@ def one_thread() -> None:
 
 @dataclass(frozen=True)
 class Classes:
-    """Words 0 .. n-1 by falling count; word n stands for all others and is the last class, alone."""
+    """Words 0 .. n-1 by falling count; word n stands for all others and is the last group and class, alone.
 
-    of: np.ndarray  # class of each word
+    The first words are groups by themselves, those behind them make groups of GROUP words. Neighbouring groups are a class.
+    """
+
+    words: int  # n
+    alone: int  # first words that are groups by themselves
+    of: np.ndarray  # class of each group
     place: np.ndarray  # place in its class
-    start: np.ndarray  # first word of each class, and the end
+    start: np.ndarray  # first group of each class, and the end
 
     @classmethod
     def by_count(cls, counts: np.ndarray) -> Classes:
-        """0.6 times the root of the number of words, each class of the same sum of roots of counts."""
+        """0.8 times the root of the number of groups, each class of the same sum of roots of counts."""
+        words = len(counts)
+        alone = min(words, 2 * math.isqrt(words))
+        counts = np.add.reduceat(counts, np.r_[np.arange(alone), np.arange(alone, words, GROUP)]) if words else counts
         n = len(counts)
         mass = np.cumsum(np.sqrt(np.maximum(counts, 1e-9)))
-        wanted = max(1, int(0.6 * np.sqrt(n)))
+        wanted = max(1, int(0.8 * np.sqrt(n)))
         raw = np.minimum((mass - mass[0]) / max(mass[-1], 1e-9) * wanted, wanted - 1).astype(np.int64) if n else np.zeros(0, np.int64)
         of = np.append(np.unique(raw, return_inverse=True)[1] if n else raw, (len(np.unique(raw)) if n else 0)).astype(np.int64)
         start = np.append(np.flatnonzero(np.r_[True, of[1:] != of[:-1]]), n + 1)
-        return cls(of, np.arange(n + 1) - start[of], start)
+        return cls(words, alone, of, np.arange(n + 1) - start[of], start)
+
+    @property
+    def leaves(self) -> int:
+        """Groups of GROUP words."""
+        return -(-(self.words - self.alone) // GROUP)
+
+    def group(self, words: np.ndarray) -> np.ndarray:
+        return np.where(words < self.alone, words, np.where(words < self.words, self.alone + (words - self.alone) // GROUP, self.alone + self.leaves))
 
 
 class Model:
-    """Weights: x (word to gates), u (state to gates), b, c (state to classes), w (state to words).
+    """Weights: x (word to gates), u (state to gates), b, c (state to classes), w (state to groups), l (state to the words of each
+    group of GROUP, a row a group).
 
-    The last column of c and of w is the bias: states are followed by a 1.
+    The last column of c, of w and for each word of l is the bias: states are followed by a 1.
     """
 
-    NAMES = ("x", "u", "b", "c", "w")
+    NAMES = ("x", "u", "b", "c", "w", "l")
 
     def __init__(self, classes: Classes, weights: dict[str, np.ndarray]):
         self.classes, self.p = classes, {n: np.ascontiguousarray(w) for n, w in weights.items()}
@@ -72,13 +94,19 @@ class Model:
         classes = Classes.by_count(counts)
         rng = np.random.default_rng(seed)
         every = np.append(counts, max(rest, 1)).astype(float) + 0.5
-        mass = np.add.reduceat(every, classes.start[:-1])
+        groups = np.bincount(classes.group(np.arange(len(every))), weights=every)
+        mass = np.add.reduceat(groups, classes.start[:-1])
+        inside = every[classes.alone : -1] / groups[classes.group(np.arange(classes.alone, len(counts)))]
         f = np.float32
         normal = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(f)
         n = len(every)
+        l = np.zeros((classes.leaves * GROUP, hidden + 1), f)
+        l[:, -1] = NONE
+        l[: len(inside)] = np.c_[normal(len(inside), hidden, scale=0.01), np.log(inside).astype(f)]
         return cls(classes, {
             "x": normal(n, 3 * hidden, scale=0.3), "u": normal(hidden, 3 * hidden, scale=hidden**-0.5), "b": np.r_[np.full(hidden, 1.0), np.zeros(2 * hidden)].astype(f),
-            "c": np.c_[normal(hidden, len(mass), scale=0.01).T, np.log(mass / mass.sum()).astype(f)], "w": np.c_[normal(n, hidden, scale=0.01), np.log(every / mass[classes.of]).astype(f)],
+            "c": np.c_[normal(hidden, len(mass), scale=0.01).T, np.log(mass / mass.sum()).astype(f)], "w": np.c_[normal(len(groups), hidden, scale=0.01), np.log(groups / mass[classes.of]).astype(f)],
+            "l": l.reshape(classes.leaves, -1),
         })
 
     def flat(self) -> np.ndarray:
@@ -120,62 +148,132 @@ class Model:
             state = after if b - a == len(state) else np.concatenate([after, state[b - a :]])
         return state
 
-    def output(self, states: np.ndarray, words: np.ndarray, space: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None, dict]:
+    def output(self, states: np.ndarray, words: np.ndarray, space: np.ndarray | None = None, order: np.ndarray | None = None, shifted: bool = False) -> tuple[np.ndarray, np.ndarray | None, dict]:
         """Natural logarithm of the probability of each word after its state.
 
-        With `space`, an array of zeros like w, also gradients of minus their sum: of the states, and of c and w.
+        With `space`, an array like w that is 0 for groups alone in their class, also gradients of minus their sum: of the
+        states, and of c, w (in `space`) and l. order: what sorts the words, and with them their groups and classes.
+        shifted: the largest logit of each choice is taken from all. That is done where exponentials go beyond their type.
         """
         p, cl, learn = self.p, self.classes, space is not None
-        order = np.argsort(cl.of[words], kind="stable")
-        of, place = cl.of[words][order], cl.place[words[order]]
-        edge = np.searchsorted(of, np.arange(len(cl.start)))
+        order = np.argsort(words, kind="stable") if order is None else order
+        given, words = words, words[order]
+        group = cl.group(words)
+        of, place = cl.of[group], cl.place[group]
+        edge = np.searchsorted(of, np.arange(len(cl.start))).tolist()
         x = np.ones((self.hidden + 1, len(words)), p["w"].dtype)
-        x[:-1] = states[order].T
-        ones, columns = np.ones(max(len(p["c"]), int(np.diff(cl.start).max())), x.dtype), np.arange(len(words))
+        x[:-1] = states.take(order, axis=0).T
+        size = np.diff(cl.start)
+        most = max(len(p["c"]), int(size.max()), GROUP)
+        ones, columns, room = np.ones(most, x.dtype), np.arange(len(words)), np.empty(max(HELD, most), x.dtype)
 
-        def softmax(weights: np.ndarray, x: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
+        def softmax(weights: np.ndarray, x: np.ndarray, right: np.ndarray, into: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
             # choices stand in rows; exponentials are divided by their sums in what they are multiplied with
-            n = columns[: len(right)]
-            e = weights @ x
-            if e.max() > LARGEST:
-                np.minimum(e, LARGEST, out=e)
-            got = e[right, n]
+            rows, n = len(weights), len(right)
+            flat = room[: rows * n]
+            e = np.matmul(weights, x, out=flat.reshape(rows, n))
+            if shifted:
+                e -= e.max(axis=0)
+            at = right * n + columns[:n]
+            got = flat.take(at)
             np.exp(e, out=e)
-            total = ones[: len(e)] @ e
+            total = ones[:rows] @ e
             if not learn:
-                return got - np.log(total), None, None
-            e[right, n] -= total
+                return np.subtract(got, np.log(total), out=got), None
+            flat[at] = flat.take(at) - total
             total = np.reciprocal(total, out=total)
             back = e.T @ weights[:, :-1]
             back *= total[:, None]
-            return got + np.log(total), back, e @ (x * total).T
+            np.matmul(e, (x * total).T, out=into)
+            return np.add(got, np.log(total, out=total), out=got), back
 
         out, back = np.empty(len(words), x.dtype), np.empty_like(states) if learn else None
         classes = np.zeros_like(p["c"])
-        most = max(1, HELD // len(classes))
-        for a in range(0, len(words), most):
-            mine = slice(a, a + most)
-            out[mine], d, grad = softmax(p["c"], x[:, mine], of[mine])
-            if learn:
-                back[mine] = d
-                classes += grad
-        for c in np.flatnonzero(np.diff(edge) * (np.diff(cl.start) > 1)).tolist():
-            rows = slice(cl.start[c], cl.start[c + 1])
-            most = max(1, HELD // (rows.stop - rows.start))
-            for a in range(edge[c], edge[c + 1], most):
-                mine = slice(a, min(a + most, edge[c + 1]))
-                inner, d, grad = softmax(p["w"][rows], x[:, mine], place[mine])
-                out[mine] += inner
+        piece = np.empty((most, x.shape[0]), x.dtype) if learn else None
+        with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+            step = max(1, HELD // len(classes))
+            for a in range(0, len(words), step):
+                mine = slice(a, a + step)
+                out[mine], d = softmax(p["c"], x[:, mine], of[mine], piece[: len(classes)] if learn else None)
                 if learn:
-                    back[mine] += d
-                    space[rows] += grad
+                    back[mine] = d
+                    classes += piece[: len(classes)]
+            for c in np.flatnonzero(size > 1).tolist():
+                first, end, rows = edge[c], edge[c + 1], slice(cl.start[c], cl.start[c + 1])
+                if first == end:
+                    if learn:
+                        space[rows] = 0
+                    continue
+                weights = p["w"][rows]
+                step = max(1, HELD // len(weights))
+                for a in range(first, end, step):
+                    mine = slice(a, min(a + step, end))
+                    # the first piece of a class writes its gradient where it belongs, others are added
+                    inner, d = softmax(weights, x[:, mine], place[mine], (space[rows] if a == first else piece[: len(weights)]) if learn else None)
+                    out[mine] += inner
+                    if learn:
+                        back[mine] += d
+                        if a > first:
+                            space[rows] += piece[: len(weights)]
+            first, end = np.searchsorted(words, [cl.alone, cl.words])
+            outer = np.empty((end - first, GROUP, x.shape[0]), x.dtype) if learn else None
+            for a in range(first, end, GROUPED):
+                mine = slice(a, min(a + GROUPED, end))
+                leaf, right = np.divmod(words[mine] - cl.alone, GROUP)
+                n, one = columns[: len(leaf)], np.ascontiguousarray(x[:, mine].T)
+                weights = p["l"].take(leaf, axis=0).reshape(len(leaf), GROUP, -1)
+                e = np.matmul(weights, one[:, :, None])[:, :, 0]
+                if shifted:
+                    e -= e.max(axis=1, keepdims=True)
+                got = e[n, right]
+                np.exp(e, out=e)
+                total = e @ ones[:GROUP]
+                out[mine] += got - np.log(total)
+                if learn:
+                    e[n, right] -= total
+                    e /= total[:, None]
+                    back[mine] += np.matmul(e[:, None, :], weights)[:, 0, :-1]
+                    np.multiply(e[:, :, None], one[:, None, :], out=outer[a - first : a - first + len(leaf)])
+        if not shifted and not np.isfinite(out).all():
+            return self.output(states, given, space, order, True)
         of_words = np.empty_like(out)
         of_words[order] = out
         if not learn:
             return of_words, None, {}
         of_states = np.empty_like(states)
         of_states[order] = back
-        return of_words, of_states, {"c": classes, "w": space}
+        leaf = (words[first:end] - cl.alone) // GROUP
+        starts = np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1]]) if len(leaf) else leaf
+        leaves = Rows(leaf[starts], summed(outer.reshape(len(leaf), GROUP * x.shape[0]), starts), len(p["l"]))
+        return of_words, of_states, {"c": classes, "w": space, "l": leaves}
+
+
+@dataclass
+class Rows:
+    """A gradient that is 0 but in some rows. Added to an array or a number it is one with all rows."""
+
+    rows: np.ndarray
+    values: np.ndarray
+    all_rows: int
+    __array_ufunc__ = None
+
+    def __radd__(self, other: np.ndarray | float) -> np.ndarray:
+        out = np.zeros((self.all_rows, self.values.shape[1]), self.values.dtype)
+        out[self.rows] = self.values
+        return other + out
+
+
+def summed(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of each run of rows that begins at `starts`: of short runs row by row for all at once, of each long one as a product."""
+    count = np.diff(np.append(starts, len(rows)))
+    out, ones = rows[starts], np.ones(int(count.max(initial=0)), rows.dtype)
+    long = np.flatnonzero(count > LONG)
+    for k in long.tolist():
+        out[k] = ones[: count[k]] @ rows[starts[k] : starts[k] + count[k]]
+    for i in range(1, LONG):
+        some = np.flatnonzero((count > i) & (count <= LONG))
+        out[some] += rows[starts[some] + i]
+    return out
 
 
 def lanes(sizes: np.ndarray, most: int) -> list[np.ndarray]:
@@ -242,8 +340,19 @@ def score(model: Model, ids: np.ndarray, first: np.ndarray, most: int = 1024) ->
     """
     out = np.zeros(len(ids))
     most = int(np.clip(len(ids) // max(1, np.diff(first).max(initial=1)), 16, most))
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def flush() -> None:
+        token, states = (np.concatenate(x) for x in zip(*held, strict=True))
+        out[token] = model.output(states, ids[token])[0]
+        held.clear()
+
     for window in windows(model, ids, first, most, 2 * WINDOW):
-        out[window.token] = model.output(window.h, ids[window.token])[0]
+        held.append((window.token, window.h))
+        if sum(len(t) for t, _ in held) >= SCORED:
+            flush()
+    if held:
+        flush()
     return out
 
 
@@ -254,7 +363,7 @@ class Trainer:
         self.model, self.rate, self.n = model, rate, 0
         self.m = {k: np.zeros_like(v) for k, v in model.p.items()}
         self.v = {k: np.zeros_like(v) for k, v in model.p.items()}
-        self.space = {k: np.zeros_like(model.p[k]) for k in ("x", "w")}  # gradients, all 0 between steps
+        self.space = np.zeros_like(model.p["w"])  # its gradient
 
     def learn(self, ids: np.ndarray, first: np.ndarray, most: int) -> None:
         """One pass over the texts. Those of more than PART tokens are learned in parts, each from the empty state."""
@@ -262,7 +371,8 @@ class Trainer:
         model, k = self.model, self.model.hidden
         for window in windows(model, ids, first, most):
             words = ids[window.token]
-            _, back, grad = model.output(window.h, words, self.space["w"])
+            order = np.argsort(words, kind="stable")
+            _, back, grad = model.output(window.h, words, self.space, order)
             u, edge, z, r = model.p["u"], window.edge, window.gates[:, :k], window.gates[:, k:]
             u_gates, u_new = np.ascontiguousarray(u[:, : 2 * k].T), np.ascontiguousarray(u[:, 2 * k :].T)
             # what the gradient of the state after a token is multiplied with, for all steps at once
@@ -287,26 +397,22 @@ class Trainer:
                     carry[window.begun[i]] = 0
             grad["u"] = np.concatenate([window.h.T @ gates[:, : 2 * k], window.rh.T @ gates[:, 2 * k :]], axis=1)
             grad["b"] = gates.sum(axis=0)
-            order = np.argsort(words, kind="stable")
-            starts = np.flatnonzero(np.r_[True, words[order][1:] != words[order][:-1]])
-            self.read = words[order][starts]
-            grad["x"] = self.space["x"]
-            grad["x"][self.read] = np.add.reduceat(gates[order], starts, axis=0)
+            read = words[order]
+            starts = np.flatnonzero(np.r_[True, read[1:] != read[:-1]])
+            grad["x"] = Rows(read[starts], summed(gates.take(order, axis=0), starts), len(model.p["x"]))
             self._update(grad, len(words))
-            self.space["x"][self.read] = 0
-            self.space["w"].fill(0)
 
-    def _update(self, grad: dict[str, np.ndarray], tokens: int) -> None:
+    def _update(self, grad: dict[str, np.ndarray | Rows], tokens: int) -> None:
         """A step of Adam, with the corrections of both means taken out of the vectors."""
         self.n += 1
         late = np.sqrt(1 - 0.99**self.n)
         rate = self.rate * late / (1 - 0.9**self.n)
         for name, g in grad.items():
-            if name == "x":
-                # of a large vocabulary only the words of the window are touched
-                m, v, p = self.m[name][self.read], self.v[name][self.read], self.model.p[name][self.read]
-                self._moved(g[self.read].ravel(), m.reshape(-1), v.reshape(-1), p.reshape(-1), tokens, rate, late)
-                self.m[name][self.read], self.v[name][self.read], self.model.p[name][self.read] = m, v, p
+            if isinstance(g, Rows):
+                # of a large vocabulary only the words and groups of the window are touched
+                m, v, p = (x[name].take(g.rows, axis=0) for x in (self.m, self.v, self.model.p))
+                self._moved(g.values.ravel(), m.reshape(-1), v.reshape(-1), p.reshape(-1), tokens, rate, late)
+                self.m[name][g.rows], self.v[name][g.rows], self.model.p[name][g.rows] = m, v, p
             else:
                 self._moved(g.ravel(), self.m[name].reshape(-1), self.v[name].reshape(-1), self.model.p[name].reshape(-1), tokens, rate, late)
 

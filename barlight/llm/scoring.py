@@ -77,18 +77,29 @@ def model_words(distinct: int, table: int) -> int:
 
 
 class Lookup:
-    """Numbers of words in the model's vocabulary; all others have that of their bucket, behind these."""
+    """Numbers of words in the model's vocabulary; all others have that of their bucket, behind these.
+
+    Hashes lie evenly, so a token's leading bits lead to about its place among the sorted ones.
+    """
 
     def __init__(self, tokens: np.ndarray, buckets: int = 1):
         self.order = np.argsort(tokens)
         self.sorted, self.n, self.buckets = tokens[self.order], len(tokens), buckets
+        bits = min(max(self.n.bit_length() + 2, 8), 24)
+        self.shift = np.uint64(64 - bits)
+        self.begin = np.searchsorted(self.sorted, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
     def __call__(self, tokens: np.ndarray) -> np.ndarray:
         other = self.n + (mix(tokens) % np.uint64(self.buckets)).astype(np.int64)
         if not self.n:
             return other
-        at = np.minimum(np.searchsorted(self.sorted, tokens), self.n - 1)
-        return np.where(self.sorted[at] == tokens, self.order[at], other)
+        at = np.minimum(self.begin.take(tokens >> self.shift), self.n - 1)
+        late = np.flatnonzero(self.sorted.take(at) < tokens)
+        while len(late):
+            late = late[at[late] < self.n - 1]
+            at[late] += 1
+            late = late[self.sorted.take(at[late]) < tokens[late]]
+        return np.where(self.sorted.take(at) == tokens, self.order.take(at), other)
 
 
 def bucket_counts(counts: DataFrame, vocabulary: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:

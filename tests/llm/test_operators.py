@@ -597,6 +597,40 @@ def test_probabilities_add_up():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_groups_in_classes():
+    """Words' probabilities are those of class, group and word, exponentials beyond their type included, at few logits a token."""
+    model = recurrent.Model.start(np.floor(300_000 / np.arange(1, 30_001)), 4000, 4)
+    cl, n = model.classes, 30_000
+    rng = np.random.default_rng(0)
+    used = np.minimum(n - cl.alone - recurrent.GROUP * np.arange(cl.leaves), recurrent.GROUP)
+    for name in ("c", "w"):
+        model.p[name][:, -1] += rng.standard_normal(len(model.p[name]))
+    log_softmax = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+    for far in (0, 120):  # of the classes' logits
+        model.p["c"][:, -1] += np.linspace(0, far, len(model.p["c"]))
+        c, w = (model.p[k][:, -1].astype(float) for k in ("c", "w"))
+        inside = model.p["l"].reshape(cl.leaves, recurrent.GROUP, -1)[:, :, -1].astype(float)
+        groups = np.concatenate([log_softmax(w[a:b]) for a, b in zip(cl.start[:-1], cl.start[1:], strict=True)]) + log_softmax(c)[cl.of]
+        want = np.concatenate([groups[: cl.alone], *(groups[cl.alone + k] + log_softmax(x[: used[k]]) for k, x in enumerate(inside)), groups[-1:]])
+        got = recurrent.score(model, np.arange(n + 1), np.arange(n + 2))  # each word as a text of its own, whose state is 0
+        np.testing.assert_allclose(got, want, rtol=1e-4, atol=1e-3)
+        assert np.exp(got).sum() == pytest.approx(1, abs=1e-3)
+    share = np.floor(300_000 / np.arange(1, 30_001)) / np.floor(300_000 / np.arange(1, 30_001)).sum()
+    assert len(model.p["c"]) + (share * np.diff(cl.start)[cl.of[cl.group(np.arange(n))]]).sum() + recurrent.GROUP < 140
+
+
+def test_lookup_of_any_tokens():
+    """Numbers of words follow from equality alone, evenly spread hashes or not, the least and the largest too."""
+    rng = np.random.default_rng(3)
+    edge = np.array([0, 1, 2, 2**64 - 2, 2**64 - 1], np.uint64)
+    for tokens in (np.unique(np.r_[edge, rng.integers(0, 2**64, 3000, np.uint64)]), np.arange(300, dtype=np.uint64), edge[-1:], edge[:0]):
+        rng.shuffle(tokens)
+        look, at = scoring.Lookup(tokens, 3), {int(t): k for k, t in enumerate(tokens)}
+        asked = np.r_[tokens, edge, rng.integers(0, 2**64, 500, np.uint64)]
+        for token, got in zip(asked.tolist(), look(asked).tolist(), strict=True):
+            assert got == at[token] if token in at else len(tokens) <= got < len(tokens) + 3
+
+
 def test_scoring(spark, docs):
     old = scoring.TABLE_WORDS, scoring.MODEL_WORDS
     rows = docs.collect()
