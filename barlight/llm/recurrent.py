@@ -106,7 +106,7 @@ class Model:
         return cls(classes, {
             "x": normal(n, 3 * hidden, scale=0.3), "u": normal(hidden, 3 * hidden, scale=hidden**-0.5), "b": np.r_[np.full(hidden, 1.0), np.zeros(2 * hidden)].astype(f),
             "c": np.c_[normal(hidden, len(mass), scale=0.01).T, np.log(mass / mass.sum()).astype(f)], "w": np.c_[normal(len(groups), hidden, scale=0.01), np.log(groups / mass[classes.of]).astype(f)],
-            "l": l.reshape(classes.leaves, -1),
+            "l": l.reshape(classes.leaves, GROUP * (hidden + 1)),
         })
 
     def flat(self) -> np.ndarray:
