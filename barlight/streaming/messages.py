@@ -7,10 +7,12 @@ by number, so that a batch that runs again leaves what it left before.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from barlight.sources.shared import dropped
+
 # Event types of each market, and column, JSON key and type of each kind's fields.
 MARKETS = {
     "stocks": {"A": "equity_bar", "AM": "equity_bar", "T": "equity_trade", "Q": "equity_quote", "LULD": "price_limits", "FMV": "fair_value", "NOI": "imbalance", "LV": "launch_value"},
@@ -46,6 +48,12 @@ def fields(kind: str) -> list[tuple[str, str, str]]:
     return [tuple(f.split(" ")) for f in KINDS[kind].split(", ")]
 
 
+def _type(event: Column) -> Column:
+    """The event type; where it comes first and has no escapes, as servers send it, the text needn't be parsed for it."""
+    first = F.substring_index(F.substr(event, F.lit(len('{"ev":"') + 1)), '"', 1)
+    return F.when(event.startswith('{"ev":"') & ~first.contains("\\"), first).otherwise(F.get_json_object(event, "$.ev"))
+
+
 def read_messages(messages: DataFrame, market: str, column: str = "value") -> DataFrame:
     """A row an event of a market's messages: the other columns, ev, event (its JSON text), kind and reason.
 
@@ -56,14 +64,15 @@ def read_messages(messages: DataFrame, market: str, column: str = "value") -> Da
     text = F.col(column)
     array = F.from_json(F.when(text.rlike(r"^\s*\{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text), "array<string>")
     own = [c for c in messages.columns if c != column]
-    rows = messages.withColumn("array", array).where("array is null or size(array) > 0")
-    rows = rows.select(*own, F.explode_outer(F.coalesce("array", F.array(F.lit(None).cast("string")))).alias("event"), text.alias("message"), F.col("array").isNull().alias("broken"))
-    ev = F.get_json_object("event", "$.ev")
+    element = lambda broken, ev, event: F.struct(F.lit(broken).alias("broken"), ev.alias("ev"), event.alias("event"))
+    # All that reads JSON stands inside one generator: what is filtered or chosen afterwards doesn't make the planner read it again.
+    elements = F.transform(array, lambda e: element(False, _type(e), e))
+    rows = messages.select(*own, F.explode_outer(F.coalesce(elements, F.array(element(True, F.lit(None).cast("string"), text)))).alias("e"))
+    rows = rows.where("e is not null").select(*own, "e.*").where("ev is null or ev <> 'status'")
     kinds = F.create_map(*(F.lit(x) for kv in MARKETS[market].items() for x in kv))
-    rows = rows.select(*own, ev.alias("ev"), F.when(F.col("broken"), F.col("message")).otherwise(F.col("event")).alias("event"), "broken").where("ev is null or ev <> 'status'")
     kind = F.when(~F.col("broken") & F.col("ev").isNotNull(), F.try_element_at(kinds, F.col("ev")))
     reason = F.when(F.col("broken"), "broken").when(F.col("ev").isNull(), "untyped").when(F.col("kind").isNull(), "unknown")
-    return rows.withColumn("kind", kind).withColumn("reason", reason).drop("broken")
+    return rows.select(*own, "ev", "event", "broken").withColumn("kind", kind).withColumn("reason", reason).drop("broken")
 
 
 def typed(events: DataFrame, kind: str) -> DataFrame:
@@ -76,27 +85,33 @@ def typed(events: DataFrame, kind: str) -> DataFrame:
     return rows.select(*own, "parsed.*").toDF(*own, *(c for c, _, _ in names))
 
 
+def write_rejects(events: DataFrame, number: int, path: str) -> None:
+    """The rejects of one batch of read_messages() to path/rejects (reason, ev, event) and path/counts (reason, ev, n), each below batch=<number>."""
+    rejects = events.where("reason is not null").drop("kind")
+    rejects.write.mode("overwrite").parquet(f"{path}/rejects/batch={number}")
+    rejects = events.sparkSession.read.schema(rejects.schema).parquet(f"{path}/rejects/batch={number}")
+    rejects.groupBy("reason", "ev").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/counts/batch={number}")
+
+
 def write_batch(events: DataFrame, number: int, path: str) -> None:
     """One batch of read_messages() to path/<kind>, path/rejects (reason, ev, event) and path/counts (reason, ev, n), each below batch=<number>.
 
-    A folder is overwritten as a whole, so the batch may run again.
+    A folder is overwritten as a whole, so the batch may run again. Messages are taken apart once: the tables are made
+    of their events as written, which are removed afterwards.
     """
-    events = events.persist()
-    try:
-        kinds = [r.kind for r in events.where("kind is not null").select("kind").distinct().collect()]  # of KINDS, so a few
-        for kind in kinds:
-            typed(events, kind).write.mode("overwrite").parquet(f"{path}/{kind}/batch={number}")
-        rejects = events.where("reason is not null").drop("kind")
-        rejects.write.mode("overwrite").parquet(f"{path}/rejects/batch={number}")
-        rejects.groupBy("reason", "ev").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/counts/batch={number}")
-    finally:
-        events.unpersist()
-
-
-def route(messages: DataFrame, market: str, path: str, column: str = "value") -> StreamingQuery:
-    """Starts the stream that writes a market's messages by kind below path; its checkpoint lies there as well."""
-    events = read_messages(messages, market, column)
-    return events.writeStream.option("checkpointLocation", f"{path}/checkpoint").foreachBatch(lambda df, n: write_batch(df, n, path)).trigger(availableNow=True).start()
+    spark, whole = events.sparkSession, f"{path}/events/batch={number}"
+    events.write.mode("overwrite").parquet(whole)
+    events = spark.read.schema(events.schema).parquet(whole)
+    for (kind,) in events.where("kind is not null").select("kind").distinct().collect():  # of KINDS, so a few
+        typed(events, kind).write.mode("overwrite").parquet(f"{path}/{kind}/batch={number}")
+    write_rejects(events, number, path)
+    dropped(spark, whole)
+
+
+def route(messages: DataFrame, market: str, path: str, column: str = "value", rejects_only: bool = False) -> StreamingQuery:
+    """Starts the stream that writes a market's messages by kind below path, or rejects and their counts alone; its checkpoint lies there as well."""
+    events, write = read_messages(messages, market, column), write_rejects if rejects_only else write_batch
+    return events.writeStream.option("checkpointLocation", f"{path}/checkpoint").foreachBatch(lambda df, n: write(df, n, path)).trigger(availableNow=True).start()
 
 
 def levels(books: DataFrame) -> DataFrame:

@@ -76,6 +76,22 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     assert seen[0] == seen[1]
 
 
+def test_messages_are_parsed_once(spark):
+    """Also where the message is computed: no filter or column behind makes the planner parse or make it again."""
+    rows = spark.range(3).select(F.to_json(F.array(F.struct(F.lit("T").alias("ev"), F.col("id").alias("q")))).alias("value"))
+    events = M.read_messages(rows, "stocks")
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("StructsToJsonEvaluator") + plan.count("to_json(") == 1
+    assert [(r.ev, r.kind, r.reason) for r in events.collect()] == [("T", "equity_trade", None)] * 3
+
+
+def test_types_of_events_however_written(spark):
+    text = r"""[{"ev":"T"},{"ev":""},{"ev":"a\"b"},{"ev":"a\\"},{"ev":"\u0054"},{ "ev" : "T"},{"x":1,"ev":"Q"},{"ev":null},{"ev":5},5,null,{"ev":"T","ev":"Q"},{"ev":"status"}]"""
+    got = [(r.ev, r.reason) for r in M.read_messages(spark.createDataFrame([(text,)], "value string"), "stocks").collect()]
+    known, unknown, none = (lambda e: (e, None)), (lambda e: (e, "unknown")), (None, "untyped")
+    assert got == [known("T"), unknown(""), unknown('a"b'), unknown("a\\"), known("T"), known("T"), known("Q"), none, unknown("5"), none, none, known("T")]
+
+
 def test_every_kind_has_a_market():
     assert {k for kinds in M.MARKETS.values() for k in kinds.values()} == set(M.KINDS)
 
