@@ -2,11 +2,13 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from barlight.operators import outcomes
 from barlight.operators import scans as C
 from barlight.operators import windows as W
 
@@ -133,3 +135,42 @@ def test_correlation_blocks(spark, blocks):
     assert set(found) == {(a, b) for a in names for b in names if a < b}
     assert all(math.isclose(v, want[names.index(a), names.index(b)], abs_tol=1e-9) for (a, b), v in found.items())
     assert C.correlation_blocks(df.where("false"), blocks=blocks).count() == 0
+
+
+def _trades(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), None if k == 3 else (k // rng.choice((1, 40))) % 30, k, rng.random() < 0.9, None if rng.random() < 0.1 else rng.uniform(-50, 50)) for k in range(1500)]
+    df = spark.createDataFrame([*rows, ("c", 1, 1, False, 1.0), *(("d", k, k, True, -1.0) for k in range(6))], "g string, d int, n int, flag boolean, pnl double")
+    return df.withColumn("day", F.date_from_unix_date("d"))
+
+
+def test_streaks_and_drawdowns_run_on_over_days(spark):
+    """As a walk in order gives them, also over days without a break, without a day and without a number."""
+    df = _trades(spark)
+    runs, means = {}, {}
+    for g in "abcd":
+        rows = sorted((r for r in df.collect() if r.g == g), key=lambda r: (r.d is not None, r.d or 0, r.n))
+        run, total, top, drawdowns = 0, None, 1000.0, []
+        for r in rows:
+            run = run + 1 if r.flag else 0
+            runs[g] = max(runs.get(g, 0), run)
+            if r.pnl is not None:
+                total = (total or 0.0) + r.pnl
+            if total is not None:
+                top = max(top, 1000 + total)
+                drawdowns.append((top - 1000 - total) / top * 100)
+        means[g] = sum(drawdowns) / len(drawdowns)
+    for first in ("day", "d"):
+        got = {r.g: r.longest for r in W.streaks(df, ["g"], [first, "n"], F.col("flag"), "longest").collect()}
+        assert got == {g: n for g, n in runs.items() if n} and got["d"] == 6
+        mean = {r.g: r.mean_drawdown for r in W.mean_drawdown(df, ["g"], [first, "n"], "pnl", 1000.0).collect()}
+        assert mean == pytest.approx(means)
+
+
+def test_no_task_takes_a_whole_group_of_trades(spark):
+    """Windows over trades are dealt by day as well."""
+    df = _trades(spark).withColumnRenamed("g", "strategy").withColumn("rr_ratio", F.lit(1.0)).withColumn("result", F.when(F.col("flag"), "loss").otherwise("win"))
+    for rows in (outcomes.trade_metrics(df, ["strategy", "rr_ratio"], ["day", "n"]),):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        dealt = [by for by, order in re.findall(r"Window .*\], \[([^\]]*)\], \[([^\]]*)\]\n", plan) if "day#" in order]
+        assert dealt and all("slice_no" in by for by in dealt)
