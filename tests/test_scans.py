@@ -170,7 +170,7 @@ def test_streaks_and_drawdowns_run_on_over_days(spark):
 def test_no_task_takes_a_whole_group_of_trades(spark):
     """Windows over trades are dealt by day as well."""
     df = _trades(spark).withColumnRenamed("g", "strategy").withColumn("rr_ratio", F.lit(1.0)).withColumn("result", F.when(F.col("flag"), "loss").otherwise("win"))
-    for rows in (outcomes.trade_metrics(df, ["strategy", "rr_ratio"], ["day", "n"]),):
+    for rows in (outcomes.trade_metrics(df, ["strategy", "rr_ratio"], ["day", "n"]), outcomes.leaderboard(df, ["day", "n"])):
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         dealt = [by for by, order in re.findall(r"Window .*\], \[([^\]]*)\], \[([^\]]*)\]\n", plan) if "day#" in order]
         assert dealt and all("slice_no" in by for by in dealt)
