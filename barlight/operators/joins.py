@@ -45,7 +45,8 @@ def asof_yield_join(rows: DataFrame, curve: DataFrame, date: str = "day") -> Dat
     """Each row with the latest curve at or before its date, or the first curve before that; a null date has none.
 
     The curve is looked up once for each different date, of which there are as many as days; rows are then
-    joined by equal dates, so no rows are compared with ranges and the curve may be of any length.
+    joined by equal dates, so no rows are compared with ranges and the curve may be of any length. What was found, a
+    row a day, is sent to the rows, which are not shuffled for it.
     """
     columns = [c for c in curve.columns if c != "date"]
     dates = rows.select(F.col(date).alias("at")).where("at is not null").distinct().withColumn("c", F.lit(None))
@@ -56,7 +57,7 @@ def asof_yield_join(rows: DataFrame, curve: DataFrame, date: str = "day") -> Dat
     here = F.last("c", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, 0))
     first = F.first("c", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     found = both.withColumn("c", F.coalesce(here, first)).where("side = 1").select(F.col("at").alias("asof_date"), "c.*")
-    return rows.join(found, F.col(date) == F.col("asof_date"), "left").select(*(rows[c] for c in rows.columns), "curve_date", *columns)
+    return rows.join(F.broadcast(found), F.col(date) == F.col("asof_date"), "left").select(*(rows[c] for c in rows.columns), "curve_date", *columns)
 
 
 def minute_backfill_join(rows: DataFrame, minutes: DataFrame, column: str = "underlying") -> DataFrame:

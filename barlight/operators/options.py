@@ -230,11 +230,12 @@ def greeks_job(chains: DataFrame, curve: DataFrame, minutes: DataFrame, tenors:
     row's day, by straight line between tenors.
     """
     from barlight.operators.joins import minute_backfill_join
-    from barlight.operators.scans import last_known
 
-    filled = minute_backfill_join(chains, minutes)
-    known = last_known(filled, ["underlying"], "symbol", ["ts"])
-    filled = known.withColumn("underlying", F.col("known_underlying")).drop("known_underlying")
+    # Rows that have their underlying don't go through the join.
+    filled = chains.where("underlying is not null").unionByName(minute_backfill_join(chains.where("underlying is null"), minutes))
+    # A contract has few rows a day, so slices of its time would be as many as its rows; all of it is sorted in one task instead.
+    so_far = Window.partitionBy("symbol").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    filled = filled.withColumn("underlying", F.last("underlying", ignorenulls=True).over(so_far))
     rated = interp_rate(filled.withColumn("curve_day", F.to_date("ts")), curve, tenors, "curve_day").drop("curve_day")
     return enrich_greeks(rated)
 

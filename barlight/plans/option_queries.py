@@ -231,8 +231,11 @@ def validate_adjusted(spark, sf):
 def greeks_job(spark, sf):
     c = X.chains(spark, sf).withColumn("ts", F.col("day").cast("timestamp_ntz")).withColumn("spot", F.col("underlying")).withColumn("dte", F.col("dte") + 30)
     minutes = c.where("line_order % 2 = 0").groupBy("ticker", F.col("ts").alias("minute")).agg(F.max("spot").alias("close"))
-    stored = c.withColumn("underlying", F.when(F.col("line_order") % 3 > 0, F.col("spot"))).drop("spot")
-    rows = O.greeks_job(stored.withColumn("given", F.col("underlying")), X.curve(spark, sf), minutes, X.TENORS)
+    given = F.when(F.col("line_order") % 3 > 0, F.col("spot"))
+    # Behind Python the planner can't see which columns nobody reads, so the rows have no others.
+    stored = c.select("symbol", "ticker", "ts", "day", "line_order", "strike", "dte", "type", "close", given.alias("underlying"), given.alias("given"))
+    rows = O.greeks_job(stored, X.curve(spark, sf), minutes, X.TENORS)
     # Rows whose underlying is the contract's last known depend on how equal times are ordered; the SQL has the others.
-    exact = rows.join(minutes.select(F.col("ticker").alias("t"), F.col("minute"), F.lit(True).alias("has")), (F.col("ticker") == F.col("t")) & (F.col("ts") == F.col("minute")), "left")
+    # The days of the brands are no more on larger tables, so the rows needn't be shuffled once more.
+    exact = rows.join(F.broadcast(minutes.select(F.col("ticker").alias("t"), F.col("minute"), F.lit(True).alias("has"))), (F.col("ticker") == F.col("t")) & (F.col("ts") == F.col("minute")), "left")
     return exact.where("given is not null or has").select("symbol", "day", "line_order", "underlying", "rate")

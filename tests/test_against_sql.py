@@ -29,3 +29,10 @@ def test_hours_with_a_price_of_zero(spark, tmp_path):
     e.withColumn("value", F.when(zero, 0.0).otherwise(F.col("value"))).write.parquet(f"{tmp_path}/events.parquet")
     got = same(spark, "ohlcv_resample", tmp_path, ["events"])
     assert {str(r.bucket)[-2:] for r in got} == {"01", "03"}
+
+
+def test_greeks_job_moves_no_more_than_it_needs(spark):
+    """One shuffle by contract, no slices of a contract's time, and no column that nobody reads on the way through Python."""
+    plan = catalog.QUERIES["greeks_job"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "slice_no" not in plan and "l_tax" not in plan and "open_interest" not in plan
+    assert plan.count("Exchange hashpartitioning(symbol#") == 1
