@@ -236,6 +236,6 @@ def greeks_job(spark, sf):
     stored = c.select("symbol", "ticker", "ts", "day", "line_order", "strike", "dte", "type", "close", given.alias("underlying"), given.alias("given"))
     rows = O.greeks_job(stored, X.curve(spark, sf), minutes, X.TENORS)
     # Rows whose underlying is the contract's last known depend on how equal times are ordered; the SQL has the others.
-    # The days of the brands are no more on larger tables, so the rows needn't be shuffled once more.
-    exact = rows.join(F.broadcast(minutes.select(F.col("ticker").alias("t"), F.col("minute"), F.lit(True).alias("has"))), (F.col("ticker") == F.col("t")) & (F.col("ts") == F.col("minute")), "left")
+    # The days of the brands are no more on larger tables, so the rows needn't be shuffled once more. By the close, as the minutes' shuffles are then the same twice.
+    exact = rows.join(F.broadcast(minutes.select(F.col("ticker").alias("t"), F.col("minute"), F.col("close").isNotNull().alias("has"))), (F.col("ticker") == F.col("t")) & (F.col("ts") == F.col("minute")), "left")
     return exact.where("given is not null or has").select("symbol", "day", "line_order", "underlying", "rate")
